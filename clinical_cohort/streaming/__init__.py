@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streams, watermarks or stateful operators: every job is
+a batch pull over parquet folders. Nothing is registered here. The batch
+operators are DataFrame -> DataFrame functions without actions, so a caller
+who lands new parquet files can run the same code per micro-batch with
+``readStream`` + ``foreachBatch`` and the parquet sink of ``sources.files``.
+"""
