@@ -55,4 +55,4 @@ def age_by_year(end: str | Column, birth: str | Column) -> Column:
 def to_date_safe(text: str | Column, fmt: str | None = None) -> Column:
     """M7: text to date; unparsable text gives null instead of an ANSI error."""
     c = _c(text)
-    return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+    return F.try_to_date(c, fmt) if fmt else F.try_to_date(c)

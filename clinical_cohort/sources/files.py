@@ -33,9 +33,14 @@ def describe_table(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             header: bool = False, sep: str = ",") -> DataFrame:
-    """IO4/IO11: CSV scan with a fixed schema (no inference pass over the data)."""
-    reader = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+             header: bool = False, sep: str = ",", null_value: str = "") -> DataFrame:
+    """IO4/IO11: CSV scan with a fixed schema (no inference pass over the data).
+
+    ``null_value`` is the text that stands for null; with a marker such as
+    ``\\N`` an empty string and a null stay distinct through a round trip.
+    """
+    reader = (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+              .option("nullValue", null_value).option("emptyValue", ""))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -98,9 +103,10 @@ def arrays_as_text(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """IO9: CSV sink with header; nested columns written as text."""
-    arrays_as_text(df).write.mode("overwrite").option("header", header).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, null_value: str = "") -> None:
+    """IO9: CSV sink with header; nested columns written as text; nulls as ``null_value``."""
+    (arrays_as_text(df).write.mode("overwrite").option("header", header).option("nullValue", null_value)
+     .option("emptyValue", '""').csv(path))
 
 
 def write_json(df: DataFrame, path: str) -> None:
