@@ -27,15 +27,16 @@ KEY = "visit_occurrence_id"
 # Code pattern and roll-up levels of the reference.
 ICD_PATTERN = r"[A-TV-Z][0-9][0-9AB]\.?[0-9A-TV-Z]{0,4}"
 ICD_LEVELS = (1, 2, 3, 5, 6, 7, 8)
-STRIP_CHARS = r"[ ,;{}()\n\t=]+"
+STRIP_CHARS = " ,;{}()\n\t="
 
 
 def clean_feature(name: Column, prefix: str, dots: bool) -> Column:
     """Feature name: prefix + name ('.'->'_' if ``dots``) without `` ,;{}()\\n\\t=``; null -> 'null'."""
     n = F.coalesce(name.cast("string"), F.lit("null"))
     if dots:
-        n = F.regexp_replace(n, r"\.", "_")
-    return F.concat(F.lit(prefix), F.regexp_replace(n, STRIP_CHARS, ""))
+        n = F.translate(n, ".", "_")
+    # Deleting every listed character equals replacing runs of them by ''.
+    return F.concat(F.lit(prefix), F.translate(n, STRIP_CHARS, ""))
 
 
 def code_prefix(code: str | Column, level: int | Column, pattern: str = ICD_PATTERN) -> Column:
@@ -61,9 +62,16 @@ def pivot_counts(df: DataFrame, category: str, prefix: str, values: Sequence[str
 
 
 def _first_level(long_levels: DataFrame, key: str) -> DataFrame:
-    """Keep each feature at the lowest level where it occurs anywhere."""
-    first = long_levels.groupBy("feature").agg(F.min("level").alias("level"))
-    return (long_levels.join(first, ["feature", "level"], "left_semi")
+    """Keep each feature at the lowest level where it occurs anywhere.
+
+    The per-feature minimum is aggregated from the per-(key, level, feature)
+    counts and joined back (inner join on a unique key, broadcast when
+    small); both branches read the same shuffle output, so the events are
+    scanned and exchanged once.
+    """
+    first = long_levels.groupBy("feature").agg(F.min("level").alias("_first"))
+    return (long_levels.join(first, "feature", "inner")
+                       .where(F.col("level") == F.col("_first"))
                        .select(key, "feature", "value"))
 
 
@@ -76,9 +84,20 @@ def code_level_counts(df: DataFrame, code: str = "condition_source_value", key:
     ``explode``), counted per (key, level, name) with partial aggregation,
     and every name keeps the count of the lowest level at which it occurs.
     """
-    lv = F.explode(F.array(*[F.lit(i) for i in levels])).alias("level")
-    e = df.select(key, F.col(code).alias("_code"), lv)
-    e = e.withColumn("feature", clean_feature(code_prefix("_code", F.col("level"), pattern), prefix, True))
+    # The pattern test and upper-casing run once per event, before the
+    # events are multiplied by the number of levels.
+    # An event yields the same name at consecutive levels once the code is
+    # shorter than the level (or at every level when it does not match);
+    # only the first of such repeats can be the name's lowest level, so the
+    # repeats are dropped before counting - exact, and fewer rows to shuffle.
+    levels = list(levels)
+    pairs = F.array(*[F.struct(F.lit(lv).alias("level"), F.lit(prev).cast("int").alias("prev"))
+                      for lv, prev in zip(levels, [None, *levels[:-1]])])
+    e = df.select(key, F.upper(F.col(code)).alias("_up"), F.col(code).rlike(pattern).alias("_m"))
+    e = e.select(key, "_up", "_m", F.inline(pairs))
+    first_of_run = F.col("prev").isNull() | (F.col("_m") & (F.length("_up") > F.col("prev")))
+    name = F.when(F.col("_m"), F.substring(F.col("_up"), F.lit(1), F.col("level"))).otherwise(F.col("_up"))
+    e = e.where(first_of_run).select(key, "level", clean_feature(name, prefix, True).alias("feature"))
     counts = e.groupBy(key, "level", "feature").agg(F.count(F.lit(1)).alias("value"))
     return _first_level(counts, key)
 

@@ -349,3 +349,19 @@ def q_rank_features_by_support(spark, sf):
     fm = FE.feature_matrix(families(r), base=r.targets)
     votes = fm.groupBy(F.col("feature").alias("Feature")).agg(F.sum("value").cast("bigint").alias("Total"))
     return rank_features(votes, 20)
+
+
+@register("join_rollups_two_keys", cte("procedure_occurrence", "drug_exposure", "visit_occurrence", "concept") + f"""
+, pr AS ({_rollup_sql(_PROC_SRC, _PROC_FIELDS, "procedures")})
+, d AS ({_rollup_sql(_DRUG_SRC, _DRUG_FIELDS, "drugs")})
+SELECT v.visit_occurrence_id, v.person_id, pr.n_items AS n_procedures, d.n_items AS n_drugs
+FROM visit_occurrence v LEFT JOIN pr ON v.visit_occurrence_id = pr.visit_occurrence_id AND v.person_id = pr.person_id
+LEFT JOIN d ON v.visit_occurrence_id = d.visit_occurrence_id AND v.person_id = d.person_id""")
+def q_join_rollups_two_keys(spark, sf):
+    from ..operators.joins import join_frames
+    r = Roles(spark, sf)
+    keys = ["visit_occurrence_id", "person_id"]
+    p = R.rollup_procedures(r.procedure_occurrence, r.visit_occurrence, r.concept, "PROMO") \
+        .select(*keys, F.col("n_items").alias("n_procedures"))
+    d = R.rollup_drugs(r.drug_exposure, r.visit_occurrence, r.concept).select(*keys, F.col("n_items").alias("n_drugs"))
+    return join_frames([r.visit_occurrence.select(*keys), p, d], keys, "left")
