@@ -4,8 +4,9 @@ A roll-up collects the events of a group into one array of structs, so the
 fields of one event stay aligned (D23) and the array is sorted (stable text
 output). A group that is very large (one visit holding a third of all
 events) would otherwise become one array built in one task; ``rollup``
-therefore splits any group above ``max_items`` into ``parts`` by a hash of
-the event, so no array exceeds the bound and every event is still present.
+therefore splits any group above ``max_items`` into ceil(n / max_items)
+``parts`` by a hash of the event, so arrays stay near the bound (hash
+spread) and every event is still present.
 Normal groups have one part (``part = 0``) and give one row, as in the
 reference.
 """
