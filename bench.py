@@ -6,7 +6,7 @@ executes, nothing is collected to the driver) and prints one JSON line:
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma list, default the headline set), BENCH_REPEAT (default 1;
-the best of N runs is reported per query).
+the best of N timed runs after one warm-up run is reported per query).
 """
 
 from __future__ import annotations
@@ -48,8 +48,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     registry.load_all()
 
-    # Warm-up: JVM start, class loading, first parquet footer reads.
-    registry.QUERIES["measure_summary"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # Warm-up: one untimed run of every query (JVM start, code generation,
+    # parquet footer reads), then the timed runs.
+    for name in names:
+        registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     timings: dict[str, float] = {}
     for name in names:

@@ -140,12 +140,23 @@ def binarize(long_df: DataFrame) -> DataFrame:
 
 
 def drop_rare(long_df: DataFrame, min_support: int = 100, prefix: str | None = "DETBL_") -> DataFrame:
-    """Drop features (of ``prefix`` only) whose column sum is below ``min_support``."""
-    sums = long_df.groupBy("feature").agg(F.sum("value").alias("_support"))
-    rare = sums.where(F.col("_support") < min_support)
-    if prefix:
-        rare = rare.where(F.col("feature").startswith(prefix))
-    return long_df.join(rare.select("feature"), "feature", "left_anti")
+    """Drop features (of ``prefix`` only) whose column sum is below ``min_support``.
+
+    Support is summed over the prefixed features only, and only those rows
+    meet the (small, broadcast) set of rare names in an anti join; rows of
+    other families pass untouched. Splitting the rows this way keeps the
+    anti join an equi join in every branch (a family whose feature name is
+    a constant would otherwise turn it into a nested-loop join).
+    """
+    if not prefix:
+        rare = (long_df.groupBy("feature").agg(F.sum("value").alias("_support"))
+                       .where(F.col("_support") < min_support).select("feature"))
+        return long_df.join(rare, "feature", "left_anti")
+    is_pref = F.coalesce(F.col("feature").startswith(prefix), F.lit(False))
+    cand = long_df.where(is_pref)
+    rare = (cand.groupBy("feature").agg(F.sum("value").alias("_support"))
+                .where(F.col("_support") < min_support).select("feature"))
+    return cand.join(rare, "feature", "left_anti").unionByName(long_df.where(~is_pref))
 
 
 def family_counts(long_df: DataFrame) -> DataFrame:

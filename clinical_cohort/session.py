@@ -48,9 +48,14 @@ def get_session(
     decides. ``conf`` overrides the defaults key by key.
     """
     builder = SparkSession.builder.appName(app_name)
+    settings = dict(DEFAULT_CONF)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+        if master.startswith("local"):
+            # Local mode runs every task inside the driver JVM.
+            settings["spark.driver.memory"] = "8g"
+    settings.update(conf or {})
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
