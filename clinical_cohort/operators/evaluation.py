@@ -86,17 +86,16 @@ def auc_summary(df: DataFrame, score: str = "score", label: str = "label") -> Da
     """
     d = distinct_scores(df, score, label)
     r = running_counts(d)
-    tot = d.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    Pc, Nc = tot.select("P").scalar(), tot.select("N").scalar()
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
     ptp, pfp = tp - pos, fp - neg
-    roc_term = neg / Nc * (tp + ptp) / (F.lit(2.0) * Pc)
     prec = tp / (tp + fp)
     pprec = F.when(ptp + pfp > 0, ptp / (ptp + pfp)).otherwise(F.lit(1.0))
-    pr_term = pos / Pc * (prec + pprec) / F.lit(2.0)
-    return r.agg(_r6(F.sum(roc_term)).alias("roc_auc"), _r6(F.sum(pr_term)).alias("pr_auc"),
-                 _r6(F.sum("pos") / (F.sum("pos") + F.sum("neg"))).alias("no_skill"),
-                 (F.sum("pos") + F.sum("neg")).cast("bigint").alias("n"), F.sum("pos").cast("bigint").alias("positives"))
+    P, N = F.sum(pos), F.sum(neg)
+    # Totals come from the same aggregation, so no subquery is needed.
+    return r.agg(_r6(F.sum(neg * (tp + ptp)) / (F.lit(2.0) * P * N)).alias("roc_auc"),
+                 _r6(F.sum(pos * (prec + pprec)) / (F.lit(2.0) * P)).alias("pr_auc"),
+                 _r6(P / (P + N)).alias("no_skill"),
+                 (P + N).cast("bigint").alias("n"), P.cast("bigint").alias("positives"))
 
 
 def brier(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:

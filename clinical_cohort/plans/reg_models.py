@@ -158,11 +158,11 @@ def q_eval_pr(spark, sf):
 
 @register("eval_auc", cte("scores") + _D_SQL + """
 , x AS (SELECT CAST(tp AS DOUBLE) AS tp, CAST(fp AS DOUBLE) AS fp, CAST(pos AS DOUBLE) AS pos, CAST(neg AS DOUBLE) AS neg FROM r)
-SELECT round(sum(neg / N * (tp + tp - pos) / (2.0 * P)), 6) AS roc_auc,
-       round(sum(pos / P * (tp / (tp + fp) + CASE WHEN (tp - pos) + (fp - neg) > 0 THEN (tp - pos) / ((tp - pos) + (fp - neg)) ELSE 1.0 END) / 2.0), 6) AS pr_auc,
+SELECT round(sum(neg * (tp + tp - pos)) / (2.0 * sum(pos) * sum(neg)), 6) AS roc_auc,
+       round(sum(pos * (tp / (tp + fp) + CASE WHEN (tp - pos) + (fp - neg) > 0 THEN (tp - pos) / ((tp - pos) + (fp - neg)) ELSE 1.0 END)) / (2.0 * sum(pos)), 6) AS pr_auc,
        round(sum(pos) / (sum(pos) + sum(neg)), 6) AS no_skill, CAST(sum(pos) + sum(neg) AS BIGINT) AS n,
        CAST(sum(pos) AS BIGINT) AS positives
-FROM x, tot""")
+FROM x""")
 def q_eval_auc(spark, sf):
     return EV.auc_summary(Roles(spark, sf).scores)
 
@@ -280,3 +280,42 @@ def q_ml_tree_rules(spark, sf):
     X, names = _ml_inputs(spark, sf)
     cv = ML.tree_cv(_split(X, "train"), (3, 4), (50,), (11,), folds=CV_FOLDS)
     return ML.tree_rules(spark, cv.bestModel, names)
+
+
+_TGT_SQL = """
+, tl AS (SELECT visit_occurrence_id, 'fulfilled' AS target, CASE WHEN fulfilled = 'yes' THEN 1 ELSE 0 END AS label FROM targets
+         UNION ALL SELECT visit_occurrence_id, 'urgent', CASE WHEN urgent = 'yes' THEN 1 ELSE 0 END FROM targets)
+, sh AS (SELECT target, CAST(count_if(label = 0) AS DOUBLE) / count(*) AS s0,
+                CAST(count_if(label = 1) AS DOUBLE) / count(*) AS s1 FROM tl GROUP BY 1)
+, b AS (SELECT visit_occurrence_id, feature, CAST(value >= 1 AS INT) AS value FROM icd)
+, per AS (SELECT target, feature, CAST(sum(value) AS DOUBLE) AS t,
+                 CAST(sum(CASE WHEN label = 0 THEN value ELSE 0 END) AS DOUBLE) AS o0,
+                 CAST(sum(CASE WHEN label = 1 THEN value ELSE 0 END) AS DOUBLE) AS o1
+          FROM b JOIN tl USING (visit_occurrence_id) GROUP BY 1, 2)
+, sc AS (SELECT per.target, feature,
+           round((o0 - s0 * t) * (o0 - s0 * t) / (s0 * t) + (o1 - s1 * t) * (o1 - s1 * t) / (s1 * t), 6) AS score
+         FROM per JOIN sh ON per.target = sh.target)
+"""
+
+
+@register("fs_chi2_per_target", cte("diagnosis_extract", "targets") + _ICD_SQL + _TGT_SQL + """
+SELECT target, feature, rank FROM (
+  SELECT target, feature, row_number() OVER (PARTITION BY target ORDER BY score DESC NULLS LAST, feature ASC) AS rank FROM sc)
+WHERE rank <= 50""")
+def q_fs_chi2_per_target(spark, sf):
+    """The chi-square selection run for every target column."""
+    r = Roles(spark, sf)
+    feats = FE.binarize(FE.code_level_counts(r.diagnosis_extract))
+    targets = r.targets.select("visit_occurrence_id",
+                               *[F.when(F.col(c) == "yes", 1).otherwise(0).alias(c) for c in ("fulfilled", "urgent")])
+    out = SEL.per_target(feats, targets, lambda f, l: SEL.top_k(SEL.chi2_scores(f, l), 50))
+    frames = [df.select(F.lit(t).alias("target"), "feature", "rank") for t, df in out.items()]
+    return frames[0].unionByName(frames[1])
+
+
+@register("ml_baseline_logistic")
+def q_ml_baseline_logistic(spark, sf):
+    """The plain logistic model beside the tree, scored on the test split."""
+    X, names = _ml_inputs(spark, sf)
+    model = ML.baseline_logistic(_split(X, "train"))
+    return EV.auc_summary(ML.predict(model, _split(X, "test")))
