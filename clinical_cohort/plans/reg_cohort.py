@@ -207,7 +207,7 @@ def q_join_active_conditions(spark, sf):
 
 
 @register("join_birth_year", cte("visit_occurrence", "person") + """
-SELECT v.visit_occurrence_id, v.visit_end_datetime, year(p.birth_date) AS BirthYear
+SELECT v.visit_occurrence_id, v.visit_end_datetime, CAST(year(p.birth_date) AS INTEGER) AS BirthYear
 FROM visit_occurrence v JOIN person p ON v.person_id = p.person_id""")
 def q_join_birth_year(spark, sf):
     from ..functions.dates import birth_year

@@ -330,7 +330,7 @@ def q_fn_code_prefix(spark, sf):
 , per AS (SELECT c_custkey AS person_id, DATE '1930-01-01' + CAST(c_custkey * 7919 % 25000 AS INT) AS birth_date FROM customer)
 , nf AS (SELECT visit_occurrence_id, CAST(sum(value) AS BIGINT) AS n_features FROM fm GROUP BY 1)
 SELECT t.visit_occurrence_id, CAST(t.fulfilled AS INT) AS fulfilled, CAST(t.urgent AS INT) AS urgent,
-       year(vis.visit_end_datetime) - year(per.birth_date) AS age, coalesce(nf.n_features, 0) AS n_features
+       CAST(year(vis.visit_end_datetime) - year(per.birth_date) AS INTEGER) AS age, coalesce(nf.n_features, 0) AS n_features
 FROM t LEFT JOIN vis ON t.visit_occurrence_id = vis.visit_occurrence_id
 LEFT JOIN per ON vis.person_id = per.person_id
 LEFT JOIN nf ON t.visit_occurrence_id = nf.visit_occurrence_id""")
@@ -341,7 +341,7 @@ def q_phenotype_table(spark, sf):
 
 @register("rank_features_by_support", _FM_CTE + _ALL_FAMILIES_SQL + """
 SELECT feature AS Feature, CAST(sum(value) AS BIGINT) AS Total,
-       row_number() OVER (ORDER BY sum(value) DESC, feature DESC) AS Rank
+       CAST(row_number() OVER (ORDER BY sum(value) DESC, feature DESC) AS INTEGER) AS Rank
 FROM fm GROUP BY 1 QUALIFY Rank <= 20""")
 def q_rank_features_by_support(spark, sf):
     from ..operators.sampling import rank_features

@@ -334,7 +334,7 @@ def q_fn_age_fractional(spark, sf):
 
 
 @register("fn_age_by_year", cte("visit_occurrence", "person") + f"""
-SELECT v.visit_occurrence_id, year(v.visit_end_datetime) - year(p.birth_date) AS age {_VP}""")
+SELECT v.visit_occurrence_id, CAST(year(v.visit_end_datetime) - year(p.birth_date) AS INTEGER) AS age {_VP}""")
 def q_fn_age_by_year(spark, sf):
     return _vp(Roles(spark, sf)).select("visit_occurrence_id",
                                         D.age_by_year("visit_end_datetime", "birth_date").alias("age"))

@@ -50,7 +50,7 @@ _CHI2_SQL = _ICD_SQL + _LAB_SQL + """
 
 @register("fs_chi2", cte("diagnosis_extract", "visit_occurrence") + _CHI2_SQL + f"""
 SELECT feature, score, rank FROM (
-  SELECT feature, score, row_number() OVER (ORDER BY score DESC NULLS LAST, feature ASC) AS rank FROM sc)
+  SELECT feature, score, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, feature ASC) AS INTEGER) AS rank FROM sc)
 WHERE rank <= {K_FEATURES}""")
 def q_fs_chi2(spark, sf):
     feats, labels = _features(Roles(spark, sf))
@@ -82,7 +82,7 @@ def q_fs_minmax(spark, sf):
 , v AS (SELECT feature AS Feature, CAST(max(CASE WHEN sel = 'chi2' THEN 1 ELSE 0 END) AS INT) AS chi2,
                CAST(max(CASE WHEN sel = 'support' THEN 1 ELSE 0 END) AS INT) AS support FROM u GROUP BY 1)
 SELECT * FROM (SELECT Feature, chi2, support, CAST(chi2 + support AS INT) AS Total,
-  row_number() OVER (ORDER BY chi2 + support DESC, Feature DESC) AS Rank FROM v) WHERE Rank <= {K_FEATURES}""")
+  CAST(row_number() OVER (ORDER BY chi2 + support DESC, Feature DESC) AS INTEGER) AS Rank FROM v) WHERE Rank <= {K_FEATURES}""")
 def q_fs_vote(spark, sf):
     feats, labels = _features(Roles(spark, sf))
     chi = SEL.top_k(SEL.chi2_scores(feats, labels), K_FEATURES)
@@ -92,7 +92,7 @@ def q_fs_vote(spark, sf):
 
 @register("rank_features", cte("diagnosis_extract") + _ICD_SQL + """
 SELECT feature AS Feature, CAST(count(*) AS BIGINT) AS Total,
-       row_number() OVER (ORDER BY count(*) DESC, feature DESC) AS Rank
+       CAST(row_number() OVER (ORDER BY count(*) DESC, feature DESC) AS INTEGER) AS Rank
 FROM icd GROUP BY 1 QUALIFY Rank <= 25""")
 def q_rank_features(spark, sf):
     c = FE.code_level_counts(Roles(spark, sf).diagnosis_extract)
@@ -105,7 +105,7 @@ def q_rank_features(spark, sf):
         UNION ALL SELECT visit_occurrence_id, 'urgent', urgent FROM targets)
 , sc AS (SELECT t.target, i.feature, CAST(sum(i.value) AS DOUBLE) AS score FROM icd i JOIN t USING (visit_occurrence_id)
          WHERE t.v = 'yes' GROUP BY 1, 2)
-SELECT target, feature, score, row_number() OVER (PARTITION BY target ORDER BY score DESC NULLS LAST, feature DESC) AS rank
+SELECT target, feature, score, CAST(row_number() OVER (PARTITION BY target ORDER BY score DESC NULLS LAST, feature DESC) AS INTEGER) AS rank
 FROM sc QUALIFY rank <= 20""")
 def q_best_features_per_target(spark, sf):
     r = Roles(spark, sf)
@@ -182,7 +182,7 @@ def q_eval_reliability(spark, sf):
 
 @register("eval_score_hist", cte("scores") + """
 , c AS (SELECT CAST(least(floor(score * 10), 9) AS INT) AS bin, count(*) AS cnt FROM scores GROUP BY 1)
-SELECT b.bin, CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
+SELECT CAST(b.bin AS INTEGER) AS bin, CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
 FROM (SELECT unnest(range(0, 10)) AS bin) b LEFT JOIN c ON b.bin = c.bin""")
 def q_eval_score_hist(spark, sf):
     return EV.score_histogram(Roles(spark, sf).scores)
@@ -300,7 +300,7 @@ _TGT_SQL = """
 
 @register("fs_chi2_per_target", cte("diagnosis_extract", "targets") + _ICD_SQL + _TGT_SQL + """
 SELECT target, feature, rank FROM (
-  SELECT target, feature, row_number() OVER (PARTITION BY target ORDER BY score DESC NULLS LAST, feature ASC) AS rank FROM sc)
+  SELECT target, feature, CAST(row_number() OVER (PARTITION BY target ORDER BY score DESC NULLS LAST, feature ASC) AS INTEGER) AS rank FROM sc)
 WHERE rank <= 50""")
 def q_fs_chi2_per_target(spark, sf):
     """The chi-square selection run for every target column."""

@@ -40,7 +40,7 @@ def _pct_sql(num: str, den: str) -> str:
 
 
 @register("qc_null_pct", cte("person") + _union_sql([
-    f"SELECT '{c}' AS \"Column\", count_if({_empty_sql(c)}) AS NullCount, count(*) AS RowCount, "
+    f"SELECT '{c}' AS \"Column\", CAST(count_if({_empty_sql(c)}) AS BIGINT) AS NullCount, count(*) AS RowCount, "
     f"{_pct_sql(f'count_if({_empty_sql(c)})', 'count(*)')} AS NullPercentage FROM person" for c in PERSON_COLS]))
 def q_null_pct(spark, sf):
     return Q.null_percentage(Roles(spark, sf).person, PERSON_COLS)
@@ -88,8 +88,8 @@ def q_distribution_pct(spark, sf):
 
 
 @register("qc_regex_mismatch", cte("person") + _union_sql([
-    f"SELECT '{c}' AS \"Column\", '{p}' AS Pattern, count_if(NOT regexp_matches(CAST({c} AS VARCHAR), '{p}')) AS MismatchCount, "
-    f"count_if({c} IS NULL) AS NullCount, count(*) AS RowCount, "
+    f"SELECT '{c}' AS \"Column\", '{p}' AS Pattern, CAST(count_if(NOT regexp_matches(CAST({c} AS VARCHAR), '{p}')) AS BIGINT) AS MismatchCount, "
+    f"CAST(count_if({c} IS NULL) AS BIGINT) AS NullCount, count(*) AS RowCount, "
     f"{_pct_sql(f'count_if(NOT regexp_matches(CAST({c} AS VARCHAR), {chr(39)}{p}{chr(39)}))', 'count(*)')} AS MismatchPercentage "
     f"FROM person" for c, p in PATTERNS.items()]))
 def q_regex_mismatch(spark, sf):
