@@ -179,14 +179,24 @@ def restrict_keys(long_df: DataFrame, base: DataFrame, key: str = KEY) -> DataFr
 
 
 def feature_matrix(families: Sequence[DataFrame], base: DataFrame | None = None, key: str = KEY,
-                   min_support: int = 100, rare_prefix: str | None = "DETBL_") -> DataFrame:
-    """Union of families, restricted to base visits, binarised, rare features dropped."""
+                   min_support: int = 100, rare_prefix: str | None = "DETBL_",
+                   materialize: bool = True) -> DataFrame:
+    """Union of families, restricted to base visits, binarised, rare features dropped.
+
+    The binarised union feeds two consumers (the support sums and the rows
+    kept), so by default it is checkpointed once into the session's
+    checkpoint folder instead of computing every family twice.
+    """
     long_df = families[0].select(key, "feature", F.col("value").cast("double"))
     for f in families[1:]:
         long_df = long_df.unionByName(f.select(key, "feature", F.col("value").cast("double")))
     if base is not None:
         long_df = restrict_keys(long_df, base, key)
-    return drop_rare(binarize(long_df), min_support, rare_prefix)
+    long_df = binarize(long_df)
+    if materialize:
+        from ..session import materialize as _checkpoint
+        long_df = _checkpoint(long_df)
+    return drop_rare(long_df, min_support, rare_prefix)
 
 
 def to_wide(long_df: DataFrame, features: Sequence[str], key: str = KEY) -> DataFrame:

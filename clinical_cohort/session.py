@@ -86,3 +86,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df):
+    """Reliable checkpoint of ``df`` into the session's checkpoint folder.
+
+    Used where one intermediate feeds several consumers (so it is computed
+    once) and to cut long lineage; never a machine-local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
