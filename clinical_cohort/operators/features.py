@@ -30,6 +30,11 @@ ICD_LEVELS = (1, 2, 3, 5, 6, 7, 8)
 STRIP_CHARS = " ,;{}()\n\t="
 
 
+def quoted(name: str) -> str:
+    """Column reference for a name that may hold dots or spaces."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def clean_feature(name: Column, prefix: str, dots: bool) -> Column:
     """Feature name: prefix + name ('.'->'_' if ``dots``) without `` ,;{}()\\n\\t=``; null -> 'null'."""
     n = F.coalesce(name.cast("string"), F.lit("null"))
@@ -57,8 +62,8 @@ def category_counts(df: DataFrame, category: str, prefix: str, key: str = KEY, d
 def pivot_counts(df: DataFrame, category: str, prefix: str, values: Sequence[str], key: str = KEY) -> DataFrame:
     """A9 wide form with an explicit value list (no discovery job), 0 when absent."""
     wide = df.groupBy(key).pivot(category, list(values)).agg(F.count(F.lit(1)))
-    wide = wide.fillna(0, subset=[str(v) for v in values])
-    return wide.select(key, *[F.col(f"`{v}`").cast("bigint").alias(prefix + str(v)) for v in values])
+    return wide.select(key, *[F.coalesce(F.col(quoted(str(v))), F.lit(0)).cast("bigint").alias(prefix + str(v))
+                              for v in values])
 
 
 def _first_level(long_levels: DataFrame, key: str) -> DataFrame:
@@ -202,7 +207,7 @@ def feature_matrix(families: Sequence[DataFrame], base: DataFrame | None = None,
 def to_wide(long_df: DataFrame, features: Sequence[str], key: str = KEY) -> DataFrame:
     """Wide export of a long table with an explicit feature list, 0 when absent."""
     wide = long_df.groupBy(key).pivot("feature", list(features)).agg(F.sum("value"))
-    return wide.fillna(0, subset=list(features))
+    return wide.select(key, *[F.coalesce(F.col(quoted(n)), F.lit(0)).alias(n) for n in features])
 
 
 def feature_labels(long_df: DataFrame, codes: DataFrame, classes: DataFrame) -> DataFrame:

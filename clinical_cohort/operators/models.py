@@ -32,8 +32,9 @@ def design_matrix(features: DataFrame, labels: DataFrame, names: Sequence[str],
     """(key, label, split?, features vector) over the listed feature names (0 when absent)."""
     names = list(names)
     wide = features.where(F.col("feature").isin(names)).groupBy(key).pivot("feature", names).agg(F.sum("value"))
-    base = labels.join(wide, key, "left").fillna(0.0, subset=names)
-    cols = [F.col(f"`{n}`").cast("double").alias(f"f{i}") for i, n in enumerate(names)]
+    base = labels.join(wide, key, "left")
+    cols = [F.coalesce(F.col("`" + n.replace("`", "``") + "`").cast("double"), F.lit(0.0)).alias(f"f{i}")
+            for i, n in enumerate(names)]
     keep = [c for c in labels.columns]
     df = base.select(*keep, *cols)
     return VectorAssembler(inputCols=[f"f{i}" for i in range(len(names))], outputCol="features").transform(df) \

@@ -52,7 +52,7 @@ def assemble_wide(base: DataFrame, families_long: Sequence[DataFrame], features:
         long_df = long_df.unionByName(f.select(key, "feature", F.col("value").cast("double")))
     wide = FE.to_wide(long_df, features, key)
     out = base.select(key).distinct().join(wide, key, "left")
-    return out.fillna(0.0, subset=list(features))
+    return out.select(key, *[F.coalesce(F.col(FE.quoted(n)), F.lit(0.0)).alias(n) for n in features])
 
 
 def phenotype_table(r) -> DataFrame:
