@@ -69,10 +69,10 @@ def pivot_counts(df: DataFrame, category: str, prefix: str, values: Sequence[str
 def _first_level(long_levels: DataFrame, key: str) -> DataFrame:
     """Keep each feature at the lowest level where it occurs anywhere.
 
-    The per-feature minimum is aggregated from the per-(key, level, feature)
-    counts and joined back (inner join on a unique key, broadcast when
-    small); both branches read the same shuffle output, so the events are
-    scanned and exchanged once.
+    The per-feature minimum is a second, column-pruned pass over the events
+    whose partial aggregation leaves about one row per feature per task, so
+    its shuffle is tiny; the (feature, level) table is joined back with an
+    inner equi join and broadcast by Spark when its measured size allows.
     """
     first = long_levels.groupBy("feature").agg(F.min("level").alias("_first"))
     return (long_levels.join(first, "feature", "inner")
