@@ -163,12 +163,18 @@ def column_kind(dtype) -> str:
     return "other"
 
 
-def column_types(df: DataFrame) -> DataFrame:
-    """Q7: (Column, Type, Kind, NonNullCount, DistinctCount) in one aggregation."""
+def column_types(df: DataFrame, approx: bool = False) -> DataFrame:
+    """Q7: (Column, Type, Kind, NonNullCount, DistinctCount) in one aggregation.
+
+    Exact distinct counts over many columns make Spark expand every row once
+    per column before the shuffle; ``approx=True`` uses HyperLogLog++ sketches
+    (one pass, fixed-size buffers) for very large tables.
+    """
     fields = df.schema.fields
     aggs = []
     for i, f in enumerate(fields):
-        aggs += [F.count(F.col(f.name)).alias(f"_c{i}"), F.count_distinct(F.col(f.name)).alias(f"_d{i}")]
+        d = F.approx_count_distinct(F.col(f.name)) if approx else F.count_distinct(F.col(f.name))
+        aggs += [F.count(F.col(f.name)).alias(f"_c{i}"), d.alias(f"_d{i}")]
     row = df.agg(*aggs)
     return _long(row, [F.struct(F.lit(f.name).alias("Column"), F.lit(f.dataType.simpleString()).alias("Type"),
                                 F.lit(column_kind(f.dataType)).alias("Kind"), F.col(f"_c{i}").alias("NonNullCount"),
@@ -293,20 +299,23 @@ def fdr_bh(tests: DataFrame, p: str = "p", order: Sequence[str] = ("Column",)) -
 
 
 def profile(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = (),
-            patterns: Mapping[str, str] | None = None, exact: bool = False) -> DataFrame:
+            patterns: Mapping[str, str] | None = None, exact: bool = False,
+            approx_distinct: bool = False) -> DataFrame:
     """Q13: every scalar profile metric in one aggregation -> (Column, Metric, Value).
 
     Metrics: rows, nulls, null_pct, distinct (all profiled columns); count,
     mean, stddev, min, p25, p50, p75, max (numeric); mismatch, mismatch_pct
     (regex columns). One scan, one job; split the long result by Metric for
-    the separate reports.
+    the separate reports. ``approx_distinct=True`` replaces the exact
+    distinct counts (which expand every row once per column) with sketches.
     """
     patterns = dict(patterns or {})
     allc = list(dict.fromkeys([*numeric, *categorical, *patterns]))
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(allc):
+        d = F.approx_count_distinct(F.col(c)) if approx_distinct else F.count_distinct(F.col(c))
         aggs += [F.count_if(_empty(c)).alias(f"_null{i}"),
-                 (F.count_distinct(F.col(c)) + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))).alias(f"_dist{i}")]
+                 (d + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))).alias(f"_dist{i}")]
     for i, c in enumerate(numeric):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"_cnt{i}"), F.avg(x).alias(f"_mean{i}"), F.stddev_samp(x).alias(f"_std{i}"),

@@ -67,7 +67,7 @@ ROLES: dict[str, RoleSpec] = {
             "min(o_orderpriority) AS payer_source_value",
             "max(o_orderpriority) AS plan_source_value",
         ),
-        where="o_orderkey % 3 <> 0",
+        where="o_orderstatus <> 'P'",  # pending orders carry no insurance period
         group_by=3,
     ),
     "care_site": RoleSpec(
