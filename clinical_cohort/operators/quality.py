@@ -117,8 +117,8 @@ def value_distribution(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def value_distribution_pct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Q5: Q4 plus Percent of the column's rows.
 
-    The per-column total is an aggregate of the distribution itself (the
-    same shuffle output is reused) joined back on ``Column``.
+    The per-column total is an aggregate of the (already reduced)
+    distribution, joined back on ``Column`` (one row per column, broadcast).
     """
     dist = value_distribution(df, cols)
     totals = dist.groupBy("Column").agg(F.sum("Count").alias("_total"))
