@@ -166,30 +166,34 @@ def q_features_chief_complaint_wide(spark, sf):
 
 _PATTERN = FE.ICD_PATTERN
 _LEVELS = ", ".join(str(i) for i in FE.ICD_LEVELS)
-_ICD_SQL = f"""
-, e AS (SELECT visit_occurrence_id, lv AS level,
-          {_clean_sql(f"CASE WHEN regexp_matches(condition_source_value, '{_PATTERN}') THEN substring(upper(condition_source_value), 1, lv) ELSE upper(condition_source_value) END", 'DETBL_', True)} AS feature
-        FROM (SELECT visit_occurrence_id, condition_source_value, unnest([{_LEVELS}]) AS lv FROM diagnosis_extract))
-, c AS (SELECT visit_occurrence_id, level, feature, count(*) AS value FROM e GROUP BY 1, 2, 3)
-, f AS (SELECT feature, min(level) AS level FROM c GROUP BY 1)
-, icd AS (SELECT c.visit_occurrence_id, c.feature, c.value FROM c JOIN f ON c.feature = f.feature AND c.level = f.level)
+
+
+def _levels_sql(out: str, events: str) -> str:
+    """CTEs counting (visit, level, feature) and keeping each feature at its lowest level."""
+    return f"""
+, {out}_e AS ({events})
+, {out}_c AS (SELECT visit_occurrence_id, level, feature, count(*) AS value FROM {out}_e GROUP BY 1, 2, 3)
+, {out}_f AS (SELECT feature, min(level) AS level FROM {out}_c GROUP BY 1)
+, {out} AS (SELECT c.visit_occurrence_id, c.feature, c.value FROM {out}_c c
+            JOIN {out}_f f ON c.feature = f.feature AND c.level = f.level)
 """
 
 
+_ICD_NAME = ("CASE WHEN regexp_matches(condition_source_value, '" + _PATTERN + "') "
+             "THEN substring(upper(condition_source_value), 1, lv) ELSE upper(condition_source_value) END")
+_ICD_SQL = _levels_sql("icd", f"""SELECT visit_occurrence_id, lv AS level, {_clean_sql(_ICD_NAME, 'DETBL_', True)} AS feature
+        FROM (SELECT visit_occurrence_id, condition_source_value, unnest([{_LEVELS}]) AS lv FROM diagnosis_extract)""")
+
+
 @register("features_icd_levels", cte("diagnosis_extract") + _ICD_SQL + "SELECT * FROM icd")
 def q_features_icd_levels(spark, sf):
     return FE.code_level_counts(Roles(spark, sf).diagnosis_extract)
 
 
-_ATC_SQL = """
-, e AS (""" + "\nUNION ALL\n".join(
+_ATC_SQL = _levels_sql("atc", "\nUNION ALL\n".join(
     f"SELECT m.visit_occurrence_id, {i} AS level, {_clean_sql(f'ATC_{i}', 'MEDTBL_', True)} AS feature "
     f"FROM medications m JOIN medication_classification k ON m.drug_concept_id = k.drug_concept_id"
-    for i in range(1, 5)) + """)
-, c AS (SELECT visit_occurrence_id, level, feature, count(*) AS value FROM e GROUP BY 1, 2, 3)
-, f AS (SELECT feature, min(level) AS level FROM c GROUP BY 1)
-, atc AS (SELECT c.visit_occurrence_id, c.feature, c.value FROM c JOIN f ON c.feature = f.feature AND c.level = f.level)
-"""
+    for i in range(1, 5)))
 
 
 @register("features_atc", cte("medications", "medication_classification") + _ATC_SQL + "SELECT * FROM atc")
@@ -246,10 +250,7 @@ def q_features_drop_rare(spark, sf):
     return FE.drop_rare(FE.binarize(FE.code_level_counts(Roles(spark, sf).diagnosis_extract)), 100, "DETBL_")
 
 
-_ALL_FAMILIES_SQL = (_ICD_SQL + _ATC_SQL.replace(", e AS (", ", e2 AS (").replace("FROM e GROUP", "FROM e2 GROUP")
-                     .replace(", c AS (", ", c2 AS (").replace(", f AS (", ", f2 AS (")
-                     .replace("FROM c GROUP", "FROM c2 GROUP").replace("FROM c JOIN f ON c.feature = f.feature AND c.level = f.level",
-                                                                       "FROM c2 c JOIN f2 f ON c.feature = f.feature AND c.level = f.level")
+_ALL_FAMILIES_SQL = (_ICD_SQL + _ATC_SQL
                      + f"""
 , fam AS (SELECT visit_occurrence_id, feature, CAST(value AS DOUBLE) AS value FROM icd
   UNION ALL SELECT visit_occurrence_id, feature, CAST(value AS DOUBLE) FROM atc
@@ -323,7 +324,7 @@ def q_fn_code_prefix(spark, sf):
                     FE.code_prefix("condition_source_value", 3).alias("code_prefix"))
 
 
-@register("phenotype_table", _FM_CTE.replace("WITH ", "WITH ") + _ALL_FAMILIES_SQL + _TARGETS_SQL.replace("\n, t AS", ", t AS") + """
+@register("phenotype_table", _FM_CTE + _ALL_FAMILIES_SQL + _TARGETS_SQL.replace("\n, t AS", ", t AS") + """
 , vis AS (SELECT o_orderkey AS visit_occurrence_id, o_custkey AS person_id,
           CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate + INTERVAL '1' HOUR * CAST(o_orderkey % 100 AS INT) END AS visit_end_datetime
           FROM orders)

@@ -75,10 +75,10 @@ def q_fs_minmax(spark, sf):
 
 
 @register("fs_vote", cte("diagnosis_extract", "visit_occurrence") + _CHI2_SQL + f"""
-, cc AS (SELECT feature FROM (SELECT feature, row_number() OVER (ORDER BY score DESC NULLS LAST, feature ASC) AS rk FROM sc) WHERE rk <= {K_FEATURES})
-, ss AS (SELECT feature FROM (SELECT feature, row_number() OVER (ORDER BY cnt DESC, feature ASC) AS rk
+, c AS (SELECT feature FROM (SELECT feature, row_number() OVER (ORDER BY score DESC NULLS LAST, feature ASC) AS rk FROM sc) WHERE rk <= {K_FEATURES})
+, s AS (SELECT feature FROM (SELECT feature, row_number() OVER (ORDER BY cnt DESC, feature ASC) AS rk
         FROM (SELECT feature, count(*) AS cnt FROM b GROUP BY 1)) WHERE rk <= {K_FEATURES})
-, u AS (SELECT feature, 'chi2' AS sel FROM cc UNION ALL SELECT feature, 'support' FROM ss)
+, u AS (SELECT feature, 'chi2' AS sel FROM c UNION ALL SELECT feature, 'support' FROM s)
 , v AS (SELECT feature AS Feature, CAST(max(CASE WHEN sel = 'chi2' THEN 1 ELSE 0 END) AS INT) AS chi2,
                CAST(max(CASE WHEN sel = 'support' THEN 1 ELSE 0 END) AS INT) AS support FROM u GROUP BY 1)
 SELECT * FROM (SELECT Feature, chi2, support, CAST(chi2 + support AS INT) AS Total,
