@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -57,6 +57,16 @@ def join_tables(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     return left.join(right, on=_keys(on), how=how)
 
 
+DEFAULT_BIN_DAYS = 91
+# Bin of events whose start lies after their end: they meet every period of
+# their key (see ``interval_join``).
+_ODD_BIN = -(2 ** 62)
+
+
+def _day_bin(c: Column, bin_days: int) -> Column:
+    return F.floor(F.unix_date(F.to_date(c)) / F.lit(float(bin_days))).cast("bigint")
+
+
 def interval_join(
     events: DataFrame,
     periods: DataFrame,
@@ -66,15 +76,46 @@ def interval_join(
     period_start: str = "payer_plan_period_start_date",
     period_end: str = "payer_plan_period_end_date",
     strict: bool = False,
+    bin_days: int | None = DEFAULT_BIN_DAYS,
 ) -> DataFrame:
     """Events whose [start, end] lies inside a period of the same key.
 
-    Equi join on ``key`` with a range residual (sort-merge or broadcast hash
-    join with a condition; no Cartesian product). Periods are dates and event
-    times are timestamps: by default the event end is compared as a date, so
-    a visit ending at 08:00 on the period's last day is inside (D4).
-    ``strict=True`` compares the timestamp with the date's midnight instead.
+    Periods are dates and event times are timestamps: by default the event
+    end is compared as a date, so a visit ending at 08:00 on the period's
+    last day is inside (D4). ``strict=True`` compares the timestamp with the
+    date's midnight instead.
+
+    Plan: an equi join with a range residual, never a Cartesian product. A
+    plain equi join on ``key`` compares every event of a key with every
+    period of that key, which is quadratic for a key holding a large share
+    of both tables. With ``bin_days`` the time axis is cut into bins: each
+    period is repeated once per bin it covers, each event carries the bin of
+    its start day, and the equi key becomes ``(key, bin)``. An event inside
+    a period has its start day inside the period, so it meets that period in
+    exactly one bin (no duplicates) and only meets the periods overlapping
+    its own bin. Period bins are clipped to the bin range of the events (one
+    small aggregate over the event start column), so open-ended periods
+    (far-future end dates) do not multiply rows. Events whose start day is
+    after their end day can match periods that do not contain their start;
+    they get one shared bin that every period also carries, which keeps the
+    result exact. ``bin_days=None`` gives the plain equi join.
     """
+    other_cols = [c for c in periods.columns if c != key]
+    if bin_days:
+        ok = F.to_date(F.col(event_start)) <= F.to_date(F.col(event_end))
+        ebin = F.when(ok, _day_bin(F.col(event_start), bin_days)).when(~ok, F.lit(_ODD_BIN))
+        events = events.withColumn("_bin", ebin)
+        rng = events.where(F.col("_bin") != F.lit(_ODD_BIN)).agg(
+            F.struct(F.min("_bin").alias("lo"), F.max("_bin").alias("hi"))).scalar()
+        # The range subquery is referenced once, so it runs once.
+        clip = periods.select("*", rng.alias("_rng"))
+        clip = clip.select(*periods.columns,
+                           F.greatest(_day_bin(F.col(period_start), bin_days), F.col("_rng.lo")).alias("_lo"),
+                           F.least(_day_bin(F.col(period_end), bin_days), F.col("_rng.hi")).alias("_hi"))
+        lo, hi = F.col("_lo"), F.col("_hi")
+        bins = F.concat(F.coalesce(F.when(lo <= hi, F.sequence(lo, hi)), F.array().cast("array<bigint>")),
+                        F.array(F.lit(_ODD_BIN)))
+        periods = clip.select(*periods.columns, F.explode(bins).alias("_bin"))
     e, p = events.alias("e"), periods.alias("p")
     end = F.col(f"e.{event_end}") if strict else F.to_date(F.col(f"e.{event_end}"))
     cond = (
@@ -82,8 +123,10 @@ def interval_join(
         & (F.col(f"e.{event_start}") >= F.col(f"p.{period_start}"))
         & (end <= F.col(f"p.{period_end}"))
     )
-    other = [F.col(f"p.{c}") for c in periods.columns if c != key]
-    return e.join(p, cond, "inner").select("e.*", *other)
+    if bin_days:
+        cond = cond & (F.col("e._bin") == F.col("p._bin"))
+    keep = [F.col(f"e.{c}") for c in events.columns if c != "_bin"]
+    return e.join(p, cond, "inner").select(*keep, *[F.col(f"p.{c}") for c in other_cols])
 
 
 def latest_per_key(df: DataFrame, key: str = "person_id", order_col: str = "payer_plan_period_start_date") -> DataFrame:

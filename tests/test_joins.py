@@ -70,3 +70,46 @@ def test_join_all_prefixes_clashing_columns(spark):
     c = spark.createDataFrame([(1,)], "other long")
     out = J.join_all({"a": a, "b": b, "c": c}, "k")
     assert sorted(out.columns) == ["a_name", "b_name", "k"]
+
+
+def test_interval_join_bins_equal_plain_join_and_brute_force(spark):
+    random.seed(7)
+    base = dt.datetime(2019, 1, 1)
+    visits = []
+    for i in range(300):
+        start = base + dt.timedelta(days=random.randint(0, 900), hours=random.randint(0, 23))
+        end = start + dt.timedelta(hours=random.randint(-400, 400))  # some end before their start
+        if i % 37 == 0:
+            end = None
+        visits.append((random.choice([1, 1, 1, 2, 3]), i, start, end))
+    periods = []
+    for j in range(60):
+        s = dt.date(2018, 6, 1) + dt.timedelta(days=random.randint(0, 1100))
+        e = s + dt.timedelta(days=random.randint(-30, 400))  # some inverted periods
+        if j % 13 == 0:
+            e = dt.date(2099, 12, 31)  # open-ended coverage
+        if j % 17 == 0:
+            s = dt.date(1900, 1, 1)
+        periods.append((random.choice([1, 1, 2, 3, 4]), s, e, f"P{j}", "x"))
+    v = spark.createDataFrame(visits, "person_id long, visit_occurrence_id long, visit_start_datetime timestamp_ntz, "
+                                      "visit_end_datetime timestamp_ntz")
+    p = spark.createDataFrame(periods, "person_id long, payer_plan_period_start_date date, "
+                                       "payer_plan_period_end_date date, payer_source_value string, "
+                                       "plan_source_value string")
+    for strict in (False, True):
+        want = set()
+        for pid, vid, s, e in visits:
+            for qid, ps, pe, name, _ in periods:
+                if e is None or pid != qid:
+                    continue
+                end_ok = (e <= dt.datetime.combine(pe, dt.time())) if strict else (e.date() <= pe)
+                if s >= dt.datetime.combine(ps, dt.time()) and end_ok:
+                    want.add((vid, name))
+        for bins in (91, 7, None):
+            got = J.interval_join(v, p, strict=strict, bin_days=bins).select("visit_occurrence_id",
+                                                                              "payer_source_value")
+            rows = [(r[0], r[1]) for r in got.collect()]
+            assert len(rows) == len(set(rows))
+            assert set(rows) == want
+    plan = plan_text(J.interval_join(v, p))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
