@@ -3,10 +3,12 @@
 Every metric is an aggregation over ``(score, label)`` or
 ``(label, prediction)`` rows. Curves are built on the table of *distinct*
 scores (one ``groupBy``), and running sums use two levels so that no single
-task has to see every score: scores are cut into ``n_buckets`` equal-width
-buckets of [0, 1], per-bucket totals (at most ``n_buckets`` rows) give each
-bucket its offset, and the running sum inside a bucket is a window
-partitioned by bucket. Totals over the whole input (P, N) are scalar
+task has to see every score: the distinct scores are range-partitioned
+into ``n_buckets`` contiguous score ranges (Spark samples the boundaries, so
+buckets hold about equally many scores however the scores cluster), the
+partition id is the bucket, per-bucket totals (at most ``n_buckets`` rows)
+give each bucket its offset, and the running sum inside a bucket is a
+window partitioned by bucket. Totals over the whole input (P, N) are scalar
 subqueries, planned as a separate small aggregation, not as a join.
 """
 
@@ -15,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-N_BUCKETS = 1024
 
 
 def _r6(c: Column) -> Column:
@@ -30,14 +31,19 @@ def distinct_scores(df: DataFrame, score: str = "score", label: str = "label") -
         F.sum(F.when(y == 1, 0).otherwise(1)).cast("bigint").alias("neg"))
 
 
-def running_counts(scores: DataFrame, n_buckets: int = N_BUCKETS) -> DataFrame:
+def running_counts(scores: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """Add ``tp``/``fp``: positives/negatives with score >= this score.
 
     Two-level prefix sums over descending score (see module docstring).
+    ``n_buckets`` defaults to the session's shuffle partition count, the
+    parallelism the cluster is configured for.
     """
-    b = (F.lit(n_buckets - 1) - F.least(F.greatest(F.floor(F.col("score") * n_buckets), F.lit(0)),
-                                        F.lit(n_buckets - 1))).cast("int")
-    s = scores.withColumn("_b", b)
+    if not n_buckets:
+        n_buckets = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Partition 0 holds the highest scores; equal scores share a partition.
+    # The partition count is explicit, so AQE does not merge partitions and
+    # both consumers below read the same (reused) range exchange.
+    s = scores.repartitionByRange(n_buckets, F.col("score").desc()).withColumn("_b", F.spark_partition_id())
     bucket_tot = s.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bucket_tot.select("_b", F.coalesce(F.sum("_bp").over(w_off), F.lit(0)).alias("_op"),

@@ -1,6 +1,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from clinical_cohort.operators import evaluation as EV
 
 
@@ -48,6 +50,21 @@ def test_running_counts_cross_bucket(spark):
         assert fp == sum(1 for r in rows if r[2] >= s and r[1] == 0)
 
 
+def test_running_counts_clustered_scores(spark):
+    # All scores inside one thousandth of [0, 1]: the buckets still split them.
+    random.seed(11)
+    rows = [(i, random.randint(0, 1), round(random.random() / 1000, 9)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, label int, score double")
+    d = EV.distinct_scores(df)
+    parts = d.repartitionByRange(8, "score").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 150
+    got = {r.score: (r.tp, r.fp) for r in EV.running_counts(d, n_buckets=8).collect()}
+    assert len(got) == len({r[2] for r in rows})
+    for s, (tp, fp) in got.items():
+        assert tp == sum(1 for r in rows if r[2] >= s and r[1] == 1)
+        assert fp == sum(1 for r in rows if r[2] >= s and r[1] == 0)
+
+
 def test_histogram_reliability_brier(spark):
     rows, df = _data(spark)
     hist = {r.bin: r["count"] for r in EV.score_histogram(df).collect()}
