@@ -207,7 +207,20 @@ def q_fdr(spark, sf):
     main, smp = _sample(Roles(spark, sf))
     t = Q.ttest(main, smp, TEST_COLS).select("Column", "p")
     c = Q.chisq(main, smp, CHI_COLS).select(F.concat(F.col("Column"), F.lit(":chi2")).alias("Column"), "p")
-    return Q.fdr_bh(t.unionByName(c))
+    return Q.fdr_bh(t.unionByName(c), n_buckets=1)  # one row per tested column
+
+
+@register("qc_fdr_scores", cte("scores") + """
+, v AS (SELECT doc_id, label, score FROM scores WHERE score IS NOT NULL AND NOT isnan(score))
+, r AS (SELECT *, row_number() OVER (ORDER BY score, doc_id) AS i, count(*) OVER () AS m FROM v)
+SELECT doc_id, label, score,
+       least(min(score * m / i) OVER (ORDER BY score, doc_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0)
+         AS p_adj
+FROM r
+UNION ALL SELECT doc_id, label, score, CAST(NULL AS DOUBLE) FROM scores WHERE score IS NULL OR isnan(score)""")
+def q_fdr_scores(spark, sf):
+    """Q12 over one p-value per document (a table that grows with the data)."""
+    return Q.fdr_bh(Roles(spark, sf).scores, "score", order=("doc_id",))
 
 
 _PROFILE_NUM = ["care_site_id", "location_id"]

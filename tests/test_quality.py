@@ -75,6 +75,29 @@ def test_fdr_matches_brute_force(spark):
         assert math.isclose(got[f"c{i}"], want, rel_tol=1e-12)
 
 
+@pytest.mark.parametrize("n_buckets", [1, 2, 3, 16])
+def test_fdr_buckets_ties_and_missing(spark, n_buckets):
+    random.seed(5)
+    ps = [round(random.random() ** 3, 2) for _ in range(300)]  # many ties
+    ps[7], ps[8], ps[9] = None, float("nan"), None
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(ps)], "id long, p double")
+    got = {r.id: r.p_adj for r in Q.fdr_bh(df, order=("id",), n_buckets=n_buckets).collect()}
+    assert len(got) == len(ps)
+    valid = [i for i, p in enumerate(ps) if p is not None and not math.isnan(p)]
+    order = sorted(valid, key=lambda i: (ps[i], i))
+    m = len(order)
+    suffix, want = float("inf"), {}
+    for rank in range(m, 0, -1):
+        i = order[rank - 1]
+        suffix = min(suffix, ps[i] * m / rank)
+        want[i] = min(1.0, suffix)
+    for i in range(len(ps)):
+        if i in want:
+            assert math.isclose(got[i], want[i], rel_tol=1e-12)
+        else:
+            assert got[i] is None
+
+
 def test_pvalue_helpers_against_table_values():
     assert math.isclose(stats.t_sf_two_sided(2.0, 10), 0.07338803, rel_tol=1e-6)
     assert math.isclose(stats.chi2_sf(3.841458820694124, 1), 0.05, rel_tol=1e-6)
