@@ -29,16 +29,23 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def full_outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def full_outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
+                    key_source: DataFrame | None = None) -> DataFrame:
     """``left FULL OUTER JOIN right USING (on)``, skew-safe form.
 
     Result columns: keys, then left's other columns, then right's other
     columns (the order of ``DataFrame.join(..., 'full')`` with a USING list).
     Keys are coalesced as in a USING join.
+
+    ``key_source`` is an optional frame with the same set of non-null keys
+    as ``left`` that is cheaper to read (typically the table the key column
+    of ``left`` came from). The orphan rows of ``right`` are then found
+    against it, so ``left``'s own plan is not computed a second time for
+    its key set.
     """
     keys = _keys(on)
     matched = left.join(right, on=keys, how="left")
-    left_keys = left.select(*keys).where(
+    left_keys = (key_source if key_source is not None else left).select(*keys).where(
         reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).distinct()
     orphans = right.join(left_keys, on=keys, how="left_anti")
     missing = [c for c in left.columns if c not in keys]

@@ -100,8 +100,13 @@ def demographic_pull(
                      .select("person_id", "payer_source_value", "plan_source_value"))
         main = full_outer_join(main, insurance, "person_id")
 
-    main = full_outer_join(main, tables.care_site, "care_site_id")
-    main = full_outer_join(main, tables.location, "location_id")
+    # Every person is in ``main`` (full outer join above) and later steps
+    # only add rows with null site and location, so the non-null site and
+    # location ids of ``main`` are those of ``person``: the orphan sites and
+    # locations are found against the person table instead of computing
+    # ``main`` again for its key set.
+    main = full_outer_join(main, tables.care_site, "care_site_id", key_source=person)
+    main = full_outer_join(main, tables.location, "location_id", key_source=person)
     ordered = ["visit_occurrence_id", "person_id", "birth_date", "death_date", "gender_source_value",
                "race_source_value", "ethnicity_source_value", "age", "visit_start_datetime",
                "visit_end_datetime", "visit_length", "payer_source_value", "plan_source_value"]

@@ -45,3 +45,27 @@ def test_person_grain_and_filters(spark):
 def test_bad_grain_raises(spark):
     with pytest.raises(ValueError):
         demographic_pull(_tables(spark), "care_site_id")
+
+
+def test_orphan_sites_and_locations_match_plain_full_joins(spark):
+    import random
+    random.seed(4)
+    people = [(p, dt.date(1960, 1, 1), None, "Male", "r", "e", random.choice([None, 1, 2, 3]),
+               random.choice([None, 7, 8])) for p in range(1, 30)]
+    person = spark.createDataFrame(people, _tables(spark).person.schema)
+    visits = spark.createDataFrame(
+        [(random.choice([None, *range(1, 40)]), v, dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2))
+         for v in range(60)],
+        "person_id long, visit_occurrence_id long, visit_start_datetime timestamp_ntz, visit_end_datetime timestamp_ntz")
+    payer = _tables(spark).payer_plan_period.limit(0)
+    site = spark.createDataFrame([(1, "a"), (2, "b"), (4, "orphan"), (5, "orphan2")], "care_site_id long, care_site_name string")
+    loc = spark.createDataFrame([(7, "NY"), (9, "orphan")], "location_id long, state string")
+    main, _ = demographic_pull(CohortTables(person, visits, payer, site, loc), "visit_occurrence_id")
+    cols = ["person_id", "visit_occurrence_id", "care_site_id", "care_site_name", "location_id", "state"]
+    ref = (visits.join(person, "person_id", "full").join(site, "care_site_id", "full")
+                 .join(loc, "location_id", "full"))
+
+    def rows(df):
+        return sorted(tuple("~" if v is None else str(v) for v in r) for r in df.select(*cols).collect())
+
+    assert rows(main) == rows(ref)
