@@ -197,11 +197,39 @@ def active_at_visit(conditions: DataFrame, visits: DataFrame, visit_id: str = "v
                       .where((F.col(start_col) < F.col(visit_start)) & ends_after))
 
 
+def full_outer_join_many(frames: Sequence[DataFrame], on: str | Sequence[str]) -> DataFrame:
+    """``f1 FULL JOIN f2 FULL JOIN ... USING (on)`` for any number of frames.
+
+    Nesting the two-frame rewrite would read every earlier frame twice per
+    level (once for its rows, once for its key set), so the plan would
+    double with each frame. Here the key set of all frames is built once
+    (union of the key columns, one ``distinct``) and every frame is
+    left-joined onto it: for a key present anywhere, the rows are the
+    product of each frame's matches (or one null row), exactly as in the
+    chained full joins. Rows whose key has a null never match, so each of
+    them is appended once with the other frames' columns null. Each frame
+    is read three times (key set, rows, null-key rows), whatever the number
+    of frames.
+    """
+    frames, keys = list(frames), _keys(on)
+    full_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    key_set = reduce(lambda a, b: a.unionByName(b), [f.select(*keys).where(full_key) for f in frames]).distinct()
+    out = reduce(lambda a, f: a.join(f, on=keys, how="left"), frames, key_set)
+    for f in frames:
+        out = out.unionByName(f.where(~full_key), allowMissingColumns=True)
+    return out
+
+
 def join_frames(frames: Sequence[DataFrame], on: str | Sequence[str], how: str = "left") -> DataFrame:
-    """N-way join of frames on one or more keys (left by default)."""
+    """N-way join of frames on one or more keys (left by default).
+
+    Full outer joins of more than two frames go through ``full_outer_join_many``.
+    """
     frames = list(frames)
     if not frames:
         raise ValueError("join_frames needs at least one frame")
+    if how in ("full", "outer", "full_outer", "fullouter") and len(frames) > 2:
+        return full_outer_join_many(frames, on)
     return reduce(lambda a, b: join_tables(a, b, on, how), frames[1:], frames[0])
 
 

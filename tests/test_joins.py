@@ -113,3 +113,23 @@ def test_interval_join_bins_equal_plain_join_and_brute_force(spark):
             assert set(rows) == want
     plan = plan_text(J.interval_join(v, p))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_full_outer_many_matches_chained_full_joins(spark):
+    random.seed(12)
+    frames = []
+    for t in range(4):
+        rows = [(random.choice([None, 1, 2, 3, 4, 5, 6]), random.choice([None, "x", "y"]), f"t{t}r{i}")
+                for i in range(random.randint(0, 12))]
+        frames.append(spark.createDataFrame(rows, f"k long, k2 string, v{t} string"))
+    for on in ("k", ["k", "k2"]):
+        fs = frames if on != "k" else [f.drop("k2") if i else f for i, f in enumerate(frames)]
+        ours = J.join_frames(fs, on, "full")
+        ref = fs[0]
+        for f in fs[1:]:
+            ref = ref.join(f, on, "full")
+        cols = ref.columns
+        assert ours.columns == cols
+        assert _rows(ours.select(*cols)) == _rows(ref)
+    plan = plan_text(J.join_frames([f.drop("k2") for f in frames], "k", "full"))
+    assert plan.count("Scan") <= 3 * len(frames)  # linear in the number of frames
