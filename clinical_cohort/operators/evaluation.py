@@ -3,17 +3,20 @@
 Every metric is an aggregation over ``(score, label)`` or
 ``(label, prediction)`` rows. Curves are built on the table of *distinct*
 scores (one ``groupBy``), and running sums use two levels so that no single
-task has to see every score: the distinct scores are range-partitioned
-into ``n_buckets`` contiguous score ranges (Spark samples the boundaries, so
-buckets hold about equally many scores however the scores cluster), the
-partition id is the bucket, per-bucket totals (at most ``n_buckets`` rows)
-give each bucket its offset, and the running sum inside a bucket is a
-window partitioned by bucket. Totals over the whole input (P, N) are scalar
+task has to see every score: the distinct scores are cut into
+``n_buckets`` contiguous score ranges at approximate quantiles
+(``value_buckets``), so buckets hold about equally many scores however the
+scores cluster; per-bucket totals (at most ``n_buckets`` rows) give each
+bucket its offset, and the running sum inside a bucket is a window
+partitioned by bucket. Totals over the whole input (P, N) are scalar
 subqueries, planned as a separate small aggregation, not as a join.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,19 +34,42 @@ def distinct_scores(df: DataFrame, score: str = "score", label: str = "label") -
         F.sum(F.when(y == 1, 0).otherwise(1)).cast("bigint").alias("neg"))
 
 
+def value_buckets(df: DataFrame, col: str, n_buckets: int | None = None, descending: bool = False,
+                  out: str = "_b", relative_error: float = 0.001) -> DataFrame:
+    """Add ``out``: the bucket of ``col`` among ``n_buckets`` ranges cut at approximate quantiles.
+
+    Bucket ids follow the value order (ascending, or descending when asked;
+    NaN counts as the largest value, null gets a null bucket). The split
+    points come from one ``approxQuantile`` pass and at most ``n_buckets``
+    numbers reach the driver; the bucket is then a pure function of the
+    value (JVM-side ``Bucketizer``), so every plan that reads the result -
+    and every retried task - sees the same buckets. ``n_buckets`` defaults
+    to the session's shuffle partition count.
+    """
+    if not n_buckets:
+        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tmp = df.withColumn("_vb_in", F.col(col).cast("double"))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = sorted(set(tmp.approxQuantile("_vb_in", probs, relative_error))) if probs else []
+    splits = [float("-inf"), *[c for c in cuts if math.isfinite(c)], float("inf")]
+    top = len(splits) - 1  # id of the NaN bucket (largest values)
+    b = Bucketizer(splits=splits, inputCol="_vb_in", outputCol="_vb", handleInvalid="keep").transform(tmp)
+    bucket = F.col("_vb").cast("int")
+    if descending:
+        bucket = F.lit(top) - bucket
+    return b.withColumn(out, bucket).drop("_vb_in", "_vb")
+
+
 def running_counts(scores: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """Add ``tp``/``fp``: positives/negatives with score >= this score.
 
     Two-level prefix sums over descending score (see module docstring).
     ``n_buckets`` defaults to the session's shuffle partition count, the
-    parallelism the cluster is configured for.
+    parallelism the cluster is configured for. Rows with a null score are
+    left out (they have no place in the order).
     """
-    if not n_buckets:
-        n_buckets = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Partition 0 holds the highest scores; equal scores share a partition.
-    # The partition count is explicit, so AQE does not merge partitions and
-    # both consumers below read the same (reused) range exchange.
-    s = scores.repartitionByRange(n_buckets, F.col("score").desc()).withColumn("_b", F.spark_partition_id())
+    # Bucket 0 holds the highest scores; equal scores share a bucket.
+    s = value_buckets(scores.where(F.col("score").isNotNull()), "score", n_buckets, descending=True)
     bucket_tot = s.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bucket_tot.select("_b", F.coalesce(F.sum("_bp").over(w_off), F.lit(0)).alias("_op"),

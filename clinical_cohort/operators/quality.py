@@ -287,48 +287,47 @@ def fdr_bh(tests: DataFrame, p: str = "p", order: Sequence[str] = ("Column",),
     of p ascending (ties by ``order``); null or NaN p stays null and does
     not count towards m.
 
-    The ranks and the suffix minimum are two-level, so no task sees every
-    hypothesis (a table of per-row p-values grows with the data): the
-    valid rows are range-partitioned on (p, order) into ``n_buckets``
-    contiguous ranges (default: the session's shuffle partitions), each
-    bucket's row count gives the rank offset of the next ones, and each
-    bucket's minimum gives the suffix minimum of the earlier ones. Only
-    the per-bucket tables (at most ``n_buckets`` rows) are ordered globally.
-
-    ``n_buckets=1`` is one global window: for test tables whose size is
-    bounded by the schema (one row per compared column), where the
-    bucket bookkeeping would only add jobs.
+    Inside a block of equal p-values p * m / j falls with j, so every member
+    of the block gets the value at the block's last rank: the adjustment is
+    a function of p alone and the tie order never changes it. The general
+    path therefore works on the distinct p-values with their counts (one
+    partially aggregated ``groupBy``, so a p-value shared by a third of all
+    rows is one row per task): the last rank of each block is a running sum
+    of counts, the adjustment a suffix minimum, both two-level over
+    quantile buckets of p (``evaluation.value_buckets``), and the result is
+    joined back to the rows on p. ``n_buckets=1`` is one global window: for
+    test tables whose size is bounded by the schema (one row per compared
+    column), where the bucket bookkeeping would only add jobs.
     """
-    if not n_buckets:
-        n_buckets = int(tests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    from .evaluation import value_buckets
+
     ok = F.col(p).isNotNull() & ~F.isnan(p)
-    sort = [F.col(p).asc(), *[F.col(c).asc() for c in order]]
     valid = tests.where(ok)
     rest = tests.where(~ok | F.col(p).isNull()).withColumn("p_adj", F.lit(None).cast("double"))
     if n_buckets == 1:
-        w_rank = Window.orderBy(*sort)
+        w_rank = Window.orderBy(F.col(p).asc(), *[F.col(c).asc() for c in order])
         ranked = valid.withColumn("_i", F.row_number().over(w_rank)).withColumn(
             "_m", F.count(F.lit(1)).over(Window.partitionBy()))
         raw = F.col(p) * F.col("_m") / F.col("_i")
         tail = w_rank.rowsBetween(Window.currentRow, Window.unboundedFollowing)
         adj = ranked.withColumn("p_adj", F.least(F.min(raw).over(tail), F.lit(1.0))).drop("_i", "_m")
         return adj.unionByName(rest)
-    m = valid.agg(F.count(F.lit(1))).scalar()
-    b = valid.repartitionByRange(n_buckets, *sort).withColumn("_b", F.spark_partition_id())
-    w_in = Window.partitionBy("_b").orderBy(*sort)
-    b = b.withColumn("_i", F.row_number().over(w_in))
-    sizes = b.groupBy("_b").agg(F.max("_i").alias("_n"))
+    d = valid.groupBy(F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    m = d.agg(F.sum("_c")).scalar()
+    d = value_buckets(d, "_p", n_buckets)
+    w_in = Window.partitionBy("_b").orderBy("_p")
+    d = d.withColumn("_r", F.sum("_c").over(w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    sizes = d.groupBy("_b").agg(F.sum("_c").alias("_n"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    b = b.join(F.broadcast(offsets), "_b").withColumn("_raw", F.col(p) * m / (F.col("_i") + F.col("_off")))
-    tail_in = w_in.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    b = b.withColumn("_tail", F.min("_raw").over(tail_in))
-    mins = b.groupBy("_b").agg(F.min("_raw").alias("_bmin"))
+    d = d.join(F.broadcast(offsets), "_b").withColumn("_raw", F.col("_p") * m / (F.col("_r") + F.col("_off")))
+    d = d.withColumn("_tail", F.min("_raw").over(w_in.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    mins = d.groupBy("_b").agg(F.min("_raw").alias("_bmin"))
     after = Window.orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
     later = mins.select("_b", F.min("_bmin").over(after).alias("_later"))
     adj = F.least(F.col("_tail"), F.coalesce(F.col("_later"), F.col("_tail")), F.lit(1.0))
-    out = (b.join(F.broadcast(later), "_b").withColumn("p_adj", adj)
-            .select(*tests.columns, "p_adj"))
+    per_p = d.join(F.broadcast(later), "_b").select("_p", adj.alias("p_adj"))
+    out = valid.join(per_p, valid[p] == per_p["_p"], "inner").select(*tests.columns, "p_adj")
     return out.unionByName(rest)
 
 

@@ -56,8 +56,11 @@ def test_running_counts_clustered_scores(spark):
     rows = [(i, random.randint(0, 1), round(random.random() / 1000, 9)) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, label int, score double")
     d = EV.distinct_scores(df)
-    parts = d.repartitionByRange(8, "score").groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert len(parts) == 8 and max(r["count"] for r in parts) < 150
+    parts = EV.value_buckets(d, "score", 8).groupBy("_b").count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 100
+    desc = {r.score: r._b for r in EV.value_buckets(d, "score", 8, descending=True).collect()}
+    ordered = [desc[k] for k in sorted(desc)]
+    assert ordered == sorted(ordered, reverse=True)  # bucket 0 holds the highest scores
     got = {r.score: (r.tp, r.fp) for r in EV.running_counts(d, n_buckets=8).collect()}
     assert len(got) == len({r[2] for r in rows})
     for s, (tp, fp) in got.items():
