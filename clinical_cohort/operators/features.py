@@ -66,18 +66,40 @@ def pivot_counts(df: DataFrame, category: str, prefix: str, values: Sequence[str
                               for v in values])
 
 
-def _first_level(long_levels: DataFrame, key: str) -> DataFrame:
+def _first_level(counts: DataFrame, names: DataFrame, key: str) -> DataFrame:
     """Keep each feature at the lowest level where it occurs anywhere.
 
-    The per-feature minimum is a second, column-pruned pass over the events
-    whose partial aggregation leaves about one row per feature per task, so
-    its shuffle is tiny; the (feature, level) table is joined back with an
-    inner equi join and broadcast by Spark when its measured size allows.
+    ``names`` lists the (level, feature) pairs that occur. A feature's
+    levels depend only on the code (or class tuple) it comes from, so the
+    caller builds ``names`` from the *distinct* codes: a pass whose partial
+    aggregation leaves at most one row per code per task, instead of a
+    second expansion of every event. The (feature, first level) table is
+    joined back with an inner equi join and broadcast by Spark when its
+    measured size allows.
     """
-    first = long_levels.groupBy("feature").agg(F.min("level").alias("_first"))
-    return (long_levels.join(first, "feature", "inner")
-                       .where(F.col("level") == F.col("_first"))
-                       .select(key, "feature", "value"))
+    first = names.groupBy("feature").agg(F.min("level").alias("_first"))
+    return (counts.join(first, "feature", "inner")
+                  .where(F.col("level") == F.col("_first"))
+                  .select(key, "feature", "value"))
+
+
+def _code_names(df: DataFrame, keep: Sequence[str], code: str, levels: Sequence[int], pattern: str,
+                prefix: str) -> DataFrame:
+    """(keep..., level, feature): the names a code yields at each level, repeats dropped."""
+    # The pattern test and upper-casing run once per row, before the rows
+    # are multiplied by the number of levels.
+    # A code yields the same name at consecutive levels once it is shorter
+    # than the level (or at every level when it does not match); only the
+    # first of such repeats can be the name's lowest level, so the repeats
+    # are dropped before counting - exact, and fewer rows to shuffle.
+    levels = list(levels)
+    pairs = F.array(*[F.struct(F.lit(lv).alias("level"), F.lit(prev).cast("int").alias("prev"))
+                      for lv, prev in zip(levels, [None, *levels[:-1]])])
+    e = df.select(*keep, F.upper(F.col(code)).alias("_up"), F.col(code).rlike(pattern).alias("_m"))
+    e = e.select(*keep, "_up", "_m", F.inline(pairs))
+    first_of_run = F.col("prev").isNull() | (F.col("_m") & (F.length("_up") > F.col("prev")))
+    name = F.when(F.col("_m"), F.substring(F.col("_up"), F.lit(1), F.col("level"))).otherwise(F.col("_up"))
+    return e.where(first_of_run).select(*keep, "level", clean_feature(name, prefix, True).alias("feature"))
 
 
 def code_level_counts(df: DataFrame, code: str = "condition_source_value", key: str = KEY,
@@ -86,36 +108,33 @@ def code_level_counts(df: DataFrame, code: str = "condition_source_value", key:
     """A10: hierarchical code roll-up counts per key in long form.
 
     Each event is expanded to its prefixes at the given levels (one
-    ``explode``), counted per (key, level, name) with partial aggregation,
-    and every name keeps the count of the lowest level at which it occurs.
+    ``inline``), counted per (key, level, name) with partial aggregation,
+    and every name keeps the count of the lowest level at which it occurs
+    (levels taken from the distinct codes, see ``_first_level``).
     """
-    # The pattern test and upper-casing run once per event, before the
-    # events are multiplied by the number of levels.
-    # An event yields the same name at consecutive levels once the code is
-    # shorter than the level (or at every level when it does not match);
-    # only the first of such repeats can be the name's lowest level, so the
-    # repeats are dropped before counting - exact, and fewer rows to shuffle.
-    levels = list(levels)
-    pairs = F.array(*[F.struct(F.lit(lv).alias("level"), F.lit(prev).cast("int").alias("prev"))
-                      for lv, prev in zip(levels, [None, *levels[:-1]])])
-    e = df.select(key, F.upper(F.col(code)).alias("_up"), F.col(code).rlike(pattern).alias("_m"))
-    e = e.select(key, "_up", "_m", F.inline(pairs))
-    first_of_run = F.col("prev").isNull() | (F.col("_m") & (F.length("_up") > F.col("prev")))
-    name = F.when(F.col("_m"), F.substring(F.col("_up"), F.lit(1), F.col("level"))).otherwise(F.col("_up"))
-    e = e.where(first_of_run).select(key, "level", clean_feature(name, prefix, True).alias("feature"))
+    e = _code_names(df, [key], code, levels, pattern, prefix)
     counts = e.groupBy(key, "level", "feature").agg(F.count(F.lit(1)).alias("value"))
-    return _first_level(counts, key)
+    names = _code_names(df.select(code).distinct(), [], code, levels, pattern, prefix)
+    return _first_level(counts, names, key)
 
 
-def class_level_counts(df: DataFrame, level_cols: Sequence[str], key: str = KEY,
-                       prefix: str = "MEDTBL_") -> DataFrame:
-    """Class-hierarchy counts (ATC 1-5 style); a lower level wins on equal names."""
+def _class_names(df: DataFrame, keep: Sequence[str], level_cols: Sequence[str], prefix: str) -> DataFrame:
     items = F.array(*[F.struct(F.lit(i + 1).alias("level"), F.col(c).cast("string").alias("name"))
                       for i, c in enumerate(level_cols)])
-    e = df.select(key, F.inline(items))
-    e = e.withColumn("feature", clean_feature(F.col("name"), prefix, True))
+    e = df.select(*keep, F.inline(items))
+    return e.select(*keep, "level", clean_feature(F.col("name"), prefix, True).alias("feature"))
+
+
+def class_level_counts(df: DataFrame, level_cols: Sequence[str], key: str = KEY,
+                       prefix: str = "MEDTBL_") -> DataFrame:
+    """Class-hierarchy counts (ATC 1-5 style); a lower level wins on equal names.
+
+    First levels come from the distinct class tuples (see ``_first_level``).
+    """
+    e = _class_names(df, [key], level_cols, prefix)
     counts = e.groupBy(key, "level", "feature").agg(F.count(F.lit(1)).alias("value"))
-    return _first_level(counts, key)
+    names = _class_names(df.select(*level_cols).distinct(), [], level_cols, prefix)
+    return _first_level(counts, names, key)
 
 
 def flag_counts(df: DataFrame, flag: str, category: str, prefix: str, positive: bool = True,
