@@ -5,7 +5,7 @@ executes, nothing is collected to the driver) and prints one JSON line:
 {"metric": ..., "value": total_seconds, "unit": "sec", "queries": {...}, "sf": ...}
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, default the headline set), BENCH_REPEAT (default 1;
+BENCH_QUERIES (comma list, default the headline set), BENCH_REPEAT (default 3;
 the best of N timed runs after one warm-up run is reported per query).
 """
 
@@ -39,7 +39,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
     spark = get_session("clinical_cohort_bench", master=f"local[{cpus}]", conf={
         "spark.sql.shuffle.partitions": str(max(cpus * 2, 8)),
