@@ -52,6 +52,8 @@ def value_buckets(df: DataFrame, col: str, n_buckets: int | None = None, descend
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = sorted(set(tmp.approxQuantile("_vb_in", probs, relative_error))) if probs else []
     splits = [float("-inf"), *[c for c in cuts if math.isfinite(c)], float("inf")]
+    if len(splits) < 3:  # no cut point (empty input or one bucket): one bucket
+        return df.withColumn(out, F.when(F.col(col).isNotNull(), F.lit(0)))
     top = len(splits) - 1  # id of the NaN bucket (largest values)
     b = Bucketizer(splits=splits, inputCol="_vb_in", outputCol="_vb", handleInvalid="keep").transform(tmp)
     bucket = F.col("_vb").cast("int")

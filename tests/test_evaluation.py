@@ -84,3 +84,12 @@ def test_classification_report(spark):
     rep = {r["class"]: r for r in EV.classification_report(df).collect()}
     assert math.isclose(rep["1"].precision, 2 / 3, abs_tol=1e-6) and math.isclose(rep["1"].recall, 2 / 3, abs_tol=1e-6)
     assert math.isclose(rep["accuracy"].f1, round(4 / 6, 6)) and rep["weighted avg"].support == 6
+
+
+def test_curves_on_empty_and_single_score(spark):
+    empty = spark.createDataFrame([], "id long, label int, score double")
+    assert EV.auc_summary(empty).collect()[0].n is None
+    assert [(r.fpr, r.tpr) for r in EV.roc_curve(empty).collect()] == [(0.0, 0.0)]
+    one = spark.createDataFrame([(1, 1, 0.5), (2, 0, 0.5)], "id long, label int, score double")
+    got = EV.auc_summary(one).collect()[0]
+    assert got.roc_auc == 0.5 and got.n == 2
