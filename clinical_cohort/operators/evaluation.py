@@ -87,11 +87,12 @@ def running_counts(scores: DataFrame, n_buckets: int | None = None) -> DataFrame
 def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(threshold, fpr, tpr) per distinct score plus the (null, 0, 0) start point."""
     d = distinct_scores(df, score, label)
-    P = d.agg(F.sum("pos")).scalar()
-    N = d.agg(F.sum("neg")).scalar()
-    r = running_counts(d)
-    pts = r.select(F.col("score").alias("threshold"), _r6(F.try_divide(F.col("fp").cast("double"), N)).alias("fpr"),
-                   _r6(F.try_divide(F.col("tp").cast("double"), P)).alias("tpr"))
+    # Both totals from one scalar subquery, referenced once.
+    tot = d.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
+    r = running_counts(d).withColumn("_tot", tot)
+    pts = r.select(F.col("score").alias("threshold"),
+                   _r6(F.try_divide(F.col("fp").cast("double"), F.col("_tot.N"))).alias("fpr"),
+                   _r6(F.try_divide(F.col("tp").cast("double"), F.col("_tot.P"))).alias("tpr"))
     start = d.agg(F.count(F.lit(1)).alias("_n")).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
