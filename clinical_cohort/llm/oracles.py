@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from . import quality
+from . import quality, secrets
 
 _STOPS = ", ".join("'" + w + "'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
 
@@ -37,3 +37,33 @@ SELECT *, (NOT base_failed
            AND (n_words < 50 OR 2 * n_dup_lines <= n_lines)) AS kept
 FROM f
 """
+
+
+def _secret_part(order: int, rule: secrets.Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {order} AS ord, '{rule.kind}' AS kind, i, s + coalesce(before, 0) AS s, s + coalesce(before, 0) + len AS e
+  FROM (SELECT doc_id, i, piece_sum AS s, length(m) AS len, length(v) AS vlen,
+               sum(length(m)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+        FROM (SELECT doc_id, i, sum(length(p)) OVER (PARTITION BY doc_id ORDER BY i) AS piece_sum, m, v
+              FROM (SELECT doc_id, unnest(string_split_regex(t, '{pattern}')) AS p,
+                           unnest(regexp_extract_all(t, '{pattern}', 0)) AS m,
+                           unnest(regexp_extract_all(t, '{pattern}', {rule.group})) AS v,
+                           unnest(generate_series(1, len(string_split_regex(t, '{pattern}')))) AS i
+                    FROM d WHERE regexp_matches(t, '{pattern}'))))
+  WHERE len IS NOT NULL AND vlen >= {rule.min_length}"""
+
+
+def _secret_text(where: str) -> str:
+    return f"""coalesce(string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, ord) FILTER (WHERE {where}), '')"""
+
+
+_BASE = ", ".join(f"'{r.kind}'" for r in secrets.BASE)
+
+SECRETS = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({" UNION ALL ".join(_secret_part(i, r) for i, r in enumerate(secrets.RULES))})
+SELECT d.doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)},
+       sha256({_secret_text(f"kind IN ({_BASE})")}) AS base_sha256, {_secret_text("kind IS NOT NULL")} AS spans
+FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id
+"""

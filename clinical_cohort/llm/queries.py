@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles, quality
+from . import oracles, quality, secrets
 from .common import table
 from .registry import register
 
@@ -17,3 +17,19 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words",
         base_failed.alias("base_failed"), (~base_failed & F.col("kept")).alias("kept"))
+
+
+def _span_text(found):
+    return F.array_join(F.transform(found, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@register("op2_secret_scan", oracles.SECRETS)
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE]
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in base],
+        F.sha2(_span_text(F.filter("found", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        _span_text(F.col("found")).alias("spans"))
