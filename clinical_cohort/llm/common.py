@@ -46,3 +46,35 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_path(df.sparkSession, name)}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def utf8(column) -> list[bytes | None]:
+    """The UTF-8 bytes of an Arrow string column, row by row."""
+    import pyarrow as pa
+    return column.cast(pa.binary()).to_pylist()
+
+
+def map_rows(df: DataFrame, fn: Callable[[object], list], names_and_types: str, keep: list[str] | None = None) -> DataFrame:
+    """Append columns that ``fn(batch)`` computes from each Arrow batch of ``df``.
+
+    ``fn`` returns one Arrow array or list per appended column. ``keep`` names
+    the input columns that stay (default: all). Only narrow work: no shuffle.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    keep = df.columns if keep is None else keep
+    added = StructType.fromDDL(names_and_types)
+    schema = StructType([df.schema[c] for c in keep] + added.fields)
+    target = to_arrow_schema(added)
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = [a if isinstance(a, (pa.Array, pa.ChunkedArray)) else pa.array(a, f.type)
+                   for a, f in zip(fn(batch), target, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + new, names=schema.names)
+
+    return df.mapInArrow(run, schema)

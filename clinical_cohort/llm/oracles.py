@@ -67,3 +67,29 @@ SELECT d.doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.
        sha256({_secret_text(f"kind IN ({_BASE})")}) AS base_sha256, {_secret_text("kind IS NOT NULL")} AS spans
 FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i
+        FROM b WHERE len(w) > 0)
+), lens AS (SELECT DISTINCT n FROM win),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, lens WHERE len(w) >= n)
+), hit AS (SELECT doc_id, item_id, i, n FROM dw JOIN win USING (n, s)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hit)) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles, quality, secrets
+from . import decontamination, oracles, quality, secrets
 from .common import table
 from .registry import register
 
@@ -33,3 +33,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(k).alias(f"n_{k}") for k in base],
         F.sha2(_span_text(F.filter("found", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         _span_text(F.col("found")).alias("spans"))
+
+
+@register("op5_decontaminate", oracles.DECONTAMINATION)
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = decontamination.match(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hit.select(
+        "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("hit_items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
