@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, oracles, quality, secrets
+from clinical_cohort.session import scratch_path
+
+from . import decontamination, oracles, quality, secrets, simhash, token_output
 from .common import table
 from .registry import register
 
@@ -42,3 +47,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("hit_items"), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register("op4_simhash_dedup")
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash.group(table(spark, sf_dir, "documents"))
+    return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op3_token_output")
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_path(spark, 'tokens')}-{uuid.uuid4().hex}"
+    token_output.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_output.read(spark, path)
