@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clinical_cohort.session import scratch_path
 
-from . import decontamination, oracles, quality, secrets, simhash, token_output
+from . import decontamination, oracles, pieces, quality, secrets, simhash, token_output
 from .common import table
 from .registry import register
 
@@ -60,3 +60,8 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_path(spark, 'tokens')}-{uuid.uuid4().hex}"
     token_output.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_output.read(spark, path)
+
+
+@register("op10_sentencepiece")
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
