@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clinical_cohort.session import scratch_path
 
-from . import decontamination, oracles, pieces, quality, secrets, simhash, token_output
+from . import decontamination, oracles, pieces, quality, repeats, secrets, simhash, token_output
 from .common import table
 from .registry import register
 
@@ -65,3 +65,8 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_sentencepiece")
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"))
