@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clinical_cohort.session import scratch_path
 
-from . import decontamination, oracles, pieces, quality, repeats, secrets, simhash, token_output
+from . import decontamination, oracles, pieces, quality, repeats, secrets, simhash, token_output, toxicity
 from .common import table
 from .registry import register
 
@@ -70,3 +70,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_substring_dedup")
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
