@@ -166,11 +166,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     out = "doc_id long, start long, n_tokens long, ids_crc32 long"
     schema = to_arrow_schema(StructType.fromDDL(out))
     segments = spark.read.schema(SCHEMA).parquet(path)
-    # One row per shard: the window orders as many rows as there are shards.
+    # One row per shard: the window orders, and the join broadcasts, as many rows as the writer had partitions.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     totals = segments.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     bases = totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = segments.join(bases, "shard").select((F.col("base") + F.col("first")).alias("first"), "keys", "lengths", "image")
+    placed = segments.join(F.broadcast(bases), "shard").select((F.col("base") + F.col("first")).alias("first"), "keys", "lengths", "image")
 
     def run(batches):
         for batch in batches:
