@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -119,6 +120,12 @@ class Encoder:
         return ids, np.diff(total[bounds])
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One per worker process: later tasks find the chunks that earlier ones have encoded."""
+    return Encoder(path)
+
+
 def _with_ends(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(lengths)
     return np.insert(ids, ends, END_ID), lengths + 1
@@ -139,7 +146,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, shards: int | None = None,
     dealt = rows.repartitionByRange(shards, "k", "h", "i").sortWithinPartitions("k", "h", "i").select("k", "t")
 
     def run(batches):
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         shard, segment, first = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             keys = batch.column("k").to_pylist()
