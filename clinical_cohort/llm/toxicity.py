@@ -6,15 +6,16 @@ counts of the longest n-grams; all shorter ones are continuation counts over bot
 classes (in how many longer n-grams a shorter one ends), so a rare expression is
 smoothed alike for both and only what a class has seen tells them apart.
 
-The score compares the two log-likelihoods of a text, divided by the number of
-n-grams; a logistic function of that difference, fitted on labelled rows that
-the counts do not hold, gives a value of 0 to 1.
+The score compares the two log-likelihoods, of the text divided by its number of
+n-grams, and of the one word that speaks most for the toxic class (a few words
+can make a long text toxic). A logistic function of the two differences, fitted
+on labelled rows that the counts do not hold, gives a value of 0 to 1.
 
 Counts cover every labelled training row; they are grouped sums with partial
 sums per batch. Up to ``max_shared`` n-grams the table is broadcast for scoring;
 a larger one is joined to the texts' n-grams instead, with equal results.
 
-Null, empty and letterless texts have a difference of 0. Labels that are null or
+Null, empty and letterless texts have differences of 0. Labels that are null or
 whose rows are not in the table count nothing; several labels of one key count
 each. Repeated documents get equal scores. If either class has no row, every
 score is the share of toxic rows (0.5 without any).
@@ -179,7 +180,8 @@ def _table(shared) -> _Table:
 
 
 def differences(rows: DataFrame, table: DataFrame, order: int = ORDER, max_shared: int = MAX_SHARED) -> DataFrame:
-    """``rows`` (with a text column ``t``) with ``mean``, the difference per n-gram, in place of the text."""
+    """``rows`` (with a text column ``t``) with ``mean``, the difference per n-gram, and ``top``, the largest
+    difference of a word, in place of the text."""
     keep = [c for c in rows.columns if c != "t"]
     if table.count() <= max_shared:
         got = table.toPandas()
@@ -190,45 +192,53 @@ def differences(rows: DataFrame, table: DataFrame, order: int = ORDER, max_share
             total, n = _table(shared).per_word(words)
             sums = np.bincount(row, weights=total[place], minlength=batch.num_rows)
             counts = np.bincount(row, weights=n[place], minlength=batch.num_rows)
-            return [sums / np.maximum(counts, 1)]
+            top = np.full(batch.num_rows, -np.inf)
+            real = n[place] > 0
+            np.maximum.at(top, row[real], total[place[real]])
+            return [sums / np.maximum(counts, 1), np.where(counts > 0, top, 0.0)]
 
-        return map_rows(rows, run, "mean double", keep=keep)
+        return map_rows(rows, run, "mean double, top double", keep=keep)
 
     def explode(batch):
         words, place, row = _words(batch.column("t"))
-        grams = _Grams(words, order)
-        texts = grams.texts(np.arange(len(grams.word)))
-        by_word = np.split(np.array(texts, object), np.cumsum(np.bincount(grams.word, minlength=len(words)))[:-1])
         own = [pd.Series(place[row == i]).value_counts() for i in range(batch.num_rows)]
-        return [[[{"gram": g, "n": int(k)} for w, k in o.items() for g in by_word[w]] for o in own]]
+        grams = _Grams(words, order)
+        texts = np.array(grams.texts(np.arange(len(grams.word))), object)
+        by_word = np.split(texts, np.cumsum(np.bincount(grams.word, minlength=len(words)))[:-1])
+        return [[[{"word": words[w], "n": int(k), "grams": list(by_word[w])} for w, k in o.items() if words[w]] for o in own]]
 
     spread = map_rows(rows.withColumn("rid", F.monotonically_increasing_id()), explode,
-                      "grams array<struct<gram:string,n:long>>", keep=[*keep, "rid"])
-    flat = spread.select(*keep, "rid", F.explode_outer("grams").alias("g")).select(
-        *keep, "rid", F.col("g.gram").alias("gram"), F.col("g.n").alias("n"))
+                      "words array<struct<word:string,n:long,grams:array<string>>>", keep=[*keep, "rid"])
+    flat = spread.select(*keep, "rid", F.explode_outer("words").alias("w")).select(
+        *keep, "rid", "w.word", "w.n", F.explode_outer("w.grams").alias("gram"))
     context = table.select(F.col("gram").alias("h"), F.col("delta").alias("back"))
     joined = flat.join(table, "gram", "left").join(context, F.substring("gram", 1, order - 1) == F.col("h"), "left")
-    delta = F.col("n") * F.coalesce("delta", "back", F.lit(0.0))
-    mean = F.coalesce(F.sum(delta) / F.sum("n"), F.lit(0.0))
-    return joined.groupBy("rid", *keep).agg(mean.alias("mean")).drop("rid")
+    each = joined.groupBy("rid", *keep, "word", "n").agg(
+        F.sum(F.coalesce("delta", "back", F.lit(0.0))).alias("total"), F.count("gram").alias("grams"))
+    mean = F.coalesce(F.try_divide(F.sum(F.col("n") * F.col("total")), F.sum(F.col("n") * F.col("grams"))), F.lit(0.0))
+    top = F.coalesce(F.max(F.when(F.col("grams") > 0, F.col("total"))), F.lit(0.0))
+    return each.groupBy("rid", *keep).agg(mean.alias("mean"), top.alias("top")).drop("rid")
+
+
+FEATURES = ["mean", "top"]
 
 
-def fit(sample: pd.DataFrame, prior: float) -> tuple[float, float]:
-    """Slope and offset of the logistic function, by Newton's method with a small ridge."""
-    x, y = sample["mean"].to_numpy(float), sample["toxic"].to_numpy(float)
+def fit(sample: pd.DataFrame, prior: float) -> list[float]:
+    """Slopes of the features and offset of the logistic function, by Newton's method with a small ridge."""
+    x, y = sample[FEATURES].to_numpy(float), sample["toxic"].to_numpy(float)
     if not len(x) or y.min() == y.max():
-        return 0.0, float(np.log(prior / (1 - prior))) if 0 < prior < 1 else 0.0
-    scale = x.std() or 1.0
+        return [0.0, 0.0, float(np.log(prior / (1 - prior))) if 0 < prior < 1 else 0.0]
+    scale = np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
     design = np.column_stack([x / scale, np.ones(len(x))])
-    w = np.zeros(2)
-    for _ in range(50):
+    w = np.zeros(design.shape[1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2),
-                               design.T @ (y - p) - 1e-3 * w)
+        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(len(w)),
+                               design.T @ (y - p) - 1e-2 * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0] / scale), float(w[1])
+    return [*(w[:-1] / scale).tolist(), float(w[-1])]
 
 
 def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_shared: int = MAX_SHARED, fit_rows: int = FIT_ROWS,
@@ -244,10 +254,10 @@ def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_shared: in
     counted = saved(count(train.where(fold(F.col("k")) != 1), order), "grams")
     table = saved(model(counted, order), "differences")
     known = differences(train.where(fold(F.col("k")) == 1), table, order, max_shared)
-    sample = known.orderBy(F.xxhash64("k"), "k", "mean").limit(fit_rows).toPandas()
+    sample = known.orderBy(F.xxhash64("k"), "k", *FEATURES).limit(fit_rows).toPandas()
     prior = marks.agg(F.avg("toxic")).first()[0]
-    slope, offset = fit(sample, 0.5 if prior is None else float(prior))
-    p = 1 / (1 + F.exp(-(F.lit(slope) * F.col("mean") + F.lit(offset))))
+    *slopes, offset = fit(sample, 0.5 if prior is None else float(prior))
+    p = 1 / (1 + F.exp(-sum((F.lit(w) * F.col(f) for w, f in zip(slopes, FEATURES, strict=True)), F.lit(offset))))
     return differences(rows, table, order, max_shared).select(
         F.col("k").alias(key), F.coalesce(fold(F.col("k")) == 0, F.lit(False)).alias("held_out"), p.alias("score"),
         (p >= 0.5).cast("int").alias("predicted"))
