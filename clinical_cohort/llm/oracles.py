@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from . import quality, secrets
+from . import licenses, quality, secrets, warc
 
 _STOPS = ", ".join("'" + w + "'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
 
@@ -93,3 +93,60 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+WARC = f"""
+WITH n AS (SELECT greatest(1, ceil(count(*) / {warc.RECORDS_PER_FILE}.0))::BIGINT AS files FROM pages),
+p AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, count(*) AS copies FROM pages GROUP BY ALL
+), r AS (
+  SELECT page_id, copies, sha256(url || chr(10) || html) AS i,
+         'WARC/1.1{{r}}WARC-Type: response{{r}}WARC-Record-ID: <urn:uuid:' AS h1, url, html FROM p
+), t AS (
+  SELECT page_id, copies, replace(h1 || substr(i, 1, 8) || '-' || substr(i, 9, 4) || '-' || substr(i, 13, 4) || '-'
+           || substr(i, 17, 4) || '-' || substr(i, 21, 12) || '>{{r}}WARC-Date: {warc.WARC_DATE}{{r}}WARC-Target-URI: ', '{{r}}',
+           chr(13) || chr(10)) || url || chr(13) || chr(10) || 'WARC-Payload-Digest: sha256:' || sha256(html)
+         || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html)
+         || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) AS bytes FROM r
+), d AS (
+  SELECT page_id, copies, strlen(bytes)::BIGINT AS length, sha256(bytes) AS digest FROM t
+), f AS (
+  SELECT *, ('0x' || substr(digest, 1, 8))::BIGINT % (SELECT files FROM n) AS file,
+         ('0x' || substr(digest, 9, 8))::BIGINT % 500 AS fate FROM d
+)
+SELECT file, (sum(length) OVER (PARTITION BY file ORDER BY digest, page_id) - length)::BIGINT AS "offset", length, page_id, copies,
+       digest, CASE WHEN fate IN (0, 1) THEN 'changed' WHEN fate = 2 THEN 'missing' ELSE 'ok' END AS status
+FROM f
+"""
+
+
+def _license_view(name: str, wrapped: bool) -> str:
+    t = r"regexp_replace(t, '[\\x20\\x09-\\x0D]*\\n[\\x20\\x09-\\x0D]*', ' ', 'g')" if wrapped else "t"
+    known = ", ".join(f"'{v}': '{k}'" for k, v in licenses.SENTENCES.items())
+    lower = f"translate(x, '{licenses.UPPER}', '{licenses.LOWER}')"
+    return rf"""
+{name} AS (
+  SELECT doc_id, list_filter(list_transform(list_filter(list_transform(
+           string_split(regexp_replace({t}, '([.!?;])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), chr(10)),
+           lambda x: trim(regexp_replace({lower}, '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> ''),
+         lambda x: coalesce((MAP {{{known}}})[x], '-')), lambda x: true) AS ids FROM d
+)"""
+
+
+def _license_found() -> str:
+    pattern: dict[str, list[str]] = {}
+    for r in licenses.RULES:
+        pattern.setdefault(r.license, []).append(licenses.sequence_pattern(r))
+    tests = ", ".join(f"CASE WHEN regexp_matches(s, '{'|'.join(p)}') THEN '{name}' END" for name, p in sorted(pattern.items()))
+    return f"list_filter([{tests}], lambda x: x IS NOT NULL)"
+
+
+LICENSES = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{_license_view("a", True)}, {_license_view("b", False)},
+v AS (
+  SELECT doc_id, max(len(list_filter(ids, lambda x: x <> '-'))) AS n_known,
+         flatten(list({_license_found()})) AS found
+  FROM (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS s FROM (FROM a UNION ALL FROM b)) GROUP BY doc_id
+)
+SELECT doc_id, n_known, array_to_string(list_sort(list_distinct(found)), ',') AS licenses FROM v
+"""

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from clinical_cohort.session import scratch_path
 
-from . import decontamination, oracles, pieces, quality, repeats, secrets, simhash, token_output, toxicity
-from .common import table
+from . import decontamination, licenses, oracles, pieces, quality, repeats, secrets, simhash, token_output, toxicity, warc
+from .common import saved, table
 from .registry import register
 
 
@@ -75,3 +75,21 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_toxicity")
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op7_warc_fixity", oracles.WARC)
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of a replica in which some records, chosen by digest, are changed, cut short or lost."""
+    ours = saved(warc.archive(table(spark, sf_dir, "pages")), "archive")
+    fate = F.pmod(F.conv(F.substring(F.sha2("bytes", 256), 9, 8), 16, 10).cast("long"), F.lit(500))
+    half = (F.octet_length("bytes") / 2).cast("int")
+    harmed = (F.when(fate == 0, F.overlay("bytes", F.lit(b"\0"), half))
+              .when(fate == 1, F.substring("bytes", F.lit(1), half)).otherwise(F.col("bytes")))
+    theirs = saved(ours.where(fate != 2).withColumn("bytes", harmed), "replica")
+    return warc.fixity(ours, theirs)
+
+
+@register("op9_license_scan", oracles.LICENSES)
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.recognise(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_known", F.array_join("licenses", ",").alias("licenses"))
