@@ -21,4 +21,9 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries, and the pipeline."""
+    import corpus_pipeline
+
     from . import queries  # noqa: F401
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
