@@ -77,8 +77,12 @@ def embedding(fp: Column) -> Column:
 
 
 def _cells(fps: DataFrame) -> DataFrame:
-    """Each fingerprint with every grid cell that it is sent to."""
-    halves = fps.select("fp", embedding(F.col("fp")).alias("e")).select(
+    """Each fingerprint with every grid cell that it is sent to.
+
+    A row becomes fifty, so the few bytes of fingerprints are dealt to all partitions first.
+    """
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    halves = fps.repartition(n, "fp").select("fp", embedding(F.col("fp")).alias("e")).select(
         "fp", F.posexplode(F.array(F.col("e").bitwiseAND(F.lit(_HALF)), F.shiftrightunsigned("e", 32))))
     # Neighbours: a low code bit may change if the high one is 0, a high one if the low one is 1.
     near = F.expr("""concat(array(col), transform(filter(sequence(0, 31), b -> if(b % 2 = 0,
