@@ -32,7 +32,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of an edge (a, b) with a != b; root is the smallest node reachable.
+    """(node, root) for the edges (a, b); root is the smallest node reachable. Roots themselves are left out.
 
     Ends when every edge points at a root that no edge leaves, which both
     contractions then keep. An empty edge table gives an empty result.
