@@ -142,8 +142,8 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "te
     """``key`` and the ``kinds`` whose trigram query the texts of that key satisfy.
 
     The table of query terms holds a few trigrams per rule, so it is bounded by
-    the rules; Spark may broadcast it. Postings are grouped by key and term,
-    with a partial sum before the shuffle; no group grows with the data.
+    the rules and broadcast. Postings are grouped by key and term, with a partial
+    sum before the shuffle; no group grows with the data.
     """
     spark = docs.sparkSession
     terms, needed = [], []
@@ -161,11 +161,11 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "te
     low = F.lower(F.col(text))
     present = let(low, lambda t: F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: F.contains(t, g)))
     postings = docs.select(F.col(key).alias("k"), F.explode(present).alias("gram"))
-    met = (postings.join(term_table, "gram")
+    met = (postings.join(F.broadcast(term_table), "gram")
            .groupBy("k", "kind", "part", "alt", "n_grams").agg(F.count_distinct("gram").alias("n"))
            .where("n = n_grams")
            .groupBy("k", "kind").agg(F.count_distinct("part").alias("n"))
-           .join(need_table, "kind").where("n = n_parts"))
+           .join(F.broadcast(need_table), "kind").where("n = n_parts"))
     return met.groupBy("k").agg(F.collect_set("kind").alias("kinds"))
 
 
