@@ -17,6 +17,7 @@ removed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,21 +67,24 @@ def pivot_counts(df: DataFrame, category: str, prefix: str, values: Sequence[str
                               for v in values])
 
 
-def _first_level(counts: DataFrame, names: DataFrame, key: str) -> DataFrame:
-    """Keep each feature at the lowest level where it occurs anywhere.
+def _dictionary(names: DataFrame, code_cols: Sequence[str]) -> DataFrame:
+    """(code columns, features): the features of each distinct code, each at its first level only.
 
-    ``names`` lists the (level, feature) pairs that occur. A feature's
-    levels depend only on the code (or class tuple) it comes from, so the
-    caller builds ``names`` from the *distinct* codes: a pass whose partial
-    aggregation leaves at most one row per code per task, instead of a
-    second expansion of every event. The (feature, first level) table is
-    joined back with an inner equi join and broadcast by Spark when its
-    measured size allows.
+    ``names`` lists (code columns, level, feature) of the distinct codes. A
+    feature keeps the lowest level at which any code has it.
     """
     first = names.groupBy("feature").agg(F.min("level").alias("_first"))
-    return (counts.join(first, "feature", "inner")
-                  .where(F.col("level") == F.col("_first"))
-                  .select(key, "feature", "value"))
+    kept = names.join(first, "feature").where(F.col("level") == F.col("_first"))
+    return kept.groupBy(*code_cols).agg(F.collect_list("feature").alias("_features"))  # at most one per level
+
+
+def _counted(df: DataFrame, dictionary: DataFrame, code_cols: Sequence[str], key: str) -> DataFrame:
+    """Events counted per (key, code), then per feature of the code: names are made once per distinct code."""
+    n = df.groupBy(key, *code_cols).agg(F.count(F.lit(1)).alias("_n"))
+    d = dictionary.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(code_cols)], "_features")
+    same = reduce(lambda a, b: a & b, [n[c].eqNullSafe(d[f"_{i}"]) for i, c in enumerate(code_cols)])
+    e = n.join(d, same).select(key, "_n", F.explode("_features").alias("feature"))
+    return e.groupBy(key, "feature").agg(F.sum("_n").alias("value"))
 
 
 def _code_names(df: DataFrame, keep: Sequence[str], code: str, levels: Sequence[int], pattern: str,
@@ -107,15 +111,12 @@ def code_level_counts(df: DataFrame, code: str = "condition_source_value", key:
                       prefix: str = "DETBL_") -> DataFrame:
     """A10: hierarchical code roll-up counts per key in long form.
 
-    Each event is expanded to its prefixes at the given levels (one
-    ``inline``), counted per (key, level, name) with partial aggregation,
-    and every name keeps the count of the lowest level at which it occurs
-    (levels taken from the distinct codes, see ``_first_level``).
+    Events are counted per code; a dictionary over the distinct codes gives
+    each code's names (its prefixes at the given levels), and every name keeps
+    the count of the lowest level at which it occurs.
     """
-    e = _code_names(df, [key], code, levels, pattern, prefix)
-    counts = e.groupBy(key, "level", "feature").agg(F.count(F.lit(1)).alias("value"))
-    names = _code_names(df.select(code).distinct(), [], code, levels, pattern, prefix)
-    return _first_level(counts, names, key)
+    names = _code_names(df.select(code).distinct(), [code], code, levels, pattern, prefix)
+    return _counted(df, _dictionary(names, [code]), [code], key)
 
 
 def _class_names(df: DataFrame, keep: Sequence[str], level_cols: Sequence[str], prefix: str) -> DataFrame:
@@ -129,12 +130,11 @@ def class_level_counts(df: DataFrame, level_cols: Sequence[str], key: str = KEY,
                        prefix: str = "MEDTBL_") -> DataFrame:
     """Class-hierarchy counts (ATC 1-5 style); a lower level wins on equal names.
 
-    First levels come from the distinct class tuples (see ``_first_level``).
+    As A10, over the distinct class tuples.
     """
-    e = _class_names(df, [key], level_cols, prefix)
-    counts = e.groupBy(key, "level", "feature").agg(F.count(F.lit(1)).alias("value"))
-    names = _class_names(df.select(*level_cols).distinct(), [], level_cols, prefix)
-    return _first_level(counts, names, key)
+    cols = list(level_cols)
+    names = _class_names(df.select(*cols).distinct(), cols, cols, prefix)
+    return _counted(df, _dictionary(names, cols), cols, key)
 
 
 def flag_counts(df: DataFrame, flag: str, category: str, prefix: str, positive: bool = True,
@@ -202,25 +202,23 @@ def restrict_keys(long_df: DataFrame, base: DataFrame, key: str = KEY) -> DataFr
     return long_df.join(base.select(key), key, "left_semi")
 
 
-def feature_matrix(families: Sequence[DataFrame], base: DataFrame | None = None, key: str = KEY,
-                   min_support: int = 100, rare_prefix: str | None = "DETBL_",
-                   materialize: bool = True) -> DataFrame:
-    """Union of families, restricted to base visits, binarised, rare features dropped.
+def feature_matrix(families: dict[str, DataFrame], base: DataFrame | None = None, key: str = KEY,
+                   min_support: int = 100, rare_prefix: str | None = "DETBL_") -> DataFrame:
+    """Families by prefix, restricted to base visits, binarised, rare features dropped, as one long table.
 
-    The binarised union feeds two consumers (the support sums and the rows
-    kept), so by default it is checkpointed once into the session's
-    checkpoint folder instead of computing every family twice.
+    Support concerns the family of ``rare_prefix`` alone, so only that one is
+    read for it; the others are united untouched.
     """
-    long_df = families[0].select(key, "feature", F.col("value").cast("double"))
-    for f in families[1:]:
-        long_df = long_df.unionByName(f.select(key, "feature", F.col("value").cast("double")))
-    if base is not None:
-        long_df = restrict_keys(long_df, base, key)
-    long_df = binarize(long_df)
-    if materialize:
-        from ..session import materialize as _checkpoint
-        long_df = _checkpoint(long_df)
-    return drop_rare(long_df, min_support, rare_prefix)
+    out = None
+    for prefix, f in families.items():
+        rows = f.select(key, "feature", F.col("value").cast("double").alias("value"))
+        if base is not None:
+            rows = restrict_keys(rows, base, key)
+        rows = binarize(rows)
+        if prefix == rare_prefix:
+            rows = drop_rare(rows, min_support, None)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def to_wide(long_df: DataFrame, features: Sequence[str], key: str = KEY) -> DataFrame:

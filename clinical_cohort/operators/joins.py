@@ -189,7 +189,7 @@ def active_at_visit(conditions: DataFrame, visits: DataFrame, visit_id: str = "v
     Equi join on the visit id with a range residual. A null end drops the row
     unless ``open_ended`` (then it counts as still active).
     """
-    v = visits.select(visit_id, visit_start, *visit_cols)
+    v = visits.select(visit_id, visit_start, *[c for c in visit_cols if c not in conditions.columns])
     ends_after = F.col(end_col) > F.col(visit_start)
     if open_ended:
         ends_after = ends_after | F.col(end_col).isNull()

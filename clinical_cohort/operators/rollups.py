@@ -1,14 +1,10 @@
 """Per-visit roll-ups of coded events.
 
-A roll-up collects the events of a group into one array of structs, so the
-fields of one event stay aligned (D23) and the array is sorted (stable text
-output). A group that is very large (one visit holding a third of all
-events) would otherwise become one array built in one task; ``rollup``
-therefore splits any group above ``max_items`` into ceil(n / max_items)
-``parts`` by a hash of the event, so arrays stay near the bound (hash
-spread) and every event is still present.
-Normal groups have one part (``part = 0``) and give one row, as in the
-reference.
+A roll-up is long: one row per group and distinct event with its number ``n``.
+Fields of one event stay aligned (D23), repeats are merged, and a visit of any
+size spreads over partitions, as the events are part of the grouping key. One
+array per group exists only for export (``collect_items``): its size is that of
+one visit's distinct events.
 """
 
 from __future__ import annotations
@@ -20,27 +16,34 @@ from pyspark.sql import functions as F
 
 from .joins import active_at_visit, decode
 
-DEFAULT_MAX_ITEMS = 100_000
+KEYS = ("visit_occurrence_id", "person_id")
+CONDITION_COLS = ("condition_concept_id", "condition_source_value", "concept_name", "vocabulary_id", "domain_id",
+                  "concept_class_id", "concept_code")
+PROCEDURE_COLS = ("procedure_concept_id", "procedure_datetime", "procedure_source_value", "concept_name", "vocabulary_id",
+                  "concept_code")
+DRUG_COLS = ("drug_concept_id", "concept_name", "vocabulary_id", "drug_generic_source_value_name",
+             "drug_exposure_start_datetime", "drug_exposure_end_datetime", "route_source_value")
 
 
-def rollup(df: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str = "items",
-           max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """``keys, part, n_items, name`` with ``name`` a sorted array of structs.
-
-    The group size comes from a partially aggregated count per key; a group
-    of n events is cut into ceil(n / max_items) parts by
-    ``xxhash64(event) mod parts``. Null fields are kept inside the struct.
-    """
-    keys, cols = list(keys), list(cols)
+def rollup(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """``keys, cols, n``, a row per distinct event of a group; null keys and fields are kept."""
     if not keys:
         raise ValueError("rollup needs at least one key column")
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(max_items))).alias("_parts"))
-    item = F.struct(*[F.col(c) for c in cols])
-    parted = df.join(sizes, on=keys, how="inner").withColumn(
-        "part", F.when(F.col("_parts") <= 1, F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_parts"))).cast("int"))
-    return (parted.groupBy(*keys, "part")
-                  .agg(F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list(item)).alias(name)))
+    return df.groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("n"))
+
+
+def rollup_counts(rolled: DataFrame, keys: Sequence[str], name: str = "n_items") -> DataFrame:
+    """Number of events per group of a roll-up, one row per group."""
+    return rolled.groupBy(*keys).agg(F.sum("n").alias(name))
+
+
+def collect_items(rolled: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str = "items") -> DataFrame:
+    """``keys, n_items, name``: one row per group with a sorted array of its distinct events and their number.
+
+    For export (IO9) only; the array holds one group's distinct events.
+    """
+    item = F.struct(*[F.col(c) for c in [*cols, "n"]])
+    return rolled.groupBy(*keys).agg(F.sum("n").alias("n_items"), F.array_sort(F.collect_list(item)).alias(name))
 
 
 def items_text(items: str | Column, fields: Sequence[str], sep: str = "|", item_sep: str = ";") -> Column:
@@ -50,42 +53,45 @@ def items_text(items: str | Column, fields: Sequence[str], sep: str = "|", item_
         sep, *[F.coalesce(x[f].cast("string"), F.lit("")) for f in fields])), item_sep)
 
 
+def _decoded(events: DataFrame, concept: DataFrame, concept_id: str, cols: Sequence[str]) -> DataFrame:
+    """Events joined to the concept columns among ``cols`` that they do not have themselves."""
+    return decode(events, concept, concept_id, concept_cols=[c for c in cols if c not in events.columns])
+
+
 def rollup_conditions(conditions: DataFrame, visits: DataFrame, concept: DataFrame, open_ended: bool = False,
-                      max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """A5: conditions active at their visit's start, decoded, collected per (visit, person)."""
+                      cols: Sequence[str] = CONDITION_COLS, keys: Sequence[str] = KEYS) -> DataFrame:
+    """A5: conditions active at their visit's start, decoded."""
     active = active_at_visit(conditions, visits, open_ended=open_ended)
-    dec = decode(active, concept, "condition_concept_id",
-                 concept_cols=["concept_name", "vocabulary_id", "concept_class_id", "concept_code"])
-    return rollup(dec, ["visit_occurrence_id", "person_id"],
-                  ["condition_concept_id", "condition_source_value", "concept_name", "vocabulary_id",
-                   "concept_class_id", "concept_code"], "conditions", max_items)
+    return rollup(_decoded(active, concept, "condition_concept_id", cols), keys, cols)
 
 
-def rollup_procedures(procedures: DataFrame, visits: DataFrame, concept: DataFrame, vocabulary: str = "CPT4",
-                      max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """Procedures of one vocabulary, decoded, collected per (visit, person)."""
+def rollup_procedures(procedures: DataFrame, concept: DataFrame, vocabulary: str = "CPT4",
+                      cols: Sequence[str] = PROCEDURE_COLS, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Procedures of one vocabulary, decoded, by the event's own person."""
     vocab = concept.where(F.col("vocabulary_id") == vocabulary)
-    dec = decode(procedures, vocab, "procedure_concept_id", concept_cols=["concept_name", "concept_code"])
-    dec = dec.join(visits.select("visit_occurrence_id", "person_id"), "visit_occurrence_id")
-    return rollup(dec, ["visit_occurrence_id", "person_id"],
-                  ["procedure_concept_id", "procedure_source_value", "concept_name", "concept_code"],
-                  "procedures", max_items)
+    return rollup(_decoded(procedures, vocab, "procedure_concept_id", cols), keys, cols)
 
 
-def rollup_drugs(drugs: DataFrame, visits: DataFrame, concept: DataFrame,
-                 max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """Drug exposures, decoded, collected per (visit, person)."""
-    dec = decode(drugs, concept, "drug_concept_id", concept_cols=["concept_name"])
-    dec = dec.join(visits.select("visit_occurrence_id", "person_id"), "visit_occurrence_id")
-    return rollup(dec, ["visit_occurrence_id", "person_id"],
-                  ["drug_concept_id", "concept_name", "drug_exposure_start_datetime", "drug_exposure_end_datetime",
-                   "route_source_value"], "drugs", max_items)
+def rollup_drugs(drugs: DataFrame, concept: DataFrame, cols: Sequence[str] = DRUG_COLS,
+                 keys: Sequence[str] = KEYS) -> DataFrame:
+    """Drug exposures, decoded, by the event's own person."""
+    return rollup(_decoded(drugs, concept, "drug_concept_id", cols), keys, cols)
 
 
-def rollup_by(df: DataFrame, keys: Sequence[str], type_col: str, cols: Sequence[str], name: str = "items",
-              max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+def rollup_by(df: DataFrame, keys: Sequence[str], type_col: str, cols: Sequence[str]) -> DataFrame:
     """Roll-up with the event's source/type as an extra key."""
-    return rollup(df, [*keys, type_col], cols, name, max_items)
+    return rollup(df, [*keys, type_col], cols)
+
+
+def rollup_observations(observations: DataFrame, concept: DataFrame, search: Sequence[str] = (),
+                        concept_id: str = "observation_concept_id", keys: Sequence[str] = ("visit_occurrence_id",),
+                        cols: Sequence[str] = ("concept_name", "observation_source_value")) -> DataFrame:
+    """Decoded observations; with ``search`` only those whose concept name contains one of the texts."""
+    from .filters import contains_any
+    decoded = _decoded(observations, concept, concept_id, cols)
+    if search:
+        decoded = decoded.where(contains_any("concept_name", list(search)))
+    return rollup(decoded, keys, cols)
 
 
 def count_by_type(df: DataFrame, keys: Sequence[str], type_col: str) -> DataFrame:

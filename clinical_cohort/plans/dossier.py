@@ -1,8 +1,9 @@
 """Elderly patient dossier - demographics of visits at age >= 65 with
-their conditions, procedures and drugs, left-joined on (visit, person).
+their conditions, procedures and drugs.
 
-Arrays are kept as arrays of structs; ``sources.files.write_csv`` turns them
-into text for CSV export (IO9).
+Long: one row of kind ``visit`` per elderly visit, and one row per distinct
+event of each kind. Events are joined to the elderly visits before they are
+rolled up, so other visits' events are never grouped.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import age_fractional
-from ..operators.joins import join_frames
 from ..operators.rollups import rollup_conditions, rollup_drugs, rollup_procedures
 
 PERSON_COLS = ("person_id", "birth_date", "death_date", "gender_source_value", "race_source_value",
@@ -29,13 +29,26 @@ def elderly(person: DataFrame, visits: DataFrame, min_age: float = 65) -> DataFr
 def patient_dossier(person: DataFrame, visits: DataFrame, conditions: DataFrame, procedures: DataFrame,
                     drugs: DataFrame, concept: DataFrame, min_age: float = 65,
                     procedure_vocabulary: str = "CPT4") -> DataFrame:
-    """(visit, person) rows of elderly visits with condition/procedure/drug arrays."""
-    base = elderly(person, visits, min_age).drop("visit_start_datetime")
+    """Rows of ``kind`` visit, condition, procedure and drug over the elderly visits.
+
+    Every row has the visit's demographics; the fields of other kinds are null.
+    """
     keys = ["visit_occurrence_id", "person_id"]
-    cond = rollup_conditions(conditions, visits, concept).drop("n_items")
-    proc = rollup_procedures(procedures, visits, concept, procedure_vocabulary).drop("n_items")
-    drug = rollup_drugs(drugs, visits, concept).drop("n_items")
-    # One part per group in normal data; a split group keeps its part number.
-    cond, proc, drug = (f.withColumnRenamed("part", f"{n}_part") for f, n in
-                        ((cond, "conditions"), (proc, "procedures"), (drug, "drugs")))
-    return join_frames([base, cond, proc, drug], keys, "left")
+    visited = elderly(person, visits, min_age)
+    base = visited.drop("visit_start_datetime")
+    demographics = base.columns
+    of = lambda events: events.join(base, keys)
+
+    def kind(name: str, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("kind", F.lit(name))
+
+    parts = [
+        kind("visit", base.withColumn("n", F.lit(1).cast("long"))),
+        kind("condition", rollup_conditions(of(conditions), visited, concept, keys=demographics)),
+        kind("procedure", rollup_procedures(of(procedures), concept, procedure_vocabulary, keys=demographics)),
+        kind("drug", rollup_drugs(of(drugs), concept, keys=demographics)),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

@@ -23,17 +23,17 @@ CC_VALUES = ["AF", "AO", "NF", "NO", "RF", "RO"]
 ATC_LEVELS = ["ATC_1", "ATC_2", "ATC_3", "ATC_4"]
 
 
-def families(r) -> list[DataFrame]:
+def families(r) -> dict[str, DataFrame]:
     """The six feature families of the reference over the role views ``r``."""
     meds = r.medications.join(r.medication_classification, "drug_concept_id")
-    return [
-        FE.code_level_counts(r.diagnosis_extract),
-        FE.class_level_counts(meds, ATC_LEVELS),
-        FE.category_counts(r.diagnosis_extract, "chief_complaint", "CCTBL_"),
-        FE.flag_counts(r.lab_flag, "is_positive", "substance", "UTTBL_", True),
-        FE.flag_counts(r.lab_flag, "is_positive", "substance", "BCTBL_", False),
-        FE.flag_total(r.lab_flag, "is_positive", "alcohol_positive"),
-    ]
+    return {
+        "DETBL_": FE.code_level_counts(r.diagnosis_extract),
+        "MEDTBL_": FE.class_level_counts(meds, ATC_LEVELS),
+        "CCTBL_": FE.category_counts(r.diagnosis_extract, "chief_complaint", "CCTBL_"),
+        "UTTBL_": FE.flag_counts(r.lab_flag, "is_positive", "substance", "UTTBL_", True),
+        "BCTBL_": FE.flag_counts(r.lab_flag, "is_positive", "substance", "BCTBL_", False),
+        "ACHTBL_": FE.flag_total(r.lab_flag, "is_positive", "alcohol_positive"),
+    }
 
 
 def measure_extract(measurement: DataFrame) -> DataFrame:

@@ -198,7 +198,7 @@ def q_join_prior_visits(spark, sf):
 
 
 @register("join_active_conditions", cte("condition_occurrence", "visit_occurrence") + """
-SELECT c.*, v.visit_start_datetime, v.person_id
+SELECT c.*, v.visit_start_datetime
 FROM condition_occurrence c JOIN visit_occurrence v ON c.visit_occurrence_id = v.visit_occurrence_id
 WHERE c.condition_start_datetime < v.visit_start_datetime AND c.condition_end_datetime > v.visit_start_datetime""")
 def q_join_active_conditions(spark, sf):

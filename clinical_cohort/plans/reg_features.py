@@ -24,81 +24,70 @@ def _clean_sql(expr: str, prefix: str, dots: bool) -> str:
 
 # ------------------------------------------------------------- roll-ups
 
-def _text_sql(fields: list[str]) -> str:
-    parts = ", ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in fields)
-    order = ", ".join(f"{f} NULLS FIRST" for f in fields)
-    return f"string_agg(concat_ws('|', {parts}), ';' ORDER BY {order})"
-
-
-_COND_FIELDS = ["condition_concept_id", "condition_source_value", "concept_name", "vocabulary_id",
-                "concept_class_id", "concept_code"]
-_PROC_FIELDS = ["procedure_concept_id", "procedure_source_value", "concept_name", "concept_code"]
-_DRUG_FIELDS = ["drug_concept_id", "concept_name", "drug_exposure_start_datetime", "drug_exposure_end_datetime",
-                "route_source_value"]
-
-_COND_SRC = """SELECT c.*, k.concept_name, k.vocabulary_id, k.concept_class_id, k.concept_code, v.person_id
+_COND_SRC = """SELECT c.*, k.concept_name, k.vocabulary_id, k.domain_id, k.concept_class_id, k.concept_code
   FROM condition_occurrence c JOIN visit_occurrence v ON c.visit_occurrence_id = v.visit_occurrence_id
   JOIN concept k ON c.condition_concept_id = k.concept_id
   WHERE c.condition_start_datetime < v.visit_start_datetime AND c.condition_end_datetime > v.visit_start_datetime"""
-_PROC_SRC = """SELECT p.*, k.concept_name, k.concept_code, v.person_id FROM procedure_occurrence p
-  JOIN concept k ON p.procedure_concept_id = k.concept_id AND k.vocabulary_id = 'PROMO'
-  JOIN visit_occurrence v ON p.visit_occurrence_id = v.visit_occurrence_id"""
-_DRUG_SRC = """SELECT d.*, k.concept_name, v.person_id FROM drug_exposure d
-  JOIN concept k ON d.drug_concept_id = k.concept_id
-  JOIN visit_occurrence v ON d.visit_occurrence_id = v.visit_occurrence_id"""
-
-
-def _rollup_sql(src: str, fields: list[str], name: str, extra_key: str = "") -> str:
-    keys = "visit_occurrence_id, person_id" + (f", {extra_key}" if extra_key else "")
-    return (f"SELECT {keys}, 0 AS part, count(*) AS n_items, {_text_sql(fields)} AS {name}_text "
-            f"FROM ({src}) s GROUP BY ALL")
+_PROC_SRC = """SELECT p.*, k.concept_name, k.vocabulary_id, k.concept_code FROM procedure_occurrence p
+  JOIN concept k ON p.procedure_concept_id = k.concept_id AND k.vocabulary_id = 'PROMO'"""
+_DRUG_SRC = """SELECT d.*, k.concept_name, k.vocabulary_id FROM drug_exposure d
+  JOIN concept k ON d.drug_concept_id = k.concept_id"""
 
 
-def _with_text(df, name, fields):
-    return df.withColumn(f"{name}_text", R.items_text(name, fields)).drop(name)
+def _rollup_sql(src: str, fields, keys: str = "visit_occurrence_id, person_id") -> str:
+    return f"SELECT {keys}, {', '.join(fields)}, count(*) AS n FROM ({src}) s GROUP BY ALL"
 
 
 @register("rollup_conditions", cte("condition_occurrence", "visit_occurrence", "concept")
-          + _rollup_sql(_COND_SRC, _COND_FIELDS, "conditions"))
+          + _rollup_sql(_COND_SRC, R.CONDITION_COLS))
 def q_rollup_conditions(spark, sf):
     r = Roles(spark, sf)
-    return _with_text(R.rollup_conditions(r.condition_occurrence, r.visit_occurrence, r.concept),
-                      "conditions", _COND_FIELDS)
+    return R.rollup_conditions(r.condition_occurrence, r.visit_occurrence, r.concept)
 
 
-@register("rollup_procedures", cte("procedure_occurrence", "visit_occurrence", "concept")
-          + _rollup_sql(_PROC_SRC, _PROC_FIELDS, "procedures"))
+@register("rollup_procedures", cte("procedure_occurrence", "concept") + _rollup_sql(_PROC_SRC, R.PROCEDURE_COLS))
 def q_rollup_procedures(spark, sf):
     r = Roles(spark, sf)
-    return _with_text(R.rollup_procedures(r.procedure_occurrence, r.visit_occurrence, r.concept, "PROMO"),
-                      "procedures", _PROC_FIELDS)
+    return R.rollup_procedures(r.procedure_occurrence, r.concept, "PROMO")
 
 
-@register("rollup_drugs", cte("drug_exposure", "visit_occurrence", "concept")
-          + _rollup_sql(_DRUG_SRC, _DRUG_FIELDS, "drugs"))
+@register("rollup_drugs", cte("drug_exposure", "concept") + _rollup_sql(_DRUG_SRC, R.DRUG_COLS))
 def q_rollup_drugs(spark, sf):
     r = Roles(spark, sf)
-    return _with_text(R.rollup_drugs(r.drug_exposure, r.visit_occurrence, r.concept), "drugs", _DRUG_FIELDS)
+    return R.rollup_drugs(r.drug_exposure, r.concept)
 
 
 _BYTYPE_FIELDS = ["condition_concept_id", "condition_source_value", "condition_start_datetime"]
 
 
-@register("rollup_by_type", cte("condition_occurrence", "visit_occurrence") + _rollup_sql(
-    "SELECT c.*, v.person_id FROM condition_occurrence c JOIN visit_occurrence v USING (visit_occurrence_id)",
-    _BYTYPE_FIELDS, "items", "condition_type_source_value"))
+@register("rollup_by_type", cte("condition_occurrence") + _rollup_sql(
+    "SELECT * FROM condition_occurrence", _BYTYPE_FIELDS, "visit_occurrence_id, person_id, condition_type_source_value"))
 def q_rollup_by_type(spark, sf):
     r = Roles(spark, sf)
-    c = r.condition_occurrence.join(r.visit_occurrence.select("visit_occurrence_id", "person_id"),
-                                    "visit_occurrence_id")
-    out = R.rollup_by(c, ["visit_occurrence_id", "person_id"], "condition_type_source_value", _BYTYPE_FIELDS)
-    return _with_text(out, "items", _BYTYPE_FIELDS)
+    return R.rollup_by(r.condition_occurrence, R.KEYS, "condition_type_source_value", _BYTYPE_FIELDS)
+
+
+@register("rollup_observations", cte("observation", "concept") + """
+SELECT visit_occurrence_id, concept_name, observation_source_value, count(*) AS n
+FROM observation JOIN concept ON observation_concept_id = concept_id GROUP BY ALL""")
+def q_rollup_observations(spark, sf):
+    r = Roles(spark, sf)
+    return R.rollup_observations(r.observation, r.concept)
 
 
-@register("rollup_observations", cte("observation") + """
+@register("observation_search", cte("observation", "concept") + """
+SELECT visit_occurrence_id, concept_name, observation_source_value, count(*) AS n
+FROM observation JOIN concept ON observation_concept_id = concept_id
+WHERE contains(concept_name, 'green') OR contains(concept_name, 'blue') GROUP BY ALL""")
+def q_observation_search(spark, sf):
+    r = Roles(spark, sf)
+    return R.rollup_observations(r.observation, r.concept, search=["green", "blue"])
+
+
+@register("observation_counts", cte("observation") + """
 SELECT visit_occurrence_id, observation_source_value, count(*) AS n_events
 FROM observation GROUP BY 1, 2""")
-def q_rollup_observations(spark, sf):
+def q_observation_counts(spark, sf):
     return R.count_by_type(Roles(spark, sf).observation, ["visit_occurrence_id"], "observation_source_value")
 
 
@@ -123,6 +112,18 @@ def q_filter_age_floor(spark, sf):
     return elderly(r.person, r.visit_occurrence).drop("visit_occurrence_id", "visit_start_datetime").distinct()
 
 
+_BASE_COLS = ["visit_occurrence_id", "person_id", "birth_date", "death_date", "gender_source_value", "race_source_value",
+              "ethnicity_source_value", "age"]
+_EVENT_COLS = list(dict.fromkeys([*R.CONDITION_COLS, *R.PROCEDURE_COLS, *R.DRUG_COLS]))
+
+
+def _dossier_sql(kind: str, src: str, fields) -> str:
+    shown = ", ".join(f if f in fields else f"NULL AS {f}" for f in _EVENT_COLS)
+    keys = ", ".join(f"base.{c}" for c in _BASE_COLS)
+    return (f"SELECT {keys}, '{kind}' AS kind, {shown}, count(*) AS n FROM ({src}) s "
+            "JOIN base ON s.visit_occurrence_id = base.visit_occurrence_id AND s.person_id = base.person_id GROUP BY ALL")
+
+
 @register("patient_dossier", cte("person", "visit_occurrence", "condition_occurrence", "procedure_occurrence",
                                  "drug_exposure", "concept") + f"""
 , base AS (SELECT v.visit_occurrence_id, p.person_id, p.birth_date, p.death_date, p.gender_source_value,
@@ -130,20 +131,14 @@ def q_filter_age_floor(spark, sf):
              datediff('day', p.birth_date, v.visit_start_datetime) / 365.25 AS age
            FROM person p JOIN visit_occurrence v ON p.person_id = v.person_id
            WHERE datediff('day', p.birth_date, v.visit_start_datetime) / 365.25 >= 65)
-, c AS ({_rollup_sql(_COND_SRC, _COND_FIELDS, "conditions")})
-, pr AS ({_rollup_sql(_PROC_SRC, _PROC_FIELDS, "procedures")})
-, d AS ({_rollup_sql(_DRUG_SRC, _DRUG_FIELDS, "drugs")})
-SELECT base.*, c.part AS conditions_part, c.conditions_text, pr.part AS procedures_part, pr.procedures_text,
-       d.part AS drugs_part, d.drugs_text
-FROM base LEFT JOIN c USING (visit_occurrence_id, person_id) LEFT JOIN pr USING (visit_occurrence_id, person_id)
-LEFT JOIN d USING (visit_occurrence_id, person_id)""")
+SELECT {', '.join(_BASE_COLS)}, 'visit' AS kind, {', '.join(f'NULL AS {f}' for f in _EVENT_COLS)}, 1 AS n FROM base
+UNION ALL BY NAME {_dossier_sql('condition', _COND_SRC, R.CONDITION_COLS)}
+UNION ALL BY NAME {_dossier_sql('procedure', _PROC_SRC, R.PROCEDURE_COLS)}
+UNION ALL BY NAME {_dossier_sql('drug', _DRUG_SRC, R.DRUG_COLS)}""")
 def q_patient_dossier(spark, sf):
     r = Roles(spark, sf)
-    d = patient_dossier(r.person, r.visit_occurrence, r.condition_occurrence, r.procedure_occurrence,
-                        r.drug_exposure, r.concept, procedure_vocabulary="PROMO")
-    for name, fields in (("conditions", _COND_FIELDS), ("procedures", _PROC_FIELDS), ("drugs", _DRUG_FIELDS)):
-        d = _with_text(d, name, fields)
-    return d
+    return patient_dossier(r.person, r.visit_occurrence, r.condition_occurrence, r.procedure_occurrence,
+                           r.drug_exposure, r.concept, procedure_vocabulary="PROMO")
 
 
 # ------------------------------------------------------------- features
@@ -353,16 +348,15 @@ def q_rank_features_by_support(spark, sf):
 
 
 @register("join_rollups_two_keys", cte("procedure_occurrence", "drug_exposure", "visit_occurrence", "concept") + f"""
-, pr AS ({_rollup_sql(_PROC_SRC, _PROC_FIELDS, "procedures")})
-, d AS ({_rollup_sql(_DRUG_SRC, _DRUG_FIELDS, "drugs")})
-SELECT v.visit_occurrence_id, v.person_id, pr.n_items AS n_procedures, d.n_items AS n_drugs
+, pr AS (SELECT visit_occurrence_id, person_id, count(*) AS n_procedures FROM ({_PROC_SRC}) GROUP BY ALL)
+, d AS (SELECT visit_occurrence_id, person_id, count(*) AS n_drugs FROM ({_DRUG_SRC}) GROUP BY ALL)
+SELECT v.visit_occurrence_id, v.person_id, n_procedures, n_drugs
 FROM visit_occurrence v LEFT JOIN pr ON v.visit_occurrence_id = pr.visit_occurrence_id AND v.person_id = pr.person_id
 LEFT JOIN d ON v.visit_occurrence_id = d.visit_occurrence_id AND v.person_id = d.person_id""")
 def q_join_rollups_two_keys(spark, sf):
     from ..operators.joins import join_frames
     r = Roles(spark, sf)
-    keys = ["visit_occurrence_id", "person_id"]
-    p = R.rollup_procedures(r.procedure_occurrence, r.visit_occurrence, r.concept, "PROMO") \
-        .select(*keys, F.col("n_items").alias("n_procedures"))
-    d = R.rollup_drugs(r.drug_exposure, r.visit_occurrence, r.concept).select(*keys, F.col("n_items").alias("n_drugs"))
+    keys = list(R.KEYS)
+    p = R.rollup_counts(R.rollup_procedures(r.procedure_occurrence, r.concept, "PROMO"), keys, "n_procedures")
+    d = R.rollup_counts(R.rollup_drugs(r.drug_exposure, r.concept), keys, "n_drugs")
     return join_frames([r.visit_occurrence.select(*keys), p, d], keys, "left")

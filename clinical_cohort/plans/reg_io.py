@@ -80,22 +80,23 @@ def q_io_parquet_roundtrip(spark, sf):
     return IO.read_parquet_table(spark, path)
 
 
-@register("io_csv_arrays_as_text", cte("procedure_occurrence", "visit_occurrence", "concept") + """
-, s AS (SELECT p.*, k.concept_name, k.concept_code, v.person_id FROM procedure_occurrence p
-  JOIN concept k ON p.procedure_concept_id = k.concept_id AND k.vocabulary_id = 'PROMO'
-  JOIN visit_occurrence v ON p.visit_occurrence_id = v.visit_occurrence_id)
-SELECT visit_occurrence_id, person_id, CAST(0 AS INT) AS part, count(*) AS n_items,
+@register("io_csv_arrays_as_text", cte("procedure_occurrence", "concept") + """
+, e AS (SELECT visit_occurrence_id, person_id, procedure_concept_id, procedure_source_value, concept_name, concept_code, count(*) AS n
+  FROM procedure_occurrence JOIN concept ON procedure_concept_id = concept_id AND vocabulary_id = 'PROMO' GROUP BY ALL)
+SELECT visit_occurrence_id, person_id, CAST(sum(n) AS BIGINT) AS n_items,
   '[' || string_agg('{' || concat_ws(', ', CAST(procedure_concept_id AS VARCHAR), procedure_source_value, concept_name,
-                                     concept_code) || '}', ', '
+                                     concept_code, CAST(n AS VARCHAR)) || '}', ', '
                     ORDER BY procedure_concept_id, procedure_source_value, concept_name, concept_code) || ']' AS procedures
-FROM s GROUP BY 1, 2""")
+FROM e GROUP BY 1, 2""")
 def q_io_csv_arrays_as_text(spark, sf):
-    from ..operators.rollups import rollup_procedures
+    from ..operators import rollups as R
     r = Roles(spark, sf)
     path = _scratch(spark, "procedures-csv")
-    IO.write_csv(rollup_procedures(r.procedure_occurrence, r.visit_occurrence, r.concept, "PROMO"), path)
-    return IO.read_csv(spark, path, "visit_occurrence_id BIGINT, person_id BIGINT, part INT, n_items BIGINT, "
-                       "procedures STRING", header=True)
+    cols = ["procedure_concept_id", "procedure_source_value", "concept_name", "concept_code"]
+    rolled = R.rollup_procedures(r.procedure_occurrence, r.concept, "PROMO", cols=cols)
+    IO.write_csv(R.collect_items(rolled, R.KEYS, cols, "procedures"), path)
+    return IO.read_csv(spark, path, "visit_occurrence_id BIGINT, person_id BIGINT, n_items BIGINT, procedures STRING",
+                       header=True)
 
 
 @register("io_json_roundtrip", cte("scores") + """

@@ -100,7 +100,7 @@ ROLES: dict[str, RoleSpec] = {
     "condition_occurrence": RoleSpec(
         "lineitem",
         (
-            "l_orderkey AS visit_occurrence_id",
+            "l.l_orderkey AS visit_occurrence_id",
             "l_partkey AS condition_concept_id",
             "l_shipdate AS condition_start_datetime",
             "CASE WHEN l_linenumber <> 7 THEN l_shipdate + INTERVAL '1' DAY * CAST(l_quantity AS INT) END AS condition_end_datetime",
@@ -108,29 +108,36 @@ ROLES: dict[str, RoleSpec] = {
             "ELSE concat(substr('ABCDEFGHIJ', CAST(l_partkey % 10 AS INT) + 1, 1), lpad(CAST(l_suppkey % 4 AS STRING), 2, '0'), '.', CAST(l_linenumber AS STRING)) END AS condition_source_value",
             "concat(l_returnflag, l_linestatus) AS condition_type_source_value",
             "l_linenumber AS condition_occurrence_seq",
+            "o.o_custkey AS person_id",
         ),
+        joins=(("orders", "o", "l.l_orderkey = o.o_orderkey"),),
     ),
     "procedure_occurrence": RoleSpec(
         "lineitem",
         (
-            "l_orderkey AS visit_occurrence_id",
+            "l.l_orderkey AS visit_occurrence_id",
             "l_partkey AS procedure_concept_id",
             "l_shipdate AS procedure_datetime",
             "l_linestatus AS procedure_source_value",
             "l_linenumber AS procedure_seq",
+            "o.o_custkey AS person_id",
         ),
+        joins=(("orders", "o", "l.l_orderkey = o.o_orderkey"),),
     ),
     "drug_exposure": RoleSpec(
         "lineitem",
         (
-            "l_orderkey AS visit_occurrence_id",
+            "l.l_orderkey AS visit_occurrence_id",
             "l_partkey AS drug_concept_id",
             "l_shipdate AS drug_exposure_start_datetime",
             "l_shipdate + INTERVAL '1' DAY * l_linenumber AS drug_exposure_end_datetime",
             "l_quantity AS quantity",
             "l_returnflag AS route_source_value",
+            "CASE WHEN l_linenumber <> 3 THEN concat('generic ', CAST(l_partkey % 50 AS STRING)) END AS drug_generic_source_value_name",
             "l_linenumber AS drug_seq",
+            "o.o_custkey AS person_id",
         ),
+        joins=(("orders", "o", "l.l_orderkey = o.o_orderkey"),),
     ),
     "observation": RoleSpec(
         "events",
@@ -138,6 +145,7 @@ ROLES: dict[str, RoleSpec] = {
             "event_id AS observation_id",
             "user_id AS visit_occurrence_id",
             "event_type AS observation_source_value",
+            "event_id % 150 + 1 AS observation_concept_id",
             "ts AS observation_datetime",
             "value AS value_as_number",
             "props AS value_as_string",
@@ -151,6 +159,7 @@ ROLES: dict[str, RoleSpec] = {
             "p_type AS vocabulary_id",
             "p_brand AS concept_class_id",
             "CAST(p_size AS STRING) AS concept_code",
+            "CASE WHEN p_size % 3 = 0 THEN 'Drug' WHEN p_size % 3 = 1 THEN 'Condition' ELSE 'Procedure' END AS domain_id",
         ),
     ),
     "diagnosis_extract": RoleSpec(

@@ -1,24 +1,34 @@
 from clinical_cohort.operators import rollups as R
 
+EVENT = "visit_occurrence_id long, person_id long, code string, name string"
 
-def test_rollup_keeps_alignment_and_nulls(spark):
-    df = spark.createDataFrame([(1, 7, "a", None), (1, 7, "b", "x"), (2, 8, None, "y")],
-                               "visit_occurrence_id long, person_id long, code string, name string")
-    out = {r.visit_occurrence_id: r for r in R.rollup(df, ["visit_occurrence_id", "person_id"], ["code", "name"]).collect()}
-    assert [(i.code, i.name) for i in out[1]["items"]] == [("a", None), ("b", "x")]
-    assert out[2].n_items == 1 and out[2].part == 0
 
+def test_rollup_keeps_alignment_nulls_and_repeats(spark):
+    df = spark.createDataFrame([(1, 7, "a", None), (1, 7, "b", "x"), (1, 7, "b", "x"), (2, 8, None, "y"), (None, 9, "z", "z")], EVENT)
+    out = {tuple(r) for r in R.rollup(df, R.KEYS, ["code", "name"]).collect()}
+    assert out == {(1, 7, "a", None, 1), (1, 7, "b", "x", 2), (2, 8, None, "y", 1), (None, 9, "z", "z", 1)}
 
-def test_rollup_splits_large_groups_without_losing_items(spark):
-    rows = [(1, 7, f"c{i:03d}", None) for i in range(25)] + [(2, 8, "z", None)]
-    df = spark.createDataFrame(rows, "visit_occurrence_id long, person_id long, code string, name string")
-    out = R.rollup(df, ["visit_occurrence_id", "person_id"], ["code"], max_items=10).collect()
-    big = [r for r in out if r.visit_occurrence_id == 1]
-    assert 2 <= len(big) <= 3 and sum(r.n_items for r in big) == 25
-    assert sorted(i.code for r in big for i in r["items"]) == [f"c{i:03d}" for i in range(25)]
+
+def test_large_visit_is_grouped_by_event(spark):
+    df = spark.range(300_000).selectExpr("1L AS visit_occurrence_id", "7L AS person_id", "CAST(id % 1000 AS STRING) AS code",
+                                         "'n' AS name")
+    rolled = R.rollup(df, R.KEYS, ["code", "name"])
+    assert rolled.count() == 1000 and {r.n for r in rolled.collect()} == {300}
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(visit_occurrence_id" in plan and "code" in plan.split("hashpartitioning(", 1)[1].split(")")[0]
+    counts = R.rollup_counts(rolled, R.KEYS)
+    both = counts.join(R.rollup_counts(rolled, R.KEYS, "again"), list(R.KEYS))
+    assert [tuple(r) for r in both.collect()] == [(1, 7, 300_000, 300_000)]
+
+
+def test_events_without_a_visit_are_kept(spark):
+    drugs = spark.createDataFrame([(None, 7, 1), (5, 8, 1)], "visit_occurrence_id long, person_id long, drug_concept_id long")
+    concept = spark.createDataFrame([(1, "c", "RxNorm")], "concept_id long, concept_name string, vocabulary_id string")
+    out = R.rollup_drugs(drugs, concept, cols=["drug_concept_id", "concept_name", "vocabulary_id"])
+    assert {tuple(r) for r in out.collect()} == {(None, 7, 1, "c", "RxNorm", 1), (5, 8, 1, "c", "RxNorm", 1)}
 
 
 def test_items_text(spark):
-    df = spark.createDataFrame([(1, 1, "a", None)], "visit_occurrence_id long, person_id long, code string, name string")
-    r = R.rollup(df, ["visit_occurrence_id", "person_id"], ["code", "name"])
-    assert r.select(R.items_text("items", ["code", "name"]).alias("t")).collect()[0].t == "a|"
+    df = spark.createDataFrame([(1, 1, "a", None)], EVENT)
+    r = R.collect_items(R.rollup(df, R.KEYS, ["code", "name"]), R.KEYS, ["code", "name"])
+    assert r.select(R.items_text("items", ["code", "name", "n"]).alias("t")).collect()[0].t == "a||1"
