@@ -157,7 +157,7 @@ def _packed(rows: DataFrame) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3).compress
         keys = batch.column("key").to_pylist()
         yield keys, batch.column("k").to_pylist(), [pack(b" ".join((t or b"").split())) for t in utf8(batch.column("t"))]
-    return _mapped(rows, "key long, k long, z binary", run)
+    return _mapped(rows, "key long, k long not null, z binary", run)
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -243,9 +243,10 @@ def _found(docs: DataFrame, window: int, text: str, key: str) -> DataFrame:
         yield (np.where(later, _spread(x, k), x48)[keep], x48[keep],
                pa.array(y48[keep], mask=later[keep]), k[keep])
 
+    # All three joins read the same columns of the packed texts, so Spark shuffles these once.
     level = _mapped(rows.select("k", "t"), counted, short)
-    level = _mapped(packed.join(_repeated(level), "k").select("k", "z", "places"), counted, half)
-    level = _mapped(packed.join(_repeated(level), "k").select("k", "z", "places"), "g long, h long, h2 long, k long", full)
+    level = _mapped(packed.join(_repeated(level), "k").select("key", "k", "z", "places"), counted, half)
+    level = _mapped(packed.join(_repeated(level), "k").select("key", "k", "z", "places"), "g long, h long, h2 long, k long", full)
     least = F.min("k").over(Window.partitionBy("g", "h2"))
     later = (level.withColumn("least", least).where("h2 is null or least < k")
              .groupBy("k").agg(F.collect_list("h").alias("later")))
