@@ -100,7 +100,7 @@ def count_by_type(df: DataFrame, keys: Sequence[str], type_col: str) -> DataFram
 
 
 def outcomes(visits: DataFrame, person: DataFrame, disposition: str = "discharge_to_source_value",
-             death: str = "death_date") -> DataFrame:
+             death: str = "death_datetime") -> DataFrame:
     """Per visit the disposition, death during or after the visit, length of stay."""
     from ..functions.dates import visit_length
     p = person.select("person_id", death)

@@ -14,6 +14,7 @@ Nothing is counted or collected; the frames stay lazy until written.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -28,16 +29,23 @@ from ..sources.files import read_parquet_table, write_table
 
 GRAINS = ("visit_occurrence_id", "person_id")
 
-PERSON_COLUMNS = ("person_id", "birth_date", "death_date", "gender_source_value", "race_source_value",
+PERSON_COLUMNS = ("person_id", "birth_datetime", "death_datetime", "gender_source_value", "race_source_value",
                   "ethnicity_source_value", "care_site_id", "location_id")
 VISIT_COLUMNS = ("person_id", "visit_occurrence_id", "visit_start_datetime", "visit_end_datetime")
 PAYER_COLUMNS = ("person_id", "payer_plan_period_start_date", "payer_plan_period_end_date",
                  "payer_source_value", "plan_source_value")
+SITE_COLUMNS = ("care_site_id", "care_site_name", "care_site_source_value", "place_of_service_source_value")
+LOCATION_COLUMNS = ("location_id", "address_1", "city", "state", "zip", "county", "country")
+
+
+def _present(df: DataFrame, wanted: Sequence[str], key: str) -> DataFrame:
+    """The wanted columns that a dimension table has; its key must be there."""
+    return df.select(key, *[c for c in wanted if c != key and c in df.columns])
 
 
 @dataclass
 class CohortTables:
-    """The five inputs of a demographic pull (already projected or not)."""
+    """The five inputs of a demographic pull, under their OMOP column names; extra columns are not read."""
 
     person: DataFrame
     visit_occurrence: DataFrame
@@ -65,6 +73,8 @@ def demographic_pull(
     as_of: dt.date | str = "2024-01-01",
     seed: int = 42,
     strict_end: bool = False,
+    site_columns: Sequence[str] = SITE_COLUMNS,
+    location_columns: Sequence[str] = LOCATION_COLUMNS,
 ) -> tuple[DataFrame, DataFrame]:
     """The demographic cohort at visit or person grain.
 
@@ -83,7 +93,7 @@ def demographic_pull(
     # People with their visits (J1). Orphan people (no visit) are kept.
     main = full_outer_join(visits, person, "person_id")
     if group_value == "visit_occurrence_id":
-        main = main.withColumn("age", age_at("visit_start_datetime", "birth_date"))
+        main = main.withColumn("age", age_at("visit_start_datetime", "birth_datetime"))
         insurance = (interval_join(visits.select("person_id", "visit_occurrence_id", "visit_start_datetime",
                                                  "visit_end_datetime"), payer, strict=strict_end)
                      .select("visit_occurrence_id", "payer_source_value", "plan_source_value")
@@ -92,22 +102,34 @@ def demographic_pull(
         # has its partner in ``main``; only null-id rows would be unmatched
         # under a full outer join. This keeps full-outer semantics without a
         # second shuffle of all visit ids.
-        main = main.join(insurance, on="visit_occurrence_id", how="left").unionByName(
-            insurance.where(F.col("visit_occurrence_id").isNull()), allowMissingColumns=True)
+        # People without a visit all carry a null visit id; they stay out of
+        # the join, where they would meet in one partition.
+        with_visit = main.where(F.col("visit_occurrence_id").isNotNull())
+        no_visit = main.where(F.col("visit_occurrence_id").isNull())
+        main = (with_visit.join(insurance, on="visit_occurrence_id", how="left")
+                .unionByName(no_visit, allowMissingColumns=True)
+                .unionByName(insurance.where(F.col("visit_occurrence_id").isNull()), allowMissingColumns=True))
     else:
-        main = main.withColumn("age", age_current("birth_date", "death_date", as_of))
+        main = main.withColumn("age", age_current("birth_datetime", "death_datetime", as_of))
         insurance = (latest_per_key(payer, "person_id", "payer_plan_period_start_date")
                      .select("person_id", "payer_source_value", "plan_source_value"))
-        main = full_outer_join(main, insurance, "person_id")
+        # The people of ``main`` are those of the two tables; reading their
+        # ids is cheaper than joining the tables again.
+        people = person.select("person_id").unionByName(visits.select("person_id"))
+        main = full_outer_join(main, insurance, "person_id", key_source=people)
 
     # Every person is in ``main`` (full outer join above) and later steps
     # only add rows with null site and location, so the non-null site and
     # location ids of ``main`` are those of ``person``: the orphan sites and
     # locations are found against the person table instead of computing
     # ``main`` again for its key set.
-    main = full_outer_join(main, tables.care_site, "care_site_id", key_source=person)
-    main = full_outer_join(main, tables.location, "location_id", key_source=person)
-    ordered = ["visit_occurrence_id", "person_id", "birth_date", "death_date", "gender_source_value",
+    # Only the dimensions' own columns are taken: a care site has a location
+    # of its own, which is not the person's.
+    site = _present(tables.care_site, site_columns, "care_site_id")
+    location = _present(tables.location, location_columns, "location_id")
+    main = full_outer_join(main, site, "care_site_id", key_source=person)
+    main = full_outer_join(main, location, "location_id", key_source=person)
+    ordered = ["visit_occurrence_id", "person_id", "birth_datetime", "death_datetime", "gender_source_value",
                "race_source_value", "ethnicity_source_value", "age", "visit_start_datetime",
                "visit_end_datetime", "visit_length", "payer_source_value", "plan_source_value"]
     rest = [c for c in main.columns if c not in ordered]

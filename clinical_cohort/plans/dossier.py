@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import age_fractional
 from ..operators.rollups import rollup_conditions, rollup_drugs, rollup_procedures
 
-PERSON_COLS = ("person_id", "birth_date", "death_date", "gender_source_value", "race_source_value",
+PERSON_COLS = ("person_id", "birth_datetime", "death_datetime", "gender_source_value", "race_source_value",
                "ethnicity_source_value")
 
 
@@ -22,7 +22,7 @@ def elderly(person: DataFrame, visits: DataFrame, min_age: float = 65) -> DataFr
     """visits of people aged ``min_age`` or more at the visit (fractional age)."""
     v = visits.select("visit_occurrence_id", "person_id", "visit_start_datetime")
     j = person.select(*PERSON_COLS).join(v, "person_id", "inner")
-    j = j.withColumn("age", age_fractional("visit_start_datetime", "birth_date"))
+    j = j.withColumn("age", age_fractional("visit_start_datetime", "birth_datetime"))
     return j.where(F.col("age") >= F.lit(float(min_age)))
 
 

@@ -61,9 +61,9 @@ def phenotype_table(r) -> DataFrame:
     fm = FE.feature_matrix(families(r), base=r.targets)
     nf = fm.groupBy("visit_occurrence_id").agg(F.sum("value").cast("bigint").alias("n_features"))
     v = r.visit_occurrence.select("visit_occurrence_id", "person_id", "visit_end_datetime")
-    p = r.person.select("person_id", "birth_date")
+    p = r.person.select("person_id", "birth_datetime")
     age = v.join(p, "person_id", "left").select("visit_occurrence_id",
-                                                age_by_year("visit_end_datetime", "birth_date").alias("age"))
+                                                age_by_year("visit_end_datetime", "birth_datetime").alias("age"))
     out = targets.join(age, "visit_occurrence_id", "left").join(nf, "visit_occurrence_id", "left")
     return out.select("visit_occurrence_id", "fulfilled", "urgent", "age",
                       F.coalesce("n_features", F.lit(0).cast("bigint")).alias("n_features"))

@@ -75,6 +75,19 @@ def q_lab_pull(spark, sf):
                               concept_filter=F.col("vocabulary_id") == LABS_VOCAB)
 
 
+_SOME_CODES = "measurement_concept_id % 7 = 3 AND measurement_concept_id < 200"
+
+
+@register("measurement_pull_codes", cte("measurement", "concept") + f"""
+SELECT m.visit_occurrence_id, m.measurement_source_value, {_MEASURE_AGGS}
+FROM measurement m JOIN concept c ON m.measurement_concept_id = c.concept_id
+WHERE {_SOME_CODES} GROUP BY 1, 2""")
+def q_measurement_pull_codes(spark, sf):
+    """the pull for an explicit list of concept codes."""
+    r = Roles(spark, sf)
+    return M.measurement_pull(r.measurement, r.concept, codes=[c for c in range(200) if c % 7 == 3])
+
+
 @register("measure_first_last_ties", cte("measurement") + """
 , b AS (SELECT visit_occurrence_id, measurement_source_value,
           min(measurement_datetime) AS f, max(measurement_datetime) AS l
@@ -93,24 +106,35 @@ def q_measure_first_last_ties(spark, sf):
     return M.measurement_first_last_ties(r.measurement)
 
 
+_SAMPLE_HASH = "md5(concat_ws('|', coalesce(CAST(visit_occurrence_id AS VARCHAR), ''), coalesce(CAST(measurement_source_value AS VARCHAR), ''), '42'))"
+
+
+@register("staged_measurement_sample", _pull_sql(VITALS_VOCAB).replace("SELECT m.visit", "SELECT * FROM (SELECT m.visit")
+          + f") ORDER BY {_SAMPLE_HASH}, visit_occurrence_id, measurement_source_value LIMIT 100")
+def q_staged_measurement_sample(spark, sf):
+    """The comparison frame, persisted and read back."""
+    return _staged(spark, sf)[1]
+
+
 @register("staged_measurement_pull", _pull_sql(VITALS_VOCAB))
 def q_staged_measurement_pull(spark, sf):
-    """The pull persisted as vitals_data / vitals_comp_data, read back."""
+    """The pull persisted as vitals_data, read back."""
+    return _staged(spark, sf)[0]
+
+
+def _staged(spark, sf):
+    import uuid
+
     from ..session import scratch_path
     from ..sources.files import read_parquet_table
     from .cohort import run_stage
-    import uuid
 
     r = Roles(spark, sf)
     main = M.measurement_pull(r.measurement, r.concept, codes=None,
                               concept_filter=F.col("vocabulary_id") == VITALS_VOCAB)
     comp = comparison_sample(main, 100, VISIT_KEYS)
     out = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-    main_path, _ = run_stage((main, comp), out, "vitals_data", "vitals_comp_data")
-    return read_parquet_table(spark, main_path)
-
-
-_SAMPLE_HASH = "md5(concat_ws('|', coalesce(CAST(visit_occurrence_id AS VARCHAR), ''), coalesce(CAST(measurement_source_value AS VARCHAR), ''), '42'))"
+    return tuple(read_parquet_table(spark, p) for p in run_stage((main, comp), out, "vitals_data", "vitals_comp_data"))
 
 
 @register("sample_bottom_k", cte("measurement") + f"""
@@ -128,13 +152,13 @@ def q_sample_bottom_k(spark, sf):
 # ---------------------------------------------------------------- joins
 
 @register("join_full_outer", cte("person", "visit_occurrence") + """
-SELECT person_id, v.visit_occurrence_id, v.visit_start_datetime, p.birth_date, p.gender_source_value
+SELECT person_id, v.visit_occurrence_id, v.visit_start_datetime, p.birth_datetime, p.gender_source_value
 FROM (SELECT person_id, visit_occurrence_id, visit_start_datetime FROM visit_occurrence) v
-FULL JOIN (SELECT person_id, birth_date, gender_source_value FROM person) p USING (person_id)""")
+FULL JOIN (SELECT person_id, birth_datetime, gender_source_value FROM person) p USING (person_id)""")
 def q_join_full_outer(spark, sf):
     r = Roles(spark, sf)
     v = r.visit_occurrence.select("person_id", "visit_occurrence_id", "visit_start_datetime")
-    p = r.person.select("person_id", "birth_date", "gender_source_value")
+    p = r.person.select("person_id", "birth_datetime", "gender_source_value")
     return J.join_tables(v, p, "person_id", "full")
 
 
@@ -168,12 +192,13 @@ SELECT location_id, care_site_id, x.person_id, x.gender_source_value, x.care_sit
 FROM (SELECT care_site_id, p.person_id, p.gender_source_value, p.location_id, c.care_site_name,
              c.place_of_service_source_value
       FROM (SELECT person_id, gender_source_value, care_site_id, location_id FROM person) p
-      FULL JOIN care_site c USING (care_site_id)) x
+      FULL JOIN (SELECT care_site_id, care_site_name, place_of_service_source_value FROM care_site) c USING (care_site_id)) x
 FULL JOIN location l USING (location_id)""")
 def q_join_dimension_chain(spark, sf):
     r = Roles(spark, sf)
     p = r.person.select("person_id", "gender_source_value", "care_site_id", "location_id")
-    return J.join_tables(J.join_tables(p, r.care_site, "care_site_id", "full"), r.location, "location_id", "full")
+    site = r.care_site.drop("location_id")
+    return J.join_tables(J.join_tables(p, site, "care_site_id", "full"), r.location, "location_id", "full")
 
 
 @register("join_concept_decode", cte("measurement", "concept") + """
@@ -207,26 +232,26 @@ def q_join_active_conditions(spark, sf):
 
 
 @register("join_birth_year", cte("visit_occurrence", "person") + """
-SELECT v.visit_occurrence_id, v.visit_end_datetime, CAST(year(p.birth_date) AS INTEGER) AS BirthYear
+SELECT v.visit_occurrence_id, v.visit_end_datetime, CAST(year(p.birth_datetime) AS INTEGER) AS BirthYear
 FROM visit_occurrence v JOIN person p ON v.person_id = p.person_id""")
 def q_join_birth_year(spark, sf):
     from ..functions.dates import birth_year
     r = Roles(spark, sf)
     v = r.visit_occurrence.select("visit_occurrence_id", "person_id", "visit_end_datetime")
-    return (v.join(r.person.select("person_id", "birth_date"), "person_id")
-             .select("visit_occurrence_id", "visit_end_datetime", birth_year("birth_date").alias("BirthYear")))
+    return (v.join(r.person.select("person_id", "birth_datetime"), "person_id")
+             .select("visit_occurrence_id", "visit_end_datetime", birth_year("birth_datetime").alias("BirthYear")))
 
 
 @register("join_all_by_column", cte("person", "visit_occurrence", "payer_plan_period") + """
-SELECT person_id, p.birth_date, p.gender_source_value, v.visit_occurrence_id,
+SELECT person_id, p.birth_datetime, p.gender_source_value, v.visit_occurrence_id,
        pp.payer_source_value
-FROM (SELECT person_id, birth_date, gender_source_value FROM person) p
+FROM (SELECT person_id, birth_datetime, gender_source_value FROM person) p
 FULL JOIN (SELECT person_id, visit_occurrence_id FROM visit_occurrence) v USING (person_id)
 FULL JOIN (SELECT person_id, payer_source_value FROM payer_plan_period) pp USING (person_id)""")
 def q_join_all_by_column(spark, sf):
     r = Roles(spark, sf)
     frames = {
-        "person": r.person.select("person_id", "birth_date", "gender_source_value"),
+        "person": r.person.select("person_id", "birth_datetime", "gender_source_value"),
         "visit_occurrence": r.visit_occurrence.select("person_id", "visit_occurrence_id"),
         "payer_plan_period": r.payer_plan_period.select("person_id", "payer_source_value"),
         "care_site": r.care_site,
@@ -255,19 +280,19 @@ _DEMO_VISIT_SQL = """
           FROM v JOIN payer_plan_period p ON v.person_id = p.person_id
            AND v.visit_start_datetime >= p.payer_plan_period_start_date
            AND CAST(v.visit_end_datetime AS DATE) <= p.payer_plan_period_end_date)
-, pv AS (SELECT * , CAST(floor(datediff('day', birth_date, visit_start_datetime) / 365.25) AS BIGINT) AS age
-         FROM v FULL JOIN (SELECT person_id, birth_date, death_date, gender_source_value, race_source_value,
+, pv AS (SELECT * , CAST(floor(datediff('day', birth_datetime, visit_start_datetime) / 365.25) AS BIGINT) AS age
+         FROM v FULL JOIN (SELECT person_id, birth_datetime, death_datetime, gender_source_value, race_source_value,
                                   ethnicity_source_value, care_site_id, location_id FROM person) pe USING (person_id))
 , m1 AS (SELECT * FROM pv FULL JOIN ins USING (visit_occurrence_id))
-, m2 AS (SELECT * FROM m1 FULL JOIN care_site USING (care_site_id))
-, demo AS (SELECT visit_occurrence_id, person_id, birth_date, death_date, gender_source_value, race_source_value,
+, m2 AS (SELECT * FROM m1 FULL JOIN (SELECT care_site_id, care_site_name, place_of_service_source_value FROM care_site) USING (care_site_id))
+, demo AS (SELECT visit_occurrence_id, person_id, birth_datetime, death_datetime, gender_source_value, race_source_value,
                   ethnicity_source_value, age, visit_start_datetime, visit_end_datetime, visit_length,
                   payer_source_value, plan_source_value, care_site_id, location_id, care_site_name,
                   place_of_service_source_value, state
            FROM m2 FULL JOIN location USING (location_id))
 """
 
-_DEMO_COLS = """visit_occurrence_id, person_id, birth_date, death_date, gender_source_value, race_source_value,
+_DEMO_COLS = """visit_occurrence_id, person_id, birth_datetime, death_datetime, gender_source_value, race_source_value,
   ethnicity_source_value, age, visit_start_datetime, visit_end_datetime, visit_length, payer_source_value,
   plan_source_value, care_site_id, location_id, care_site_name, place_of_service_source_value, state"""
 
@@ -279,6 +304,20 @@ def q_demographics_visit(spark, sf):
     return main
 
 
+def _bottom_k(hashed: str, columns: str, n: int = 100) -> str:
+    """ORDER BY and LIMIT of a comparison sample (X2): seeded hash of the key, then every column."""
+    order = ", ".join(f"{c.strip()} NULLS FIRST" for c in columns.split(","))
+    return f"ORDER BY md5(concat_ws('|', coalesce(CAST({hashed} AS VARCHAR), ''), '42')), {order} LIMIT {n}"
+
+
+@register("demographics_visit_sample", cte("person", "visit_occurrence", "payer_plan_period", "care_site", "location")
+          + _DEMO_VISIT_SQL + f"SELECT {_DEMO_COLS} FROM demo {_bottom_k('visit_occurrence_id', _DEMO_COLS)}")
+def q_demographics_visit_sample(spark, sf):
+    """The comparison frame of C1: of the unfiltered cohort."""
+    return demographic_pull(_tables(Roles(spark, sf)), "visit_occurrence_id", CohortFilter(age=COHORT_AGE),
+                            rand_sample_size=100)[1]
+
+
 @register("cohort_filters", cte("person", "visit_occurrence", "payer_plan_period", "care_site", "location")
           + _DEMO_VISIT_SQL + f"""SELECT {_DEMO_COLS} FROM demo
 WHERE age BETWEEN 30 AND 50 AND gender_source_value IN ('Female')
@@ -300,14 +339,14 @@ def q_cohort_filters(spark, sf):
 , ins AS (SELECT p.person_id, p.payer_source_value, p.plan_source_value FROM payer_plan_period p
           JOIN (SELECT person_id, max(payer_plan_period_start_date) AS d FROM payer_plan_period GROUP BY 1) m
             ON p.person_id = m.person_id AND p.payer_plan_period_start_date = m.d)
-, pv AS (SELECT *, CASE WHEN death_date IS NULL
-                        THEN CAST(floor(datediff('day', birth_date, DATE '2024-01-01') / 365.25) AS BIGINT)
-                        ELSE CAST(floor(datediff('day', birth_date, death_date) / 365.25) AS BIGINT) END AS age
-         FROM v FULL JOIN (SELECT person_id, birth_date, death_date, gender_source_value, race_source_value,
+, pv AS (SELECT *, CASE WHEN death_datetime IS NULL
+                        THEN CAST(floor(datediff('day', birth_datetime, DATE '2024-01-01') / 365.25) AS BIGINT)
+                        ELSE CAST(floor(datediff('day', birth_datetime, death_datetime) / 365.25) AS BIGINT) END AS age
+         FROM v FULL JOIN (SELECT person_id, birth_datetime, death_datetime, gender_source_value, race_source_value,
                                   ethnicity_source_value, care_site_id, location_id FROM person) pe USING (person_id))
 , m1 AS (SELECT * FROM pv FULL JOIN ins USING (person_id))
-, m2 AS (SELECT * FROM m1 FULL JOIN care_site USING (care_site_id))
-SELECT visit_occurrence_id, person_id, birth_date, death_date, gender_source_value, race_source_value,
+, m2 AS (SELECT * FROM m1 FULL JOIN (SELECT care_site_id, care_site_name, place_of_service_source_value FROM care_site) USING (care_site_id))
+SELECT visit_occurrence_id, person_id, birth_datetime, death_datetime, gender_source_value, race_source_value,
   ethnicity_source_value, age, visit_start_datetime, visit_end_datetime, visit_length, payer_source_value,
   plan_source_value, care_site_id, location_id, care_site_name, place_of_service_source_value, state
 FROM m2 FULL JOIN location USING (location_id)""")

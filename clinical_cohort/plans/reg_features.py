@@ -93,7 +93,7 @@ def q_observation_counts(spark, sf):
 
 @register("outcomes", cte("visit_occurrence", "person") + """
 SELECT v.visit_occurrence_id, v.person_id, v.discharge_to_source_value AS disposition,
-  CASE WHEN p.death_date IS NULL THEN 0 WHEN p.death_date >= CAST(v.visit_start_datetime AS DATE) THEN 1 ELSE 0 END AS died,
+  CASE WHEN p.death_datetime IS NULL THEN 0 WHEN p.death_datetime >= CAST(v.visit_start_datetime AS DATE) THEN 1 ELSE 0 END AS died,
   datediff('second', v.visit_start_datetime, v.visit_end_datetime) AS length_of_stay
 FROM visit_occurrence v LEFT JOIN person p ON v.person_id = p.person_id""")
 def q_outcomes(spark, sf):
@@ -102,17 +102,17 @@ def q_outcomes(spark, sf):
 
 
 @register("filter_age_floor", cte("person", "visit_occurrence") + """
-SELECT DISTINCT p.person_id, p.birth_date, p.death_date, p.gender_source_value, p.race_source_value,
-  p.ethnicity_source_value, datediff('day', p.birth_date, v.visit_start_datetime) / 365.25 AS age
+SELECT DISTINCT p.person_id, p.birth_datetime, p.death_datetime, p.gender_source_value, p.race_source_value,
+  p.ethnicity_source_value, datediff('day', p.birth_datetime, v.visit_start_datetime) / 365.25 AS age
 FROM person p JOIN visit_occurrence v ON p.person_id = v.person_id
-WHERE datediff('day', p.birth_date, v.visit_start_datetime) / 365.25 >= 65""")
+WHERE datediff('day', p.birth_datetime, v.visit_start_datetime) / 365.25 >= 65""")
 def q_filter_age_floor(spark, sf):
     from .dossier import elderly
     r = Roles(spark, sf)
     return elderly(r.person, r.visit_occurrence).drop("visit_occurrence_id", "visit_start_datetime").distinct()
 
 
-_BASE_COLS = ["visit_occurrence_id", "person_id", "birth_date", "death_date", "gender_source_value", "race_source_value",
+_BASE_COLS = ["visit_occurrence_id", "person_id", "birth_datetime", "death_datetime", "gender_source_value", "race_source_value",
               "ethnicity_source_value", "age"]
 _EVENT_COLS = list(dict.fromkeys([*R.CONDITION_COLS, *R.PROCEDURE_COLS, *R.DRUG_COLS]))
 
@@ -126,11 +126,11 @@ def _dossier_sql(kind: str, src: str, fields) -> str:
 
 @register("patient_dossier", cte("person", "visit_occurrence", "condition_occurrence", "procedure_occurrence",
                                  "drug_exposure", "concept") + f"""
-, base AS (SELECT v.visit_occurrence_id, p.person_id, p.birth_date, p.death_date, p.gender_source_value,
+, base AS (SELECT v.visit_occurrence_id, p.person_id, p.birth_datetime, p.death_datetime, p.gender_source_value,
              p.race_source_value, p.ethnicity_source_value,
-             datediff('day', p.birth_date, v.visit_start_datetime) / 365.25 AS age
+             datediff('day', p.birth_datetime, v.visit_start_datetime) / 365.25 AS age
            FROM person p JOIN visit_occurrence v ON p.person_id = v.person_id
-           WHERE datediff('day', p.birth_date, v.visit_start_datetime) / 365.25 >= 65)
+           WHERE datediff('day', p.birth_datetime, v.visit_start_datetime) / 365.25 >= 65)
 SELECT {', '.join(_BASE_COLS)}, 'visit' AS kind, {', '.join(f'NULL AS {f}' for f in _EVENT_COLS)}, 1 AS n FROM base
 UNION ALL BY NAME {_dossier_sql('condition', _COND_SRC, R.CONDITION_COLS)}
 UNION ALL BY NAME {_dossier_sql('procedure', _PROC_SRC, R.PROCEDURE_COLS)}
@@ -322,11 +322,11 @@ def q_fn_code_prefix(spark, sf):
 @register("phenotype_table", _FM_CTE + _ALL_FAMILIES_SQL + _TARGETS_SQL.replace("\n, t AS", ", t AS") + """
 , vis AS (SELECT o_orderkey AS visit_occurrence_id, o_custkey AS person_id,
           CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate + INTERVAL '1' HOUR * CAST(o_orderkey % 100 AS INT) END AS visit_end_datetime
-          FROM orders)
-, per AS (SELECT c_custkey AS person_id, DATE '1930-01-01' + CAST(c_custkey * 7919 % 25000 AS INT) AS birth_date FROM customer)
+          FROM orders WHERE o_custkey % 9 <> 0)
+, per AS (SELECT c_custkey AS person_id, DATE '1930-01-01' + CAST(c_custkey * 7919 % 25000 AS INT) AS birth_datetime FROM customer)
 , nf AS (SELECT visit_occurrence_id, CAST(sum(value) AS BIGINT) AS n_features FROM fm GROUP BY 1)
 SELECT t.visit_occurrence_id, CAST(t.fulfilled AS INT) AS fulfilled, CAST(t.urgent AS INT) AS urgent,
-       CAST(year(vis.visit_end_datetime) - year(per.birth_date) AS INTEGER) AS age, coalesce(nf.n_features, 0) AS n_features
+       CAST(year(vis.visit_end_datetime) - year(per.birth_datetime) AS INTEGER) AS age, coalesce(nf.n_features, 0) AS n_features
 FROM t LEFT JOIN vis ON t.visit_occurrence_id = vis.visit_occurrence_id
 LEFT JOIN per ON vis.person_id = per.person_id
 LEFT JOIN nf ON t.visit_occurrence_id = nf.visit_occurrence_id""")

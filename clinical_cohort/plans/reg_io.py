@@ -58,7 +58,7 @@ def q_io_tables_with_column(spark, sf):
     return CAT.tables_with_column(CAT.read_catalog(spark, tables), "doc_id")
 
 
-_PERSON_SCHEMA = ("person_id BIGINT, birth_date DATE, death_date DATE, gender_source_value STRING, "
+_PERSON_SCHEMA = ("person_id BIGINT, birth_datetime DATE, death_datetime DATE, gender_source_value STRING, "
                   "race_source_value STRING, ethnicity_source_value STRING, care_site_id BIGINT, location_id BIGINT")
 
 
@@ -310,32 +310,32 @@ def _vp(r):
 
 
 @register("fn_age_at_visit", cte("visit_occurrence", "person") + f"""
-SELECT v.visit_occurrence_id, CAST(floor(datediff('day', p.birth_date, v.visit_start_datetime) / 365.25) AS BIGINT) AS age {_VP}""")
+SELECT v.visit_occurrence_id, CAST(floor(datediff('day', p.birth_datetime, v.visit_start_datetime) / 365.25) AS BIGINT) AS age {_VP}""")
 def q_fn_age_at_visit(spark, sf):
     return _vp(Roles(spark, sf)).select("visit_occurrence_id",
-                                        D.age_at("visit_start_datetime", "birth_date").alias("age"))
+                                        D.age_at("visit_start_datetime", "birth_datetime").alias("age"))
 
 
 @register("fn_age_current", cte("person") + """
-SELECT person_id, CASE WHEN death_date IS NULL THEN CAST(floor(datediff('day', birth_date, DATE '2024-01-01') / 365.25) AS BIGINT)
-  ELSE CAST(floor(datediff('day', birth_date, death_date) / 365.25) AS BIGINT) END AS age FROM person""")
+SELECT person_id, CASE WHEN death_datetime IS NULL THEN CAST(floor(datediff('day', birth_datetime, DATE '2024-01-01') / 365.25) AS BIGINT)
+  ELSE CAST(floor(datediff('day', birth_datetime, death_datetime) / 365.25) AS BIGINT) END AS age FROM person""")
 def q_fn_age_current(spark, sf):
     p = Roles(spark, sf).person
-    return p.select("person_id", D.age_current("birth_date", "death_date", "2024-01-01").alias("age"))
+    return p.select("person_id", D.age_current("birth_datetime", "death_datetime", "2024-01-01").alias("age"))
 
 
 @register("fn_age_fractional", cte("visit_occurrence", "person") + f"""
-SELECT v.visit_occurrence_id, round(datediff('day', p.birth_date, v.visit_start_datetime) / 365.25, 6) AS age {_VP}""")
+SELECT v.visit_occurrence_id, round(datediff('day', p.birth_datetime, v.visit_start_datetime) / 365.25, 6) AS age {_VP}""")
 def q_fn_age_fractional(spark, sf):
     return _vp(Roles(spark, sf)).select(
-        "visit_occurrence_id", F.round(D.age_fractional("visit_start_datetime", "birth_date"), 6).alias("age"))
+        "visit_occurrence_id", F.round(D.age_fractional("visit_start_datetime", "birth_datetime"), 6).alias("age"))
 
 
 @register("fn_age_by_year", cte("visit_occurrence", "person") + f"""
-SELECT v.visit_occurrence_id, CAST(year(v.visit_end_datetime) - year(p.birth_date) AS INTEGER) AS age {_VP}""")
+SELECT v.visit_occurrence_id, CAST(year(v.visit_end_datetime) - year(p.birth_datetime) AS INTEGER) AS age {_VP}""")
 def q_fn_age_by_year(spark, sf):
     return _vp(Roles(spark, sf)).select("visit_occurrence_id",
-                                        D.age_by_year("visit_end_datetime", "birth_date").alias("age"))
+                                        D.age_by_year("visit_end_datetime", "birth_datetime").alias("age"))
 
 
 @register("fn_to_date", cte("visit_occurrence") + """
@@ -352,7 +352,7 @@ def q_fn_to_date(spark, sf):
 @register("fn_percent_text", cte("person") + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"Column\", CAST(round(CAST(count_if({c} IS NULL OR CAST({c} AS VARCHAR) = '') AS DOUBLE) * 100.0 "
     f"/ count(*), 6) AS VARCHAR) || '%' AS NullPercentage FROM person"
-    for c in ("ethnicity_source_value", "death_date", "gender_source_value")))
+    for c in ("ethnicity_source_value", "death_datetime", "gender_source_value")))
 def q_fn_percent_text(spark, sf):
-    n = Q.null_percentage(Roles(spark, sf).person, ["ethnicity_source_value", "death_date", "gender_source_value"])
+    n = Q.null_percentage(Roles(spark, sf).person, ["ethnicity_source_value", "death_datetime", "gender_source_value"])
     return n.select("Column", Q.percent_text(F.col("NullPercentage")).alias("NullPercentage"))

@@ -10,7 +10,7 @@ from .quality_report import cohort_quality_report
 from .registry import register
 from .roles import Roles, cte
 
-PERSON_COLS = ["person_id", "birth_date", "death_date", "gender_source_value", "race_source_value",
+PERSON_COLS = ["person_id", "birth_datetime", "death_datetime", "gender_source_value", "race_source_value",
                "ethnicity_source_value", "care_site_id", "location_id"]
 CATEGORICAL = ["gender_source_value", "race_source_value", "ethnicity_source_value", "care_site_id"]
 NUMERIC = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
@@ -97,8 +97,8 @@ def q_regex_mismatch(spark, sf):
 
 
 # Spark type names and kinds of the person role (fixed by the role view).
-_PERSON_TYPES = [("person_id", "bigint", "numerical"), ("birth_date", "date", "date"),
-                 ("death_date", "date", "date"), ("gender_source_value", "string", "string"),
+_PERSON_TYPES = [("person_id", "bigint", "numerical"), ("birth_datetime", "date", "date"),
+                 ("death_datetime", "date", "date"), ("gender_source_value", "string", "string"),
                  ("race_source_value", "string", "string"), ("ethnicity_source_value", "string", "string"),
                  ("care_site_id", "bigint", "numerical"), ("location_id", "bigint", "numerical")]
 
@@ -224,7 +224,7 @@ def q_fdr_scores(spark, sf):
 
 
 _PROFILE_NUM = ["care_site_id", "location_id"]
-_PROFILE_CAT = ["gender_source_value", "race_source_value", "ethnicity_source_value", "birth_date"]
+_PROFILE_CAT = ["gender_source_value", "race_source_value", "ethnicity_source_value", "birth_datetime"]
 
 
 def _profile_sql() -> str:

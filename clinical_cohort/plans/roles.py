@@ -39,13 +39,13 @@ ROLES: dict[str, RoleSpec] = {
         "customer",
         (
             "c_custkey AS person_id",
-            "DATE '1930-01-01' + CAST(c_custkey * 7919 % 25000 AS INT) AS birth_date",
-            "CASE WHEN c_custkey % 11 = 0 THEN DATE '2003-01-01' + CAST(c_custkey % 300 AS INT) END AS death_date",
+            "DATE '1930-01-01' + CAST(c_custkey * 7919 % 25000 AS INT) AS birth_datetime",
+            "CASE WHEN c_custkey % 11 = 0 THEN DATE '2003-01-01' + CAST(c_custkey % 300 AS INT) END AS death_datetime",
             "CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender_source_value",
             "c_mktsegment AS race_source_value",
             "CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN '' ELSE 'Non-Hispanic' END AS ethnicity_source_value",
-            "CAST(c_nationkey AS BIGINT) AS care_site_id",
-            "CAST(c_nationkey % 5 AS BIGINT) AS location_id",
+            "CASE WHEN c_custkey % 13 <> 0 AND c_nationkey < 20 THEN CAST(c_nationkey AS BIGINT) END AS care_site_id",
+            "CASE WHEN c_nationkey % 5 <> 4 THEN CAST(c_nationkey % 5 AS BIGINT) END AS location_id",
         ),
     ),
     "visit_occurrence": RoleSpec(
@@ -57,6 +57,7 @@ ROLES: dict[str, RoleSpec] = {
             "CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate + INTERVAL '1' HOUR * CAST(o_orderkey % 100 AS INT) END AS visit_end_datetime",
             "o_orderstatus AS discharge_to_source_value",
         ),
+        where="o_custkey % 9 <> 0",  # these people have events and insurance but no visit
     ),
     "payer_plan_period": RoleSpec(
         "orders",
@@ -76,6 +77,7 @@ ROLES: dict[str, RoleSpec] = {
             "CAST(n_nationkey AS BIGINT) AS care_site_id",
             "n_name AS care_site_name",
             "CAST(n_regionkey AS STRING) AS place_of_service_source_value",
+            "CAST(n_regionkey AS BIGINT) AS location_id",
         ),
     ),
     "location": RoleSpec(

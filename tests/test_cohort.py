@@ -10,7 +10,7 @@ def _tables(spark):
     person = spark.createDataFrame(
         [(1, dt.date(1950, 6, 1), None, "Male", "r", "e", 10, 100), (2, dt.date(1980, 1, 1), dt.date(2020, 1, 1),
                                                                       "Female", "r", "e", 11, 101)],
-        "person_id long, birth_date date, death_date date, gender_source_value string, race_source_value string, "
+        "person_id long, birth_datetime date, death_datetime date, gender_source_value string, race_source_value string, "
         "ethnicity_source_value string, care_site_id long, location_id long")
     visits = spark.createDataFrame(
         [(1, 1, dt.datetime(2000, 7, 1), dt.datetime(2000, 7, 2)), (1, 2, dt.datetime(2010, 7, 1), dt.datetime(2010, 7, 1, 5))],
