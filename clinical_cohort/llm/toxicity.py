@@ -117,8 +117,8 @@ def _shared(grams: DataFrame, order: int) -> DataFrame:
     counts = {order: grams.select(F.col("gram").alias("s"))}
     for k in range(order - 1, 0, -1):
         counts[k] = counts[k + 1].groupBy(F.substring("s", 2, k).alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts[1].agg(F.sum("n").alias("total"))
-    p = counts[1].join(F.broadcast(total)).select("s", (F.col("n") / F.col("total")).alias("p"))  # one row
+    total = counts[1].agg(F.sum("n")).first()[0]
+    p = counts[1].select("s", (F.col("n") / F.lit(total)).alias("p"))
     for k in range(2, order):
         h = F.substring("s", 1, k - 1)
         context = counts[k].groupBy(h.alias("h")).agg(F.sum("n").alias("sum"), F.count(F.lit(1)).alias("types"))
@@ -250,7 +250,8 @@ def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_shared: in
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     marks = labels.where(F.col(label).isNotNull() & (fold(F.col(key)) != 0)).select(
         F.col(key).alias("k"), (F.col(label) != 0).cast("int").alias("toxic"))
-    train = rows.where(fold(F.col("k")) != 0).join(marks, "k")
+    # A merge join at every size: labels grow with the documents and are never broadcast.
+    train = rows.where(fold(F.col("k")) != 0).join(marks.hint("merge"), "k")
     counted = saved(count(train.where(fold(F.col("k")) != 1), order), "grams")
     table = saved(model(counted, order), "differences")
     known = differences(train.where(fold(F.col("k")) == 1), table, order, max_shared)
