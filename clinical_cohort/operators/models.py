@@ -1,10 +1,9 @@
 """Model-based selection, tree training, prediction, calibration, rules.
 
-scikit-learn on one machine is replaced by Spark ML estimators. Models see a
-bounded number of columns: the long feature table is pivoted only over an
-explicit, already selected feature list (at most a few hundred names) and
-assembled into vectors. Only model coefficients and importances (one number
-per selected feature) reach the driver.
+scikit-learn on one machine is replaced by Spark ML estimators. The long
+feature table becomes one sparse vector per row (no pivot), over all feature
+names. Names, coefficients and importances (one each per feature) reach the
+driver; rows never do.
 """
 
 from __future__ import annotations
@@ -12,10 +11,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -27,18 +25,32 @@ from ..session import scratch_path
 KEY = "visit_occurrence_id"
 
 
-def design_matrix(features: DataFrame, labels: DataFrame, names: Sequence[str], key: str = KEY,
-                  label: str = "label") -> DataFrame:
-    """(key, label, split?, features vector) over the listed feature names (0 when absent)."""
-    names = list(names)
-    wide = features.where(F.col("feature").isin(names)).groupBy(key).pivot("feature", names).agg(F.sum("value"))
-    base = labels.join(wide, key, "left")
-    cols = [F.coalesce(F.col("`" + n.replace("`", "``") + "`").cast("double"), F.lit(0.0)).alias(f"f{i}")
-            for i, n in enumerate(names)]
-    keep = [c for c in labels.columns]
-    df = base.select(*keep, *cols)
-    return VectorAssembler(inputCols=[f"f{i}" for i in range(len(names))], outputCol="features").transform(df) \
-        .select(*keep, "features")
+def feature_names(features: DataFrame) -> list[str]:
+    """All feature names, sorted: the columns of the matrix."""
+    return [r["feature"] for r in features.select("feature").distinct().orderBy("feature").collect()]
+
+
+def design_matrix(features: DataFrame, labels: DataFrame, names: Sequence[str], numeric: Sequence[str] = (),
+                  key: str = KEY) -> DataFrame:
+    """``labels`` with ``features``, a sparse 0/1 vector over ``names``, then its own ``numeric`` columns (null: 0).
+
+    A row's present features are gathered in one array, as long as the row has
+    features; the vector is built from the vocabulary on the JVM.
+    """
+    present = (features.where(F.col("value") > 0).groupBy(key)
+               .agg(F.collect_set("feature").alias("_present")))
+    base = labels.join(present, key, "left").withColumn(
+        "_present", F.coalesce("_present", F.array().cast("array<string>")))
+    vectors = CountVectorizerModel.from_vocabulary(list(names), inputCol="_present", outputCol="_sparse")
+    vectors.setBinary(True)
+    out = vectors.transform(base)
+    kept = [c for c in labels.columns if c not in numeric]
+    if not numeric:
+        return out.select(*kept, F.col("_sparse").alias("features"))
+    filled = out.select(*kept, "_sparse", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_n{i}")
+                                            for i, c in enumerate(numeric)])
+    joined = VectorAssembler(inputCols=["_sparse", *[f"_n{i}" for i in range(len(numeric))]], outputCol="features")
+    return joined.transform(filled).select(*kept, "features")
 
 
 def _selected(spark: SparkSession, names: Sequence[str], weights: Sequence[float], k: int,
@@ -51,9 +63,9 @@ def _selected(spark: SparkSession, names: Sequence[str], weights: Sequence[float
 def l1_select(train: DataFrame, names: Sequence[str], k: int, C: float = 0.2, threshold: float = 1e-5,
               label: str = "label") -> DataFrame:
     """L4: L1-penalised logistic regression; features with |coef| > threshold, at most k."""
-    n = train.count()
+    n = train.count()  # scikit-learn's C is a penalty on the sum over rows, Spark's on the mean
     model = LogisticRegression(labelCol=label, elasticNetParam=1.0, regParam=1.0 / (C * max(n, 1)),
-                               maxIter=100).fit(train)
+                               maxIter=100, standardization=False).fit(train)
     coefs = model.coefficients.toArray()
     return _selected(train.sparkSession, names, coefs, k, lambda w: abs(w) > threshold)
 
@@ -61,13 +73,12 @@ def l1_select(train: DataFrame, names: Sequence[str], k: int, C: float = 0.2, th
 def rfe_select(train: DataFrame, names: Sequence[str], k: int, C: float = 0.3, step: int = 10,
                label: str = "label") -> DataFrame:
     """L3: recursive elimination - refit, drop the ``step`` smallest |coef| until k remain."""
-    from pyspark.ml.feature import VectorSlicer
     n = train.count()
     current = list(range(len(names)))
     while len(current) > k:
         sliced = VectorSlicer(inputCol="features", outputCol="_f", indices=current).transform(train)
         model = LogisticRegression(labelCol=label, featuresCol="_f", elasticNetParam=1.0,
-                                   regParam=1.0 / (C * max(n, 1)), maxIter=100).fit(sliced)
+                                   regParam=1.0 / (C * max(n, 1)), maxIter=100, standardization=False).fit(sliced)
         coefs = model.coefficients.toArray()
         drop = min(step, len(current) - k)
         order = sorted(range(len(current)), key=lambda i: (abs(coefs[i]), names[current[i]]))
@@ -76,26 +87,23 @@ def rfe_select(train: DataFrame, names: Sequence[str], k: int, C: float = 0.3, s
     return train.sparkSession.createDataFrame([(names[i], 1.0) for i in current], "feature string, weight double")
 
 
-def forest_select(train: DataFrame, names: Sequence[str], k: int, n_trees: int = 300, seed: int = 42,
+def _at_mean(spark: SparkSession, names: Sequence[str], importances, k: int) -> DataFrame:
+    mean = float(importances.mean()) if len(importances) else 0.0
+    return _selected(spark, names, importances, k, lambda w: w >= mean and w > 0)
+
+
+def forest_select(train: DataFrame, names: Sequence[str], k: int, n_trees: int = 300, max_depth: int = 5, seed: int = 42,
                   label: str = "label") -> DataFrame:
     """Random-forest importances at or above their mean, at most k."""
-    model = RandomForestClassifier(labelCol=label, numTrees=n_trees, seed=seed).fit(train)
-    imp = model.featureImportances.toArray()
-    mean = float(imp.mean()) if len(imp) else 0.0
-    return _selected(train.sparkSession, names, imp, k, lambda w: w >= mean and w > 0)
+    model = RandomForestClassifier(labelCol=label, numTrees=n_trees, maxDepth=max_depth, seed=seed).fit(train)
+    return _at_mean(train.sparkSession, names, model.featureImportances.toArray(), k)
 
 
-def gbt_select(train: DataFrame, names: Sequence[str], k: int, max_iter: int = 500, seed: int = 42,
+def gbt_select(train: DataFrame, names: Sequence[str], k: int, max_iter: int = 500, max_depth: int = 6, seed: int = 42,
                label: str = "label") -> DataFrame:
-    """Boosted-tree importances, non-zero ones, at most k."""
-    model = GBTClassifier(labelCol=label, maxIter=max_iter, seed=seed).fit(train)
-    imp = model.featureImportances.toArray()
-    return _selected(train.sparkSession, names, imp, k, lambda w: w > 0)
-
-
-def tree_grid(depths=(2, 3, 4, 5), max_features=(50, 100, 150), min_leaf=(11, 13, 15)):
-    """The reference's grid shape: depth x features per split x minimum leaf size."""
-    return depths, max_features, min_leaf
+    """Boosted-tree importances at or above their mean, at most k."""
+    model = GBTClassifier(labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=seed).fit(train)
+    return _at_mean(train.sparkSession, names, model.featureImportances.toArray(), k)
 
 
 def tree_cv(train: DataFrame, depths: Sequence[int], max_features: Sequence[int], min_leaf: Sequence[int],
@@ -154,13 +162,11 @@ def tree_rules(spark: SparkSession, tree_model, names: Sequence[str]) -> DataFra
                          F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("threshold"))
     depth = nodes.where(F.col("node") == 0).select("node", F.lit(0).alias("depth"))
     level = depth
-    for d in range(1, 64):
-        children = (level.join(nodes, "node").select(F.explode(F.array("leftChild", "rightChild")).alias("node"))
-                         .where(F.col("node") >= 0).select("node", F.lit(d).alias("depth")))
-        if children.limit(1).count() == 0:
-            break
-        depth = depth.unionByName(children)
-        level = children
+    tree = tree_model.trees[0] if hasattr(tree_model, "trees") else tree_model
+    for d in range(1, tree.depth + 1):
+        level = (level.join(nodes, "node").select(F.explode(F.array("leftChild", "rightChild")).alias("node"))
+                      .where(F.col("node") >= 0).select("node", F.lit(d).alias("depth")))
+        depth = depth.unionByName(level)
     names_df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "feature_index int, feature string")
     out = nodes.join(depth, "node").join(names_df, "feature_index", "left")
     leaf = F.col("leftChild") < 0
@@ -168,7 +174,3 @@ def tree_rules(spark: SparkSession, tree_model, names: Sequence[str]) -> DataFra
                       F.when(~leaf, F.col("threshold")).alias("threshold"),
                       F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
                       "prediction", leaf.alias("leaf"))
-
-
-def fit_pipeline(train: DataFrame, stages) -> object:
-    return Pipeline(stages=list(stages)).fit(train)

@@ -69,18 +69,35 @@ def best_features(scores: DataFrame, n: int, target: str = "target", score: str
 
 
 def stratified_split(df: DataFrame, label: str, keys: Sequence[str], fractions=(0.8, 0.1, 0.1),
-                     seed: int = 42) -> DataFrame:
-    """Assign ``split`` in {train, validation, test}.
-
-    A row's split comes from a seeded hash of its key mapped to [0, 1): no
-    shuffle, independent of partitioning and reproducible. Because the hash
-    is independent of the label, every class is cut in the same shares (up
-    to sampling noise), which is what stratification asks for.
-    ``label`` is kept in the signature for the caller's per-class checks.
+                     seed: int = 42, ranges: int = 4096) -> DataFrame:
+    """Assign ``split`` in {train, validation, test}, with each class cut in the same shares.
+
+    Within a class rows are ranked by a seeded hash of their key (ties by the
+    key); the first round(n * a) go to train, up to round(n * (a + b)) to
+    validation. Ranks need no sort of a whole class: rows are counted per class
+    and hash range (a small table), a range before a cut belongs to one split
+    as a whole, and only the two ranges that hold a cut are ranked row by row.
     """
-    del label
     h = seeded_hash(keys, seed)
-    u = F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))
+    rows = df.withColumn("_h", h).withColumn(
+        "_r", F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") * ranges / 2.0 ** 32).cast("int"))
+    counts = rows.groupBy(F.col(label).alias("_c"), F.col("_r").alias("_r2")).agg(F.count(F.lit(1)).alias("_n"))
+    by_class = Window.partitionBy("_c")
+    sums = (counts.withColumn("_before", F.sum("_n").over(by_class.orderBy("_r2")) - F.col("_n"))
+                  .withColumn("_total", F.sum("_n").over(by_class)))
     a, b = fractions[0], fractions[0] + fractions[1]
-    split = F.when(u < a, "train").when(u < b, "validation").otherwise("test")
-    return df.withColumn("split", split)
+    cuts = sums.withColumn("_a", F.round(F.col("_total") * F.lit(a))).withColumn("_b", F.round(F.col("_total") * F.lit(b)))
+    end = F.col("_before") + F.col("_n")
+
+    def holds(cut: str):
+        return (F.col("_before") < F.col(cut)) & (F.col(cut) < end)
+
+    cuts = cuts.withColumn("_cut", holds("_a") | holds("_b"))
+    placed = rows.join(cuts, rows[label].eqNullSafe(cuts["_c"]) & (rows["_r"] == cuts["_r2"]))
+    order = [F.col("_h"), *[F.col(k) for k in keys]]
+    split = lambda rank: (F.when(rank <= F.col("_a"), "train").when(rank <= F.col("_b"), "validation")
+                          .otherwise("test"))
+    whole = placed.where(~F.col("_cut")).select(*df.columns, split(end).alias("split"))
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_c", "_r").orderBy(*order))
+    inside = placed.where("_cut").withColumn("_rank", rank).select(*df.columns, split(F.col("_rank")).alias("split"))
+    return whole.unionByName(inside)

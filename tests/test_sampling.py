@@ -19,7 +19,15 @@ def test_split_disjoint_cover_and_shares(spark):
     assert sum(counts.values()) == 20000
     for y in (0, 1):
         tot = sum(v for (yy, _), v in counts.items() if yy == y)
-        assert abs(counts[(y, "train")] / tot - 0.8) < 0.03
+        assert [abs(counts[(y, n)] - tot * f) < 1 for n, f in (("train", 0.8), ("validation", 0.1), ("test", 0.1))] == [True] * 3
+
+
+def test_stratified_split_of_a_rare_class(spark):
+    df = spark.range(200).selectExpr("id", "CAST(id < 10 AS INT) AS y")
+    for ranges in (1, 4, 4096):
+        got = {(r.y, r.split): r["count"] for r in S.stratified_split(df, "y", ["id"], ranges=ranges).groupBy("y", "split").count().collect()}
+        assert got == {(0, "train"): 152, (0, "validation"): 19, (0, "test"): 19,
+                       (1, "train"): 8, (1, "validation"): 1, (1, "test"): 1}
 
 
 def test_rank_and_best_features(spark):
