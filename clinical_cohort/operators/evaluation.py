@@ -27,9 +27,9 @@ def _r6(c: Column) -> Column:
 
 
 def distinct_scores(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """(score, pos, neg) - positives and negatives per distinct score."""
+    """(score, pos, neg) - positives and negatives per distinct score; rows without a label are left out."""
     y = F.col(label).cast("int")
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    return df.where(y.isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(y == 1, 0).otherwise(1)).cast("bigint").alias("neg"))
 

@@ -110,11 +110,6 @@ def apply_cohort_filters(df: DataFrame, flt: CohortFilter | None) -> DataFrame:
     return filter_by_map(df, flt.care_site)
 
 
-def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """column projection (pruned down to the scan by Catalyst)."""
-    return df.select(*columns)
-
-
 def contains_any(column: str | Column, needles: Sequence[str]) -> Column:
     c = F.col(column) if isinstance(column, str) else column
     return reduce(lambda a, b: a | b, [c.contains(n) for n in _as_list(needles)])

@@ -21,9 +21,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import read_parquet_table
+
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -116,11 +118,12 @@ def interval_join(
             F.struct(F.min("_bin").alias("lo"), F.max("_bin").alias("hi"))).scalar()
         # The range subquery is referenced once, so it runs once.
         clip = periods.select("*", rng.alias("_rng"))
-        clip = clip.select(*periods.columns,
+        # Without any valid event the range is null, and periods need no bins.
+        clip = clip.select(*periods.columns, F.col("_rng.lo").isNotNull().alias("_any"),
                            F.greatest(_day_bin(F.col(period_start), bin_days), F.col("_rng.lo")).alias("_lo"),
                            F.least(_day_bin(F.col(period_end), bin_days), F.col("_rng.hi")).alias("_hi"))
         lo, hi = F.col("_lo"), F.col("_hi")
-        bins = F.concat(F.coalesce(F.when(lo <= hi, F.sequence(lo, hi)), F.array().cast("array<bigint>")),
+        bins = F.concat(F.coalesce(F.when(F.col("_any") & (lo <= hi), F.sequence(lo, hi)), F.array().cast("array<bigint>")),
                         F.array(F.lit(_ODD_BIN)))
         periods = clip.select(*periods.columns, F.explode(bins).alias("_bin"))
     e, p = events.alias("e"), periods.alias("p")
@@ -236,7 +239,8 @@ def join_frames(frames: Sequence[DataFrame], on: str | Sequence[str], how: str =
 def join_all(frames: dict[str, DataFrame], column: str, how: str = "full") -> DataFrame:
     """Join every named frame that has ``column``; clashing columns get a table prefix.
 
-    Tables without the column are skipped. With no table left, raises.
+    Tables without the column are skipped. With no table left, raises. Rows
+    of one key in several tables are paired with each other, as joins do.
     """
     chosen = {n: df for n, df in frames.items() if column in df.columns}
     if not chosen:
@@ -254,6 +258,16 @@ def join_all(frames: dict[str, DataFrame], column: str, how: str = "full") -> Da
     return join_frames(renamed, column, how)
 
 
-def assemble_features(base: DataFrame, families: Sequence[DataFrame], key: str = "visit_occurrence_id") -> DataFrame:
-    """Left-join feature families (already wide) onto a base key list."""
-    return join_frames([base.select(key).distinct(), *families], key, "left")
+def join_paths(spark: SparkSession, paths: Sequence[str], on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """N-way join of parquet folders, in the order given."""
+    return join_frames([read_parquet_table(spark, p) for p in paths], on, how)
+
+
+def join_tables_with(spark: SparkSession, base: str, column: str, tables: Sequence[str], how: str = "full") -> DataFrame:
+    """J10 from a folder: of the named tables under ``base``, those with ``column`` (by their schemas) are joined.
+
+    As in ``join_all`` every pairing of a key's rows is kept, so several
+    one-to-many tables multiply per key.
+    """
+    frames = {t: read_parquet_table(spark, f"{base}/{t}") for t in tables}
+    return join_all({t: f for t, f in frames.items() if column in f.columns}, column, how)

@@ -279,12 +279,11 @@ def significance(p: str | Column) -> Column:
              .otherwise("*"))
 
 
-def fdr_bh(tests: DataFrame, p: str = "p", order: Sequence[str] = ("Column",),
-           n_buckets: int | None = None) -> DataFrame:
+def fdr_bh(tests: DataFrame, p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """Q12: Benjamini-Hochberg adjusted p-values (``p_adj``).
 
     adj(i) = min over j >= i of p(j) * m / j, capped at 1, with i the rank
-    of p ascending (ties by ``order``); null or NaN p stays null and does
+    of p ascending; null or NaN p stays null and does
     not count towards m.
 
     Inside a block of equal p-values p * m / j falls with j, so every member
@@ -295,23 +294,13 @@ def fdr_bh(tests: DataFrame, p: str = "p", order: Sequence[str] = ("Column",),
     rows is one row per task): the last rank of each block is a running sum
     of counts, the adjustment a suffix minimum, both two-level over
     quantile buckets of p (``evaluation.value_buckets``), and the result is
-    joined back to the rows on p. ``n_buckets=1`` is one global window: for
-    test tables whose size is bounded by the schema (one row per compared
-    column), where the bucket bookkeeping would only add jobs.
+    joined back to the rows on p.
     """
     from .evaluation import value_buckets
 
     ok = F.col(p).isNotNull() & ~F.isnan(p)
     valid = tests.where(ok)
     rest = tests.where(~ok | F.col(p).isNull()).withColumn("p_adj", F.lit(None).cast("double"))
-    if n_buckets == 1:
-        w_rank = Window.orderBy(F.col(p).asc(), *[F.col(c).asc() for c in order])
-        ranked = valid.withColumn("_i", F.row_number().over(w_rank)).withColumn(
-            "_m", F.count(F.lit(1)).over(Window.partitionBy()))
-        raw = F.col(p) * F.col("_m") / F.col("_i")
-        tail = w_rank.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        adj = ranked.withColumn("p_adj", F.least(F.min(raw).over(tail), F.lit(1.0))).drop("_i", "_m")
-        return adj.unionByName(rest)
     d = valid.groupBy(F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
     m = d.agg(F.sum("_c")).scalar()
     d = value_buckets(d, "_p", n_buckets)

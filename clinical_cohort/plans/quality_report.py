@@ -41,4 +41,4 @@ def cohort_quality_report(main: DataFrame, sample: DataFrame, numeric: Sequence[
         raise ValueError("no column to test")
     tests = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     # One row per compared column: bounded by the schema, one window suffices.
-    return Q.fdr_bh(tests, "p", order=("Column", "Test"), n_buckets=1).withColumn("stars", Q.significance("p"))
+    return Q.fdr_bh(tests, "p").withColumn("stars", Q.significance("p"))

@@ -70,10 +70,28 @@ SELECT feature,
 FROM w, n GROUP BY feature""")
 def q_fs_minmax(spark, sf):
     r = Roles(spark, sf)
-    w = (r.measurement.groupBy("visit_occurrence_id",
-                               F.concat(F.lit("METBL_"), F.col("measurement_source_value")).alias("feature"))
-         .agg(F.max("value_as_number").alias("value")))
-    return SEL.minmax_features(w, keys=r.visit_occurrence)
+    return SEL.minmax_features(_largest_measures(r), keys=r.visit_occurrence)
+
+
+def _largest_measures(r):
+    name = F.concat(F.lit("METBL_"), F.col("measurement_source_value")).alias("feature")
+    return r.measurement.groupBy("visit_occurrence_id", name).agg(F.max("value_as_number").alias("value"))
+
+
+@register("fs_minmax_scaled", cte("measurement", "visit_occurrence") + """
+, w AS (SELECT visit_occurrence_id, 'METBL_' || measurement_source_value AS feature, max(value_as_number) AS value
+        FROM measurement GROUP BY 1, 2)
+, n AS (SELECT count(DISTINCT visit_occurrence_id) AS n FROM visit_occurrence)
+, g AS (SELECT feature,
+  CASE WHEN count(*) < max(n.n) THEN least(min(value), 0.0) ELSE min(value) END AS lo,
+  CASE WHEN count(*) < max(n.n) THEN greatest(max(value), 0.0) ELSE max(value) END AS hi
+  FROM w, n GROUP BY feature)
+SELECT visit_occurrence_id, feature, round(CASE WHEN hi = lo THEN 0.0 ELSE (value - lo) / (hi - lo) END, 6) AS value
+FROM w JOIN g USING (feature)""")
+def q_fs_minmax_scaled(spark, sf):
+    r = Roles(spark, sf)
+    w = _largest_measures(r)
+    return SEL.minmax_scale(w, SEL.minmax_features(w, keys=r.visit_occurrence))
 
 
 @register("fs_vote", cte("diagnosis_extract", "visit_occurrence") + _CHI2_SQL + f"""

@@ -207,7 +207,7 @@ def q_fdr(spark, sf):
     main, smp = _sample(Roles(spark, sf))
     t = Q.ttest(main, smp, TEST_COLS).select("Column", "p")
     c = Q.chisq(main, smp, CHI_COLS).select(F.concat(F.col("Column"), F.lit(":chi2")).alias("Column"), "p")
-    return Q.fdr_bh(t.unionByName(c), n_buckets=1)  # one row per tested column
+    return Q.fdr_bh(t.unionByName(c))
 
 
 @register("qc_fdr_scores", cte("scores") + """
@@ -220,7 +220,7 @@ FROM r
 UNION ALL SELECT doc_id, label, score, CAST(NULL AS DOUBLE) FROM scores WHERE score IS NULL OR isnan(score)""")
 def q_fdr_scores(spark, sf):
     """Q12 over one p-value per document (a table that grows with the data)."""
-    return Q.fdr_bh(Roles(spark, sf).scores, "score", order=("doc_id",))
+    return Q.fdr_bh(Roles(spark, sf).scores, "score")
 
 
 _PROFILE_NUM = ["care_site_id", "location_id"]

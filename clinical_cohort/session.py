@@ -8,7 +8,7 @@ one place to build a session with the settings the operators assume:
 * timestamps without time zone (the warehouse stores wall-clock times);
 * adaptive execution with partition coalescing and skew-join splitting;
 * the proleptic-calendar rebase settings for old parquet files;
-* a checkpoint directory only when the cluster did not name one.
+* a checkpoint directory of its own only on a local master that has none set.
 """
 
 from __future__ import annotations
@@ -63,23 +63,24 @@ def get_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting one only if unset.
+    """The session's checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. A local scratch folder is created only when nothing is configured
-    (tests and single-machine runs).
+    A cluster names a shared folder in ``spark.checkpoint.dir``, which is used
+    as is. Where nothing is set, a local master gets a folder of its own; on a
+    cluster a folder of the driver's machine would be invisible to executors,
+    so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    local = tempfile.mkdtemp(prefix="cc-checkpoint-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="cc-checkpoint-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -70,8 +70,3 @@ def read_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFr
 def tables_with_column(catalog: DataFrame, column: str) -> DataFrame:
     """Tables that have ``column`` -> (table_name)."""
     return catalog.where(F.col("column_name") == column).select("table_name").distinct()
-
-
-def columns_of(catalog: DataFrame, table: str) -> DataFrame:
-    """Columns of one table in order -> (ordinal, column_name, type)."""
-    return catalog.where(F.col("table_name") == table).select("ordinal", "column_name", "type")

@@ -18,9 +18,10 @@ def read_parquet_table(spark: SparkSession, path: str, schema: StructType | None
     """IO1: every parquet file of a folder as one table (columns by name).
 
     Only names ending in ``parquet`` are read, as in the reference; files with
-    different column orders line up by name (D11).
+    different column orders line up by name (D11). Without a ``schema`` the
+    files' schemas are merged, so a column that only some files have is kept.
     """
-    reader = spark.read.option("pathGlobFilter", "*parquet").option("mergeSchema", "false")
+    reader = spark.read.option("pathGlobFilter", "*parquet").option("mergeSchema", str(schema is None).lower())
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(path)
@@ -52,12 +53,13 @@ def load_targets(df: DataFrame, key: str, order_by: str, positive: str = "yes",
 
     One ``groupBy`` with ``min_by`` over the non-null values (a FILTER
     clause), so duplicates per key collapse in a single partially aggregated
-    shuffle.
+    shuffle. Of rows with equal ``order_by`` the smallest value counts, so the
+    result never depends on row order.
     """
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in (key, order_by)]
     aggs = []
     for c in columns:
-        first = F.expr(f"min_by(`{c}`, `{order_by}`) FILTER (WHERE `{c}` IS NOT NULL)")
+        first = F.expr(f"min_by(`{c}`, struct(`{order_by}`, `{c}`)) FILTER (WHERE `{c}` IS NOT NULL)")
         aggs.append(F.when(first == F.lit(positive), 1).otherwise(0).cast("int").alias(c))
     return df.groupBy(key).agg(*aggs)
 

@@ -136,3 +136,21 @@ def test_full_outer_many_matches_chained_full_joins(spark):
         assert _rows(ours.select(*cols)) == _rows(ref)
     plan = plan_text(J.join_frames([f.drop("k2") for f in frames], "k", "full"))
     assert plan.count("Scan") <= 3 * len(frames)  # linear in the number of frames
+
+
+def test_join_paths_and_tables_from_a_folder(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, "b")], "k long, x string").write.parquet(str(tmp_path / "one"))
+    spark.createDataFrame([(2, 20), (3, 30)], "k long, y int").write.parquet(str(tmp_path / "two"))
+    spark.createDataFrame([(9,)], "other long").write.parquet(str(tmp_path / "three"))
+    left = J.join_paths(spark, [str(tmp_path / "one"), str(tmp_path / "two")], "k")
+    assert {tuple(r) for r in left.collect()} == {(1, "a", None), (2, "b", 20)}
+    full = J.join_tables_with(spark, str(tmp_path), "k", ["one", "two", "three"])
+    assert {tuple(r) for r in full.select("k", "x", "y").collect()} == {(1, "a", None), (2, "b", 20), (3, None, 30)}
+
+
+def test_interval_join_without_valid_events_makes_no_bins(spark):
+    events = spark.createDataFrame([(1, None, None)], "person_id long, visit_start_datetime timestamp_ntz, "
+                                   "visit_end_datetime timestamp_ntz")
+    periods = spark.sql("SELECT 1L AS person_id, DATE'0001-01-01' AS payer_plan_period_start_date, "
+                        "DATE'9999-12-31' AS payer_plan_period_end_date")
+    assert J.interval_join(events, periods).collect() == []

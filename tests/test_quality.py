@@ -81,7 +81,7 @@ def test_fdr_buckets_ties_and_missing(spark, n_buckets):
     ps = [round(random.random() ** 3, 2) for _ in range(300)]  # many ties
     ps[7], ps[8], ps[9] = None, float("nan"), None
     df = spark.createDataFrame([(i, p) for i, p in enumerate(ps)], "id long, p double")
-    got = {r.id: r.p_adj for r in Q.fdr_bh(df, order=("id",), n_buckets=n_buckets).collect()}
+    got = {r.id: r.p_adj for r in Q.fdr_bh(df, n_buckets=n_buckets).collect()}
     assert len(got) == len(ps)
     valid = [i for i, p in enumerate(ps) if p is not None and not math.isnan(p)]
     order = sorted(valid, key=lambda i: (ps[i], i))
