@@ -27,6 +27,7 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +37,26 @@ SPACE = "▁"
 N_BEST = 4
 INF = float("inf")
 CACHED_SEGMENTS = 800_000
+#: Longest segments that are scored many at a time.
+MOST_TOGETHER = 40
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: RE2: a space at an end of the text or beside another, or the space symbol itself.
 _UNSAFE = rf"^ | $|  |{SPACE}"
 
 
+def _step(h: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of texts one character longer."""
+    h = (h ^ codes.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def _hash(piece: str) -> int:
+    h = np.zeros(1, np.uint64)
+    for c in piece:
+        h = _step(h, np.array([ord(c)]))
+    return int(h[0])
+
+
 class Vocabulary:
     """Pieces, ids and scores of a model file."""
 
@@ -64,6 +80,16 @@ class Vocabulary:
         self.byte_score = min((s for _, s in self.pieces.values() if s > -1e8), default=0.0) - 10
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece has a space after another character; segments would not be independent")
+        #: For `viterbi_many`: pieces and one-byte characters without a piece, by hash; the last entry is for none.
+        table = {p: x for p, x in self.pieces.items()}
+        for c in map(chr, range(0x80)):
+            if c not in table and ord(c) in self.byte_ids:
+                table[c] = self.fallback(c)
+        self.index = pd.Index([_hash(p) for p in table], dtype=np.uint64)
+        self.by_place = np.array([*(s for _, s in table.values()), -INF])
+        self.place_ids = np.array([*(ids[0] for ids, _ in table.values()), -1], np.int32)
+        self.known = np.zeros(max(ord(c) for p in table for c in p) + 2, bool)
+        self.known[[ord(p) for p in table if len(p) == 1]] = True
 
     def fallback(self, char: str) -> tuple[tuple[int, ...], float]:
         """Byte pieces and their score, for a character without a piece."""
@@ -103,6 +129,62 @@ class Vocabulary:
             parts.append(ids)
         return best, [i for ids in reversed(parts) for i in ids], best[-1] - second[-1]
 
+    def viterbi_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """`viterbi` of many short texts: scores, losses and ids.
+
+        Texts of one length are searched together, place by place. Pieces are
+        looked up by a 64-bit hash of their characters.
+        """
+        scores, losses = np.zeros(len(texts)), np.zeros(len(texts))
+        ids: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        for size in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == size)
+            if size <= MOST_TOGETHER:
+                codes = np.frombuffer("".join([texts[i] for i in rows.tolist()]).encode("utf-32-le"), np.uint32)
+                codes = codes.reshape(len(rows), size)
+                whole = self.known[np.minimum(codes, len(self.known) - 1)].all(axis=1)
+                for at in range(0, len(rows), 50_000):
+                    part = np.flatnonzero(whole[at:at + 50_000]) + at
+                    if len(part):
+                        found = self._together(codes[part])
+                        scores[rows[part]], losses[rows[part]] = found[:2]
+                        for i, x in zip(rows[part].tolist(), found[2], strict=True):
+                            ids[i] = x
+                rows = rows[~whole]
+            for i in rows.tolist():
+                best, one, losses[i] = self.viterbi(texts[i])
+                scores[i], ids[i] = best[-1], np.array(one, np.int32)
+        return scores, losses, ids
+
+    def _together(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        n, size = codes.shape
+        best, second = np.full((size + 1, n), -INF), np.full((size + 1, n), -INF)
+        back, piece = np.zeros((size + 1, n), np.int64), np.full((size + 1, n), -1, np.int32)
+        best[0] = 0.0
+        found: dict[int, np.ndarray] = {}
+        h = np.zeros((n, size + 1), np.uint64)
+        for k in range(1, min(size, self.longest) + 1):
+            h = _step(h[:, :size - k + 1], codes[:, k - 1:])
+            found[k] = self.index.get_indexer(h.ravel()).reshape(h.shape).T
+        for end in range(1, size + 1):
+            for k in range(min(end, self.longest), 0, -1):
+                at = found[k][end - k]
+                score = self.by_place[at]
+                one, two = best[end - k] + score, second[end - k] + score
+                better = one > best[end]
+                second[end] = np.maximum(np.where(better, best[end], np.maximum(second[end], one)), two)
+                best[end] = np.where(better, one, best[end])
+                back[end] = np.where(better, end - k, back[end])
+                piece[end] = np.where(better, at, piece[end])
+        place, steps, every = np.full(n, size), [], np.arange(n)
+        while place.any():
+            steps.append(np.where(place > 0, self.place_ids[piece[place, every]], -1))
+            place = np.where(place > 0, back[place, every], 0)
+        flat = np.stack(steps[::-1], axis=1)
+        real = flat >= 0
+        return best[size], best[size] - second[size], np.split(flat[real], np.cumsum(real.sum(axis=1))[:-1])
+
     def n_best(self, text: str, n: int) -> list[tuple[float, list[int]]]:
         """The ``n`` best segmentations of one text, best first, by backward A*."""
         best, first, _ = self.viterbi(text)
@@ -174,13 +256,13 @@ class Encoder:
     def learn(self, segments: list[str]) -> np.ndarray:
         new = [s for s in dict.fromkeys(segments) if s not in self.place]
         if new:
-            found = [self.vocabulary.viterbi(s) for s in new]
+            scores, losses, ids = self.vocabulary.viterbi_many(new)
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
             self.names += new
-            self.scores = np.append(self.scores, [f[0][-1] for f in found])
-            self.loss = np.append(self.loss, [f[2] for f in found])
-            self.starts = np.append(self.starts, len(self.pool) + np.cumsum([len(f[1]) for f in found]))
-            self.pool = np.append(self.pool, np.array([i for f in found for i in f[1]], np.int32))
+            self.scores = np.append(self.scores, scores)
+            self.loss = np.append(self.loss, losses)
+            self.starts = np.append(self.starts, len(self.pool) + np.cumsum([len(x) for x in ids]))
+            self.pool = np.concatenate([self.pool, *ids])
         return np.fromiter(map(self.place.__getitem__, segments), np.int64, len(segments))
 
     def segments(self, texts) -> list[np.ndarray]:
