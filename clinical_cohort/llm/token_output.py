@@ -26,13 +26,17 @@ from . import pfor
 
 END_ID = 0
 SEGMENT_IDS = 65_536
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 1_500_000
 
 #: A space with a visible character on either side: no token of a byte-level BPE
 #: with this split pattern spans the place before it, so texts can be cut there.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: RE2: a space at an end of the text or beside white space.
-_UNSAFE = r"^ | $|[\s\x0b\x1c-\x1f\x{85}\p{Z}] | [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+#: RE2: white space at an end of the text or beside another, or the mark that is put at cuts.
+_UNSAFE = r"^[ \n]|[ \n]$|[\s\x0b\x1c-\x1f\x{85}\p{Z}][ \n]|[ \n][\s\x0b\x1c-\x1f\x{85}\p{Z}]|\x00"
+#: Cuts in other texts: before each space, around each line break, and between a word and the full stops,
+#: commas or the like that end it; the split pattern ends a token at all of them.
+_MARK = "\0"
+_STOP = r"([\p{L}\p{N}])([.,;:!?]+)(\x00|$)"
 
 SCHEMA = "shard int, segment int, first long, n_ids long, keys array<long>, lengths array<int>, image binary"
 
@@ -99,11 +103,13 @@ class Encoder:
             self._clear()
         texts = pc.fill_null(texts, "")
         unsafe = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
-        cut = pc.split_pattern(pc.if_else(pa.array(unsafe), "", texts), " ")
+        marked = pc.replace_substring(pc.if_else(pa.array(unsafe), "", texts), " ", _MARK + " ")
+        marked = pc.replace_substring(marked, "\n", _MARK + "\n" + _MARK)
+        marked = pc.replace_substring_regex(marked, _STOP, "\\1" + _MARK + "\\2\\3")
+        cut = pc.split_pattern(marked, _MARK)
         pieces = cut.flatten().dictionary_encode()
         first = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
-        places = self.learn([" " + x for x in pieces.dictionary.to_pylist()])[pieces.indices.to_numpy()]
-        places[first] = self.learn(cut.flatten().take(pa.array(first)).to_pylist())
+        places = self.learn(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()]
         bounds = np.append(first, len(places))
         odd = np.flatnonzero(unsafe).tolist()
         if odd:
