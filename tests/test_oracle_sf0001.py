@@ -9,8 +9,11 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 import __spark_entry__ as entry  # noqa: E402
+from clinical_cohort.plans import registry  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
 
+registry.load_all()
+
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
@@ -23,7 +26,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(registry.ORACLES))
 def test_query_matches_oracle(spark, con, key):
     sdf = entry.queries()[key](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]

@@ -5,13 +5,16 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from clinical_cohort.plans import registry
+
+registry.load_all()
 
 SF = "/root/testdata/sf0.001"
-MODEL_KEYS = {"fs_l1", "fs_rfe", "fs_forest", "fs_gbt", "ml_tree_cv", "ml_calibrate", "ml_tree_rules"}
+MODEL_KEYS = {"fs_l1", "fs_rfe", "fs_forest", "fs_gbt", "ml_tree_cv", "ml_calibrate", "ml_tree_rules", "ml_baseline_logistic"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - MODEL_KEYS))
+@pytest.mark.parametrize("key", sorted(set(registry.QUERIES) - MODEL_KEYS))
 def test_no_pairwise_join(spark, key):
     df = entry.queries()[key](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -23,3 +26,15 @@ def test_profile_reads_person_once(spark):
     df = entry.queries()["qc_profile"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
+
+
+def test_no_join_on_feature_names_of_events(spark):
+    """Features come from a dictionary of codes: the only joins are on the code and on rare names."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()["features_icd_levels"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    top = plan[:plan.index("Join ")]
+    assert "Aggregate [visit_occurrence_id" in top  # joined by code first, summed by feature after
+    assert "condition_source_value" in plan[plan.index("Join "):].splitlines()[0]
