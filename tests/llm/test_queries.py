@@ -31,6 +31,18 @@ def test_all_are_registered():
     assert numbers == list(range(1, 11)) and "pipeline" in registry.QUERIES
 
 
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_oracle(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.execute(registry.ORACLES[name])
+    columns = [d[0] for d in want.description]
+    got = registry.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(str, (tuple(r) for r in got.select(*columns).collect()))) == sorted(map(str, want.fetchall()))
+
+
 def test_simhash(spark, texts):
     got = rows(spark, "op4_simhash_dedup")
     fp = np.array([simhash.fingerprint(t.encode()) for _, t in texts], np.int64)
