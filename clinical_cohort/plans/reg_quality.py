@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators.sampling import comparison_sample, top_values
 from .quality_report import cohort_quality_report
-from .registry import register
+from .registry import ORACLES, register
 from .roles import Roles, cte
 
 PERSON_COLS = ["person_id", "birth_datetime", "death_datetime", "gender_source_value", "race_source_value",
@@ -145,10 +145,34 @@ def q_ttest_stats(spark, sf):
     return Q.ttest_stats(main, smp, TEST_COLS)
 
 
-@register("qc_ttest")
+def _p_sql(rows: str, kind: str) -> str:
+    """``rows`` with the tail probability ``p`` of its statistic, by Simpson's rule over 4 000 steps."""
+    if kind == "t":  # two-sided: 1 - 2 * integral of the density from 0 to |t|
+        top, sides = "abs(t)", 2
+        density = ("exp(lgamma((dof + 1) / 2.0) - lgamma(dof / 2.0)) / sqrt(dof * pi()) "
+                   "* pow(1 + u * u / dof, -(dof + 1) / 2.0)")
+    else:  # upper tail, over u = sqrt(x) so that one degree of freedom has no pole
+        top, sides = "sqrt(chi2)", 1
+        density = "2 * pow(u, dof - 1) * exp(-u * u / 2 - lgamma(dof / 2.0)) / pow(2, dof / 2.0)"
+    return f"""SELECT s.*, greatest(1 - {sides} * area, 0.0) AS p FROM ({rows}) s LEFT JOIN (
+  SELECT "Column", sum((CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) * {density}) * max(h) / 3 AS area
+  FROM (SELECT *, {top} / 4000 AS h, k * {top} / 4000 AS u FROM ({rows}), (SELECT unnest(generate_series(0, 4000)) AS k))
+  WHERE u IS NOT NULL GROUP BY 1) i ON s."Column" = i."Column\""""
+
+
+def _fdr_sql(tests: str, columns: str) -> str:
+    """Benjamini-Hochberg over the p of ``tests``, rounded."""
+    return f"""SELECT {columns}, round(p, 6) AS p,
+  round(least(min(p * m / i) OVER (ORDER BY p, o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0), 6) AS p_adj
+FROM (SELECT *, row_number() OVER (ORDER BY p, o) AS i, count(*) OVER () AS m
+      FROM (SELECT *, row_number() OVER () AS o FROM ({tests})) WHERE p IS NOT NULL)
+UNION ALL SELECT {columns}, NULL, NULL FROM ({tests}) WHERE p IS NULL"""
+
+
+@register("qc_ttest", f"SELECT * REPLACE (round(p, 6) AS p) FROM ({_p_sql(ORACLES['qc_ttest_stats'], 't')})")
 def q_ttest(spark, sf):
     main, smp = _sample(Roles(spark, sf))
-    return Q.ttest(main, smp, TEST_COLS)
+    return Q.ttest(main, smp, TEST_COLS).withColumn("p", F.round("p", 6))
 
 
 def _cells_sql(src: str, name: str) -> str:
@@ -187,10 +211,10 @@ def q_chisq_stat(spark, sf):
     return Q.chisq_stats(Q.contingency(main, smp, CHI_COLS))
 
 
-@register("qc_chisq")
+@register("qc_chisq", f"SELECT * REPLACE (round(p, 6) AS p) FROM ({_p_sql(ORACLES['qc_chisq_stat'], 'chi2')})")
 def q_chisq(spark, sf):
     main, smp = _sample(Roles(spark, sf))
-    return Q.chisq(main, smp, CHI_COLS)
+    return Q.chisq(main, smp, CHI_COLS).withColumn("p", F.round("p", 6))
 
 
 @register("qc_stars", cte("scores") + """
@@ -202,12 +226,13 @@ def q_stars(spark, sf):
     return s.select("doc_id", "score", Q.significance("score").alias("stars"))
 
 
-@register("qc_fdr")
+@register("qc_fdr", _fdr_sql(f"""SELECT "Column", p FROM ({_p_sql(ORACLES['qc_ttest_stats'], 't')})
+  UNION ALL SELECT "Column" || ':chi2', p FROM ({_p_sql(ORACLES['qc_chisq_stat'], 'chi2')})""", '"Column"'))
 def q_fdr(spark, sf):
     main, smp = _sample(Roles(spark, sf))
     t = Q.ttest(main, smp, TEST_COLS).select("Column", "p")
     c = Q.chisq(main, smp, CHI_COLS).select(F.concat(F.col("Column"), F.lit(":chi2")).alias("Column"), "p")
-    return Q.fdr_bh(t.unionByName(c))
+    return Q.fdr_bh(t.unionByName(c)).withColumns({x: F.round(x, 6) for x in ("p", "p_adj")})
 
 
 @register("qc_fdr_scores", cte("scores") + """
@@ -255,10 +280,23 @@ def q_profile(spark, sf):
     return Q.profile(Roles(spark, sf).person, _PROFILE_NUM, _PROFILE_CAT, PATTERNS, exact=True)
 
 
-@register("cohort_quality_report")
+_REPORT_CTE = (cte("measurement") + f", smp AS (SELECT * FROM measurement ORDER BY {_HASH4}, visit_occurrence_id, "
+               "measurement_source_value, value_as_number, l_linenumber, measurement_concept_id, l_suppkey "
+               f"LIMIT {SAMPLE_N})\n")
+_REPORT_T = _p_sql(f"""SELECT * FROM ({ORACLES['qc_ttest_stats'].replace(_SAMPLE_CTE, _REPORT_CTE)})
+  WHERE "Column" = 'value_as_number'""", "t")
+_REPORT_CHI = _p_sql(f"""SELECT * FROM ({ORACLES['qc_chisq_stat'].replace(_SAMPLE_CTE, _REPORT_CTE)})
+  WHERE "Column" IN ('measurement_source_value', 'l_linenumber')""", "chi2")
+
+
+@register("cohort_quality_report", "SELECT *, CASE WHEN p IS NULL THEN NULL WHEN p > 0.05 THEN 'ns' WHEN p < 0.0001 THEN '****' "
+          "WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' ELSE '*' END AS stars FROM ("
+          + _fdr_sql(f"""SELECT "Column", 't-test' AS Test, t AS statistic, dof, p FROM ({_REPORT_T})
+  UNION ALL SELECT "Column", 'chi-square', chi2, dof, p FROM ({_REPORT_CHI})""", '"Column", Test, statistic, dof') + ")")
 def q_cohort_quality_report(spark, sf):
     r = Roles(spark, sf)
     m = r.measurement.select("visit_occurrence_id", "measurement_source_value", "value_as_number", "l_linenumber",
                              "measurement_concept_id", "l_suppkey")
     return cohort_quality_report(m, comparison_sample(m, SAMPLE_N, SAMPLE_KEYS, tiebreak=m.columns),
-                                 numeric=["value_as_number"], categorical=["measurement_source_value", "l_linenumber"])
+                                 numeric=["value_as_number"], categorical=["measurement_source_value", "l_linenumber"]
+                                 ).withColumns({x: F.round(x, 6) for x in ("p", "p_adj")})
