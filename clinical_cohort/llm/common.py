@@ -54,11 +54,20 @@ def utf8(column) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+#: Rows of an Arrow batch that are worked on at a time.
+MAP_ROWS = 2_000
+
+
+def slices(batch, rows: int = MAP_ROWS) -> list:
+    return [batch.slice(a, rows) for a in range(0, batch.num_rows, rows)]
+
+
 def map_rows(df: DataFrame, fn: Callable[[object], list], names_and_types: str, keep: list[str] | None = None) -> DataFrame:
     """Append columns that ``fn(batch)`` computes from each Arrow batch of ``df``.
 
     ``fn`` returns one Arrow array or list per appended column. ``keep`` names
-    the input columns that stay (default: all). Only narrow work: no shuffle.
+    the input columns that stay (default: all). Only narrow work: no shuffle. It
+    is given ``MAP_ROWS`` rows at a time at most, which bounds a worker's memory.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -70,9 +79,7 @@ def map_rows(df: DataFrame, fn: Callable[[object], list], names_and_types: str,
     target = to_arrow_schema(added)
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in slices(whole)):
             new = [a if isinstance(a, (pa.Array, pa.ChunkedArray)) else pa.array(a, f.type)
                    for a, f in zip(fn(batch), target, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + new, names=schema.names)

@@ -36,7 +36,7 @@ from .common import map_rows, utf8
 SPACE = "▁"
 N_BEST = 4
 INF = float("inf")
-CACHED_SEGMENTS = 800_000
+CACHED_SEGMENTS = 400_000
 #: Longest segments that are scored many at a time.
 MOST_TOGETHER = 40
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -144,8 +144,8 @@ class Vocabulary:
                 codes = np.frombuffer("".join([texts[i] for i in rows.tolist()]).encode("utf-32-le"), np.uint32)
                 codes = codes.reshape(len(rows), size)
                 whole = self.known[np.minimum(codes, len(self.known) - 1)].all(axis=1)
-                for at in range(0, len(rows), 50_000):
-                    part = np.flatnonzero(whole[at:at + 50_000]) + at
+                for at in range(0, len(rows), 10_000):
+                    part = np.flatnonzero(whole[at:at + 10_000]) + at
                     if len(part):
                         found = self._together(codes[part])
                         scores[rows[part]], losses[rows[part]] = found[:2]

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, saved
+from .common import map_rows, saved, slices
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -40,7 +40,6 @@ FOLDS = 5
 #: Most labelled rows that the logistic function is fitted on.
 FIT_ROWS = 20_000
 MAX_SHARED = 4_000_000
-SLICE_ROWS = 2_500
 START, END = "\x02", "\x03"
 
 
@@ -57,11 +56,6 @@ def _words(texts) -> tuple[list[str], np.ndarray, np.ndarray]:
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(), pc.list_parent_indices(cut).to_numpy()
 
 
-def _slices(batch):
-    """Runs of rows that are worked on at a time, to bound memory."""
-    return [batch.slice(a, SLICE_ROWS) for a in range(0, batch.num_rows, SLICE_ROWS)]
-
-
 class _Grams:
     """The n-grams of distinct words, as rows of code points; ``word`` is each one's word."""
 
@@ -102,7 +96,7 @@ def count(rows: DataFrame, order: int = ORDER) -> DataFrame:
     schema = "gram string, toxic long, ordinary long"
 
     def run(batches):
-        for batch in (part for whole in batches for part in _slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole)):
             words, place, row = _words(batch.column("t"))
             label = batch.column("toxic").to_numpy()[row]
             grams = _Grams(words, order)
@@ -191,7 +185,7 @@ def differences(rows: DataFrame, table: DataFrame, order: int = ORDER, max_share
         got = table.toPandas()
         shared = rows.sparkSession.sparkContext.broadcast((got["gram"].tolist(), got["delta"].to_numpy(), order))
 
-        def one(batch):
+        def run(batch):
             words, place, row = _words(batch.column("t"))
             total, n = _table(shared).per_word(words)
             sums = np.bincount(row, weights=total[place], minlength=batch.num_rows)
@@ -199,10 +193,7 @@ def differences(rows: DataFrame, table: DataFrame, order: int = ORDER, max_share
             top = np.full(batch.num_rows, -np.inf)
             real = n[place] > 0
             np.maximum.at(top, row[real], total[place[real]])
-            return sums / np.maximum(counts, 1), np.where(counts > 0, top, 0.0)
-
-        def run(batch):
-            return [np.concatenate(x) for x in zip(*map(one, _slices(batch)), strict=True)]
+            return [sums / np.maximum(counts, 1), np.where(counts > 0, top, 0.0)]
 
         return map_rows(rows, run, "mean double, top double", keep=keep)
 
