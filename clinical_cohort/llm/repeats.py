@@ -13,7 +13,7 @@ their documents; the documents are shuffled once, as compressed words. The last
 level compares 96 bits of hash and takes for each window the least key that has
 it; the levels before only narrow the search.
 
-Counts and least keys are pre-aggregated over an Arrow batch, so a passage that
+Counts and least keys are pre-aggregated over batches of documents, so a passage that
 any number of documents share has one row per batch where hashes meet. A copy of
 a window inside one document needs no shuffle and is found on the spot.
 
@@ -34,11 +34,13 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import slices, utf8
 
 WINDOW = 20
 #: Words that are hashed at a time.
 CHUNK_WORDS = 300_000
+#: Documents whose hashes are pre-aggregated together.
+BATCH_ROWS = 4_000
 _MASK = np.uint64((1 << 48) - 1)
 
 
@@ -138,8 +140,8 @@ def _mapped(df: DataFrame, schema: str, fn) -> DataFrame:
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        for batch in batches:
-            for columns in fn(batch) if batch.num_rows else ():
+        for batch in (part for whole in batches for part in slices(whole, BATCH_ROWS)):
+            for columns in fn(batch):
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
 
