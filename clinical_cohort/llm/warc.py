@@ -44,14 +44,18 @@ def archive(pages: DataFrame, records_per_file: int = RECORDS_PER_FILE) -> DataF
     """The archive of the pages (columns page_id, url, html), with running offsets in each file."""
     n_files = max(1, -(-pages.count() // records_per_file))
     rows = pages.select(F.col("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    once = rows.groupBy("page_id", "url", "html").agg(F.count(F.lit(1)).alias("copies"))
-    made = once.select("page_id", "url", "copies", record(F.col("url"), F.col("html")).alias("bytes"))
-    marked = made.withColumn("digest", F.sha2("bytes", 256)).withColumn(
-        "file", F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"), F.lit(n_files)))
+    made = (rows.select("page_id", "url", record(F.col("url"), F.col("html")).alias("bytes"))
+            .withColumn("digest", F.sha2("bytes", 256)))
+    # Files and offsets come from digests and lengths alone; the records are then shuffled once, to their places.
+    once = made.groupBy("page_id", "digest").agg(
+        F.count(F.lit(1)).alias("copies"), F.max(F.octet_length("bytes")).cast("long").alias("length"))
+    file = F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"), F.lit(n_files))
     order = Window.partitionBy("file").orderBy("digest", "page_id")
-    length = F.octet_length("bytes").cast("long")
-    return marked.select("file", (F.sum(length).over(order) - length).alias("offset"), length.alias("length"), "page_id", "url",
-                         "copies", "bytes")
+    placed = once.withColumn("file", file).withColumn("offset", F.sum("length").over(order) - F.col("length"))
+    at = placed.select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "file", "offset", "length", "copies")
+    joined = made.join(at, made["page_id"].eqNullSafe(at["p"]) & (made["digest"] == at["d"])).select(
+        "file", "offset", "length", "page_id", "url", "copies", "bytes")
+    return joined.where("copies = 1").unionByName(joined.where("copies > 1").dropDuplicates(["file", "offset"]))
 
 
 def leaves(replica: DataFrame) -> DataFrame:
