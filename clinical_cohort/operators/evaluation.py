@@ -21,11 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
-def _r6(c: Column) -> Column:
-    return F.round(c, 6)
-
-
 def distinct_scores(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(score, pos, neg) - positives and negatives per distinct score; rows without a label are left out."""
     y = F.col(label).cast("int")
@@ -91,8 +86,8 @@ def roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> Data
     tot = d.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
     r = running_counts(d).withColumn("_tot", tot)
     pts = r.select(F.col("score").alias("threshold"),
-                   _r6(F.try_divide(F.col("fp").cast("double"), F.col("_tot.N"))).alias("fpr"),
-                   _r6(F.try_divide(F.col("tp").cast("double"), F.col("_tot.P"))).alias("tpr"))
+                   F.try_divide(F.col("fp").cast("double"), F.col("_tot.N")).alias("fpr"),
+                   F.try_divide(F.col("tp").cast("double"), F.col("_tot.P")).alias("tpr"))
     start = d.agg(F.count(F.lit(1)).alias("_n")).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
@@ -104,8 +99,8 @@ def pr_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataF
     P = d.agg(F.sum("pos")).scalar()
     r = running_counts(d)
     pts = r.select(F.col("score").alias("threshold"),
-                   _r6(F.col("tp").cast("double") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                   _r6(F.try_divide(F.col("tp").cast("double"), P)).alias("recall"))
+                   (F.col("tp").cast("double") / (F.col("tp") + F.col("fp"))).alias("precision"),
+                   F.try_divide(F.col("tp").cast("double"), P).alias("recall"))
     end = d.agg(F.count(F.lit(1)).alias("_n")).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(end)
@@ -127,15 +122,15 @@ def auc_summary(df: DataFrame, score: str = "score", label: str = "label") -> Da
     pprec = F.when(ptp + pfp > 0, ptp / (ptp + pfp)).otherwise(F.lit(1.0))
     P, N = F.sum(pos), F.sum(neg)
     # Totals come from the same aggregation, so no subquery is needed.
-    return r.agg(_r6(F.sum(neg * (tp + ptp)) / (F.lit(2.0) * P * N)).alias("roc_auc"),
-                 _r6(F.sum(pos * (prec + pprec)) / (F.lit(2.0) * P)).alias("pr_auc"),
-                 _r6(P / (P + N)).alias("no_skill"),
+    return r.agg((F.sum(neg * (tp + ptp)) / (F.lit(2.0) * P * N)).alias("roc_auc"),
+                 (F.sum(pos * (prec + pprec)) / (F.lit(2.0) * P)).alias("pr_auc"),
+                 (P / (P + N)).alias("no_skill"),
                  (P + N).cast("bigint").alias("n"), P.cast("bigint").alias("positives"))
 
 
 def brier(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Mean squared difference between probability and outcome."""
-    return df.agg(_r6(F.avg(F.pow(F.col(score) - F.col(label).cast("double"), 2))).alias("brier"))
+    return df.agg(F.avg(F.pow(F.col(score) - F.col(label).cast("double"), 2)).alias("brier"))
 
 
 def score_bin(score: str | Column, n_bins: int = 10) -> Column:
@@ -146,7 +141,7 @@ def score_bin(score: str | Column, n_bins: int = 10) -> Column:
 def reliability(df: DataFrame, score: str = "score", label: str = "label", n_bins: int = 10) -> DataFrame:
     """Per non-empty bin the mean prediction, fraction of positives and count."""
     return df.groupBy(score_bin(score, n_bins).alias("bin")).agg(
-        _r6(F.avg(score)).alias("mean_predicted"), _r6(F.avg(F.col(label).cast("double"))).alias("fraction_positive"),
+        F.avg(score).alias("mean_predicted"), F.avg(F.col(label).cast("double")).alias("fraction_positive"),
         F.count(F.lit(1)).alias("count"))
 
 
@@ -161,7 +156,7 @@ def minmax_score(df: DataFrame, score: str = "score", out: str = "score_scaled")
     """(s - min) / (max - min) for decision scores without probabilities."""
     lo = df.agg(F.min(score)).scalar()
     hi = df.agg(F.max(score)).scalar()
-    return df.withColumn(out, _r6(F.try_divide(F.col(score) - lo, hi - lo)))
+    return df.withColumn(out, F.try_divide(F.col(score) - lo, hi - lo))
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -182,17 +177,17 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
         "f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),
                          F.lit(0.0)))
     total = per.agg(F.sum("support")).scalar()
-    rows = per.select("class", _r6(F.col("precision")).alias("precision"), _r6(F.col("recall")).alias("recall"),
-                      _r6(F.col("f1")).alias("f1"), F.col("support").cast("bigint").alias("support"))
+    rows = per.select("class", "precision", "recall",
+                      "f1", F.col("support").cast("bigint").alias("support"))
     acc = per.agg(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
                   F.lit(None).cast("double").alias("recall"),
-                  _r6(F.sum("tp") / total).alias("f1"), F.lit(total).cast("bigint").alias("support"))
-    macro = per.agg(F.lit("macro avg").alias("class"), _r6(F.avg("precision")).alias("precision"),
-                    _r6(F.avg("recall")).alias("recall"), _r6(F.avg("f1")).alias("f1"),
+                  (F.sum("tp") / total).alias("f1"), F.lit(total).cast("bigint").alias("support"))
+    macro = per.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
+                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
                     F.lit(total).cast("bigint").alias("support"))
     weighted = per.agg(F.lit("weighted avg").alias("class"),
-                       _r6(F.sum(F.col("precision") * F.col("support")) / total).alias("precision"),
-                       _r6(F.sum(F.col("recall") * F.col("support")) / total).alias("recall"),
-                       _r6(F.sum(F.col("f1") * F.col("support")) / total).alias("f1"),
+                       (F.sum(F.col("precision") * F.col("support")) / total).alias("precision"),
+                       (F.sum(F.col("recall") * F.col("support")) / total).alias("recall"),
+                       (F.sum(F.col("f1") * F.col("support")) / total).alias("f1"),
                        F.lit(total).cast("bigint").alias("support"))
     return rows.unionByName(acc).unionByName(macro).unionByName(weighted)

@@ -63,7 +63,7 @@ def measurement_summary(
     time: str = "measurement_datetime",
     first_last: bool = True,
     summary: bool = True,
-    round_mean: int | None = 6,
+    round_mean: int | None = None,
 ) -> DataFrame:
     """A1 + A2: one aggregation with max/min/mean and first/last value and time.
 

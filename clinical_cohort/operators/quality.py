@@ -26,8 +26,8 @@ QUANTILES = (0.25, 0.5, 0.75)
 
 
 def _pct(num: Column, den: Column) -> Column:
-    """num * 100 / den as DOUBLE rounded to 6 places; null for den = 0."""
-    return F.round(F.try_divide(num.cast("double") * F.lit(100.0), den.cast("double")), 6)
+    """num * 100 / den as DOUBLE; null for den = 0."""
+    return F.try_divide(num.cast("double") * F.lit(100.0), den.cast("double"))
 
 
 def percent_text(c: Column) -> Column:
@@ -81,8 +81,8 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = False, acc
     structs = []
     for i, c in enumerate(cols):
         structs.append(F.struct(
-            F.lit(c).alias("Column"), F.col(f"_c{i}").alias("count"), F.round(F.col(f"_m{i}"), 6).alias("mean"),
-            F.round(F.col(f"_s{i}"), 6).alias("stddev"), F.col(f"_lo{i}").alias("min"),
+            F.lit(c).alias("Column"), F.col(f"_c{i}").alias("count"), F.col(f"_m{i}").alias("mean"),
+            F.col(f"_s{i}").alias("stddev"), F.col(f"_lo{i}").alias("min"),
             F.col(f"_q{i}_0").alias("p25"), F.col(f"_q{i}_1").alias("p50"), F.col(f"_q{i}_2").alias("p75"),
             F.col(f"_hi{i}").alias("max")))
     return _long(row, structs)
@@ -207,9 +207,9 @@ def ttest_stats(main: DataFrame, sample: DataFrame, cols: Sequence[str]) -> Data
     sp2 = ((n1 - 1) * F.col("var1") + (n2 - 1) * F.col("var2")) / dof
     ok = (F.col("n1") >= 2) & (F.col("n2") >= 2) & (sp2 > 0)
     t = F.when(ok, (F.col("mean1") - F.col("mean2")) / F.sqrt(sp2 * (F.lit(1.0) / n1 + F.lit(1.0) / n2)))
-    return j.select("Column", "n1", F.round("mean1", 6).alias("mean1"), F.round("std1", 6).alias("std1"),
-                    "n2", F.round("mean2", 6).alias("mean2"), F.round("std2", 6).alias("std2"),
-                    F.round(t, 6).alias("t"), F.when(ok, dof.cast("bigint")).alias("dof"))
+    return j.select("Column", "n1", "mean1", "std1",
+                    "n2", "mean2", "std2",
+                    t.alias("t"), F.when(ok, dof.cast("bigint")).alias("dof"))
 
 
 def ttest(main: DataFrame, sample: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -261,7 +261,7 @@ def chisq_stats(table: DataFrame) -> DataFrame:
                  ((e1 == 0) | (e2 == 0) | e1.isNull() | e2.isNull()).alias("_zero"))
     agg = t.groupBy("Column").agg(F.sum("_x").alias("_chi2"), F.max("_zero").alias("_bad"), F.max("_k").alias("_k"))
     ok = ~F.col("_bad") & (F.col("_k") >= 2)
-    return agg.select("Column", F.when(ok, F.round("_chi2", 6)).alias("chi2"),
+    return agg.select("Column", F.when(ok, F.col("_chi2")).alias("chi2"),
                       F.when(ok, (F.col("_k") - 1).cast("bigint")).alias("dof"))
 
 
@@ -357,8 +357,8 @@ def profile(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[st
         structs += [s(c, "nulls", F.col(f"_null{i}")), s(c, "null_pct", _pct(F.col(f"_null{i}"), rows)),
                     s(c, "distinct", F.col(f"_dist{i}"))]
     for i, c in enumerate(numeric):
-        structs += [s(c, "count", F.col(f"_cnt{i}")), s(c, "mean", F.round(F.col(f"_mean{i}"), 6)),
-                    s(c, "stddev", F.round(F.col(f"_std{i}"), 6)), s(c, "min", F.col(f"_min{i}")),
+        structs += [s(c, "count", F.col(f"_cnt{i}")), s(c, "mean", F.col(f"_mean{i}")),
+                    s(c, "stddev", F.col(f"_std{i}")), s(c, "min", F.col(f"_min{i}")),
                     s(c, "p25", F.col(f"_q0_{i}")), s(c, "p50", F.col(f"_q1_{i}")), s(c, "p75", F.col(f"_q2_{i}")),
                     s(c, "max", F.col(f"_max{i}"))]
     for i, c in enumerate(patterns):

@@ -39,7 +39,7 @@ def chi2_scores(features: DataFrame, labels: DataFrame, key: str = "visit_occurr
         e = shares[c] * F.col("_t")
         terms.append(F.try_divide(F.pow(F.col(f"_o{i}") - e, 2), e))
     score = reduce(lambda a, b: a + b, terms)
-    return per.select("feature", F.round(score, 6).alias("score"))
+    return per.select("feature", score.alias("score"))
 
 
 def top_k(scores: DataFrame, k: int, score: str = "score", feature: str = "feature") -> DataFrame:
@@ -78,7 +78,7 @@ def minmax_scale(features: DataFrame, ranges: DataFrame) -> DataFrame:
     j = features.join(ranges, "feature", "inner")
     scaled = F.coalesce(F.try_divide(F.col("value") - F.col("min_value"), F.col("max_value") - F.col("min_value")),
                         F.lit(0.0))
-    return j.select(*[c for c in features.columns if c != "value"], F.round(scaled, 6).alias("value"))
+    return j.select(*[c for c in features.columns if c != "value"], scaled.alias("value"))
 
 
 def vote_table(selected: Mapping[str, DataFrame], n: int | None = None, feature: str = "feature") -> DataFrame:

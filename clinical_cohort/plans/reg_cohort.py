@@ -37,7 +37,7 @@ _MEASURE_AGGS = """
 @register("measure_first_last", cte("measurement", "concept") + f"""
 SELECT m.visit_occurrence_id, m.measurement_source_value, {_MEASURE_AGGS}
 FROM measurement m JOIN concept c ON m.measurement_concept_id = c.concept_id
-GROUP BY 1, 2""")
+GROUP BY 1, 2""", digits=6)
 def q_measure_first_last(spark, sf):
     r = Roles(spark, sf)
     return M.measurement_pull(r.measurement, r.concept, codes=None)
@@ -47,7 +47,7 @@ def q_measure_first_last(spark, sf):
 SELECT visit_occurrence_id, measurement_source_value,
   max(value_as_number) AS Max_value, min(value_as_number) AS Min_value,
   round(avg(value_as_number), 6) AS Mean_value
-FROM measurement GROUP BY 1, 2""")
+FROM measurement GROUP BY 1, 2""", digits=6)
 def q_measure_summary(spark, sf):
     r = Roles(spark, sf)
     return M.measurement_summary(r.measurement, first_last=False)
@@ -61,14 +61,14 @@ WHERE c.vocabulary_id = '{vocab}'
 GROUP BY 1, 2"""
 
 
-@register("measurement_pull", _pull_sql(VITALS_VOCAB))
+@register("measurement_pull", _pull_sql(VITALS_VOCAB), digits=6)
 def q_measurement_pull(spark, sf):
     r = Roles(spark, sf)
     return M.measurement_pull(r.measurement, r.concept, codes=None,
                               concept_filter=F.col("vocabulary_id") == VITALS_VOCAB)
 
 
-@register("lab_pull", _pull_sql(LABS_VOCAB))
+@register("lab_pull", _pull_sql(LABS_VOCAB), digits=6)
 def q_lab_pull(spark, sf):
     r = Roles(spark, sf)
     return M.measurement_pull(r.measurement, r.concept, codes=None,
@@ -81,7 +81,7 @@ _SOME_CODES = "measurement_concept_id % 7 = 3 AND measurement_concept_id < 200"
 @register("measurement_pull_codes", cte("measurement", "concept") + f"""
 SELECT m.visit_occurrence_id, m.measurement_source_value, {_MEASURE_AGGS}
 FROM measurement m JOIN concept c ON m.measurement_concept_id = c.concept_id
-WHERE {_SOME_CODES} GROUP BY 1, 2""")
+WHERE {_SOME_CODES} GROUP BY 1, 2""", digits=6)
 def q_measurement_pull_codes(spark, sf):
     """the pull for an explicit list of concept codes."""
     r = Roles(spark, sf)
@@ -110,13 +110,13 @@ _SAMPLE_HASH = "md5(concat_ws('|', coalesce(CAST(visit_occurrence_id AS VARCHAR)
 
 
 @register("staged_measurement_sample", _pull_sql(VITALS_VOCAB).replace("SELECT m.visit", "SELECT * FROM (SELECT m.visit")
-          + f") ORDER BY {_SAMPLE_HASH}, visit_occurrence_id, measurement_source_value LIMIT 100")
+          + f") ORDER BY {_SAMPLE_HASH}, visit_occurrence_id, measurement_source_value LIMIT 100", digits=6)
 def q_staged_measurement_sample(spark, sf):
     """The comparison frame, persisted and read back."""
     return _staged(spark, sf)[1]
 
 
-@register("staged_measurement_pull", _pull_sql(VITALS_VOCAB))
+@register("staged_measurement_pull", _pull_sql(VITALS_VOCAB), digits=6)
 def q_staged_measurement_pull(spark, sf):
     """The pull persisted as vitals_data, read back."""
     return _staged(spark, sf)[0]
@@ -142,7 +142,7 @@ def _staged(spark, sf):
   max(value_as_number) AS Max_value, min(value_as_number) AS Min_value,
   round(avg(value_as_number), 6) AS Mean_value
   FROM measurement GROUP BY 1, 2)
-SELECT * FROM s ORDER BY {_SAMPLE_HASH}, visit_occurrence_id, measurement_source_value LIMIT 100""")
+SELECT * FROM s ORDER BY {_SAMPLE_HASH}, visit_occurrence_id, measurement_source_value LIMIT 100""", digits=6)
 def q_sample_bottom_k(spark, sf):
     r = Roles(spark, sf)
     summary = M.measurement_summary(r.measurement, first_last=False)
@@ -361,7 +361,7 @@ def q_demographics_person(spark, sf):
           FROM measurement m JOIN concept c ON m.measurement_concept_id = c.concept_id
           WHERE c.vocabulary_id = '{VITALS_VOCAB}' GROUP BY 1, 2)
 SELECT * FROM (SELECT {_DEMO_COLS} FROM demo WHERE age BETWEEN {COHORT_AGE[0]} AND {COHORT_AGE[1]}) d
-LEFT JOIN vit USING (visit_occurrence_id)""")
+LEFT JOIN vit USING (visit_occurrence_id)""", digits=6)
 def q_cohort_combined(spark, sf):
     r = Roles(spark, sf)
     main, _ = cohort_combined(_tables(r), r.measurement, r.concept, codes=None,

@@ -62,7 +62,7 @@ _PERSON_SCHEMA = ("person_id BIGINT, birth_datetime DATE, death_datetime DATE, g
                   "race_source_value STRING, ethnicity_source_value STRING, care_site_id BIGINT, location_id BIGINT")
 
 
-@register("io_csv_roundtrip", cte("person") + "SELECT * FROM person")
+@register("io_csv_roundtrip", cte("person") + "SELECT * FROM person", digits=6)
 def q_io_csv_roundtrip(spark, sf):
     path = _scratch(spark, "person-csv")
     IO.write_csv(Roles(spark, sf).person, path, header=False, null_value="\\N")
@@ -72,7 +72,7 @@ def q_io_csv_roundtrip(spark, sf):
 @register("io_parquet_roundtrip", cte("measurement") + """
 SELECT visit_occurrence_id, measurement_source_value, max(value_as_number) AS Max_value,
   min(value_as_number) AS Min_value, round(avg(value_as_number), 6) AS Mean_value
-FROM measurement GROUP BY 1, 2""")
+FROM measurement GROUP BY 1, 2""", digits=6)
 def q_io_parquet_roundtrip(spark, sf):
     from ..operators.measures import measurement_summary
     path = _scratch(spark, "summary-parquet")
@@ -102,7 +102,7 @@ def q_io_csv_arrays_as_text(spark, sf):
 @register("io_json_roundtrip", cte("scores") + """
 SELECT CAST(least(floor(score * 10), 9) AS INT) AS bin, round(avg(score), 6) AS mean_predicted,
        round(avg(CAST(label AS DOUBLE)), 6) AS fraction_positive, count(*) AS count
-FROM scores GROUP BY 1""")
+FROM scores GROUP BY 1""", digits=6)
 def q_io_json_roundtrip(spark, sf):
     from ..operators.evaluation import reliability
     path = _scratch(spark, "report-json")
@@ -355,4 +355,4 @@ def q_fn_to_date(spark, sf):
     for c in ("ethnicity_source_value", "death_datetime", "gender_source_value")))
 def q_fn_percent_text(spark, sf):
     n = Q.null_percentage(Roles(spark, sf).person, ["ethnicity_source_value", "death_datetime", "gender_source_value"])
-    return n.select("Column", Q.percent_text(F.col("NullPercentage")).alias("NullPercentage"))
+    return n.select("Column", Q.percent_text(F.round("NullPercentage", 6)).alias("NullPercentage"))

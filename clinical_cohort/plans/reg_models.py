@@ -45,15 +45,15 @@ _CHI2_SQL = _ICD_SQL + _LAB_SQL + """
                  CAST(sum(CASE WHEN label = 0 THEN value ELSE 0 END) AS DOUBLE) AS o0,
                  CAST(sum(CASE WHEN label = 1 THEN value ELSE 0 END) AS DOUBLE) AS o1
           FROM b JOIN lab USING (visit_occurrence_id) GROUP BY 1)
-, sc AS (SELECT feature, round((o0 - s0 * t) * (o0 - s0 * t) / (s0 * t) + (o1 - s1 * t) * (o1 - s1 * t) / (s1 * t), 6) AS score
+, sc AS (SELECT feature, (o0 - s0 * t) * (o0 - s0 * t) / (s0 * t) + (o1 - s1 * t) * (o1 - s1 * t) / (s1 * t) AS score
          FROM per, sh)
 """
 
 
 @register("fs_chi2", cte("diagnosis_extract", "visit_occurrence") + _CHI2_SQL + f"""
-SELECT feature, score, rank FROM (
+SELECT feature, round(score, 6) AS score, rank FROM (
   SELECT feature, score, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, feature ASC) AS INTEGER) AS rank FROM sc)
-WHERE rank <= {K_FEATURES}""")
+WHERE rank <= {K_FEATURES}""", digits=6)
 def q_fs_chi2(spark, sf):
     feats, labels = _features(Roles(spark, sf))
     scores = SEL.chi2_scores(feats, labels)
@@ -87,7 +87,7 @@ def _largest_measures(r):
   CASE WHEN count(*) < max(n.n) THEN greatest(max(value), 0.0) ELSE max(value) END AS hi
   FROM w, n GROUP BY feature)
 SELECT visit_occurrence_id, feature, round(CASE WHEN hi = lo THEN 0.0 ELSE (value - lo) / (hi - lo) END, 6) AS value
-FROM w JOIN g USING (feature)""")
+FROM w JOIN g USING (feature)""", digits=6)
 def q_fs_minmax_scaled(spark, sf):
     r = Roles(spark, sf)
     w = _largest_measures(r)
@@ -164,14 +164,14 @@ _D_SQL = """
 
 @register("eval_roc", cte("scores") + _D_SQL + """
 SELECT score AS threshold, round(fp / N, 6) AS fpr, round(tp / P, 6) AS tpr FROM r, tot
-UNION ALL SELECT NULL, 0.0, 0.0""")
+UNION ALL SELECT NULL, 0.0, 0.0""", digits=6)
 def q_eval_roc(spark, sf):
     return EV.roc_curve(Roles(spark, sf).scores)
 
 
 @register("eval_pr", cte("scores") + _D_SQL + """
 SELECT score AS threshold, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision, round(tp / P, 6) AS recall FROM r, tot
-UNION ALL SELECT NULL, 1.0, 0.0""")
+UNION ALL SELECT NULL, 1.0, 0.0""", digits=6)
 def q_eval_pr(spark, sf):
     return EV.pr_curve(Roles(spark, sf).scores)
 
@@ -182,12 +182,12 @@ SELECT round(sum(neg * (tp + tp - pos)) / (2.0 * sum(pos) * sum(neg)), 6) AS roc
        round(sum(pos * (tp / (tp + fp) + CASE WHEN (tp - pos) + (fp - neg) > 0 THEN (tp - pos) / ((tp - pos) + (fp - neg)) ELSE 1.0 END)) / (2.0 * sum(pos)), 6) AS pr_auc,
        round(sum(pos) / (sum(pos) + sum(neg)), 6) AS no_skill, CAST(sum(pos) + sum(neg) AS BIGINT) AS n,
        CAST(sum(pos) AS BIGINT) AS positives
-FROM x""")
+FROM x""", digits=6)
 def q_eval_auc(spark, sf):
     return EV.auc_summary(Roles(spark, sf).scores)
 
 
-@register("eval_brier", cte("scores") + "SELECT round(avg(pow(score - label, 2)), 6) AS brier FROM scores")
+@register("eval_brier", cte("scores") + "SELECT round(avg(pow(score - label, 2)), 6) AS brier FROM scores", digits=6)
 def q_eval_brier(spark, sf):
     return EV.brier(Roles(spark, sf).scores)
 
@@ -195,7 +195,7 @@ def q_eval_brier(spark, sf):
 @register("eval_reliability", cte("scores") + """
 SELECT CAST(least(floor(score * 10), 9) AS INT) AS bin, round(avg(score), 6) AS mean_predicted,
        round(avg(CAST(label AS DOUBLE)), 6) AS fraction_positive, count(*) AS count
-FROM scores GROUP BY 1""")
+FROM scores GROUP BY 1""", digits=6)
 def q_eval_reliability(spark, sf):
     return EV.reliability(Roles(spark, sf).scores)
 
@@ -211,7 +211,7 @@ def q_eval_score_hist(spark, sf):
 @register("eval_minmax_score", cte("scores") + """
 SELECT doc_id, label, score,
   round((score - (SELECT min(score) FROM scores)) / ((SELECT max(score) FROM scores) - (SELECT min(score) FROM scores)), 6) AS score_scaled
-FROM scores""")
+FROM scores""", digits=6)
 def q_eval_minmax_score(spark, sf):
     return EV.minmax_score(Roles(spark, sf).scores)
 
@@ -231,7 +231,7 @@ SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, roun
 UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / max(total), 6), CAST(max(total) AS BIGINT) FROM f, t
 UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(max(total) AS BIGINT) FROM f, t
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / max(total), 6), round(sum(recall * support) / max(total), 6),
-  round(sum(f1 * support) / max(total), 6), CAST(max(total) AS BIGINT) FROM f, t""")
+  round(sum(f1 * support) / max(total), 6), CAST(max(total) AS BIGINT) FROM f, t""", digits=6)
 def q_eval_class_report(spark, sf):
     s = Roles(spark, sf).scores.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
     return EV.classification_report(s)
@@ -321,7 +321,7 @@ _TGT_SQL = """
                  CAST(sum(CASE WHEN label = 1 THEN value ELSE 0 END) AS DOUBLE) AS o1
           FROM b JOIN tl USING (visit_occurrence_id) GROUP BY 1, 2)
 , sc AS (SELECT per.target, feature,
-           round((o0 - s0 * t) * (o0 - s0 * t) / (s0 * t) + (o1 - s1 * t) * (o1 - s1 * t) / (s1 * t), 6) AS score
+           (o0 - s0 * t) * (o0 - s0 * t) / (s0 * t) + (o1 - s1 * t) * (o1 - s1 * t) / (s1 * t) AS score
          FROM per JOIN sh ON per.target = sh.target)
 """
 

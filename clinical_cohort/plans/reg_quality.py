@@ -41,7 +41,7 @@ def _pct_sql(num: str, den: str) -> str:
 
 @register("qc_null_pct", cte("person") + _union_sql([
     f"SELECT '{c}' AS \"Column\", CAST(count_if({_empty_sql(c)}) AS BIGINT) AS NullCount, count(*) AS RowCount, "
-    f"{_pct_sql(f'count_if({_empty_sql(c)})', 'count(*)')} AS NullPercentage FROM person" for c in PERSON_COLS]))
+    f"{_pct_sql(f'count_if({_empty_sql(c)})', 'count(*)')} AS NullPercentage FROM person" for c in PERSON_COLS]), digits=6)
 def q_null_pct(spark, sf):
     return Q.null_percentage(Roles(spark, sf).person, PERSON_COLS)
 
@@ -51,7 +51,7 @@ def q_null_pct(spark, sf):
     f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
     f"quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50, "
     f"quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem"
-    for c in NUMERIC]))
+    for c in NUMERIC]), digits=6)
 def q_numeric_summary(spark, sf):
     return Q.numeric_summary(Roles(spark, sf).table("lineitem"), NUMERIC, exact=True)
 
@@ -82,7 +82,7 @@ def q_topk_values(spark, sf):
     f"SELECT '{c}' AS \"Column\", CAST({c} AS VARCHAR) AS Value, count(*) AS Count FROM person GROUP BY 2"
     for c in CATEGORICAL]) + """)
 SELECT d."Column", Value, Count, round(CAST(Count AS DOUBLE) * 100.0 / CAST(sum(Count) OVER (PARTITION BY d."Column") AS DOUBLE), 6) AS Percent
-FROM d""")
+FROM d""", digits=6)
 def q_distribution_pct(spark, sf):
     return Q.value_distribution_pct(Roles(spark, sf).person, CATEGORICAL)
 
@@ -91,7 +91,7 @@ def q_distribution_pct(spark, sf):
     f"SELECT '{c}' AS \"Column\", '{p}' AS Pattern, CAST(count_if(NOT regexp_matches(CAST({c} AS VARCHAR), '{p}')) AS BIGINT) AS MismatchCount, "
     f"CAST(count_if({c} IS NULL) AS BIGINT) AS NullCount, count(*) AS RowCount, "
     f"{_pct_sql(f'count_if(NOT regexp_matches(CAST({c} AS VARCHAR), {chr(39)}{p}{chr(39)}))', 'count(*)')} AS MismatchPercentage "
-    f"FROM person" for c, p in PATTERNS.items()]))
+    f"FROM person" for c, p in PATTERNS.items()]), digits=6)
 def q_regex_mismatch(spark, sf):
     return Q.mismatch_percentage(Roles(spark, sf).person, PATTERNS)
 
@@ -139,7 +139,7 @@ SELECT col AS "Column", n1, round(mean1, 6) AS mean1, round(std1, 6) AS std1, n2
        round(std2, 6) AS std2,
        CASE WHEN n1 >= 2 AND n2 >= 2 AND sp2 > 0 THEN round((mean1 - mean2) / sqrt(sp2 * (1.0 / n1 + 1.0 / n2)), 6) END AS t,
        CASE WHEN n1 >= 2 AND n2 >= 2 AND sp2 > 0 THEN CAST(dof AS BIGINT) END AS dof
-FROM j""")
+FROM j""", digits=6)
 def q_ttest_stats(spark, sf):
     main, smp = _sample(Roles(spark, sf))
     return Q.ttest_stats(main, smp, TEST_COLS)
@@ -169,10 +169,10 @@ FROM (SELECT *, row_number() OVER (ORDER BY p, o) AS i, count(*) OVER () AS m
 UNION ALL SELECT {columns}, NULL, NULL FROM ({tests}) WHERE p IS NULL"""
 
 
-@register("qc_ttest", f"SELECT * REPLACE (round(p, 6) AS p) FROM ({_p_sql(ORACLES['qc_ttest_stats'], 't')})")
+@register("qc_ttest", f"SELECT * REPLACE (round(p, 6) AS p) FROM ({_p_sql(ORACLES['qc_ttest_stats'], 't')})", digits=6)
 def q_ttest(spark, sf):
     main, smp = _sample(Roles(spark, sf))
-    return Q.ttest(main, smp, TEST_COLS).withColumn("p", F.round("p", 6))
+    return Q.ttest(main, smp, TEST_COLS)
 
 
 def _cells_sql(src: str, name: str) -> str:
@@ -205,16 +205,16 @@ SELECT "Column",
   CASE WHEN max(CASE WHEN e1 = 0 OR e2 = 0 THEN 1 ELSE 0 END) = 0 AND max(k) >= 2
        THEN round(sum(d1 * d1 / e1 + d2 * d2 / e2), 6) END AS chi2,
   CASE WHEN max(CASE WHEN e1 = 0 OR e2 = 0 THEN 1 ELSE 0 END) = 0 AND max(k) >= 2 THEN CAST(max(k) - 1 AS BIGINT) END AS dof
-FROM x GROUP BY 1""")
+FROM x GROUP BY 1""", digits=6)
 def q_chisq_stat(spark, sf):
     main, smp = _sample(Roles(spark, sf))
     return Q.chisq_stats(Q.contingency(main, smp, CHI_COLS))
 
 
-@register("qc_chisq", f"SELECT * REPLACE (round(p, 6) AS p) FROM ({_p_sql(ORACLES['qc_chisq_stat'], 'chi2')})")
+@register("qc_chisq", f"SELECT * REPLACE (round(p, 6) AS p) FROM ({_p_sql(ORACLES['qc_chisq_stat'], 'chi2')})", digits=6)
 def q_chisq(spark, sf):
     main, smp = _sample(Roles(spark, sf))
-    return Q.chisq(main, smp, CHI_COLS).withColumn("p", F.round("p", 6))
+    return Q.chisq(main, smp, CHI_COLS)
 
 
 @register("qc_stars", cte("scores") + """
@@ -227,12 +227,12 @@ def q_stars(spark, sf):
 
 
 @register("qc_fdr", _fdr_sql(f"""SELECT "Column", p FROM ({_p_sql(ORACLES['qc_ttest_stats'], 't')})
-  UNION ALL SELECT "Column" || ':chi2', p FROM ({_p_sql(ORACLES['qc_chisq_stat'], 'chi2')})""", '"Column"'))
+  UNION ALL SELECT "Column" || ':chi2', p FROM ({_p_sql(ORACLES['qc_chisq_stat'], 'chi2')})""", '"Column"'), digits=6)
 def q_fdr(spark, sf):
     main, smp = _sample(Roles(spark, sf))
     t = Q.ttest(main, smp, TEST_COLS).select("Column", "p")
     c = Q.chisq(main, smp, CHI_COLS).select(F.concat(F.col("Column"), F.lit(":chi2")).alias("Column"), "p")
-    return Q.fdr_bh(t.unionByName(c)).withColumns({x: F.round(x, 6) for x in ("p", "p_adj")})
+    return Q.fdr_bh(t.unionByName(c))
 
 
 @register("qc_fdr_scores", cte("scores") + """
@@ -275,7 +275,7 @@ def _profile_sql() -> str:
     return cte("person") + _union_sql(parts)
 
 
-@register("qc_profile", _profile_sql())
+@register("qc_profile", _profile_sql(), digits=6)
 def q_profile(spark, sf):
     return Q.profile(Roles(spark, sf).person, _PROFILE_NUM, _PROFILE_CAT, PATTERNS, exact=True)
 
@@ -292,11 +292,10 @@ _REPORT_CHI = _p_sql(f"""SELECT * FROM ({ORACLES['qc_chisq_stat'].replace(_SAMPL
 @register("cohort_quality_report", "SELECT *, CASE WHEN p IS NULL THEN NULL WHEN p > 0.05 THEN 'ns' WHEN p < 0.0001 THEN '****' "
           "WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' ELSE '*' END AS stars FROM ("
           + _fdr_sql(f"""SELECT "Column", 't-test' AS Test, t AS statistic, dof, p FROM ({_REPORT_T})
-  UNION ALL SELECT "Column", 'chi-square', chi2, dof, p FROM ({_REPORT_CHI})""", '"Column", Test, statistic, dof') + ")")
+  UNION ALL SELECT "Column", 'chi-square', chi2, dof, p FROM ({_REPORT_CHI})""", '"Column", Test, statistic, dof') + ")", digits=6)
 def q_cohort_quality_report(spark, sf):
     r = Roles(spark, sf)
     m = r.measurement.select("visit_occurrence_id", "measurement_source_value", "value_as_number", "l_linenumber",
                              "measurement_concept_id", "l_suppkey")
     return cohort_quality_report(m, comparison_sample(m, SAMPLE_N, SAMPLE_KEYS, tiebreak=m.columns),
-                                 numeric=["value_as_number"], categorical=["measurement_source_value", "l_linenumber"]
-                                 ).withColumns({x: F.round(x, 6) for x in ("p", "p_adj")})
+                                 numeric=["value_as_number"], categorical=["measurement_source_value", "l_linenumber"])

@@ -12,22 +12,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(key: str, sql: str | None = None):
+def register(key: str, sql: str | None = None, digits: int | None = None):
+    """Register a query and its SQL. With ``digits`` its DOUBLE columns are rounded, as the SQL rounds them:
+    operators return full precision, only registered results are cut for comparison."""
     def deco(fn):
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key!r}")
-        QUERIES[key] = fn
+        QUERIES[key] = fn if digits is None else lambda spark, sf_dir: _rounded(fn(spark, sf_dir), digits)
         if sql is not None:
             ORACLES[key] = sql
         return fn
     return deco
 
 
+def _rounded(df: DataFrame, digits: int) -> DataFrame:
+    return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if isinstance(f.dataType, DoubleType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def load_all() -> None:
     """Import every module that registers queries."""
     from . import reg_cohort, reg_features, reg_io, reg_models, reg_quality  # noqa: F401

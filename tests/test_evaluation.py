@@ -1,6 +1,8 @@
 import math
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from clinical_cohort.operators import evaluation as EV
@@ -35,10 +37,11 @@ def test_auc_matches_trapezoid(spark):
     rows, df = _data(spark)
     roc, pra, pts = _brute(rows)
     got = EV.auc_summary(df).collect()[0]
-    assert math.isclose(got.roc_auc, round(roc, 6), abs_tol=1e-6)
-    assert math.isclose(got.pr_auc, round(pra, 6), abs_tol=1e-6)
+    assert math.isclose(got.roc_auc, roc, rel_tol=1e-12)  # operators return full precision
+    assert math.isclose(got.pr_auc, pra, rel_tol=1e-12)
     curve = sorted((r.fpr, r.tpr) for r in EV.roc_curve(df).collect())
-    assert curve == sorted((round(a, 6), round(b, 6)) for a, b in pts)
+    assert len(curve) == len(pts)
+    assert all(a == pytest.approx(b, rel=1e-12) for a, b in zip(curve, sorted(pts), strict=True))
 
 
 def test_running_counts_cross_bucket(spark):
@@ -83,7 +86,7 @@ def test_classification_report(spark):
     df = spark.createDataFrame(rows, "label int, prediction int")
     rep = {r["class"]: r for r in EV.classification_report(df).collect()}
     assert math.isclose(rep["1"].precision, 2 / 3, abs_tol=1e-6) and math.isclose(rep["1"].recall, 2 / 3, abs_tol=1e-6)
-    assert math.isclose(rep["accuracy"].f1, round(4 / 6, 6)) and rep["weighted avg"].support == 6
+    assert math.isclose(rep["accuracy"].f1, 4 / 6, rel_tol=1e-12) and rep["weighted avg"].support == 6
 
 
 def test_curves_on_empty_and_single_score(spark):
