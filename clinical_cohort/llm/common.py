@@ -54,8 +54,9 @@ def utf8(column) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-#: Rows of an Arrow batch that are worked on at a time.
-MAP_ROWS = 2_000
+#: Rows that a worker is sent and works on at a time.
+MAP_ROWS = 1_000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def slices(batch, rows: int = MAP_ROWS) -> list:
@@ -67,12 +68,16 @@ def map_rows(df: DataFrame, fn: Callable[[object], list], names_and_types: str,
 
     ``fn`` returns one Arrow array or list per appended column. ``keep`` names
     the input columns that stay (default: all). Only narrow work: no shuffle. It
-    is given ``MAP_ROWS`` rows at a time at most, which bounds a worker's memory.
+    is given ``MAP_ROWS`` rows at a time at most, which bounds a worker's memory;
+    the session's Arrow batches are made as small, for the executor's.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_KEY)) <= MAP_ROWS:
+        conf.set(_BATCH_KEY, str(MAP_ROWS))
     keep = df.columns if keep is None else keep
     added = StructType.fromDDL(names_and_types)
     schema = StructType([df.schema[c] for c in keep] + added.fields)

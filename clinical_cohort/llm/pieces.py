@@ -36,7 +36,7 @@ from .common import map_rows, utf8
 SPACE = "▁"
 N_BEST = 4
 INF = float("inf")
-CACHED_SEGMENTS = 400_000
+CACHED_SEGMENTS = 200_000
 #: Longest segments that are scored many at a time.
 MOST_TOGETHER = 40
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
