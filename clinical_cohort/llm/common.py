@@ -44,7 +44,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     The rows then survive the loss of an executor and the lineage is cut.
     """
     path = f"{scratch_path(df.sparkSession, name)}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
