@@ -60,8 +60,8 @@ ADDED = (
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"[rs]k_live_[0-9A-Za-z]{16,}"),
     Rule("private_key", _KEY_BEGIN + "(?:" + _KEY_WHOLE + "|" + _KEY_CUT + ")?"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,1000}\.eyJ[A-Za-z0-9_-]{10,1000}\.[A-Za-z0-9_-]{10,1000}"),
-    Rule("url_password", r"://[^\x20\x09-\x0D:@/]{1,64}:[^\x20\x09-\x0D:@/]{1,64}@"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("url_password", r"://[^\x20\x09-\x0D:@/]*:[^\x20\x09-\x0D:@/]+@"),
 )
 RULES = BASE + ADDED
 

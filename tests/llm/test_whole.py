@@ -40,3 +40,14 @@ def test_whole_private_keys_are_redacted(spark):
     other = ["The line -----BEGIN PRIVATE KEY----- opens a key file.", "-----BEGIN PUBLIC KEY-----\nMIIB\n-----END PUBLIC KEY-----"]
     assert _redacted(spark, other) == ["The line [secret] opens a key file.", other[1]]
     _sql_agrees(spark, texts + cut + other)
+
+
+def test_long_tokens_and_passwords_are_redacted(spark):
+    part = "aB3_-" * 1_000
+    tokens = [f"eyJ{a}.eyJ{b}.{c}" for a, b, c in ((part, "b" * 20, "c" * 20), ("a" * 20, part, "c" * 20), ("a" * 20, "b" * 20, part))]
+    texts = [f"x {t} y" for t in tokens] + [f"redis{u}host" for u in (
+        f"://{'u' * 65}:p@", f"://u:{'p' * 65}@", f"://{'u' * 3000}:{'p' * 3000}@", "://:password@")]
+    assert _redacted(spark, texts) == ["x [secret] y"] * 3 + ["redis[secret]host"] * 4
+    other = ["http://host:80/a@b", "http://u:@host", "eyJaaaaaaaaaaaa.eyJbbbbbbbbbbbb."]
+    assert _redacted(spark, other) == other
+    _sql_agrees(spark, texts + other)
