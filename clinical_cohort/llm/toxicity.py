@@ -9,10 +9,11 @@ smoothed alike for both and only what a class has seen tells them apart.
 The score compares the two log-likelihoods, of the text divided by its number of
 n-grams, and of the one word that speaks most for the toxic class (a few words
 can make a long text toxic). A logistic function of the two differences, fitted
-on labelled rows that the counts do not hold, gives a value of 0 to 1.
+on labelled rows that the counts do not hold yet, gives a value of 0 to 1.
 
-Counts cover every labelled training row; they are grouped sums with partial
-sums per batch. Up to ``max_shared`` n-grams the table is broadcast for scoring;
+The counts that score the documents cover every labelled training row: those of
+the fold that the logistic function is fitted on are added after the fit. They
+are grouped sums with partial sums per batch. Up to ``max_shared`` n-grams the table is broadcast for scoring;
 a larger one is joined to the texts' n-grams instead, with equal results.
 
 Null, empty and letterless texts have differences of 0. Labels that are null or
@@ -44,7 +45,7 @@ START, END = "\x02", "\x03"
 
 
 def fold(key: Column) -> Column:
-    """crc32 of the key as text, modulo 5: 0 is held out, 1 fits the logistic function, the rest is counted."""
+    """crc32 of the key as text, modulo 5: 0 is held out, 1 fits the logistic function before it is counted, the rest is counted."""
     return F.crc32(key.cast("string").cast("binary")) % FOLDS
 
 
@@ -250,13 +251,16 @@ def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_shared: in
         F.col(key).alias("k"), (F.col(label) != 0).cast("int").alias("toxic"))
     # A merge join at every size: labels grow with the documents and are never broadcast.
     train = rows.where(fold(F.col("k")) != 0).join(marks.hint("merge"), "k")
+    last = train.where(fold(F.col("k")) == 1)
     counted = saved(count(train.where(fold(F.col("k")) != 1), order), "grams")
-    table = saved(model(counted, order), "differences")
-    known = differences(train.where(fold(F.col("k")) == 1), table, order, max_shared)
+    known = differences(last, saved(model(counted, order), "differences"), order, max_shared)
     sample = known.orderBy(F.xxhash64("k"), "k", *FEATURES).limit(fit_rows).toPandas()
     prior = marks.agg(F.avg("toxic")).first()[0]
     *slopes, offset = fit(sample, 0.5 if prior is None else float(prior))
     p = 1 / (1 + F.exp(-sum((F.lit(w) * F.col(f) for w, f in zip(slopes, FEATURES, strict=True)), F.lit(offset))))
+    every = saved(counted.unionByName(count(last, order)).groupBy("gram").agg(
+        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "grams")
+    table = saved(model(every, order), "differences")
     return differences(rows, table, order, max_shared).select(
         F.col("k").alias(key), F.coalesce(fold(F.col("k")) == 0, F.lit(False)).alias("held_out"), p.alias("score"),
         (p >= 0.5).cast("int").alias("predicted"))

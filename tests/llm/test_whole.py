@@ -1,8 +1,11 @@
 """Inputs on which an operator once did less than its whole job."""
 
+import random
+import zlib
+
 import duckdb
 
-from clinical_cohort.llm import oracles, secrets
+from clinical_cohort.llm import oracles, secrets, toxicity
 
 BODY = "\n".join(["MIIEvQIBADANBgkqhkiG9w0BAQEFAASCBKcwggSjAgEAAoIBAQC7" + "aB3/+x9Z" * 2] * 60)
 
@@ -51,3 +54,21 @@ def test_long_tokens_and_passwords_are_redacted(spark):
     other = ["http://host:80/a@b", "http://u:@host", "eyJaaaaaaaaaaaa.eyJbbbbbbbbbbbb."]
     assert _redacted(spark, other) == other
     _sql_agrees(spark, texts + other)
+
+
+def test_toxicity_counts_the_fold_of_the_fit(spark):
+    random.seed(11)
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    calm = ["house", "garden", "river", "morning", "letter", "window", "answer", "winter"]
+    docs, labels = [], []
+    for i in range(400):
+        marks = ["snarlgrub"] if i % 4 == 0 else []
+        if marks and fold(i) == 1:
+            marks.append("qyvvoxj")  # labelled in this fold only
+        docs.append((i, " ".join(random.choices(calm, k=20) + marks)))
+        labels.append((i, int(i % 4 == 0)))
+    new = next(i for i in range(1000, 1100) if fold(i) == 0)
+    docs.append((new, " ".join([*calm, "qyvvoxj"])))
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"),
+                                               spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert got[new].held_out and got[new].predicted == 1
