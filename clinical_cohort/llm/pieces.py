@@ -327,12 +327,22 @@ def _encoder(path: str, n: int) -> Encoder:
     return Encoder(path, n)
 
 
+def _lists(arrays: list[np.ndarray]):
+    """Arrow array of lists of ids."""
+    import pyarrow as pa
+    return pa.ListArray.from_arrays(np.cumsum([0, *map(len, arrays)], dtype=np.int32),
+                                    np.concatenate([np.empty(0, np.int32), *arrays]).astype(np.int32))
+
+
 def encode(docs: DataFrame, model: str, n: int = 1, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: key, ``ids`` of the best segmentation, ``scores`` and ``alternatives`` of the n best."""
     def run(batch):
+        import pyarrow as pa
         enc = _encoder(model, n)
         found = [enc.n_best(p) for p in enc.segments(batch.column("t"))]
-        return [[f[0][1] for f in found], [[s for s, _ in f] for f in found], [[i.tolist() for _, i in f[1:]] for f in found]]
+        others = pa.ListArray.from_arrays(np.cumsum([0, *(len(f) - 1 for f in found)], dtype=np.int32),
+                                          _lists([i for f in found for _, i in f[1:]]))
+        return [_lists([f[0][1] for f in found]), [[s for s, _ in f] for f in found], others]
 
     rows = docs.select(F.col(key), F.col(text).alias("t"))
     return map_rows(rows, run, "ids array<int>, scores array<double>, alternatives array<array<int>>", keep=[key])

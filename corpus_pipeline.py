@@ -3,7 +3,8 @@
 Stages, in order: quality rules drop what they reject; of every group of SimHash
 near-duplicates one document stays; passages of `benchmark` are cut out, and
 documents that are mostly such passages dropped; secrets are masked; the rest is
-encoded into SentencePiece ids.
+encoded into the SentencePiece ids of its best segmentation, beside the scores of
+the ``N_BEST`` best and the ids of the others.
 
 Each stage works on all rows that the stage before kept and, but for the last,
 returns the columns it was given, extra ones too; ``n_chars`` follows the text.
@@ -44,8 +45,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    encoded = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), pieces.N_BEST)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "scores", "alternatives")
 
 
 STAGES = [

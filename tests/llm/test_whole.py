@@ -4,8 +4,10 @@ import random
 import zlib
 
 import duckdb
+import public_tokenizers
 
-from clinical_cohort.llm import oracles, secrets, toxicity
+import corpus_pipeline
+from clinical_cohort.llm import oracles, pieces, secrets, toxicity
 
 BODY = "\n".join(["MIIEvQIBADANBgkqhkiG9w0BAQEFAASCBKcwggSjAgEAAoIBAQC7" + "aB3/+x9Z" * 2] * 60)
 
@@ -72,3 +74,14 @@ def test_toxicity_counts_the_fold_of_the_fit(spark):
     got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"),
                                                spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
     assert got[new].held_out and got[new].predicted == 1
+
+
+def test_pipeline_encodes_the_n_best(spark):
+    docs = spark.createDataFrame([(1, "Hello wörld again"), (2, None), (3, "")], "doc_id long, text string")
+    got = {r.doc_id: r for r in corpus_pipeline.encode(spark, docs, "").collect()}
+    v = pieces.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    assert len(got[1].scores) == len(got[1].alternatives) + 1 == pieces.N_BEST
+    assert got[1].scores == sorted(got[1].scores, reverse=True)
+    assert len({tuple(x) for x in (got[1].ids, *got[1].alternatives)}) == pieces.N_BEST
+    assert all(v.decode(x).decode() == "Hello wörld again" for x in (got[1].ids, *got[1].alternatives))
+    assert got[2].ids == got[3].ids == [] and got[2].alternatives == []
