@@ -3,7 +3,8 @@
 A text is cut into sentences twice, with its line breaks as spaces (wrapped
 licence texts) and as boundaries (one-line notices). Normalised sentences that
 are known get an identifier; a licence is found where its identifiers follow
-each other in order, with at most ``MAX_GAP`` other sentences in between.
+each other in order, with at most ``MAX_GAP`` other sentences, known or not, in
+between; sentences further apart are taken to be of different texts.
 
 Everything is one projection over built-in functions: no shuffle. Null and empty
 texts have no sentence. Repeated rows get equal results. Other columns are not
@@ -122,7 +123,7 @@ RULES = (
 
 def sequence_pattern(rule: Rule) -> str:
     """Regex of the rule over a sequence such as ``,mit_grant,-,mit_warranty,``."""
-    return "," + (",(-,){0,%d}" % MAX_GAP).join(rule.sentences) + ","
+    return "," + (",([^,]+,){0,%d}" % MAX_GAP).join(rule.sentences) + ","
 
 
 def sentences(text: Column, wrapped: bool) -> Column:

@@ -7,7 +7,7 @@ import duckdb
 import public_tokenizers
 
 import corpus_pipeline
-from clinical_cohort.llm import oracles, pieces, secrets, toxicity
+from clinical_cohort.llm import licenses, oracles, pieces, secrets, toxicity
 
 BODY = "\n".join(["MIIEvQIBADANBgkqhkiG9w0BAQEFAASCBKcwggSjAgEAAoIBAQC7" + "aB3/+x9Z" * 2] * 60)
 
@@ -85,3 +85,11 @@ def test_pipeline_encodes_the_n_best(spark):
     assert len({tuple(x) for x in (got[1].ids, *got[1].alternatives)}) == pieces.N_BEST
     assert all(v.decode(x).decode() == "Hello wörld again" for x in (got[1].ids, *got[1].alternatives))
     assert got[2].ids == got[3].ids == [] and got[2].alternatives == []
+
+
+def test_known_sentences_may_lie_between_those_of_a_rule(spark):
+    grant, warranty = (licenses.SENTENCES[k] for k in ("mit_grant", "mit_warranty"))
+    docs = spark.createDataFrame([(1, f"{grant}. All rights reserved. {warranty}."), (2, grant + ". x. y. z. u. " + warranty)],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.recognise(docs).collect()}
+    assert got == {1: ["MIT", "Proprietary"], 2: []}
