@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from clinical_cohort.session import scratch_path
 
-from . import decontamination, licenses, oracles, pieces, quality, repeats, secrets, simhash, token_output, toxicity, warc
+from . import (decontamination, licenses, oracles, pieces, quality, repeats, runs, secrets, simhash, spelling, token_counts,
+               token_output, toxicity, warc)
 from .common import saved, table
 from .registry import register
 
@@ -93,3 +94,18 @@ def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.recognise(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_known", F.array_join("licenses", ",").alias("licenses"))
+
+
+@register("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

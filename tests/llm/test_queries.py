@@ -28,7 +28,7 @@ def rows(spark, name):
 
 def test_all_are_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES if k.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in registry.QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in registry.QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
