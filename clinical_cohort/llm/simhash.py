@@ -9,14 +9,20 @@ distance is the bit count of an exclusive or.
 Grid join: of two embeddings within 4, one half of the segments (16) is within
 2, so some grid point lies within 1 of both halves. Each distinct fingerprint
 is sent to the cell of each of its halves and to that cell's neighbours at
-distance 1 (25 cells a half on average), cells are joined, and pairs are kept
-by the lower bound and then by exact Hamming distance.
+distance 1 (25 cells a half on average). The fingerprints of a cell are tested
+against each other by the lower bound and then by exact Hamming distance.
+
+Groups need no more links than connect them, so a cell gives a spanning forest of
+its links, not its pairs: n near copies cost n - 1 rows in each cell they share.
+A cell of more than ``BLOCK`` fingerprints is cut into blocks, and every two of
+its blocks are tested as a group of their own, so no group is larger than two blocks.
 
 Texts are compared by fingerprint: rows of one fingerprint meet once, before
 any join, so copies of any number cost one row. Links become groups by
 connected components in distributed rounds.
 
-Null and wordless texts have fingerprint zero and are linked like any other.
+Null and wordless texts have fingerprint zero and are linked like any other. Very
+long texts are read whole, their shingles' bits added in parts.
 Repeated rows share a group. Rows without id take part; a group's id is its
 smallest id that is not null. Other columns are not read by `group` and are kept
 by `deduplicate`. Empty tables give empty results.
@@ -39,6 +45,9 @@ MAX_DISTANCE = 4
 #: Fixed value: seed of XXH64.
 SEED = 42
 
+#: Fingerprints of a cell that are tested together, with one other block at most.
+BLOCK = 4_096
+
 _LOW = 0x5555555555555555
 _HIGH = -0x5555555555555556  # the other bits, as a signed long
 _HALF = 0xFFFFFFFF
@@ -91,17 +100,76 @@ def _cells(fps: DataFrame) -> DataFrame:
         "fp", F.shiftleft("cell", 1).bitwiseOR(F.col("pos")).alias("cell"))
 
 
-def links(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints at most ``max_distance`` bits apart; fps has distinct ``fp``."""
+def _forest(fps: np.ndarray, max_distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what links of at most ``max_distance`` bits connect, one fewer than the fingerprints of each part."""
+    codes = (fps >> np.uint64(1) | fps) & np.uint64(_LOW) | (fps << np.uint64(1) & fps) & np.uint64(_LOW << 1)
+    left, frontier = np.arange(len(fps)), []
+    a: list[np.ndarray] = []
+    b: list[np.ndarray] = []
+    while len(left):
+        if not frontier:
+            frontier.append(left[0])
+            left = left[1:]
+        at = frontier.pop()
+        near = np.flatnonzero(np.bitwise_count(codes[left] ^ codes[at]) <= max_distance)  # the lower bound
+        near = near[np.bitwise_count(fps[left[near]] ^ fps[at]) <= max_distance]
+        if len(near):
+            a.append(np.repeat(fps[at], len(near)))
+            b.append(fps[left[near]])
+            frontier += left[near].tolist()
+            left = np.delete(left, near)
+    none = np.empty(0, np.uint64)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
+
+
+def _groups(fps: DataFrame, block: int) -> DataFrame:
+    """(cell, i, j, fp): the members of every two blocks of the cells that hold more than one fingerprint."""
+    cells = _cells(fps)
+    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = cells.join(sizes.hint("merge"), "cell").select(
+        "cell", "fp", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    # Block k meets every block; in a cell of one block that is the cell itself.
+    return members.select("cell", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+
+
+def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct fingerprints at most ``max_distance`` bits apart, enough of them to connect
+    all that such pairs connect; fps has distinct ``fp``."""
+    import pyarrow as pa
     if not 0 <= max_distance <= 4:
         raise ValueError("halves are joined at Manhattan distance 2, which finds pairs of up to 4 bits")
-    cells = _cells(fps)
-    a = cells.select(F.col("fp").alias("a"), "cell")
-    b = cells.select(F.col("fp").alias("b"), "cell")
-    bound = F.bit_count(embedding(F.col("a")).bitwiseXOR(embedding(F.col("b"))))
-    exact = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return (a.join(b, "cell").where((F.col("a") < F.col("b")) & (bound <= max_distance) & (exact <= max_distance))
-            .select("a", "b").distinct())
+    by = ["cell", "i", "j"]
+
+    def run(batches):
+        def linked(keys, members):
+            starts = np.append(np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1, len(keys))
+            out, at = [], 0
+            for end in starts.tolist():
+                if end - at == 2:
+                    x, y = members[at:end].tolist()
+                    if (x ^ y).bit_count() <= max_distance:
+                        out.append((members[at:at + 1], members[at + 1:end]))
+                elif end - at > 2:
+                    out.append(_forest(members[at:end], max_distance))
+                at = end
+            ends = [np.concatenate([np.empty(0, np.uint64), *side]).view(np.int64) for side in (zip(*out, strict=True) if out else ((), ()))]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], names=["a", "b"])
+
+        keys, members = np.empty((0, 3), np.int64), np.empty(0, np.uint64)
+        for batch in batches:
+            new = np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in by])
+            keys = np.concatenate([keys, new])
+            members = np.concatenate([members, batch.column("fp").to_numpy().view(np.uint64)])
+            last = len(keys) - np.flatnonzero(np.any(keys[::-1] != keys[-1], axis=1))[:1]  # where the last group starts
+            if len(last):  # the last group may go on in the next batch
+                yield linked(keys[:last[0]], members[:last[0]])
+                keys, members = keys[last[0]:], members[last[0]:]
+        if len(keys):
+            yield linked(keys, members)
+
+    return _groups(fps, block).repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long").distinct()
 
 
 def _grouped(docs: DataFrame, shingle: int, max_distance: int, text: str, key: str) -> tuple[DataFrame, DataFrame]:
@@ -126,7 +194,7 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX
                 key: str = "doc_id") -> DataFrame:
     """One document of each group, the one of the smallest key, with all its columns.
 
-    Of rows that have that key and the same text one stays.
+    Of rows that have that key and the same text one stays, the first by its other columns as JSON.
     """
     prints, roots = _grouped(docs, shingle, max_distance, text, key)
     first = F.min(F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("k"), F.col("text_hash").alias("h")))
@@ -134,4 +202,5 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX
             .groupBy("root").agg(F.min("first").alias("first")).select("first.k", "first.h"))
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("rk"), F.xxhash64(text).alias("rh"))
     chosen = rows.join(kept, rows["rk"].eqNullSafe(kept["k"]) & (rows["rh"] == kept["h"]), "left_semi")
-    return chosen.dropDuplicates(["rk", "rh"]).select("row.*")
+    others = [F.col(f"row.`{c}`") for c in docs.columns if c != text]
+    return chosen.groupBy("rk", "rh").agg(F.min_by("row", F.to_json(F.struct(*others))).alias("row")).select("row.*")

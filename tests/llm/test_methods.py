@@ -142,8 +142,46 @@ def test_fingerprint_and_links(spark):
     near = [int(b) ^ int(np.bitwise_xor.reduce(np.left_shift(1, rng.choice(63, k, replace=False)))) for b in base for k in (1, 3, 4, 5)]
     fps = sorted({*map(int, base), *near, 0, -1, 15, 31})
     want = {(a, b) for a, b in combinations(fps, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
-    got = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long")).collect()
-    assert {tuple(r) for r in got} == want
+    frame = spark.createDataFrame([(f,) for f in fps], "fp long")
+    for block in (simhash.BLOCK, 3):
+        got = {tuple(r) for r in simhash.links(frame, block=block).collect()}
+        assert got <= want and _parts(got) == _parts(want)
+
+
+def _parts(pairs):
+    root = {x: x for p in pairs for x in p}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    out = {}
+    for x in root:
+        out.setdefault(find(x), set()).add(x)
+    return sorted(map(sorted, out.values()))
+
+
+def test_links_of_a_ball_of_near_copies(spark):
+    """Some thousand fingerprints around one: few more rows than fingerprints in each cell, and one group."""
+    rng = np.random.default_rng(8)
+    base = int(rng.integers(-2**62, 2**62))
+    ball = {base ^ int(np.bitwise_or.reduce(np.left_shift(1, rng.choice(62, k, replace=False)))) for k in (1, 2, 2, 3, 3) for _ in range(500)}
+    frame = spark.createDataFrame([(f,) for f in ball], "fp long")
+    got = {tuple(r) for r in simhash.links(frame).collect()}
+    arr = np.array(sorted(ball), np.int64).view(np.uint64)
+    near = np.bitwise_count(arr[:, None] ^ arr[None, :]) <= 4
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(near, 1)), strict=True)}
+    order = sorted(ball)
+    assert _parts(got) == _parts({(order[a], order[b]) for a, b in want})
+    assert len(want) > 200 * len(ball) and len(got) < 25 * len(ball)
+
+
+def test_cells_are_cut_into_blocks(spark):
+    fps = spark.range(300).selectExpr("id * 8 as fp")
+    groups = simhash._groups(fps, 10).groupBy("cell", "i", "j").count()
+    assert groups.agg({"count": "max"}).first()[0] <= 2 * 25
 
 
 @settings(max_examples=60, deadline=None)
