@@ -7,7 +7,9 @@ encoded where it lies and written as segments: rows of a Parquet table, each
 with the image of whole documents' ids, their keys and lengths, and the place of
 its first id in the shard. Readers add the totals of the shards before.
 
-Null and empty texts are the end id alone. Repeated rows are encoded each. Other
+Texts are encoded as the library does by default: the string of an added token is
+that token. Null and empty texts are the end id alone. Very long texts are encoded whole.
+Repeated rows are encoded each. Keys are whole numbers. Other
 columns are not read. An empty table gives empty files and an empty result.
 """
 
@@ -48,7 +50,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids whose token starts with a space
         for token, i in vocab.items():
@@ -77,7 +79,8 @@ class Encoder:
     def learn(self, chunks: list[str]) -> np.ndarray:
         """Cache the chunks; their places. Chunks that start with their only space are encoded together."""
         new = [c for c in dict.fromkeys(chunks) if c not in self.place]
-        joined = [c for c in new if c[:1] == " " and c.count(" ") == 1 and not c[-1].isspace() and not c[1].isspace()]
+        joined = [c for c in new if c[:1] == " " and c.count(" ") == 1 and not c[-1].isspace() and not c[1].isspace()
+                  and not any(s in c for s in self.specials)]
         for at in range(0, len(joined), 5000):
             part = joined[at:at + 5000]
             ids = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, np.uint32)
@@ -102,7 +105,10 @@ class Encoder:
         if len(self.place) > CACHED_CHUNKS:
             self._clear()
         texts = pc.fill_null(texts, "")
-        unsafe = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
+        unsafe = pc.match_substring_regex(texts, _UNSAFE)
+        for special in self.specials:
+            unsafe = pc.or_(unsafe, pc.match_substring(texts, special))
+        unsafe = unsafe.to_numpy(zero_copy_only=False)
         marked = pc.replace_substring(pc.if_else(pa.array(unsafe), "", texts), " ", _MARK + " ")
         marked = pc.replace_substring(marked, "\n", _MARK + "\n" + _MARK)
         marked = pc.replace_substring_regex(marked, _STOP, "\\1" + _MARK + "\\2\\3")

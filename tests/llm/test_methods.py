@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from clinical_cohort.llm import decontamination, graph, pfor, pieces, repeats, secrets, simhash, token_output, toxicity
 
@@ -38,10 +39,14 @@ def test_pfor_outliers_do_not_widen_a_block():
 def test_encoder_equals_library():
     random.seed(3)
     encoder = token_output.Encoder(BPE)
-    letters = list("ab  \n\t.,'sé 1") + ["<|endoftext|>", " the", "\x1c", "\x85", "'ll", "　", "漢"]
-    texts = ["".join(random.choices(letters, k=random.randint(0, 25))) for _ in range(3000)] + [None, "", " ", "  "]
+    letters = list("ab  \n\t.,'sé 1") + ["<|endoftext|>", " the", "\x1c", "\x85", "'ll", "　", "漢", "<|", "|>"]
+    texts = ["".join(random.choices(letters, k=random.randint(0, 25))) for _ in range(4000)] + [None, "", " ", "  "]
+    mark = "<|endoftext|>"
+    texts += [mark, f"hello {mark} world", f"hello{mark}world", f"{mark} the", f"the {mark}", f"a{mark}{mark} b", f"a \n{mark}\n b", f"x <{mark}>"]
     ids, lengths = encoder.encode(pa.array(texts))
-    want = [e.ids for e in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    plain = Tokenizer.from_file(BPE)  # the library as it is, no setting changed
+    assert plain.encode(f"hello {mark} world", add_special_tokens=False).ids == [31373, 220, 50256, 995]
+    want = [e.ids for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     assert lengths.tolist() == [len(w) for w in want]
     assert ids.tolist() == [i for w in want for i in w]
 
