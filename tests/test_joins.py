@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from clinical_cohort.operators import joins as J
-from conftest import plan_text
+from plan_text import plan_text
 
 
 def _rows(df):

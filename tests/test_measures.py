@@ -1,7 +1,7 @@
 import datetime as dt
 
 from clinical_cohort.operators import measures as M
-from conftest import plan_text
+from plan_text import plan_text
 
 T = dt.datetime(2020, 1, 1)
 

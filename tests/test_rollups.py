@@ -10,12 +10,13 @@ def test_rollup_keeps_alignment_nulls_and_repeats(spark):
 
 
 def test_large_visit_is_grouped_by_event(spark):
-    df = spark.range(300_000).selectExpr("1L AS visit_occurrence_id", "7L AS person_id", "CAST(id % 1000 AS STRING) AS code",
-                                         "'n' AS name")
+    df = spark.range(300_000).selectExpr("id - id + 1 AS visit_occurrence_id", "id - id + 7 AS person_id",
+                                         "CAST(id % 1000 AS STRING) AS code", "'n' AS name")
     rolled = R.rollup(df, R.KEYS, ["code", "name"])
     assert rolled.count() == 1000 and {r.n for r in rolled.collect()} == {300}
-    plan = rolled._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(visit_occurrence_id" in plan and "code" in plan.split("hashpartitioning(", 1)[1].split(")")[0]
+    plan = R.rollup(df, R.KEYS, ["code", "name"])._jdf.queryExecution().executedPlan().toString()
+    keys = plan.split("hashpartitioning(", 1)[1].split(")")[0]
+    assert keys.startswith("visit_occurrence_id") and "code" in keys
     counts = R.rollup_counts(rolled, R.KEYS)
     both = counts.join(R.rollup_counts(rolled, R.KEYS, "again"), list(R.KEYS))
     assert [tuple(r) for r in both.collect()] == [(1, 7, 300_000, 300_000)]
