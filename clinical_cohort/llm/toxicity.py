@@ -8,28 +8,34 @@ smoothed alike for both and only what a class has seen tells them apart.
 
 The score compares the two log-likelihoods, of the text divided by its number of
 n-grams, and of the one word that speaks most for the toxic class (a few words
-can make a long text toxic). A logistic function of the two differences, fitted
-on labelled rows that the counts do not hold yet, gives a value of 0 to 1.
-
-The counts that score the documents cover every labelled training row: those of
-the fold that the logistic function is fitted on are added after the fit. They
-are grouped sums with partial sums per batch. Up to ``max_shared`` n-grams the table is broadcast for scoring;
-a larger one is joined to the texts' n-grams instead, with equal results.
-
-Null, empty and letterless texts have differences of 0. Labels that are null or
-whose rows are not in the table count nothing; several labels of one key count
-each. Repeated documents get equal scores. If either class has no row, every
-score is the share of toxic rows (0.5 without any).
+can make a long text toxic). A logistic function of the two differences gives a
+value of 0 to 1. It is fitted on a bounded sample of labelled rows of every
+training fold, each scored by the counts of the other folds; rows weigh by the
+share of their class that the sample holds.
+
+Counts cover every labelled training row, as grouped sums with partial sums per
+batch, and their n-grams are joined with those of the distinct words of all texts:
+each word has one difference. The most frequent words (at most ``SHARED_WORDS``) are
+broadcast as hashes and numbers, 20 bytes each; the words of a text that are not
+among them are joined. Both ways give the same, at every size.
+
+Null, empty and letterless texts have differences of 0. Very long texts and words are
+read whole. Labels that are null or whose rows are not in the table count nothing;
+several labels of one key count each. Repeated documents get equal scores. If either
+class has no row, every score is the share of toxic rows (0.5 without any). Empty
+tables give empty results. Other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,14 +44,17 @@ from .common import map_rows, saved, slices
 ORDER = 5
 DISCOUNT = 0.75
 FOLDS = 5
-#: Most labelled rows that the logistic function is fitted on.
+#: Most labelled rows that the logistic function is fitted on, half of them of each class.
 FIT_ROWS = 20_000
-MAX_SHARED = 4_000_000
+#: Most words whose differences are broadcast.
+SHARED_WORDS = 1_000_000
+#: Distinct words that a task adds up before it sends their counts.
+HELD = 200_000
 START, END = "\x02", "\x03"
 
 
 def fold(key: Column) -> Column:
-    """crc32 of the key as text, modulo 5: 0 is held out, 1 fits the logistic function before it is counted, the rest is counted."""
+    """crc32 of the key as text, modulo 5: 0 is held out, the others are counted."""
     return F.crc32(key.cast("string").cast("binary")) % FOLDS
 
 
@@ -85,56 +94,53 @@ class _Grams:
         return [flat[i:i + order] for i in range(0, len(flat), order)]
 
 
-def _hash(grams: list[str], length: int) -> np.ndarray:
-    """As `_Grams.hashes`, for n-grams as text."""
-    out = _Grams([], length)
-    out.codes = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, length)
-    return out.hashes(length)
-
-
 def count(rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, toxic, ordinary): counts over rows with columns ``t`` and ``toxic``."""
-    schema = "gram string, toxic long, ordinary long"
+    """(without, gram, toxic, ordinary): counts over rows with columns ``t``, ``toxic`` and ``fold`` (1 to 4), of all
+    folds (``without`` 0) and of all but one."""
+    training = range(1, FOLDS)
+    sums = [f"{c}{f}" for f in training for c in ("toxic", "ordinary")]
 
     def run(batches):
         for batch in (part for whole in batches for part in slices(whole)):
             words, place, row = _words(batch.column("t"))
-            label = batch.column("toxic").to_numpy()[row]
+            group = (2 * batch.column("fold").to_numpy() - 1 - batch.column("toxic").to_numpy())[row]
             grams = _Grams(words, order)
             _, at, back = np.unique(grams.hashes(order), return_index=True, return_inverse=True)
-            n = [np.bincount(place[label == c], minlength=len(words)) for c in (1, 0)]
-            sums = [np.bincount(back, weights=x[grams.word], minlength=len(at)).astype(np.int64) for x in n]
-            yield pa.RecordBatch.from_arrays([pa.array(grams.texts(at)), *map(pa.array, sums)],
-                                             names=["gram", "toxic", "ordinary"])
+            own = [np.bincount(place[group == g], minlength=len(words))[grams.word] for g in range(len(sums))]
+            n = [np.bincount(back, weights=x, minlength=len(at)).astype(np.int64) for x in own]
+            yield pa.RecordBatch.from_arrays([pa.array(grams.texts(at)), *map(pa.array, n)], names=["gram", *sums])
 
-    return rows.mapInArrow(run, schema).groupBy("gram").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    schema = "gram string, " + ", ".join(f"{c} long" for c in sums)
+    total = rows.mapInArrow(run, schema).groupBy("gram").agg(*[F.sum(c).alias(c) for c in sums])
+    left_out = [F.struct(F.lit(w).alias("without"), *[sum(F.col(f"{c}{f}") for f in training if f != w).alias(c) for c in ("toxic", "ordinary")])
+                for w in (0, *training)]
+    return total.select("gram", F.inline(F.array(*left_out))).where("toxic + ordinary > 0")
 
 
 def _shared(grams: DataFrame, order: int) -> DataFrame:
-    """(s, p): Kneser-Ney probability of the last character of ``s`` after the others, from continuation counts."""
-    counts = {order: grams.select(F.col("gram").alias("s"))}
+    """(without, s, p): Kneser-Ney probability of the last character of ``s`` after the others, from continuation counts."""
+    counts = {order: grams.select("without", F.col("gram").alias("s"))}
     for k in range(order - 1, 0, -1):
-        counts[k] = counts[k + 1].groupBy(F.substring("s", 2, k).alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts[1].agg(F.sum("n")).first()[0]
-    p = counts[1].select("s", (F.col("n") / F.lit(total)).alias("p"))
+        counts[k] = counts[k + 1].groupBy("without", F.substring("s", 2, k).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts[1].groupBy("without").agg(F.sum("n").alias("sum"))  # a row for each fold
+    p = counts[1].join(F.broadcast(total), "without").select("without", "s", (F.col("n") / F.col("sum")).alias("p"))
     for k in range(2, order):
         h = F.substring("s", 1, k - 1)
-        context = counts[k].groupBy(h.alias("h")).agg(F.sum("n").alias("sum"), F.count(F.lit(1)).alias("types"))
-        lower = p.select(F.col("s").alias("low"), F.col("p").alias("p_low"))
+        context = counts[k].groupBy("without", h.alias("h")).agg(F.sum("n").alias("sum"), F.count(F.lit(1)).alias("types"))
+        lower = p.select("without", F.col("s").alias("low"), F.col("p").alias("p_low"))
         p = (counts[k].withColumn("h", h).withColumn("low", F.substring("s", 2, k - 1))
-             .join(context, "h").join(lower, "low")
-             .select("s", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("types") * F.col("p_low")) / F.col("sum")).alias("p")))
+             .join(context, ["without", "h"]).join(lower, ["without", "low"])
+             .select("without", "s", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("types") * F.col("p_low")) / F.col("sum")).alias("p")))
     return p
 
 
 def model(counted: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, delta): log-likelihood differences of n-grams, and of contexts (one character shorter) for
+    """(without, gram, delta): log-likelihood differences of n-grams, and of contexts (one character shorter) for
     n-grams that neither class has."""
     h = F.substring("gram", 1, order - 1)
-    context = counted.groupBy(h.alias("h")).agg(*[f for c in ("toxic", "ordinary") for f in (
+    context = counted.groupBy("without", h.alias("h")).agg(*[f for c in ("toxic", "ordinary") for f in (
         F.sum(c).alias(f"{c}_sum"), F.sum((F.col(c) > 0).cast("int")).alias(f"{c}_types"))])
-    shared = _shared(counted, order).select(F.col("s").alias("low"), "p")
+    shared = _shared(counted, order).select("without", F.col("s").alias("low"), "p")
     back = {c: F.when(F.col(f"{c}_sum") > 0, DISCOUNT * F.col(f"{c}_types") / F.col(f"{c}_sum")).otherwise(1.0)
             for c in ("toxic", "ordinary")}
 
@@ -143,124 +149,192 @@ def model(counted: DataFrame, order: int = ORDER) -> DataFrame:
         return F.log(own + back[c] * F.col("p"))
 
     grams = (counted.withColumn("h", h).withColumn("low", F.substring("gram", 2, order - 1))
-             .join(context, "h").join(shared, "low")
-             .select("gram", (likelihood("toxic") - likelihood("ordinary")).alias("delta")))
+             .join(context, ["without", "h"]).join(shared, ["without", "low"])
+             .select("without", "gram", (likelihood("toxic") - likelihood("ordinary")).alias("delta")))
     return grams.unionByName(context.select(
-        F.col("h").alias("gram"), (F.log(back["toxic"]) - F.log(back["ordinary"])).alias("delta")))
+        "without", F.col("h").alias("gram"), (F.log(back["toxic"]) - F.log(back["ordinary"])).alias("delta")))
+
+
+def vocabulary(rows: DataFrame) -> DataFrame:
+    """(word, n): the distinct words of the texts ``t`` and how often they occur."""
+
+    def run(batches):
+        def sent():
+            return pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
+
+        total: Counter[str] = Counter()
+        for batch in (part for whole in batches for part in slices(whole)):
+            words, place, _ = _words(batch.column("t"))
+            total.update(dict(zip(words, np.bincount(place, minlength=len(words)).tolist(), strict=True)))
+            if len(total) > HELD:
+                yield sent()
+                total.clear()
+        yield sent()
+
+    return rows.select("t").mapInArrow(run, "word string, n long").where("word != ''").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def word_differences(words: DataFrame, table: DataFrame, order: int = ORDER) -> DataFrame:
+    """``words`` (with columns ``without`` and ``word``, distinct) with ``total``, the summed difference of a word's n-grams,
+    and ``grams``, their number."""
+
+    def run(batches):
+        for batch in (part for whole in batches for part in slices(whole)):
+            cut = _Grams(batch.column("word").to_pylist(), order)
+            own = pa.array(cut.word)
+            yield pa.RecordBatch.from_arrays([batch.column("without").take(own), batch.column("word").take(own),
+                                              pa.array(cut.texts(np.arange(len(cut.word))), pa.string())], names=["without", "word", "gram"])
+
+    spread = words.select("without", "word").mapInArrow(run, "without int, word string, gram string")
+    context = table.select("without", F.col("gram").alias("h"), F.col("delta").alias("back")).where(F.length("gram") == order - 1)
+    joined = (spread.withColumn("h", F.substring("gram", 1, order - 1)).join(table.hint("merge"), ["without", "gram"], "left")
+              .join(context.hint("merge"), ["without", "h"], "left"))
+    scored = joined.groupBy("without", "word").agg(
+        F.sum(F.coalesce("delta", "back", F.lit(0.0))).alias("total"), F.count(F.lit(1)).alias("grams"))
+    return words.join(scored, ["without", "word"])
+
 
+class _Shared:
+    """Differences and numbers of n-grams of words, by hash of the word."""
 
-class _Table:
-    """Differences by hash of the n-gram or context."""
+    def __init__(self, hashes: np.ndarray, total: np.ndarray, grams: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.total, self.grams = hashes[order], total[order], grams[order]
 
-    def __init__(self, grams: list[str], delta: np.ndarray, order: int):
-        self.order = order
-        full = np.fromiter(map(len, grams), np.int64, len(grams)) == order
-        names = np.array(grams, object)
-        self.index, self.delta = [], []
-        for which, length in ((full, order), (~full, order - 1)):
-            self.index.append(pd.Index(_hash(names[which].tolist(), length)))
-            self.delta.append(np.append(delta[which], 0.0))  # -1: not there
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word whether it is here, its difference and its number of n-grams (0 and 0 if not)."""
+        h = _word_hashes(words)
+        at = np.minimum(np.searchsorted(self.hashes, h), max(len(self.hashes) - 1, 0))
+        known = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool)
+        return known, np.where(known, self.total[at], 0.0) if len(self.hashes) else np.zeros(len(h)), \
+            np.where(known, self.grams[at], 0) if len(self.hashes) else np.zeros(len(h), np.int64)
 
-    def per_word(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Summed difference and number of n-grams of each word."""
-        grams = _Grams(words, self.order)
-        at = self.index[0].get_indexer(grams.hashes(self.order))
-        delta = self.delta[0][at]
-        unseen = np.flatnonzero(at < 0)
-        if len(unseen):
-            delta[unseen] = self.delta[1][self.index[1].get_indexer(grams.hashes(self.order - 1)[unseen])]
-        return (np.bincount(grams.word, weights=delta, minlength=len(words)),
-                np.bincount(grams.word, minlength=len(words)))
+
+def _word_hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 @lru_cache(maxsize=1)
-def _table(shared) -> _Table:
-    return _Table(*shared.value)
+def _table(shared) -> _Shared:
+    return _Shared(*shared.value)
+
+
+def _frequent(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, differences and numbers of n-grams of the words above the least power of two of occurrences that at most ``most`` reach."""
+    power = F.floor(F.log2("n")).cast("int")
+    sizes, least, held = {r["p"]: r["k"] for r in words.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("k")).collect()}, 64, 0
+    for p in sorted(sizes, reverse=True):
+        held += sizes[p]
+        if held > most:
+            break
+        least = p
+    got = words.where(power >= least).select("word", "total", F.col("grams").cast("int").alias("grams")).toPandas()
+    return _word_hashes(got["word"].tolist()), got["total"].to_numpy(float), got["grams"].to_numpy(np.int32)
 
 
-def differences(rows: DataFrame, table: DataFrame, order: int = ORDER, max_shared: int = MAX_SHARED) -> DataFrame:
-    """``rows`` (with a text column ``t``) with ``mean``, the difference per n-gram, and ``top``, the largest
-    difference of a word, in place of the text."""
+def differences(rows: DataFrame, words: DataFrame, frequent: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """``rows`` (with columns ``t`` and ``without``) with ``mean``, the difference per n-gram, and ``top``, the largest
+    difference of a word, in place of the text.
+
+    ``words`` holds the differences of all their words; those of ``frequent`` need no join.
+    """
+    none = np.empty(0)
+    shared = rows.sparkSession.sparkContext.broadcast(frequent or (none.astype(np.uint64), none, none.astype(np.int32)))
     keep = [c for c in rows.columns if c != "t"]
-    if table.count() <= max_shared:
-        got = table.toPandas()
-        shared = rows.sparkSession.sparkContext.broadcast((got["gram"].tolist(), got["delta"].to_numpy(), order))
 
-        def run(batch):
-            words, place, row = _words(batch.column("t"))
-            total, n = _table(shared).per_word(words)
-            sums = np.bincount(row, weights=total[place], minlength=batch.num_rows)
-            counts = np.bincount(row, weights=n[place], minlength=batch.num_rows)
-            top = np.full(batch.num_rows, -np.inf)
-            real = n[place] > 0
-            np.maximum.at(top, row[real], total[place[real]])
-            return [sums / np.maximum(counts, 1), np.where(counts > 0, top, 0.0)]
-
-        return map_rows(rows, run, "mean double, top double", keep=keep)
-
-    def explode(batch):
-        words, place, row = _words(batch.column("t"))
-        own = [pd.Series(place[row == i]).value_counts() for i in range(batch.num_rows)]
-        grams = _Grams(words, order)
-        texts = np.array(grams.texts(np.arange(len(grams.word))), object)
-        by_word = np.split(texts, np.cumsum(np.bincount(grams.word, minlength=len(words)))[:-1])
-        return [[[{"word": words[w], "n": int(k), "grams": list(by_word[w])} for w, k in o.items() if words[w]] for o in own]]
-
-    spread = map_rows(rows.withColumn("rid", F.monotonically_increasing_id()), explode,
-                      "words array<struct<word:string,n:long,grams:array<string>>>", keep=[*keep, "rid"])
-    flat = spread.select(*keep, "rid", F.explode_outer("words").alias("w")).select(
-        *keep, "rid", "w.word", "w.n", F.explode_outer("w.grams").alias("gram"))
-    context = table.select(F.col("gram").alias("h"), F.col("delta").alias("back"))
-    joined = flat.join(table, "gram", "left").join(context, F.substring("gram", 1, order - 1) == F.col("h"), "left")
-    each = joined.groupBy("rid", *keep, "word", "n").agg(
-        F.sum(F.coalesce("delta", "back", F.lit(0.0))).alias("total"), F.count("gram").alias("grams"))
-    mean = F.coalesce(F.try_divide(F.sum(F.col("n") * F.col("total")), F.sum(F.col("n") * F.col("grams"))), F.lit(0.0))
-    top = F.coalesce(F.max(F.when(F.col("grams") > 0, F.col("total"))), F.lit(0.0))
-    return each.groupBy("rid", *keep).agg(mean.alias("mean"), top.alias("top")).drop("rid")
+    def run(batch):
+        names, place, row = _words(batch.column("t"))
+        known, total, n = _table(shared).look_up(names)
+        sums = np.bincount(row, weights=total[place], minlength=batch.num_rows)
+        counts = np.bincount(row, weights=n[place], minlength=batch.num_rows)
+        top = np.full(batch.num_rows, -np.inf)
+        found = n[place] > 0
+        np.maximum.at(top, row[found], total[place[found]])
+        rest: list[dict[int, int]] = [{} for _ in range(batch.num_rows)]
+        real = np.fromiter(map(bool, names), bool, len(names))
+        left = np.flatnonzero((real & ~known)[place])
+        for r, w in zip(row[left].tolist(), place[left].tolist(), strict=True):
+            rest[r][w] = rest[r].get(w, 0) + 1
+        return [sums, counts, top, [[{"word": names[w], "times": k} for w, k in own.items()] for own in rest]]
+
+    part = saved(map_rows(rows.withColumn("rid", F.monotonically_increasing_id()), run,
+                          "sums double, counts double, most double, rest array<struct<word:string,times:long>>", keep=[*keep, "rid"]), "parts")
+    loose = part.select("rid", "without", F.inline("rest")).join(words.select("without", "word", "total", "grams").hint("merge"), ["without", "word"])
+    added = loose.groupBy("rid").agg(F.sum(F.col("times") * F.col("total")).alias("more_sums"),
+                                     F.sum(F.col("times") * F.col("grams")).alias("more_counts"), F.max("total").alias("more_most"))
+    whole = part.join(added.hint("merge"), "rid", "left")
+    sums = F.col("sums") + F.coalesce("more_sums", F.lit(0.0))
+    counts = F.col("counts") + F.coalesce("more_counts", F.lit(0))
+    top = F.greatest("most", "more_most")
+    return whole.select(*keep, F.coalesce(F.try_divide(sums, counts), F.lit(0.0)).alias("mean"),
+                        F.when(counts > 0, top).otherwise(0.0).alias("top"))
 
 
 FEATURES = ["mean", "top"]
 
 
 def fit(sample: pd.DataFrame, prior: float) -> list[float]:
-    """Slopes of the features and offset of the logistic function, by Newton's method with a small ridge."""
+    """Slopes of the features and offset of the logistic function, by Newton's method with a small ridge; rows weigh ``weight``."""
     x, y = sample[FEATURES].to_numpy(float), sample["toxic"].to_numpy(float)
     if not len(x) or y.min() == y.max():
         return [0.0, 0.0, float(np.log(prior / (1 - prior))) if 0 < prior < 1 else 0.0]
+    weight = sample["weight"].to_numpy(float)
     scale = np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
     design = np.column_stack([x / scale, np.ones(len(x))])
     w = np.zeros(design.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(len(w)),
-                               design.T @ (y - p) - 1e-2 * w)
+        step = np.linalg.solve((design * (weight * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(len(w)),
+                               design.T @ (weight * (y - p)) - 1e-2 * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
     return [*(w[:-1] / scale).tolist(), float(w[-1])]
 
 
-def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_shared: int = MAX_SHARED, fit_rows: int = FIT_ROWS,
+def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, shared_words: int = SHARED_WORDS, fit_rows: int = FIT_ROWS,
           text: str = "text", key: str = "doc_id", label: str = "toxic") -> DataFrame:
     """One row per document: key, held_out, score and predicted, learned from labels outside the held-out fold.
 
-    The logistic function is fitted on the ``fit_rows`` labelled rows of fold 1 with the smallest hash of the key.
+    The logistic function is fitted on the labelled rows of each class with the smallest hashes of the key.
     """
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     marks = labels.where(F.col(label).isNotNull() & (fold(F.col(key)) != 0)).select(
         F.col(key).alias("k"), (F.col(label) != 0).cast("int").alias("toxic"))
-    # A merge join at every size: labels grow with the documents and are never broadcast.
-    train = rows.where(fold(F.col("k")) != 0).join(marks.hint("merge"), "k")
-    last = train.where(fold(F.col("k")) == 1)
-    counted = saved(count(train.where(fold(F.col("k")) != 1), order), "grams")
-    known = differences(last, saved(model(counted, order), "differences"), order, max_shared)
-    sample = known.orderBy(F.xxhash64("k"), "k", *FEATURES).limit(fit_rows).toPandas()
-    prior = marks.agg(F.avg("toxic")).first()[0]
-    *slopes, offset = fit(sample, 0.5 if prior is None else float(prior))
+    own_fold = fold(F.col("k")).cast("int")
+    # Merge joins at every size: labels grow with the documents and are never broadcast.
+    train = rows.join(marks.hint("merge"), "k").select("t", "toxic", own_fold.alias("fold"))
+    table = saved(model(saved(count(train, order), "grams"), order), "differences")
+
+    marked = rows.select("k").join(marks.hint("merge"), "k")
+    sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    half = fit_rows // 2
+    chosen = [marked.where(F.col("toxic") == c).distinct().orderBy(F.xxhash64("k"), "k").limit(half) for c in (0, 1)]
+    picked = saved(chosen[0].unionByName(chosen[1]), "sample")  # at most fit_rows keys
+    sample = saved(rows.join(F.broadcast(picked), "k").select("k", "t", "toxic", own_fold.alias("without")), "sample")
+    known = differences(sample, _words_of_folds(sample, table, order))
+    got = known.orderBy(F.xxhash64("k"), "k", *FEATURES).limit(fit_rows).toPandas()
+    seen = got.groupby("toxic").size().to_dict()
+    got["weight"] = [sizes[c] / seen[c] for c in got["toxic"]]
+    *slopes, offset = fit(got, sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5)
+
     p = 1 / (1 + F.exp(-sum((F.lit(w) * F.col(f) for w, f in zip(slopes, FEATURES, strict=True)), F.lit(offset))))
-    every = saved(counted.unionByName(count(last, order)).groupBy("gram").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "grams")
-    table = saved(model(every, order), "differences")
-    return differences(rows, table, order, max_shared).select(
+    words = saved(word_differences(vocabulary(rows).withColumn("without", F.lit(0)), table, order), "words")
+    scored = differences(rows.withColumn("without", F.lit(0)), words, _frequent(words, shared_words))
+    return scored.select(
         F.col("k").alias(key), F.coalesce(fold(F.col("k")) == 0, F.lit(False)).alias("held_out"), p.alias("score"),
         (p >= 0.5).cast("int").alias("predicted"))
+
+
+def _words_of_folds(sample: DataFrame, table: DataFrame, order: int) -> DataFrame:
+    """Differences of the sample's words, by the counts without their row's fold."""
+
+    def run(batches):
+        for batch in (part for whole in batches for part in slices(whole)):
+            words, place, row = _words(batch.column("t"))
+            pairs = np.unique(np.column_stack([batch.column("without").to_numpy()[row], place]), axis=0) if len(place) else np.empty((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int32()), pa.array([words[w] for w in pairs[:, 1].tolist()], pa.string())],
+                                             names=["without", "word"])
+
+    words = sample.select("t", "without").mapInArrow(run, "without int, word string").where("word != ''").distinct()
+    return saved(word_differences(words, table, order), "words")

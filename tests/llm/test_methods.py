@@ -1,8 +1,10 @@
 """The methods against brute force, on random small input."""
 
+import math
 import random
 import re
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -283,15 +285,98 @@ def test_toxicity_separates_and_joins_agree(spark):
     assert all(got[i].held_out == (i in held) for i in range(400))
     assert np.mean([got[i].predicted == (i % 4 == 0) for i in held]) == 1.0
     assert got[900].score == got[901].score and 0 <= got[900].score <= 1
-    joined = {r.doc_id: r for r in toxicity.score(d, marks, max_shared=0).collect()}
-    assert all(abs(joined[i].score - got[i].score) < 1e-9 for i in got)
-
-
-def test_kneser_ney_sums_to_one(spark):
-    rows = spark.createDataFrame([("abra cadabra abracadabra", 1), ("bar crab cab cadabra", 0)], "t string, toxic int")
-    counted = toxicity.count(rows, 3)
-    shared = toxicity._shared(counted, 3).toPandas()
-    sums = shared.assign(h=shared["s"].str[0]).groupby("h")["p"].sum()
-    whole = toxicity._shared(counted, 2).toPandas()["p"].sum()
-    assert whole == pytest.approx(1.0)
-    assert (sums <= 1 + 1e-9).all() and isinstance(shared, pd.DataFrame)
+    for shared in (0, 8):  # no word is broadcast, or the most frequent only
+        joined = {r.doc_id: r for r in toxicity.score(d, marks, shared_words=shared).collect()}
+        assert all(abs(joined[i].score - got[i].score) < 1e-9 for i in got)
+
+
+class PlainKneserNey:
+    """Interpolated Kneser-Ney over characters, straight from its definition; both classes share the lower orders."""
+
+    def __init__(self, texts, order):
+        self.order, self.n = order, {c: Counter() for c in (1, 0)}
+        for t, c in texts:
+            for w in self.words(t):
+                self.n[c].update(self.grams(w))
+        self.types = {order: set(self.n[0]) | set(self.n[1])}
+        for k in range(order - 1, 0, -1):
+            self.types[k] = {g[1:] for g in self.types[k + 1]}
+
+    def words(self, text):
+        return "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+
+    def grams(self, word):
+        s = "\x02" * (self.order - 1) + word + "\x03"
+        return [s[i:i + self.order] for i in range(len(s) - self.order + 1)]
+
+    def before(self, s):
+        return sum(1 for g in self.types[len(s) + 1] if g[1:] == s)
+
+    def shared(self, s):
+        if len(s) == 1:
+            return self.before(s) / len(self.types[2])
+        after = [x for x in self.types[len(s)] if x[:-1] == s[:-1]]
+        total, d = sum(self.before(x) for x in after), toxicity.DISCOUNT
+        return (max(self.before(s) - d, 0) + d * len(after) * self.shared(s[1:])) / total
+
+    def likelihood(self, g, c):
+        after = {x: n for x, n in self.n[c].items() if x[:-1] == g[:-1]}
+        if not after:
+            return self.shared(g[1:])
+        d, total = toxicity.DISCOUNT, sum(after.values())
+        return max(after.get(g, 0) - d, 0) / total + d * len(after) / total * self.shared(g[1:])
+
+    def difference(self, word):
+        out = 0.0
+        for g in self.grams(word):
+            if g in self.types[self.order]:
+                out += math.log(self.likelihood(g, 1) / self.likelihood(g, 0))
+            elif any(x[:-1] == g[:-1] for x in self.types[self.order]):  # both back off alike but for their weights
+                back = []
+                for c in (1, 0):
+                    after = [n for x, n in self.n[c].items() if x[:-1] == g[:-1]]
+                    back.append(toxicity.DISCOUNT * len(after) / sum(after) if after else 1.0)
+                out += math.log(back[0] / back[1])
+        return out
+
+    def features(self, text):
+        words = self.words(text)
+        each = [self.difference(w) for w in words]
+        grams = sum(len(self.grams(w)) for w in words)
+        return (sum(each) / grams, max(each)) if words else (0.0, 0.0)
+
+
+def test_differences_against_plain_kneser_ney(spark):
+    random.seed(16)
+    some = ["abba", "cabbage", "badge", "fade", "decaf", "beef", "cafe", "bed"]
+    rows = [(i, " ".join(random.choices(some, k=6)) + (" grub" if i % 3 == 0 else ""), int(i % 3 == 0), 1 + i % 4) for i in range(24)]
+    new = [(100, "abbagrub, Bed? zebra", None, 0), (101, "...", None, 0), (102, None, None, 0), (103, "fadebed bed bed", None, 2)]
+    table = toxicity.model(toxicity.count(spark.createDataFrame(rows, "k long, t string, toxic int, fold int").repartition(3)))
+    texts = spark.createDataFrame([(k, t, f) for k, t, _, f in rows + new], "k long, t string, without int")
+    words = toxicity._words_of_folds(texts, table, toxicity.ORDER)
+    got = {r.k: (r.mean, r.top) for r in toxicity.differences(texts, words).collect()}
+    for w in range(5):
+        plain = PlainKneserNey([(t, c) for _, t, c, f in rows if f != w], toxicity.ORDER)
+        for k, t, _, f in rows + new:
+            if f == w:
+                assert got[k] == pytest.approx(plain.features(t), abs=1e-9)
+        g = next(iter(plain.types[toxicity.ORDER]))  # what follows a context, seen or not, sums to one
+        letters = {x[-1] for x in plain.types[2]}
+        for c in (1, 0):
+            assert sum(plain.likelihood(g[:-1] + x, c) for x in letters) == pytest.approx(1.0)
+
+
+def test_toxic_rows_outside_one_fold_are_learned(spark):
+    random.seed(17)
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    calm = ["house", "garden", "river", "morning", "letter", "window", "answer", "winter"]
+    bad = {i for i in range(500) if fold(i) in (0, 2, 3, 4) and i % 9 == 0}
+    docs = [(i, " ".join(random.choices(calm, k=20) + ["snarlgrub"] * (i in bad))) for i in range(500)]
+    marks = [(i, int(i in bad)) for i in range(500)] + [(i, 1) for i in range(9000, 9900)]  # labels without a document
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"),
+                                               spark.createDataFrame(marks, "doc_id long, toxic int")).collect()}
+    held = [i for i in range(500) if fold(i) == 0]
+    assert [got[i].predicted for i in held] == [int(i in bad) for i in held]
+    one = toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"),
+                         spark.createDataFrame([(i, 0) for i in range(100)] + marks[500:], "doc_id long, toxic int"))
+    assert {round(r.score, 9) for r in one.collect()} == {0.5}
