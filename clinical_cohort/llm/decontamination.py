@@ -5,14 +5,18 @@ Each document's words are streamed through it; the state and the length of the
 longest match that ends at a word tell which windows of items end there. A
 window is ``WINDOW`` consecutive words of an item, or a whole shorter item.
 
-The items are a given query set. It is read in blocks of at most
+The items are a given query set. It is read in blocks of about
 ``max_block_words`` words (by a hash of the item, so no block grows with the
-data); the documents pass through the automaton of each block in turn, inside
-one stage. Only one block at a time is collected and broadcast.
+data). The driver collects one block at a time and hands it to Spark as a file to
+broadcast; one stage with one Python worker a task streams the documents. A worker
+takes ``HELD_BYTES`` of texts, sends them through the automaton of each block in
+turn, and holds one automaton at a time, which it keeps for its next task if there is one block.
 
-Null and wordless texts have no words: not contaminated. Items without words
+Null and wordless texts have no words: not contaminated. Very long texts are
+streamed whole. Items without words
 match nothing; items without id mark words but are not listed. Repeated
-documents get equal rows; repeated items count once per id. Other columns are
+documents get equal rows; repeated items count once per id. Without items nothing is
+hit; an empty table of documents gives an empty result. Other columns are
 not read by `match` and are kept by `clean`.
 """
 
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import re
 import string
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -28,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import map_rows, utf8
 
 WINDOW = 10
+#: Words of a block of items, and bytes of texts that pass through all blocks together.
+BLOCK_WORDS, HELD_BYTES = 200_000, 32 << 20
 #: Fixed value: what is no word character, in lower-cased UTF-8.
 NON_WORD = bytes(c for c in range(0x80) if chr(c) not in string.ascii_letters + string.digits)
 _TABLE = bytes(0x20 if c in NON_WORD else c for c in range(256)).lower()
@@ -156,33 +163,58 @@ def _blocks(items: DataFrame, max_block_words: int, text: str, key: str):
         yield rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i).collect()
 
 
+@lru_cache(maxsize=1)
+def _automaton(shared, window: int) -> SuffixAutomaton:
+    """The automaton of a block, one per worker process; the block's texts are not kept."""
+    items = shared.value
+    del shared._value  # read from the broadcast's file again if the block is needed again
+    return SuffixAutomaton([(k, words(t.encode())) for k, t in items], window)
+
+
 def _streamed(docs: DataFrame, items: DataFrame, window: int, max_block_words: int, text: str, item_text: str, item_key: str) -> DataFrame:
     """``docs`` with ``n_words``, ``hits`` (word intervals) and ``hit_items`` appended; docs has columns row, text."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    added = StructType.fromDDL("n_words long, hits array<array<int>>, hit_items array<string>")
+    types = to_arrow_schema(added)
     sc = docs.sparkSession.sparkContext
-    added = "n_words long, hits array<array<int>>, hit_items array<string>"
-    first = True
-    for block in _blocks(items, max_block_words, item_text, item_key):
-        shared = sc.broadcast([(r["item"], r["text"]) for r in block])
-        cache: dict[str, SuffixAutomaton] = {}
-
-        def stream(batch, shared=shared, cache=cache, first=first):
-            if "a" not in cache:
-                cache["a"] = SuffixAutomaton([(k, words(t.encode())) for k, t in shared.value], window)
-            n, hits, found = [], [], []
-            for i, raw in enumerate(utf8(batch.column("text"))):
-                ws = words(raw) if raw else []
-                h, f = cache["a"].stream(ws)
-                if not first:
-                    h = merged(h + batch.column("hits")[i].as_py())
-                    f |= set(batch.column("hit_items")[i].as_py())
-                n.append(len(ws))
-                hits.append(h)
-                found.append(sorted(x for x in f if x is not None))
-            return [n, hits, found]
-
-        docs = map_rows(docs, stream, added, keep=["row", "text"])
-        first = False
-    return docs
+    blocks = [sc.broadcast([(r["item"], r["text"]) for r in block]) for block in _blocks(items, max_block_words, item_text, item_key)]
+
+    def judged(batches):
+        texts = [raw or b"" for batch in batches for raw in utf8(batch.column("text"))]
+        n = [0] * len(texts)
+        hits: list[list[list[int]]] = [[] for _ in texts]
+        found: list[set[str | None]] = [set() for _ in texts]
+        for block in blocks:
+            automaton = _automaton(block, window)
+            for i, raw in enumerate(texts):
+                ws = words(raw)
+                n[i] = len(ws)
+                h, f = automaton.stream(ws)
+                if h:
+                    hits[i] = merged(hits[i] + h)
+                    found[i] |= f
+        named = [sorted(x for x in f if x is not None) for f in found]
+        at = 0
+        for batch in batches:
+            end = at + batch.num_rows
+            new = [pa.array(c[at:end], f.type) for c, f in zip((n, hits, named), types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), *new], names=["row", "text", *types.names])
+            at = end
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column("text").nbytes
+            if size >= HELD_BYTES:
+                yield from judged(held)
+                held, size = [], 0
+        yield from judged(held)
+
+    return docs.select("row", "text").mapInArrow(run, StructType([docs.schema["row"], docs.schema["text"], *added.fields]))
 
 
 def merged(intervals: list[list[int]]) -> list[list[int]]:
@@ -195,7 +227,7 @@ def merged(intervals: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def match(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_block_words: int = 200_000, text: str = "text",
+def match(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_block_words: int = BLOCK_WORDS, text: str = "text",
           key: str = "doc_id", item_text: str = "text", item_key: str = "item_id") -> DataFrame:
     """One row per document: key, ``n_words``, ``n_hit``, ``hits`` (word intervals) and ``hit_items``."""
     rows = docs.select(F.struct(F.col(key)).alias("row"), F.col(text).alias("text"))
@@ -215,7 +247,7 @@ def without(text: bytes, hits: list[list[int]]) -> bytes:
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_span: int = 1, max_coverage: float = 0.5,
-          max_block_words: int = 200_000, text: str = "text", item_text: str = "text", item_key: str = "item_id") -> DataFrame:
+          max_block_words: int = BLOCK_WORDS, text: str = "text", item_text: str = "text", item_key: str = "item_id") -> DataFrame:
     """The documents without contaminated spans of ``min_span`` words or more; all columns stay.
 
     Documents of which more than ``max_coverage`` of the words are hit are dropped.
