@@ -118,8 +118,9 @@ def near_pairs(words: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
 def forms(words: DataFrame, min_length: int = MIN_LENGTH, ratio: int = RATIO) -> DataFrame:
     """(word, n, n_near, form, form_n) for every row of words (word, n)."""
     pairs = near_pairs(words, min_length)
-    both = pairs.select(F.col("a").alias("word"), F.struct((-F.col("n_b")).alias("m"), F.col("b").alias("near")).alias("other")).unionByName(
-        pairs.select(F.col("b").alias("word"), F.struct((-F.col("n_a")).alias("m"), F.col("a").alias("near")).alias("other")))
+    both = pairs.select(F.inline(F.array(*[
+        F.struct(F.col(w).alias("word"), F.struct((-F.col(f"n_{o}")).alias("m"), F.col(o).alias("near")).alias("other"))
+        for w, o in (("a", "b"), ("b", "a"))])))
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min("other").alias("best"))
     enough = -F.col("best.m") >= ratio * F.col("n")
     return words.join(best, "word", "left").select(
