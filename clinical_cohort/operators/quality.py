@@ -1,9 +1,13 @@
 """Data profiling and quality checks (Q1-Q13).
 
-The reference runs two jobs per column (a filtered count and a full count)
-and unions one-row frames. Here every scalar metric of a profile is one
-aggregate expression, so a whole profile is **one aggregation over one
-scan**; the single result row is turned into long form with ``inline``.
+Sketch-sized metrics of a profile are aggregate expressions of **one
+aggregation over one scan**; the single result row is turned into long form
+with ``inline``. Exact distinct counts and quantiles need the values: they,
+and with them the rest of an exact profile, are read off one table of
+(column, value, count) that a single partial aggregation makes
+(``value_counts``): rows are never expanded once per distinct count, and no
+task gathers all values of a column - quantiles are picked by rank, with
+prefix sums over buckets of values.
 Distributions and contingency tables are ``groupBy`` over an exploded
 ``(Column, Value)`` pair - partial aggregation keeps the shuffle to one row
 per distinct value per task. Results are typed (BIGINT counts, DOUBLE
@@ -14,11 +18,12 @@ percentages rounded to 6 places); ``percent_text`` gives the reference's
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, DateType, MapType, NullType, NumericType, StringType,
-                               StructType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DateType, DoubleType, FloatType, MapType, NullType,
+                               NumericType, StringType, StructType, TimestampNTZType, TimestampType)
 
 from ..functions.stats import chi2_pvalue, t_pvalue
 
@@ -57,26 +62,95 @@ def null_percentage(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     return out.withColumn("NullPercentage", _pct(F.col("NullCount"), F.col("RowCount")))
 
 
-def _quantile(c: Column, q: float, exact: bool, accuracy: int) -> Column:
-    if exact:
-        return F.percentile(c, F.lit(q))
-    return F.percentile_approx(c, F.lit(q), F.lit(accuracy)).cast("double")
+def value_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(Column, Value, Num, Count): every distinct value of every column once, null and empty text too.
+
+    Value is the value as text, by which values are told apart (-0.0 is 0.0,
+    nested values as JSON); Num is a numeric value as DOUBLE, else null.
+    """
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    pairs = []
+    for c in cols or df.columns:
+        kind, x = types[c], F.col(c)
+        if isinstance(kind, (DoubleType, FloatType)):
+            text = (x.cast("double") + F.lit(0.0)).cast("string")
+        elif isinstance(kind, (ArrayType, MapType, StructType)):
+            text = F.when(x.isNotNull(), F.to_json(F.struct(x)))
+        elif isinstance(kind, BinaryType):
+            text = F.hex(x)
+        else:
+            text = x.cast("string")
+        num = x.cast("double") if isinstance(kind, NumericType) else F.lit(None).cast("double")
+        pairs.append(F.struct(F.lit(c).alias("Column"), text.alias("Value"), num.alias("Num")))
+    return (df.select(F.inline(F.array(*pairs))).groupBy("Column", "Value")
+            .agg(F.min("Num").alias("Num"), F.count(F.lit(1)).alias("Count")))
+
+
+def _named(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per column name, for columns of which an empty frame has no value."""
+    return counts.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, cols))).alias("Column"))
+
+
+def exact_quantiles(counts: DataFrame, quantiles: Sequence[float] = QUANTILES, n_buckets: int = 128) -> DataFrame:
+    """(Column, n, mean, stddev, min, max, q0, q1, ...) of the Num of ``value_counts``, by rank selection.
+
+    Quantiles interpolate linearly between the values at the ranks around
+    q * (n - 1). Sketched quantiles of the distinct values cut each column
+    into buckets; running sums of the buckets' counts (a few rows per column)
+    tell which buckets hold a wanted rank, and only their values are sorted,
+    each bucket by itself. The cuts decide about the buckets' sizes alone:
+    any cuts give the same result.
+    """
+    v = counts.where(F.col("Num").isNotNull()).select("Column", "Num", "Count")
+    probs = F.array(*[F.lit(i / n_buckets) for i in range(1, max(n_buckets, 2))])
+    stats = v.groupBy("Column").agg(
+        F.sum("Count").alias("n"), F.try_divide(F.sum(F.col("Num") * F.col("Count")), F.sum("Count")).alias("mean"),
+        F.min("Num").alias("min"), F.max("Num").alias("max"),
+        F.percentile_approx("Num", probs, F.lit(1000)).alias("cuts"))
+    placed = v.join(F.broadcast(stats.select("Column", "mean", "cuts")), "Column").select(
+        "Column", "Num", "Count", (F.col("Count") * F.pow(F.col("Num") - F.col("mean"), 2)).alias("dev"),
+        F.size(F.filter("cuts", lambda x: x < F.col("Num"))).alias("b"))
+    sizes = placed.groupBy("Column", "b").agg(F.sum("Count").alias("k"), F.sum("dev").alias("dev"))
+    up = Window.partitionBy("Column").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = Window.partitionBy("Column")
+    sizes = sizes.withColumn("end", F.sum("k").over(up)).withColumn("n", F.sum("k").over(total)).withColumn(
+        "dev", F.sum("dev").over(total))
+    wanted = [r for q in quantiles for r in (F.floor(F.lit(q) * (F.col("n") - 1)), F.ceil(F.lit(q) * (F.col("n") - 1)))]
+    holds = [(r >= F.col("end") - F.col("k")) & (r < F.col("end")) for r in wanted]
+    held = reduce(lambda x, y: x | y, holds)
+    chosen = sizes.where(held).select("Column", "b", "n", "dev", (F.col("end") - F.col("k")).alias("before"))
+    inside = Window.partitionBy("Column", "b").orderBy("Num").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = placed.drop("dev").join(F.broadcast(chosen), ["Column", "b"]).withColumn("last", F.col("before") + F.sum("Count").over(inside))
+    at = [F.max(F.when((r >= F.col("last") - F.col("Count")) & (r < F.col("last")), F.col("Num"))).alias(f"_v{i}")
+          for i, r in enumerate(wanted)]
+    picked = ranked.groupBy("Column").agg(F.max("dev").alias("_dev"), *at)
+    out = stats.drop("cuts").join(picked, "Column")
+    position = [F.lit(q) * (F.col("n") - 1) for q in quantiles]
+    values = [(F.col(f"_v{2 * i}") + (F.col(f"_v{2 * i + 1}") - F.col(f"_v{2 * i}")) * (x - F.floor(x))).alias(f"q{i}")
+              for i, x in enumerate(position)]
+    stddev = F.when(F.col("n") > 1, F.sqrt(F.col("_dev") / (F.col("n") - 1)))
+    return out.select("Column", "n", "mean", stddev.alias("stddev"), "min", "max", *values)
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = False, accuracy: int = 10000) -> DataFrame:
     """Q2: count, mean, sample stddev, min, quartiles, max per numeric column.
 
     ``exact=False`` (default) uses ``percentile_approx`` - a bounded sketch
-    per task, safe for any column. ``exact=True`` uses ``percentile`` (linear
-    interpolation, equal to SQL ``quantile_cont``); its buffer holds one entry
-    per distinct value, so use it for columns of bounded cardinality.
+    per task - in one aggregation of the rows. ``exact=True`` interpolates
+    like SQL ``quantile_cont`` and works on the distinct values
+    (``exact_quantiles``); columns may have any number of them.
     """
+    if exact:
+        found = exact_quantiles(value_counts(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols))
+        return _named(found, cols).join(F.broadcast(found), "Column", "left").select(
+            "Column", F.coalesce("n", F.lit(0)).cast("bigint").alias("count"), "mean", "stddev", "min",
+            F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max")
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"_c{i}"), F.avg(x).alias(f"_m{i}"), F.stddev_samp(x).alias(f"_s{i}"),
                  F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
-        aggs += [_quantile(x, q, exact, accuracy).alias(f"_q{i}_{j}") for j, q in enumerate(QUANTILES)]
+        aggs += [F.percentile_approx(x, F.lit(q), F.lit(accuracy)).alias(f"_q{i}_{j}") for j, q in enumerate(QUANTILES)]
     row = df.agg(*aggs)
     structs = []
     for i, c in enumerate(cols):
@@ -91,11 +165,12 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = False, acc
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Q3: distinct values per column, null counted as one value -> (Column, DistinctCount)."""
     cols = list(cols or df.columns)
-    aggs = []
-    for i, c in enumerate(cols):
-        d = F.approx_count_distinct(c) if approx else F.count_distinct(F.col(c))
-        aggs.append((d + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))).cast("bigint").alias(f"_d{i}"))
-    row = df.agg(*aggs)
+    if not approx:
+        found = value_counts(df, cols).groupBy("Column").agg(F.count(F.lit(1)).alias("DistinctCount"))
+        return _named(found, cols).join(F.broadcast(found), "Column", "left").select(
+            "Column", F.coalesce("DistinctCount", F.lit(0).cast("bigint")).alias("DistinctCount"))
+    row = df.agg(*[(F.approx_count_distinct(c) + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))).cast("bigint").alias(f"_d{i}")
+                   for i, c in enumerate(cols)])
     return _long(row, [F.struct(F.lit(c).alias("Column"), F.col(f"_d{i}").alias("DistinctCount"))
                        for i, c in enumerate(cols)])
 
@@ -164,21 +239,26 @@ def column_kind(dtype) -> str:
 
 
 def column_types(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Q7: (Column, Type, Kind, NonNullCount, DistinctCount) in one aggregation.
+    """Q7: (Column, Type, Kind, NonNullCount, DistinctCount), nulls in neither count.
 
-    Exact distinct counts over many columns make Spark expand every row once
-    per column before the shuffle; ``approx=True`` uses HyperLogLog++ sketches
-    (one pass, fixed-size buffers) for very large tables.
+    ``approx=True`` uses HyperLogLog++ sketches (one pass, fixed-size
+    buffers) for very large tables.
     """
     fields = df.schema.fields
+    kinds = [F.struct(F.lit(f.name).alias("Column"), F.lit(f.dataType.simpleString()).alias("Type"),
+                      F.lit(column_kind(f.dataType)).alias("Kind")) for f in fields]
+    if not approx:
+        found = value_counts(df).where(F.col("Value").isNotNull()).groupBy("Column").agg(
+            F.sum("Count").alias("NonNullCount"), F.count(F.lit(1)).alias("DistinctCount"))
+        named = found.sparkSession.range(1).select(F.inline(F.array(*kinds)))
+        return named.join(F.broadcast(found), "Column", "left").select("Column", "Type", "Kind", *[
+            F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("NonNullCount", "DistinctCount")])
     aggs = []
     for i, f in enumerate(fields):
-        d = F.approx_count_distinct(F.col(f.name)) if approx else F.count_distinct(F.col(f.name))
-        aggs += [F.count(F.col(f.name)).alias(f"_c{i}"), d.alias(f"_d{i}")]
+        aggs += [F.count(F.col(f.name)).alias(f"_c{i}"), F.approx_count_distinct(F.col(f.name)).alias(f"_d{i}")]
     row = df.agg(*aggs)
-    return _long(row, [F.struct(F.lit(f.name).alias("Column"), F.lit(f.dataType.simpleString()).alias("Type"),
-                                F.lit(column_kind(f.dataType)).alias("Kind"), F.col(f"_c{i}").alias("NonNullCount"),
-                                F.col(f"_d{i}").alias("DistinctCount")) for i, f in enumerate(fields)])
+    return _long(row, [F.struct(k["Column"], k["Type"], k["Kind"], F.col(f"_c{i}").alias("NonNullCount"),
+                                F.col(f"_d{i}").alias("DistinctCount")) for i, k in enumerate(kinds)])
 
 
 def _moments(df: DataFrame, cols: Sequence[str], tag: str) -> DataFrame:
@@ -323,26 +403,29 @@ def fdr_bh(tests: DataFrame, p: str = "p", n_buckets: int | None = None) -> Data
 def profile(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = (),
             patterns: Mapping[str, str] | None = None, exact: bool = False,
             approx_distinct: bool = False) -> DataFrame:
-    """Q13: every scalar profile metric in one aggregation -> (Column, Metric, Value).
+    """Q13: every scalar profile metric -> (Column, Metric, Value).
 
     Metrics: rows, nulls, null_pct, distinct (all profiled columns); count,
     mean, stddev, min, p25, p50, p75, max (numeric); mismatch, mismatch_pct
-    (regex columns). One scan, one job; split the long result by Metric for
-    the separate reports. ``approx_distinct=True`` replaces the exact
-    distinct counts (which expand every row once per column) with sketches.
+    (regex columns). Split the long result by Metric for the separate reports.
+    ``exact=True`` reads all of them off one table of value counts.
+    ``exact=False`` sketches the quantiles, and with ``approx_distinct=True``
+    the distinct counts too, which makes the profile one aggregation of the rows.
     """
     patterns = dict(patterns or {})
     allc = list(dict.fromkeys([*numeric, *categorical, *patterns]))
+    if exact:
+        return _exact_profile(df, allc, list(numeric), patterns)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(allc):
-        d = F.approx_count_distinct(F.col(c)) if approx_distinct else F.count_distinct(F.col(c))
-        aggs += [F.count_if(_empty(c)).alias(f"_null{i}"),
-                 (d + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))).alias(f"_dist{i}")]
+        aggs.append(F.count_if(_empty(c)).alias(f"_null{i}"))
+        if approx_distinct:
+            aggs.append((F.approx_count_distinct(F.col(c)) + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))).alias(f"_dist{i}"))
     for i, c in enumerate(numeric):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"_cnt{i}"), F.avg(x).alias(f"_mean{i}"), F.stddev_samp(x).alias(f"_std{i}"),
                  F.min(x).alias(f"_min{i}"), F.max(x).alias(f"_max{i}")]
-        aggs += [_quantile(x, q, exact, 10000).alias(f"_q{j}_{i}") for j, q in enumerate(QUANTILES)]
+        aggs += [F.percentile_approx(x, F.lit(q), F.lit(10000)).alias(f"_q{j}_{i}") for j, q in enumerate(QUANTILES)]
     for i, (c, pat) in enumerate(patterns.items()):
         aggs.append(F.count_if(~F.col(c).cast("string").rlike(pat)).alias(f"_mis{i}"))
     row = df.agg(*aggs)
@@ -354,8 +437,9 @@ def profile(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[st
     rows = F.col("_rows")
     structs = [s("*", "rows", rows)]
     for i, c in enumerate(allc):
-        structs += [s(c, "nulls", F.col(f"_null{i}")), s(c, "null_pct", _pct(F.col(f"_null{i}"), rows)),
-                    s(c, "distinct", F.col(f"_dist{i}"))]
+        structs += [s(c, "nulls", F.col(f"_null{i}")), s(c, "null_pct", _pct(F.col(f"_null{i}"), rows))]
+        if approx_distinct:
+            structs.append(s(c, "distinct", F.col(f"_dist{i}")))
     for i, c in enumerate(numeric):
         structs += [s(c, "count", F.col(f"_cnt{i}")), s(c, "mean", F.col(f"_mean{i}")),
                     s(c, "stddev", F.col(f"_std{i}")), s(c, "min", F.col(f"_min{i}")),
@@ -363,4 +447,41 @@ def profile(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[st
                     s(c, "max", F.col(f"_max{i}"))]
     for i, c in enumerate(patterns):
         structs += [s(c, "mismatch", F.col(f"_mis{i}")), s(c, "mismatch_pct", _pct(F.col(f"_mis{i}"), rows))]
-    return _long(row, structs)
+    out = _long(row, structs)
+    if not approx_distinct:
+        out = out.unionByName(distinct_counts(df, allc).select(
+            "Column", F.lit("distinct").alias("Metric"), F.col("DistinctCount").cast("double").alias("Value")))
+    return out
+
+
+def _exact_profile(df: DataFrame, cols: Sequence[str], numeric: Sequence[str], patterns: Mapping[str, str]) -> DataFrame:
+    """The metrics of ``profile`` from the value counts of ``cols``; a pattern is tried once per distinct value."""
+    counts = value_counts(df, cols)
+    missing = F.col("Value").isNull() | (F.col("Value") == "")
+    fails = F.lit(False)
+    for c, p in patterns.items():
+        fails = fails | ((F.col("Column") == c) & ~F.col("Value").rlike(p))
+    per = counts.groupBy("Column").agg(
+        F.sum("Count").alias("rows"), F.sum(F.when(missing, F.col("Count")).otherwise(0)).alias("nulls"),
+        F.count(F.lit(1)).alias("distinct"), F.sum(F.when(fails, F.col("Count")).otherwise(0)).alias("mismatch"))
+    zero = F.lit(0).cast("bigint")
+    all_of = _named(counts, cols).join(F.broadcast(per), "Column", "left").select(
+        "Column", *[F.coalesce(c, zero).alias(c) for c in ("rows", "nulls", "distinct", "mismatch")])
+    if numeric:
+        all_of = all_of.join(F.broadcast(exact_quantiles(counts.where(F.col("Column").isin(list(numeric))))), "Column", "left")
+    names = {"count": "n", "mean": "mean", "stddev": "stddev", "min": "min", "p25": "q0", "p50": "q1", "p75": "q2", "max": "max"}
+    value = {"nulls": F.col("nulls"), "null_pct": _pct(F.col("nulls"), F.col("rows")), "distinct": F.col("distinct")}
+    some = {}
+    if numeric:
+        some[tuple(numeric)] = {m: F.coalesce(c, zero) if m == "count" else F.col(c) for m, c in names.items()}
+    if patterns:
+        some[tuple(patterns)] = {"mismatch": F.col("mismatch"), "mismatch_pct": _pct(F.col("mismatch"), F.col("rows"))}
+    metric = lambda m, v: F.struct(F.lit(m).alias("Metric"), v.cast("double").alias("Value"))
+    none = F.array().cast("array<struct<Metric:string,Value:double>>")
+    parts = [F.array(*[metric(m, v) for m, v in value.items()])]
+    parts += [F.when(F.col("Column").isin(list(c)), F.array(*[metric(m, v) for m, v in of.items()])).otherwise(none)
+              for c, of in some.items()]
+    out = all_of.select("Column", F.inline(F.concat(*parts)))
+    rows = all_of.agg(F.coalesce(F.max("rows"), zero).cast("double").alias("Value")).select(
+        F.lit("*").alias("Column"), F.lit("rows").alias("Metric"), "Value")
+    return out.unionByName(rows)

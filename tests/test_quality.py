@@ -126,3 +126,54 @@ def test_ttest_and_chisq_formulas(spark):
     chi = sum((max(0, abs(obs[i][j] - rows[i] * cols[j] / tot) - 0.5)) ** 2 / (rows[i] * cols[j] / tot)
               for i in range(2) for j in range(2))
     assert c.dof == 1 and math.isclose(c.chi2, round(chi, 6), abs_tol=1e-6)
+
+
+def test_exact_quantiles_match_brute_force(spark):
+    """Skewed, tied, missing and special values; any number of buckets."""
+    random.seed(21)
+    nan = float("nan")
+    a = [random.choice([random.gauss(1e9, 3.0), 7.25, -0.0, 0.0, None]) for _ in range(999)]
+    b = [random.choice([1, 2, 3]) for _ in range(999)]
+    df = spark.createDataFrame([(x, y, nan, None, float(i % 7 == 0)) for i, (x, y) in enumerate(zip(a, b))],
+                               "a double, b int, c double, d long, e double").repartition(5)
+    for n_buckets in (1, 2, 7, 300):
+        got = {r.Column: r for r in Q.exact_quantiles(Q.value_counts(df), n_buckets=n_buckets).collect()}
+        for name, values in (("a", a), ("b", b)):
+            x = sorted(v for v in values if v is not None)
+            r = got[name]
+            mean = sum(x) / len(x)
+            assert r.n == len(x) and math.isclose(r.mean, mean, rel_tol=1e-12) and (r.min, r.max) == (x[0], x[-1])
+            assert math.isclose(r.stddev, math.sqrt(sum((v - mean) ** 2 for v in x) / (len(x) - 1)), rel_tol=1e-9)
+            for q, v in zip(Q.QUANTILES, (r.q0, r.q1, r.q2)):
+                at = q * (len(x) - 1)
+                lo, hi = x[math.floor(at)], x[math.ceil(at)]
+                assert math.isclose(v, lo + (hi - lo) * (at - math.floor(at)), rel_tol=1e-12, abs_tol=1e-12)
+        assert math.isnan(got["c"].q1) and "d" not in got and (got["e"].q0, got["e"].q2) == (0.0, 0.0)
+    summary = {r.Column: r for r in Q.numeric_summary(df, ["b", "d"], exact=True).collect()}
+    assert summary["d"]["count"] == 0 and summary["d"].p50 is None and summary["b"]["count"] == 999
+    distinct = {r.Column: r.DistinctCount for r in Q.distinct_counts(df).collect()}
+    assert distinct == {"a": len({v if v is None else v + 0.0 for v in a}), "b": 3, "c": 1, "d": 1, "e": 2}
+
+
+def test_value_counts_of_other_types(spark):
+    df = spark.createDataFrame([([1, 2], bytearray(b"\xff"), "x"), ([1], bytearray(b"\xfe"), ""), (None, None, None), ([1], None, "x")],
+                               "n array<int>, b binary, s string")
+    got = {r.Column: r.DistinctCount for r in Q.distinct_counts(df).collect()}
+    assert got == {"n": 3, "b": 3, "s": 3}
+    types = {r.Column: (r.NonNullCount, r.DistinctCount) for r in Q.column_types(df).collect()}
+    assert types == {"n": (3, 2), "b": (2, 2), "s": (3, 2)}
+
+
+def test_exact_profile_reads_one_scan_and_expands_no_row(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS k", "CAST(id % 7 AS STRING) AS c", "id % 3 AS m").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    profile = Q.profile(df, ["k", "m"], ["c"], {"c": "^[0-5]$"}, exact=True)
+    got = {(r.Column, r.Metric): r.Value for r in profile.collect()}
+    assert got[("k", "p50")] == 499.5 and got[("c", "distinct")] == 7 and got[("c", "mismatch")] == 142 and got[("*", "rows")] == 1000
+    for df2 in (profile, Q.numeric_summary(df, ["k", "m"], exact=True), Q.distinct_counts(df), Q.column_types(df)):
+        plan = df2._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "percentile(" not in plan
+    empty = {(r.Column, r.Metric): r.Value for r in Q.profile(df.limit(0), ["k"], ["c"], {"c": "x"}, exact=True).collect()}
+    assert empty[("*", "rows")] == 0 and empty[("k", "count")] == 0 and empty[("k", "p50")] is None and empty[("c", "null_pct")] is None
+    loose = {(r.Column, r.Metric) for r in Q.profile(df, ["k", "m"], ["c"], {"c": "^[0-5]$"}).collect()}
+    assert loose == set(got)
