@@ -91,7 +91,7 @@ def _cells(fps: DataFrame) -> DataFrame:
     A row becomes fifty, so the few bytes of fingerprints are dealt to all partitions first.
     """
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    halves = fps.repartition(n, "fp").select("fp", embedding(F.col("fp")).alias("e")).select(
+    halves = fps.repartition(n, F.xxhash64("fp")).select("fp", embedding(F.col("fp")).alias("e")).select(
         "fp", F.posexplode(F.array(F.col("e").bitwiseAND(F.lit(_HALF)), F.shiftrightunsigned("e", 32))))
     # Neighbours: a low code bit may change if the high one is 0, a high one if the low one is 1.
     near = F.expr("""concat(array(col), transform(filter(sequence(0, 31), b -> if(b % 2 = 0,
@@ -122,54 +122,94 @@ def _forest(fps: np.ndarray, max_distance: int) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
-def _groups(fps: DataFrame, block: int) -> DataFrame:
-    """(cell, i, j, fp): the members of every two blocks of the cells that hold more than one fingerprint."""
-    cells = _cells(fps)
-    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = cells.join(sizes.hint("merge"), "cell").select(
-        "cell", "fp", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    # Block k meets every block; in a cell of one block that is the cell itself.
-    return members.select("cell", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+def _linked(keys: np.ndarray, members: np.ndarray, ends: np.ndarray, max_distance: int):
+    """Links (a, b), a < b, of the groups of rows that end at ``ends``."""
+    out = []
+    starts = np.concatenate([[0], ends[:-1]])
+    several = ends - starts > 1
+    for at, end in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
+        if end - at == 2:
+            x, y = members[at:end].tolist()
+            if (x ^ y).bit_count() <= max_distance:
+                out.append((members[at:at + 1], members[at + 1:end]))
+        else:
+            out.append(_forest(members[at:end], max_distance))
+    sides = zip(*out, strict=True) if out else ((), ())
+    x, y = (np.concatenate([np.empty(0, np.uint64), *side]).view(np.int64) for side in sides)
+    return np.minimum(x, y), np.maximum(x, y)
 
 
-def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints at most ``max_distance`` bits apart, enough of them to connect
-    all that such pairs connect; fps has distinct ``fp``."""
+def _forests(groups: DataFrame, by: list[str], max_distance: int, block: int | None = None) -> DataFrame:
+    """(a, b, cell): the links of each group of rows (by, fp) with equal ``by``.
+
+    Groups of more than ``block`` rows are given back as they are, as rows (fp, null, cell).
+    """
     import pyarrow as pa
-    if not 0 <= max_distance <= 4:
-        raise ValueError("halves are joined at Manhattan distance 2, which finds pairs of up to 4 bits")
-    by = ["cell", "i", "j"]
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = block or 1 << 62
+
+    def rows(a, b, cell):
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(cell, pa.int64())], names=["a", "b", "cell"])
+
+    def back(keys, members):
+        return rows(members.view(np.int64), [None] * len(members), keys[:, 0])
 
     def run(batches):
-        def linked(keys, members):
-            starts = np.append(np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1, len(keys))
-            out, at = [], 0
-            for end in starts.tolist():
-                if end - at == 2:
-                    x, y = members[at:end].tolist()
-                    if (x ^ y).bit_count() <= max_distance:
-                        out.append((members[at:at + 1], members[at + 1:end]))
-                elif end - at > 2:
-                    out.append(_forest(members[at:end], max_distance))
-                at = end
-            ends = [np.concatenate([np.empty(0, np.uint64), *side]).view(np.int64) for side in (zip(*out, strict=True) if out else ((), ()))]
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], names=["a", "b"])
-
-        keys, members = np.empty((0, 3), np.int64), np.empty(0, np.uint64)
+        keys, members, open_large = np.empty((0, len(by)), np.int64), np.empty(0, np.uint64), None
         for batch in batches:
-            new = np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in by])
-            keys = np.concatenate([keys, new])
+            keys = np.concatenate([keys, np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in by])])
             members = np.concatenate([members, batch.column("fp").to_numpy().view(np.uint64)])
-            last = len(keys) - np.flatnonzero(np.any(keys[::-1] != keys[-1], axis=1))[:1]  # where the last group starts
-            if len(last):  # the last group may go on in the next batch
-                yield linked(keys[:last[0]], members[:last[0]])
-                keys, members = keys[last[0]:], members[last[0]:]
+            if open_large is not None:  # the rest of a group that is given back
+                first = np.append(np.flatnonzero(np.any(keys != open_large, axis=1)), len(keys))[0]
+                yield back(keys[:first], members[:first])
+                keys, members = keys[first:], members[first:]
+                if not len(keys):
+                    continue
+                open_large = None
+            ends = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+            last = ends[-1] if len(ends) else 0  # the last group may go on in the next batch
+            if len(ends):
+                yield from finished(keys[:last], members[:last], ends)
+                keys, members = keys[last:], members[last:]
+            if len(keys) > most:
+                open_large = keys[0]
+                yield back(keys, members)
+                keys, members = keys[:0], members[:0]
+        if len(keys):
+            yield from finished(keys, members, np.array([len(keys)]))
+
+    def finished(keys, members, ends):
+        sizes = np.diff(ends, prepend=0)
+        large = np.repeat(sizes > most, sizes)
+        if large.any():
+            yield back(keys[large], members[large])
+            keys, members, ends = keys[~large], members[~large], np.cumsum(sizes[sizes <= most])
         if len(keys):
-            yield linked(keys, members)
+            a, b = _linked(keys, members, ends, max_distance)
+            yield rows(a, b, [None] * len(a))
 
-    return _groups(fps, block).repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long").distinct()
+    dealt = groups.repartition(n, *by).sortWithinPartitions(*by)
+    return dealt.mapInArrow(run, "a long, b long, cell long")
+
+
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """(cell, i, j, fp): the members of every two blocks of each cell; members has (cell, fp)."""
+    sizes = members.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    return members.join(sizes.hint("merge"), "cell").select(
+        "cell", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+
+
+def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct fingerprints at most ``max_distance`` bits apart, enough of them to connect
+    all that such pairs connect; fps has distinct ``fp``."""
+    if not 0 <= max_distance <= 4:
+        raise ValueError("halves are joined at Manhattan distance 2, which finds pairs of up to 4 bits")
+    first = saved(_forests(_cells(fps), ["cell"], max_distance, block), "links")
+    large = first.where("cell is not null").select("cell", F.col("a").alias("fp"))
+    rest = _forests(_blocks(large, block), ["cell", "i", "j"], max_distance)
+    return first.where("cell is null").unionByName(rest).select("a", "b").distinct()
 
 
 def _grouped(docs: DataFrame, shingle: int, max_distance: int, text: str, key: str) -> tuple[DataFrame, DataFrame]:

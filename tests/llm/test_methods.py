@@ -15,6 +15,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clinical_cohort.llm import decontamination, graph, pfor, pieces, repeats, secrets, simhash, token_output, toxicity
@@ -189,9 +190,13 @@ def test_links_of_a_ball_of_near_copies(spark):
 
 
 def test_cells_are_cut_into_blocks(spark):
-    fps = spark.range(300).selectExpr("id * 8 as fp")
-    groups = simhash._groups(fps, 10).groupBy("cell", "i", "j").count()
-    assert groups.agg({"count": "max"}).first()[0] <= 2 * 25
+    members = spark.range(3000).selectExpr("id % 3 as cell", "id * 8 as fp").where("cell > 0 or fp < 3000")
+    groups = simhash._blocks(members, 100)
+    sizes = groups.groupBy("cell", "i", "j").count()
+    assert sizes.agg({"count": "max"}).first()[0] <= 2 * 150
+    assert groups.where("i = j").select("cell", "fp").distinct().count() == members.count()
+    given = simhash._forests(members, ["cell"], 4, block=200)  # larger cells are given back whole
+    assert {(r.cell, r.n) for r in given.where("cell is not null").groupBy("cell").agg(F.count("a").alias("n")).collect()} == {(1, 1000), (2, 1000)}
 
 
 @settings(max_examples=60, deadline=None)
