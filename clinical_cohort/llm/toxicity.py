@@ -10,14 +10,15 @@ The score compares the two log-likelihoods, of the text divided by its number of
 n-grams, and of the one word that speaks most for the toxic class (a few words
 can make a long text toxic). A logistic function of the two differences gives a
 value of 0 to 1. It is fitted on a bounded sample of labelled rows of every
-training fold, each scored by the counts of the other folds; rows weigh by the
+training fold, each scored by the class counts of the other folds; rows weigh by the
 share of their class that the sample holds.
 
 Counts cover every labelled training row, as grouped sums with partial sums per
-batch, and their n-grams are joined with those of the distinct words of all texts:
-each word has one difference. The most frequent words (at most ``SHARED_WORDS``) are
-broadcast as hashes and numbers, 20 bytes each; the words of a text that are not
-among them are joined. Both ways give the same, at every size.
+batch, one column for each class and fold, so one table tells the differences by all
+folds (``without`` 0) and by all but one. They are joined with the distinct words of
+all texts: each word has one difference. The most frequent words (at most
+``SHARED_WORDS``) are broadcast as hashes and numbers, 20 bytes each; the words of a
+text that are not among them are joined. Both ways give the same, at every size.
 
 Null, empty and letterless texts have differences of 0. Very long texts and words are
 read whole. Labels that are null or whose rows are not in the table count nothing;
@@ -45,7 +46,7 @@ ORDER = 5
 DISCOUNT = 0.75
 FOLDS = 5
 #: Most labelled rows that the logistic function is fitted on, half of them of each class.
-FIT_ROWS = 20_000
+FIT_ROWS = 4_000
 #: Most words whose differences are broadcast.
 SHARED_WORDS = 1_000_000
 #: Distinct words that a task adds up before it sends their counts.
@@ -94,11 +95,13 @@ class _Grams:
         return [flat[i:i + order] for i in range(0, len(flat), order)]
 
 
+CLASSES = ("toxic", "ordinary")
+TRAINING = range(1, FOLDS)
+_SUMS = [f"{c}{f}" for f in TRAINING for c in CLASSES]
+
+
 def count(rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """(without, gram, toxic, ordinary): counts over rows with columns ``t``, ``toxic`` and ``fold`` (1 to 4), of all
-    folds (``without`` 0) and of all but one."""
-    training = range(1, FOLDS)
-    sums = [f"{c}{f}" for f in training for c in ("toxic", "ordinary")]
+    """(gram, toxic1, ordinary1, toxic2, ...): counts by class and fold over rows with columns ``t``, ``toxic`` and ``fold`` (1 to 4)."""
 
     def run(batches):
         for batch in (part for whole in batches for part in slices(whole)):
@@ -106,53 +109,59 @@ def count(rows: DataFrame, order: int = ORDER) -> DataFrame:
             group = (2 * batch.column("fold").to_numpy() - 1 - batch.column("toxic").to_numpy())[row]
             grams = _Grams(words, order)
             _, at, back = np.unique(grams.hashes(order), return_index=True, return_inverse=True)
-            own = [np.bincount(place[group == g], minlength=len(words))[grams.word] for g in range(len(sums))]
+            own = [np.bincount(place[group == g], minlength=len(words))[grams.word] for g in range(len(_SUMS))]
             n = [np.bincount(back, weights=x, minlength=len(at)).astype(np.int64) for x in own]
-            yield pa.RecordBatch.from_arrays([pa.array(grams.texts(at)), *map(pa.array, n)], names=["gram", *sums])
+            yield pa.RecordBatch.from_arrays([pa.array(grams.texts(at)), *map(pa.array, n)], names=["gram", *_SUMS])
+
+    schema = "gram string, " + ", ".join(f"{c} long" for c in _SUMS)
+    return rows.mapInArrow(run, schema).groupBy("gram").agg(*[F.sum(c).alias(c) for c in _SUMS])
 
-    schema = "gram string, " + ", ".join(f"{c} long" for c in sums)
-    total = rows.mapInArrow(run, schema).groupBy("gram").agg(*[F.sum(c).alias(c) for c in sums])
-    left_out = [F.struct(F.lit(w).alias("without"), *[sum(F.col(f"{c}{f}") for f in training if f != w).alias(c) for c in ("toxic", "ordinary")])
-                for w in (0, *training)]
-    return total.select("gram", F.inline(F.array(*left_out))).where("toxic + ordinary > 0")
+
+def _without(label: str, fold: int) -> Column:
+    """A class's count by all folds but one (0: by all)."""
+    return sum((F.col(f"{label}{f}") for f in TRAINING if f != fold), F.lit(0))
 
 
 def _shared(grams: DataFrame, order: int) -> DataFrame:
-    """(without, s, p): Kneser-Ney probability of the last character of ``s`` after the others, from continuation counts."""
-    counts = {order: grams.select("without", F.col("gram").alias("s"))}
+    """(s, p): Kneser-Ney probability of the last character of ``s`` after the others, from continuation counts."""
+    counts = {order: grams.select(F.col("gram").alias("s"))}
     for k in range(order - 1, 0, -1):
-        counts[k] = counts[k + 1].groupBy("without", F.substring("s", 2, k).alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts[1].groupBy("without").agg(F.sum("n").alias("sum"))  # a row for each fold
-    p = counts[1].join(F.broadcast(total), "without").select("without", "s", (F.col("n") / F.col("sum")).alias("p"))
+        counts[k] = counts[k + 1].groupBy(F.substring("s", 2, k).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    p = counts[1].select("s", (F.col("n") / counts[1].agg(F.sum("n")).scalar()).alias("p"))
     for k in range(2, order):
         h = F.substring("s", 1, k - 1)
-        context = counts[k].groupBy("without", h.alias("h")).agg(F.sum("n").alias("sum"), F.count(F.lit(1)).alias("types"))
-        lower = p.select("without", F.col("s").alias("low"), F.col("p").alias("p_low"))
+        context = counts[k].groupBy(h.alias("h")).agg(F.sum("n").alias("sum"), F.count(F.lit(1)).alias("types"))
+        lower = p.select(F.col("s").alias("low"), F.col("p").alias("p_low"))
         p = (counts[k].withColumn("h", h).withColumn("low", F.substring("s", 2, k - 1))
-             .join(context, ["without", "h"]).join(lower, ["without", "low"])
-             .select("without", "s", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("types") * F.col("p_low")) / F.col("sum")).alias("p")))
+             .join(context, "h").join(lower, "low")
+             .select("s", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("types") * F.col("p_low")) / F.col("sum")).alias("p")))
     return p
 
 
 def model(counted: DataFrame, order: int = ORDER) -> DataFrame:
-    """(without, gram, delta): log-likelihood differences of n-grams, and of contexts (one character shorter) for
-    n-grams that neither class has."""
+    """(h, deltas, back): for each context of ``order - 1`` characters the log-likelihood differences of the characters
+    that follow it, by character, and of all others; each an array by the fold left out (0: none)."""
     h = F.substring("gram", 1, order - 1)
-    context = counted.groupBy("without", h.alias("h")).agg(*[f for c in ("toxic", "ordinary") for f in (
-        F.sum(c).alias(f"{c}_sum"), F.sum((F.col(c) > 0).cast("int")).alias(f"{c}_types"))])
-    shared = _shared(counted, order).select("without", F.col("s").alias("low"), "p")
-    back = {c: F.when(F.col(f"{c}_sum") > 0, DISCOUNT * F.col(f"{c}_types") / F.col(f"{c}_sum")).otherwise(1.0)
-            for c in ("toxic", "ordinary")}
+    context = counted.groupBy(h.alias("h")).agg(*[x for c in CLASSES for f in range(FOLDS) for x in (
+        F.sum(_without(c, f)).alias(f"{c}{f}_sum"), F.sum((_without(c, f) > 0).cast("int")).alias(f"{c}{f}_types"))])
+    shared = _shared(counted, order).select(F.col("s").alias("low"), "p")
+
+    def back(c: str, f: int) -> Column:
+        n = F.col(f"{c}{f}_sum")
+        return F.when(n > 0, DISCOUNT * F.col(f"{c}{f}_types") / n).otherwise(1.0)
 
-    def likelihood(c: str) -> Column:
-        own = F.when(F.col(c) > 0, (F.col(c) - DISCOUNT) / F.col(f"{c}_sum")).otherwise(0.0)
-        return F.log(own + back[c] * F.col("p"))
+    def likelihood(c: str, f: int) -> Column:
+        own = F.when(_without(c, f) > 0, (_without(c, f) - DISCOUNT) / F.col(f"{c}{f}_sum")).otherwise(0.0)
+        return F.log(own + back(c, f) * F.col("p"))
 
+    deltas = F.array(*[likelihood("toxic", f) - likelihood("ordinary", f) for f in range(FOLDS)])
     grams = (counted.withColumn("h", h).withColumn("low", F.substring("gram", 2, order - 1))
-             .join(context, ["without", "h"]).join(shared, ["without", "low"])
-             .select("without", "gram", (likelihood("toxic") - likelihood("ordinary")).alias("delta")))
-    return grams.unionByName(context.select(
-        "without", F.col("h").alias("gram"), (F.log(back["toxic"]) - F.log(back["ordinary"])).alias("delta")))
+             .join(context, "h").join(shared, "low"))
+    # A context is followed by no more characters than there are.
+    followed = grams.groupBy("h").agg(F.map_from_entries(F.collect_list(
+        F.struct(F.substring("gram", order, 1).alias("last"), deltas.alias("delta")))).alias("deltas"))
+    return followed.join(context, "h").select("h", "deltas", F.array(*[
+        F.log(back("toxic", f)) - F.log(back("ordinary", f)) for f in range(FOLDS)]).alias("back"))
 
 
 def vocabulary(rows: DataFrame) -> DataFrame:
@@ -174,24 +183,23 @@ def vocabulary(rows: DataFrame) -> DataFrame:
     return rows.select("t").mapInArrow(run, "word string, n long").where("word != ''").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def word_differences(words: DataFrame, table: DataFrame, order: int = ORDER) -> DataFrame:
-    """``words`` (with columns ``without`` and ``word``, distinct) with ``total``, the summed difference of a word's n-grams,
-    and ``grams``, their number."""
+def word_differences(words: DataFrame, table: DataFrame, folds: int = 1, order: int = ORDER) -> DataFrame:
+    """``words`` (a column ``word``, distinct) with ``totals``, the summed differences of a word's n-grams by the first
+    ``folds`` of the folds left out, and ``grams``, their number."""
 
     def run(batches):
         for batch in (part for whole in batches for part in slices(whole)):
             cut = _Grams(batch.column("word").to_pylist(), order)
-            own = pa.array(cut.word)
-            yield pa.RecordBatch.from_arrays([batch.column("without").take(own), batch.column("word").take(own),
-                                              pa.array(cut.texts(np.arange(len(cut.word))), pa.string())], names=["without", "word", "gram"])
+            texts = pa.array(cut.texts(np.arange(len(cut.word))), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("word").take(pa.array(cut.word)), pc.utf8_slice_codeunits(texts, 0, order - 1),
+                                              pc.utf8_slice_codeunits(texts, order - 1, order)], names=["word", "h", "last"])
 
-    spread = words.select("without", "word").mapInArrow(run, "without int, word string, gram string")
-    context = table.select("without", F.col("gram").alias("h"), F.col("delta").alias("back")).where(F.length("gram") == order - 1)
-    joined = (spread.withColumn("h", F.substring("gram", 1, order - 1)).join(table.hint("merge"), ["without", "gram"], "left")
-              .join(context.hint("merge"), ["without", "h"], "left"))
-    scored = joined.groupBy("without", "word").agg(
-        F.sum(F.coalesce("delta", "back", F.lit(0.0))).alias("total"), F.count(F.lit(1)).alias("grams"))
-    return words.join(scored, ["without", "word"])
+    spread = words.select("word").mapInArrow(run, "word string, h string, last string")
+    joined = spread.join(table.hint("merge"), "h", "left")
+    delta = F.coalesce(F.try_element_at("deltas", F.col("last")), F.col("back"))
+    each = joined.select("word", *[F.coalesce(delta[f], F.lit(0.0)).alias(f"d{f}") for f in range(folds)])
+    summed = each.groupBy("word").agg(F.array(*[F.sum(f"d{f}") for f in range(folds)]).alias("totals"), F.count(F.lit(1)).cast("int").alias("grams"))
+    return words.join(summed, "word")
 
 
 class _Shared:
@@ -204,10 +212,11 @@ class _Shared:
     def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each word whether it is here, its difference and its number of n-grams (0 and 0 if not)."""
         h = _word_hashes(words)
-        at = np.minimum(np.searchsorted(self.hashes, h), max(len(self.hashes) - 1, 0))
-        known = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool)
-        return known, np.where(known, self.total[at], 0.0) if len(self.hashes) else np.zeros(len(h)), \
-            np.where(known, self.grams[at], 0) if len(self.hashes) else np.zeros(len(h), np.int64)
+        if not len(self.hashes):
+            return np.zeros(len(h), bool), np.zeros(len(h)), np.zeros(len(h), np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        known = self.hashes[at] == h
+        return known, np.where(known, self.total[at], 0.0), np.where(known, self.grams[at], 0)
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
@@ -228,12 +237,12 @@ def _frequent(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.n
         if held > most:
             break
         least = p
-    got = words.where(power >= least).select("word", "total", F.col("grams").cast("int").alias("grams")).toPandas()
+    got = words.where(power >= least).select("word", F.col("totals")[0].alias("total"), "grams").toPandas()
     return _word_hashes(got["word"].tolist()), got["total"].to_numpy(float), got["grams"].to_numpy(np.int32)
 
 
 def differences(rows: DataFrame, words: DataFrame, frequent: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """``rows`` (with columns ``t`` and ``without``) with ``mean``, the difference per n-gram, and ``top``, the largest
+    """``rows`` (with columns ``t`` and ``without``, the fold left out or 0) with ``mean``, the difference per n-gram, and ``top``, the largest
     difference of a word, in place of the text.
 
     ``words`` holds the differences of all their words; those of ``frequent`` need no join.
@@ -259,7 +268,8 @@ def differences(rows: DataFrame, words: DataFrame, frequent: tuple[np.ndarray, n
 
     part = saved(map_rows(rows.withColumn("rid", F.monotonically_increasing_id()), run,
                           "sums double, counts double, most double, rest array<struct<word:string,times:long>>", keep=[*keep, "rid"]), "parts")
-    loose = part.select("rid", "without", F.inline("rest")).join(words.select("without", "word", "total", "grams").hint("merge"), ["without", "word"])
+    loose = part.select("rid", "without", F.inline("rest")).join(words.select("word", "totals", "grams").hint("merge"), "word").withColumn(
+        "total", F.get("totals", F.col("without")))
     added = loose.groupBy("rid").agg(F.sum(F.col("times") * F.col("total")).alias("more_sums"),
                                      F.sum(F.col("times") * F.col("grams")).alias("more_counts"), F.max("total").alias("more_most"))
     whole = part.join(added.hint("merge"), "rid", "left")
@@ -312,29 +322,15 @@ def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, shared_words:
     chosen = [marked.where(F.col("toxic") == c).distinct().orderBy(F.xxhash64("k"), "k").limit(half) for c in (0, 1)]
     picked = saved(chosen[0].unionByName(chosen[1]), "sample")  # at most fit_rows keys
     sample = saved(rows.join(F.broadcast(picked), "k").select("k", "t", "toxic", own_fold.alias("without")), "sample")
-    known = differences(sample, _words_of_folds(sample, table, order))
+    known = differences(sample, saved(word_differences(vocabulary(sample), table, FOLDS, order), "words"))
     got = known.orderBy(F.xxhash64("k"), "k", *FEATURES).limit(fit_rows).toPandas()
     seen = got.groupby("toxic").size().to_dict()
     got["weight"] = [sizes[c] / seen[c] for c in got["toxic"]]
     *slopes, offset = fit(got, sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5)
 
     p = 1 / (1 + F.exp(-sum((F.lit(w) * F.col(f) for w, f in zip(slopes, FEATURES, strict=True)), F.lit(offset))))
-    words = saved(word_differences(vocabulary(rows).withColumn("without", F.lit(0)), table, order), "words")
+    words = saved(word_differences(vocabulary(rows), table, 1, order), "words")
     scored = differences(rows.withColumn("without", F.lit(0)), words, _frequent(words, shared_words))
     return scored.select(
         F.col("k").alias(key), F.coalesce(fold(F.col("k")) == 0, F.lit(False)).alias("held_out"), p.alias("score"),
         (p >= 0.5).cast("int").alias("predicted"))
-
-
-def _words_of_folds(sample: DataFrame, table: DataFrame, order: int) -> DataFrame:
-    """Differences of the sample's words, by the counts without their row's fold."""
-
-    def run(batches):
-        for batch in (part for whole in batches for part in slices(whole)):
-            words, place, row = _words(batch.column("t"))
-            pairs = np.unique(np.column_stack([batch.column("without").to_numpy()[row], place]), axis=0) if len(place) else np.empty((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int32()), pa.array([words[w] for w in pairs[:, 1].tolist()], pa.string())],
-                                             names=["without", "word"])
-
-    words = sample.select("t", "without").mapInArrow(run, "without int, word string").where("word != ''").distinct()
-    return saved(word_differences(words, table, order), "words")

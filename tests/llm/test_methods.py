@@ -301,12 +301,14 @@ def test_toxicity_separates_and_joins_agree(spark):
 class PlainKneserNey:
     """Interpolated Kneser-Ney over characters, straight from its definition; both classes share the lower orders."""
 
-    def __init__(self, texts, order):
-        self.order, self.n = order, {c: Counter() for c in (1, 0)}
-        for t, c in texts:
+    def __init__(self, texts, order, without):
+        self.order, self.n, every = order, {c: Counter() for c in (1, 0)}, set()
+        for t, c, fold in texts:
             for w in self.words(t):
-                self.n[c].update(self.grams(w))
-        self.types = {order: set(self.n[0]) | set(self.n[1])}
+                every |= set(self.grams(w))
+                if fold != without:
+                    self.n[c].update(self.grams(w))
+        self.types = {order: every}
         for k in range(order - 1, 0, -1):
             self.types[k] = {g[1:] for g in self.types[k + 1]}
 
@@ -361,10 +363,10 @@ def test_differences_against_plain_kneser_ney(spark):
     new = [(100, "abbagrub, Bed? zebra", None, 0), (101, "...", None, 0), (102, None, None, 0), (103, "fadebed bed bed", None, 2)]
     table = toxicity.model(toxicity.count(spark.createDataFrame(rows, "k long, t string, toxic int, fold int").repartition(3)))
     texts = spark.createDataFrame([(k, t, f) for k, t, _, f in rows + new], "k long, t string, without int")
-    words = toxicity._words_of_folds(texts, table, toxicity.ORDER)
+    words = toxicity.word_differences(toxicity.vocabulary(texts), table, toxicity.FOLDS)
     got = {r.k: (r.mean, r.top) for r in toxicity.differences(texts, words).collect()}
     for w in range(5):
-        plain = PlainKneserNey([(t, c) for _, t, c, f in rows if f != w], toxicity.ORDER)
+        plain = PlainKneserNey([(t, c, f) for _, t, c, f in rows], toxicity.ORDER, w)
         for k, t, _, f in rows + new:
             if f == w:
                 assert got[k] == pytest.approx(plain.features(t), abs=1e-9)
