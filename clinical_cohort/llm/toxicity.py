@@ -15,10 +15,10 @@ share of their class that the sample holds.
 
 Counts cover every labelled training row, as grouped sums with partial sums per
 batch, one column for each class and fold, so one table tells the differences by all
-folds (``without`` 0) and by all but one. They are joined with the distinct words of
-all texts: each word has one difference. The most frequent words (at most
-``SHARED_WORDS``) are broadcast as hashes and numbers, 20 bytes each; the words of a
-text that are not among them are joined. Both ways give the same, at every size.
+folds (``without`` 0) and by all but one. The most frequent contexts of the table are
+broadcast with all that follows them (at most ``SHARED`` hashes and numbers, 16 bytes
+each); a text's words that have another context are joined with the table, each
+distinct word once. Both ways give the same, at every size.
 
 Null, empty and letterless texts have differences of 0. Very long texts and words are
 read whole. Labels that are null or whose rows are not in the table count nothing;
@@ -29,14 +29,12 @@ tables give empty results. Other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,10 +45,8 @@ DISCOUNT = 0.75
 FOLDS = 5
 #: Most labelled rows that the logistic function is fitted on, half of them of each class.
 FIT_ROWS = 4_000
-#: Most words whose differences are broadcast.
-SHARED_WORDS = 1_000_000
-#: Distinct words that a task adds up before it sends their counts.
-HELD = 200_000
+#: Most n-grams and contexts whose differences are broadcast.
+SHARED = 4_000_000
 START, END = "\x02", "\x03"
 
 
@@ -139,8 +135,8 @@ def _shared(grams: DataFrame, order: int) -> DataFrame:
 
 
 def model(counted: DataFrame, order: int = ORDER) -> DataFrame:
-    """(h, deltas, back): for each context of ``order - 1`` characters the log-likelihood differences of the characters
-    that follow it, by character, and of all others; each an array by the fold left out (0: none)."""
+    """(h, n, deltas, back): for each context of ``order - 1`` characters how often it occurs, and the log-likelihood
+    differences of the characters that follow it, by character, and of all others; each an array by the fold left out (0: none)."""
     h = F.substring("gram", 1, order - 1)
     context = counted.groupBy(h.alias("h")).agg(*[x for c in CLASSES for f in range(FOLDS) for x in (
         F.sum(_without(c, f)).alias(f"{c}{f}_sum"), F.sum((_without(c, f) > 0).cast("int")).alias(f"{c}{f}_types"))])
@@ -160,29 +156,11 @@ def model(counted: DataFrame, order: int = ORDER) -> DataFrame:
     # A context is followed by no more characters than there are.
     followed = grams.groupBy("h").agg(F.map_from_entries(F.collect_list(
         F.struct(F.substring("gram", order, 1).alias("last"), deltas.alias("delta")))).alias("deltas"))
-    return followed.join(context, "h").select("h", "deltas", F.array(*[
+    n = F.col("toxic0_sum") + F.col("ordinary0_sum")
+    return followed.join(context, "h").select("h", n.alias("n"), "deltas", F.array(*[
         F.log(back("toxic", f)) - F.log(back("ordinary", f)) for f in range(FOLDS)]).alias("back"))
 
 
-def vocabulary(rows: DataFrame) -> DataFrame:
-    """(word, n): the distinct words of the texts ``t`` and how often they occur."""
-
-    def run(batches):
-        def sent():
-            return pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
-
-        total: Counter[str] = Counter()
-        for batch in (part for whole in batches for part in slices(whole)):
-            words, place, _ = _words(batch.column("t"))
-            total.update(dict(zip(words, np.bincount(place, minlength=len(words)).tolist(), strict=True)))
-            if len(total) > HELD:
-                yield sent()
-                total.clear()
-        yield sent()
-
-    return rows.select("t").mapInArrow(run, "word string, n long").where("word != ''").groupBy("word").agg(F.sum("n").alias("n"))
-
-
 def word_differences(words: DataFrame, table: DataFrame, folds: int = 1, order: int = ORDER) -> DataFrame:
     """``words`` (a column ``word``, distinct) with ``totals``, the summed differences of a word's n-grams by the first
     ``folds`` of the folds left out, and ``grams``, their number."""
@@ -203,24 +181,31 @@ def word_differences(words: DataFrame, table: DataFrame, folds: int = 1, order:
 
 
 class _Shared:
-    """Differences and numbers of n-grams of words, by hash of the word."""
-
-    def __init__(self, hashes: np.ndarray, total: np.ndarray, grams: np.ndarray):
-        order = np.argsort(hashes)
-        self.hashes, self.total, self.grams = hashes[order], total[order], grams[order]
+    """Differences of n-grams and contexts by hash; without ``complete``, other contexts may be in the table."""
+
+    def __init__(self, order: int, hashes: np.ndarray, delta: np.ndarray, context: np.ndarray, complete: bool):
+        self.order, self.complete, self.parts = order, complete, []
+        for which in (~context, context):
+            at = np.argsort(hashes[which])
+            self.parts.append((hashes[which][at], delta[which][at]))
+
+    def _find(self, part: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashes, delta = self.parts[part]
+        if not len(hashes):
+            return np.zeros(len(h), bool), np.zeros(len(h))
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        known = hashes[at] == h
+        return known, np.where(known, delta[at], 0.0)
 
     def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each word whether it is here, its difference and its number of n-grams (0 and 0 if not)."""
-        h = _word_hashes(words)
-        if not len(self.hashes):
-            return np.zeros(len(h), bool), np.zeros(len(h)), np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        known = self.hashes[at] == h
-        return known, np.where(known, self.total[at], 0.0), np.where(known, self.grams[at], 0)
-
-
-def _word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        """Of each word whether its difference is known here, the difference, and its number of n-grams."""
+        grams = _Grams(words, self.order)
+        seen, delta = self._find(0, grams.hashes(self.order))
+        known, back = self._find(1, grams.hashes(self.order - 1))
+        n = np.bincount(grams.word, minlength=len(words))
+        total = np.bincount(grams.word, weights=np.where(seen, delta, back), minlength=len(words))
+        sure = np.ones(len(words), bool) if self.complete else np.bincount(grams.word, weights=~known, minlength=len(words)) == 0
+        return sure, np.where(sure, total, 0.0), np.where(sure, n, 0)
 
 
 @lru_cache(maxsize=1)
@@ -228,32 +213,55 @@ def _table(shared) -> _Shared:
     return _Shared(*shared.value)
 
 
-def _frequent(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, differences and numbers of n-grams of the words above the least power of two of occurrences that at most ``most`` reach."""
+def _frequent(table: DataFrame, most: int, order: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, bool]:
+    """What `_Shared` takes, of the contexts above the least power of two of occurrences that ``most`` entries reach."""
     power = F.floor(F.log2("n")).cast("int")
-    sizes, least, held = {r["p"]: r["k"] for r in words.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("k")).collect()}, 64, 0
+    entries = F.sum(F.size("deltas") + 1)
+    sizes = {r["p"]: r["k"] for r in table.groupBy(power.alias("p")).agg(entries.alias("k")).collect()}  # a row for each power
+    least, held = 64, 0
     for p in sorted(sizes, reverse=True):
         held += sizes[p]
         if held > most:
             break
         least = p
-    got = words.where(power >= least).select("word", F.col("totals")[0].alias("total"), "grams").toPandas()
-    return _word_hashes(got["word"].tolist()), got["total"].to_numpy(float), got["grams"].to_numpy(np.int32)
+    complete = held <= most
+
+    def run(batches):
+        for batch in batches:
+            h = batch.column("h").to_pylist()
+            last, delta, owner = batch.column("last"), batch.column("delta"), pc.list_parent_indices(batch.column("last")).to_pylist()
+            follow = [h[i] + c for i, c in zip(owner, last.flatten().to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([_hash(follow, order), _hash(h, order - 1)]).view(np.int64)),
+                pa.array(np.concatenate([delta.flatten().to_numpy(), batch.column("back").to_numpy()])),
+                pa.array(np.repeat([False, True], [len(follow), len(h)]))], names=["hash", "delta", "context"])
+
+    values = F.transform(F.map_values("deltas"), lambda d: d[0])
+    got = (table.where(power >= least).select("h", F.map_keys("deltas").alias("last"), values.alias("delta"), F.col("back")[0].alias("back"))
+           .mapInArrow(run, "hash long, delta double, context boolean").toPandas())
+    return order, got["hash"].to_numpy(np.int64).view(np.uint64), got["delta"].to_numpy(float), got["context"].to_numpy(bool), complete
+
+
+def _hash(texts: list[str], length: int) -> np.ndarray:
+    """As `_Grams.hashes`, of texts of ``length`` characters."""
+    out = _Grams([], length)
+    out.codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).reshape(-1, length)
+    return out.hashes(length)
 
 
-def differences(rows: DataFrame, words: DataFrame, frequent: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """``rows`` (with columns ``t`` and ``without``, the fold left out or 0) with ``mean``, the difference per n-gram, and ``top``, the largest
-    difference of a word, in place of the text.
+def differences(rows: DataFrame, table: DataFrame, shared: tuple | None = None, folds: int = 1, order: int = ORDER) -> DataFrame:
+    """``rows`` (with columns ``t`` and ``without``, the fold left out or 0) with ``mean``, the difference per n-gram,
+    and ``top``, the largest difference of a word, in place of the text.
 
-    ``words`` holds the differences of all their words; those of ``frequent`` need no join.
+    Words that ``shared`` (of `_frequent`, for ``without`` 0) knows need no join with the table.
     """
     none = np.empty(0)
-    shared = rows.sparkSession.sparkContext.broadcast(frequent or (none.astype(np.uint64), none, none.astype(np.int32)))
+    known = rows.sparkSession.sparkContext.broadcast(shared or (order, none.astype(np.uint64), none, none.astype(bool), False))
     keep = [c for c in rows.columns if c != "t"]
 
     def run(batch):
         names, place, row = _words(batch.column("t"))
-        known, total, n = _table(shared).look_up(names)
+        sure, total, n = _table(known).look_up(names)
         sums = np.bincount(row, weights=total[place], minlength=batch.num_rows)
         counts = np.bincount(row, weights=n[place], minlength=batch.num_rows)
         top = np.full(batch.num_rows, -np.inf)
@@ -261,17 +269,18 @@ def differences(rows: DataFrame, words: DataFrame, frequent: tuple[np.ndarray, n
         np.maximum.at(top, row[found], total[place[found]])
         rest: list[dict[int, int]] = [{} for _ in range(batch.num_rows)]
         real = np.fromiter(map(bool, names), bool, len(names))
-        left = np.flatnonzero((real & ~known)[place])
+        left = np.flatnonzero((real & ~sure)[place])
         for r, w in zip(row[left].tolist(), place[left].tolist(), strict=True):
             rest[r][w] = rest[r].get(w, 0) + 1
         return [sums, counts, top, [[{"word": names[w], "times": k} for w, k in own.items()] for own in rest]]
 
     part = saved(map_rows(rows.withColumn("rid", F.monotonically_increasing_id()), run,
                           "sums double, counts double, most double, rest array<struct<word:string,times:long>>", keep=[*keep, "rid"]), "parts")
-    loose = part.select("rid", "without", F.inline("rest")).join(words.select("word", "totals", "grams").hint("merge"), "word").withColumn(
-        "total", F.get("totals", F.col("without")))
-    added = loose.groupBy("rid").agg(F.sum(F.col("times") * F.col("total")).alias("more_sums"),
-                                     F.sum(F.col("times") * F.col("grams")).alias("more_counts"), F.max("total").alias("more_most"))
+    loose = part.select("rid", "without", F.inline("rest"))
+    words = word_differences(loose.select("word").distinct(), table, folds, order)
+    each = loose.join(words.hint("merge"), "word").withColumn("total", F.get("totals", F.col("without")))
+    added = each.groupBy("rid").agg(F.sum(F.col("times") * F.col("total")).alias("more_sums"),
+                                    F.sum(F.col("times") * F.col("grams")).alias("more_counts"), F.max("total").alias("more_most"))
     whole = part.join(added.hint("merge"), "rid", "left")
     sums = F.col("sums") + F.coalesce("more_sums", F.lit(0.0))
     counts = F.col("counts") + F.coalesce("more_counts", F.lit(0))
@@ -302,7 +311,7 @@ def fit(sample: pd.DataFrame, prior: float) -> list[float]:
     return [*(w[:-1] / scale).tolist(), float(w[-1])]
 
 
-def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, shared_words: int = SHARED_WORDS, fit_rows: int = FIT_ROWS,
+def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, shared: int = SHARED, fit_rows: int = FIT_ROWS,
           text: str = "text", key: str = "doc_id", label: str = "toxic") -> DataFrame:
     """One row per document: key, held_out, score and predicted, learned from labels outside the held-out fold.
 
@@ -322,15 +331,14 @@ def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, shared_words:
     chosen = [marked.where(F.col("toxic") == c).distinct().orderBy(F.xxhash64("k"), "k").limit(half) for c in (0, 1)]
     picked = saved(chosen[0].unionByName(chosen[1]), "sample")  # at most fit_rows keys
     sample = saved(rows.join(F.broadcast(picked), "k").select("k", "t", "toxic", own_fold.alias("without")), "sample")
-    known = differences(sample, saved(word_differences(vocabulary(sample), table, FOLDS, order), "words"))
+    known = differences(sample, table, folds=FOLDS, order=order)
     got = known.orderBy(F.xxhash64("k"), "k", *FEATURES).limit(fit_rows).toPandas()
     seen = got.groupby("toxic").size().to_dict()
     got["weight"] = [sizes[c] / seen[c] for c in got["toxic"]]
     *slopes, offset = fit(got, sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5)
 
     p = 1 / (1 + F.exp(-sum((F.lit(w) * F.col(f) for w, f in zip(slopes, FEATURES, strict=True)), F.lit(offset))))
-    words = saved(word_differences(vocabulary(rows), table, 1, order), "words")
-    scored = differences(rows.withColumn("without", F.lit(0)), words, _frequent(words, shared_words))
+    scored = differences(rows.withColumn("without", F.lit(0)), table, _frequent(table, shared, order), order=order)
     return scored.select(
         F.col("k").alias(key), F.coalesce(fold(F.col("k")) == 0, F.lit(False)).alias("held_out"), p.alias("score"),
         (p >= 0.5).cast("int").alias("predicted"))

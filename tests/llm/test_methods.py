@@ -293,8 +293,8 @@ def test_toxicity_separates_and_joins_agree(spark):
     assert all(got[i].held_out == (i in held) for i in range(400))
     assert np.mean([got[i].predicted == (i % 4 == 0) for i in held]) == 1.0
     assert got[900].score == got[901].score and 0 <= got[900].score <= 1
-    for shared in (0, 8):  # no word is broadcast, or the most frequent only
-        joined = {r.doc_id: r for r in toxicity.score(d, marks, shared_words=shared).collect()}
+    for shared in (0, 60):  # nothing is broadcast, or the most frequent contexts only
+        joined = {r.doc_id: r for r in toxicity.score(d, marks, shared=shared).collect()}
         assert all(abs(joined[i].score - got[i].score) < 1e-9 for i in got)
 
 
@@ -363,8 +363,12 @@ def test_differences_against_plain_kneser_ney(spark):
     new = [(100, "abbagrub, Bed? zebra", None, 0), (101, "...", None, 0), (102, None, None, 0), (103, "fadebed bed bed", None, 2)]
     table = toxicity.model(toxicity.count(spark.createDataFrame(rows, "k long, t string, toxic int, fold int").repartition(3)))
     texts = spark.createDataFrame([(k, t, f) for k, t, _, f in rows + new], "k long, t string, without int")
-    words = toxicity.word_differences(toxicity.vocabulary(texts), table, toxicity.FOLDS)
-    got = {r.k: (r.mean, r.top) for r in toxicity.differences(texts, words).collect()}
+    got = {r.k: (r.mean, r.top) for r in toxicity.differences(texts, table, folds=toxicity.FOLDS).collect()}
+    for most in (40, 10**6):
+        shared = toxicity._frequent(table, most, toxicity.ORDER)
+        assert shared[-1] == (most > 40) and len(shared[1]) <= most
+        for r in toxicity.differences(texts.where("without = 0"), table, shared).collect():
+            assert (r.mean, r.top) == pytest.approx(got[r.k], abs=1e-9)
     for w in range(5):
         plain = PlainKneserNey([(t, c, f) for _, t, c, f in rows], toxicity.ORDER, w)
         for k, t, _, f in rows + new:
