@@ -91,45 +91,47 @@ def _named(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counts.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, cols))).alias("Column"))
 
 
-def exact_quantiles(counts: DataFrame, quantiles: Sequence[float] = QUANTILES, n_buckets: int = 128) -> DataFrame:
-    """(Column, n, mean, stddev, min, max, q0, q1, ...) of the Num of ``value_counts``, by rank selection.
-
-    Quantiles interpolate linearly between the values at the ranks around
-    q * (n - 1). Sketched quantiles of the distinct values cut each column
-    into buckets; running sums of the buckets' counts (a few rows per column)
-    tell which buckets hold a wanted rank, and only their values are sorted,
-    each bucket by itself. The cuts decide about the buckets' sizes alone:
-    any cuts give the same result.
+def exact_quantiles(counts: DataFrame, quantiles: Sequence[float] = QUANTILES, n_buckets: int = 128,
+                    more: Sequence[Column] = ()) -> DataFrame:
+    """(Column, n, mean, stddev, min, max, q0, q1, ..., *more) of the Num of ``value_counts``, by rank selection.
+
+    A row for every column; ``more`` are further aggregates of its value
+    counts. Quantiles interpolate linearly between the values at the ranks
+    around q * (n - 1). Sketched quantiles of the distinct values cut each
+    column into buckets; running sums of the buckets' counts (a few rows per
+    column) tell which buckets hold a wanted rank, and only their values are
+    sorted, each bucket by itself. The cuts decide about the buckets' sizes
+    alone: any cuts give the same result. Every step starts at the shuffled
+    value counts, so the rows are scanned once (the exchange is reused).
     """
-    v = counts.where(F.col("Num").isNotNull()).select("Column", "Num", "Count")
     probs = F.array(*[F.lit(i / n_buckets) for i in range(1, max(n_buckets, 2))])
-    stats = v.groupBy("Column").agg(
-        F.sum("Count").alias("n"), F.try_divide(F.sum(F.col("Num") * F.col("Count")), F.sum("Count")).alias("mean"),
-        F.min("Num").alias("min"), F.max("Num").alias("max"),
-        F.percentile_approx("Num", probs, F.lit(1000)).alias("cuts"))
-    placed = v.join(F.broadcast(stats.select("Column", "mean", "cuts")), "Column").select(
-        "Column", "Num", "Count", (F.col("Count") * F.pow(F.col("Num") - F.col("mean"), 2)).alias("dev"),
+    own = F.when(F.col("Num").isNotNull(), F.col("Count"))
+    stats = counts.groupBy("Column").agg(
+        F.sum(own).alias("n"), F.try_divide(F.sum(F.col("Num") * F.col("Count")), F.sum(own)).alias("mean"),
+        F.min("Num").alias("min"), F.max("Num").alias("max"), F.percentile_approx("Num", probs, F.lit(1000)).alias("cuts"), *more)
+    placed = counts.where(F.col("Num").isNotNull()).select("Column", "Num", "Count").join(
+        F.broadcast(stats.select("Column", "n", "mean", "cuts")), "Column").select(
+        "Column", "Num", "Count", "n", (F.col("Count") * F.pow(F.col("Num") - F.col("mean"), 2)).alias("dev"),
         F.size(F.filter("cuts", lambda x: x < F.col("Num"))).alias("b"))
-    sizes = placed.groupBy("Column", "b").agg(F.sum("Count").alias("k"), F.sum("dev").alias("dev"))
+    sizes = placed.groupBy("Column", "b").agg(F.sum("Count").alias("k"), F.sum("dev").alias("dev"), F.max("n").alias("n"))
     up = Window.partitionBy("Column").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = Window.partitionBy("Column")
-    sizes = sizes.withColumn("end", F.sum("k").over(up)).withColumn("n", F.sum("k").over(total)).withColumn(
-        "dev", F.sum("dev").over(total))
+    sizes = sizes.withColumn("end", F.sum("k").over(up)).withColumn("dev", F.sum("dev").over(total))
     wanted = [r for q in quantiles for r in (F.floor(F.lit(q) * (F.col("n") - 1)), F.ceil(F.lit(q) * (F.col("n") - 1)))]
-    holds = [(r >= F.col("end") - F.col("k")) & (r < F.col("end")) for r in wanted]
-    held = reduce(lambda x, y: x | y, holds)
-    chosen = sizes.where(held).select("Column", "b", "n", "dev", (F.col("end") - F.col("k")).alias("before"))
+    held = reduce(lambda x, y: x | y, [(r >= F.col("end") - F.col("k")) & (r < F.col("end")) for r in wanted])
+    chosen = sizes.where(held).select("Column", "b", "dev", (F.col("end") - F.col("k")).alias("before"))
     inside = Window.partitionBy("Column", "b").orderBy("Num").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = placed.drop("dev").join(F.broadcast(chosen), ["Column", "b"]).withColumn("last", F.col("before") + F.sum("Count").over(inside))
     at = [F.max(F.when((r >= F.col("last") - F.col("Count")) & (r < F.col("last")), F.col("Num"))).alias(f"_v{i}")
           for i, r in enumerate(wanted)]
     picked = ranked.groupBy("Column").agg(F.max("dev").alias("_dev"), *at)
-    out = stats.drop("cuts").join(picked, "Column")
+    out = stats.drop("cuts").join(F.broadcast(picked), "Column", "left")
     position = [F.lit(q) * (F.col("n") - 1) for q in quantiles]
     values = [(F.col(f"_v{2 * i}") + (F.col(f"_v{2 * i + 1}") - F.col(f"_v{2 * i}")) * (x - F.floor(x))).alias(f"q{i}")
               for i, x in enumerate(position)]
-    stddev = F.when(F.col("n") > 1, F.sqrt(F.col("_dev") / (F.col("n") - 1)))
-    return out.select("Column", "n", "mean", stddev.alias("stddev"), "min", "max", *values)
+    kept = [c for c in stats.columns if c not in ("Column", "n", "mean", "min", "max", "cuts")]
+    return out.select("Column", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), "mean",
+                      F.when(F.col("n") > 1, F.sqrt(F.col("_dev") / (F.col("n") - 1))).alias("stddev"), "min", "max", *values, *kept)
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = False, accuracy: int = 10000) -> DataFrame:
@@ -461,14 +463,12 @@ def _exact_profile(df: DataFrame, cols: Sequence[str], numeric: Sequence[str], p
     fails = F.lit(False)
     for c, p in patterns.items():
         fails = fails | ((F.col("Column") == c) & ~F.col("Value").rlike(p))
-    per = counts.groupBy("Column").agg(
+    per = exact_quantiles(counts, more=[
         F.sum("Count").alias("rows"), F.sum(F.when(missing, F.col("Count")).otherwise(0)).alias("nulls"),
-        F.count(F.lit(1)).alias("distinct"), F.sum(F.when(fails, F.col("Count")).otherwise(0)).alias("mismatch"))
+        F.count(F.lit(1)).alias("distinct"), F.sum(F.when(fails, F.col("Count")).otherwise(0)).alias("mismatch")])
     zero = F.lit(0).cast("bigint")
-    all_of = _named(counts, cols).join(F.broadcast(per), "Column", "left").select(
-        "Column", *[F.coalesce(c, zero).alias(c) for c in ("rows", "nulls", "distinct", "mismatch")])
-    if numeric:
-        all_of = all_of.join(F.broadcast(exact_quantiles(counts.where(F.col("Column").isin(list(numeric))))), "Column", "left")
+    all_of = _named(counts, cols).join(F.broadcast(per), "Column", "left").withColumns(
+        {c: F.coalesce(c, zero) for c in ("rows", "nulls", "distinct", "mismatch")})
     names = {"count": "n", "mean": "mean", "stddev": "stddev", "min": "min", "p25": "q0", "p50": "q1", "p75": "q2", "max": "max"}
     value = {"nulls": F.col("nulls"), "null_pct": _pct(F.col("nulls"), F.col("rows")), "distinct": F.col("distinct")}
     some = {}
@@ -481,7 +481,6 @@ def _exact_profile(df: DataFrame, cols: Sequence[str], numeric: Sequence[str], p
     parts = [F.array(*[metric(m, v) for m, v in value.items()])]
     parts += [F.when(F.col("Column").isin(list(c)), F.array(*[metric(m, v) for m, v in of.items()])).otherwise(none)
               for c, of in some.items()]
-    out = all_of.select("Column", F.inline(F.concat(*parts)))
-    rows = all_of.agg(F.coalesce(F.max("rows"), zero).cast("double").alias("Value")).select(
-        F.lit("*").alias("Column"), F.lit("rows").alias("Metric"), "Value")
-    return out.unionByName(rows)
+    total = F.when(F.col("Column") == cols[0], F.array(metric("rows", F.col("rows")))).otherwise(none)
+    made = all_of.select(F.col("Column").alias("_of"), F.size(total).alias("_first"), F.posexplode(F.concat(total, *parts)).alias("_i", "_m"))
+    return made.select(F.when((F.col("_first") == 1) & (F.col("_i") == 0), "*").otherwise(F.col("_of")).alias("Column"), "_m.Metric", "_m.Value")
