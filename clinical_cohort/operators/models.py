@@ -8,20 +8,17 @@ driver; rows never do.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
 KEY = "visit_occurrence_id"
 
 
@@ -61,9 +58,9 @@ def _selected(spark: SparkSession, names: Sequence[str], weights: Sequence[float
 
 
 def l1_select(train: DataFrame, names: Sequence[str], k: int, C: float = 0.2, threshold: float = 1e-5,
-              label: str = "label") -> DataFrame:
+              label: str = "label", n_rows: int | None = None) -> DataFrame:
     """L4: L1-penalised logistic regression; features with |coef| > threshold, at most k."""
-    n = train.count()  # scikit-learn's C is a penalty on the sum over rows, Spark's on the mean
+    n = n_rows or train.count()  # scikit-learn's C is a penalty on the sum over rows, Spark's on the mean
     model = LogisticRegression(labelCol=label, elasticNetParam=1.0, regParam=1.0 / (C * max(n, 1)),
                                maxIter=100, standardization=False).fit(train)
     coefs = model.coefficients.toArray()
@@ -71,9 +68,9 @@ def l1_select(train: DataFrame, names: Sequence[str], k: int, C: float = 0.2, th
 
 
 def rfe_select(train: DataFrame, names: Sequence[str], k: int, C: float = 0.3, step: int = 10,
-               label: str = "label") -> DataFrame:
+               label: str = "label", n_rows: int | None = None) -> DataFrame:
     """L3: recursive elimination - refit, drop the ``step`` smallest |coef| until k remain."""
-    n = train.count()
+    n = n_rows or train.count()
     current = list(range(len(names)))
     while len(current) > k:
         sliced = VectorSlicer(inputCol="features", outputCol="_f", indices=current).transform(train)
@@ -106,17 +103,151 @@ def gbt_select(train: DataFrame, names: Sequence[str], k: int, max_iter: int = 5
     return _at_mean(train.sparkSession, names, model.featureImportances.toArray(), k)
 
 
+@dataclass(frozen=True)
+class Node:
+    """A node of a fitted tree: class sums, depth, and (for an inner node) its split and children."""
+
+    id: int
+    depth: int
+    stats: tuple[float, ...]
+    feature: int = -1
+    threshold: float = 0.0
+    left: int = -1
+    right: int = -1
+
+    @property
+    def score(self) -> float:
+        return self.stats[1] / sum(self.stats) if sum(self.stats) else 0.0
+
+
+def tree_nodes(model) -> list[Node]:
+    """The nodes of the first tree of ``model``, a parent before its children, left before right."""
+    tree = model._java_obj.trees()[0] if hasattr(model, "trees") else model._java_obj
+    out: list[Node] = []
+
+    def walk(node, depth: int) -> int:
+        at = len(out)
+        out.append(None)
+        stats = tuple(node.impurityStats().stats())
+        if node.subtreeDepth() == 0:
+            out[at] = Node(at, depth, stats)
+        else:
+            left, right = walk(node.leftChild(), depth + 1), walk(node.rightChild(), depth + 1)
+            out[at] = Node(at, depth, stats, node.split().featureIndex(), node.split().threshold(), left, right)
+        return at
+
+    walk(tree.rootNode(), 0)
+    return out
+
+
+def truncated(nodes: Sequence[Node], depth: int) -> list[Node]:
+    """The tree that a fit with maximal depth ``depth`` gives, from that of a deeper fit: splits do not depend on
+    what is below them. As in a fit, sibling leaves that predict the same class become one leaf."""
+    out: list[Node] = []
+
+    def walk(i: int) -> int:
+        node, at = nodes[i], len(out)
+        leaf = replace(node, id=at, feature=-1, threshold=0.0, left=-1, right=-1)
+        out.append(leaf)
+        if node.left >= 0 and node.depth < depth:
+            left, right = walk(node.left), walk(node.right)
+            a, b = out[left], out[right]
+            if a.left < 0 and b.left < 0 and _class(a) == _class(b):
+                del out[at + 1:]
+            else:
+                out[at] = replace(node, id=at, left=left, right=right)
+        return at
+
+    walk(0)
+    return out
+
+
+def _class(node: Node) -> int:
+    return max(range(len(node.stats)), key=lambda c: (node.stats[c], -c))
+
+
+def _auc(counts: dict[float, tuple[float, float]]) -> float:
+    """ROC AUC of (negatives, positives) by score; 0.5 without one of the classes."""
+    area = below = positives = 0.0
+    for s in sorted(counts):
+        neg, pos = counts[s]
+        area += pos * (below + neg / 2)
+        below += neg
+        positives += pos
+    return area / (below * positives) if below * positives else 0.5
+
+
+def depth_scores(model, rows: DataFrame, depths: Sequence[int], label: str = "label") -> dict[int, float]:
+    """ROC AUC on ``rows`` of the tree cut at each of ``depths``, from one pass that counts classes per leaf."""
+    nodes = tree_nodes(model)
+    leaves = [n.id for n in nodes if n.left < 0]  # in the order in which the model numbers them
+    leaf = vector_to_array(F.col("_leaf"))[0].cast("int") if hasattr(model, "trees") else F.col("_leaf").cast("int")
+    counted = (model.copy().setLeafCol("_leaf").transform(rows).groupBy(leaf.alias("leaf"))
+               .agg(F.count_if(F.col(label) == 0).alias("neg"), F.count_if(F.col(label) == 1).alias("pos")).collect())
+    seen = {leaves[r["leaf"]]: (r["neg"], r["pos"]) for r in counted}  # a row for each leaf
+    parent = {c: n.id for n in nodes if n.left >= 0 for c in (n.left, n.right)}
+    out = {}
+    for depth in depths:
+        cut = truncated(nodes, depth)
+        home = _places(nodes, cut)
+        sums: dict[float, tuple[float, float]] = {}
+        for i, (neg, pos) in seen.items():
+            while i not in home:
+                i = parent[i]
+            s = cut[home[i]].score
+            sums[s] = (sums.get(s, (0, 0))[0] + neg, sums.get(s, (0, 0))[1] + pos)
+        out[depth] = _auc(sums)
+    return out
+
+
+def _places(nodes: Sequence[Node], cut: Sequence[Node]) -> dict[int, int]:
+    """Node of the deep tree: leaf of the cut one."""
+    out, todo = {}, [(0, 0)]
+    while todo:
+        i, j = todo.pop()
+        if cut[j].left < 0:
+            out[i] = j
+        else:
+            todo += [(nodes[i].left, cut[j].left), (nodes[i].right, cut[j].right)]
+    return out
+
+
+def _tree(depth: int, max_features: int, min_leaf: int, seed: int, label: str) -> RandomForestClassifier:
+    """One tree: a forest of one, without bootstrap, that looks at ``max_features`` features a split."""
+    return RandomForestClassifier(labelCol=label, numTrees=1, bootstrap=False, seed=seed, maxDepth=depth,
+                                  featureSubsetStrategy=str(max_features), minInstancesPerNode=min_leaf)
+
+
+def tree_grid(train: DataFrame, depths: Sequence[int], max_features: Sequence[int], min_leaf: Sequence[int], folds: int = 5,
+              seed: int = 42, parallelism: int = 4, label: str = "label", key: str = KEY) -> list[tuple[float, int, int, int]]:
+    """(mean ROC AUC over the folds, depth, max_features, min_leaf) of every grid point, the best first.
+
+    The depths of one (max_features, min_leaf, fold) are read off one fit of
+    the largest depth. Rows are dealt to folds by a hash of their key.
+    """
+    rows = train.withColumn("_fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)))
+    deepest = max(depths)
+
+    def one(job):
+        f, m, k = job
+        model = _tree(deepest, f, m, seed, label).fit(rows.where(F.col("_fold") != k))
+        return depth_scores(model, rows.where(F.col("_fold") == k), depths, label)
+
+    points = [(f, m) for f in max_features for m in min_leaf]
+    with ThreadPool(parallelism) as pool:
+        done = pool.map(one, [(f, m, k) for f, m in points for k in range(folds)], chunksize=1)
+    found = []
+    for i, (f, m) in enumerate(points):
+        for d in depths:
+            found.append((sum(x[d] for x in done[i * folds:(i + 1) * folds]) / folds, d, f, m))
+    return sorted(found, key=lambda p: (-p[0], *p[1:]))
+
+
 def tree_cv(train: DataFrame, depths: Sequence[int], max_features: Sequence[int], min_leaf: Sequence[int],
-            folds: int = 5, seed: int = 42, parallelism: int = 4, label: str = "label"):
-    """One tree (forest of one, no bootstrap) tuned by ROC AUC with k-fold cross validation."""
-    rf = RandomForestClassifier(labelCol=label, numTrees=1, bootstrap=False, seed=seed)
-    grid = (ParamGridBuilder().addGrid(rf.maxDepth, list(depths))
-            .addGrid(rf.featureSubsetStrategy, [str(m) for m in max_features])
-            .addGrid(rf.minInstancesPerNode, list(min_leaf)).build())
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid,
-                        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    return cv.fit(train)
+            folds: int = 5, seed: int = 42, parallelism: int = 4, label: str = "label", key: str = KEY):
+    """The tree of the best grid point by ROC AUC (ties: the smallest tree), fitted on all of ``train``."""
+    _, depth, f, m = tree_grid(train, depths, max_features, min_leaf, folds, seed, parallelism, label, key)[0]
+    return _tree(depth, f, m, seed, label).fit(train)
 
 
 def predict(model, df: DataFrame, key: str = KEY, label: str = "label") -> DataFrame:
@@ -146,31 +277,31 @@ def baseline_logistic(train: DataFrame, label: str = "label"):
 
 
 def tree_rules(spark: SparkSession, tree_model, names: Sequence[str]) -> DataFrame:
-    """Tree nodes as rows (node, depth, feature, threshold, left, right, prediction, leaf).
+    """Tree nodes as rows (node, depth, feature, threshold, left, right, prediction, score, leaf)."""
+    rows = [(n.id, n.depth, names[n.feature] if n.left >= 0 else None, n.threshold if n.left >= 0 else None, n.left, n.right,
+             _class(n), n.score, n.left < 0) for n in tree_nodes(tree_model)]
+    return spark.createDataFrame(rows, "node int, depth int, feature string, threshold double, left int, right int, "
+                                       "prediction int, score double, leaf boolean")
+
+
+def readable_rules(rules: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rules`` with ``readable``, the feature's name in words; labels: (feature, readable) of some features."""
+    return rules.join(labels, "feature", "left").withColumn("readable", F.coalesce("readable", "feature"))
+
+
+def apply_rules(rows: DataFrame, features: DataFrame, rules: DataFrame, max_depth: int, key: str = KEY) -> DataFrame:
+    """The (key, node, prediction, score) that ``rules`` lead each row of ``rows`` to.
 
-    The fitted model is saved under the session's checkpoint folder and its
-    node table read back with ``spark.read.parquet``; depth comes from a
-    few self joins (one per tree level).
+    ``features`` is the long table (key, feature, value), 0 where a row has
+    none. One step a level: the rule of the row's node (a few rows, broadcast),
+    then the value of the feature it asks for.
     """
-    path = scratch_path(spark, f"tree-{uuid.uuid4().hex}")
-    tree_model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    if "treeID" in nodes.columns:
-        nodes = nodes.where(F.col("treeID") == 0).select("nodeData.*")
-    nodes = nodes.select(F.col("id").alias("node"), "prediction", "leftChild", "rightChild",
-                         F.col("split.featureIndex").alias("feature_index"),
-                         F.get(F.col("split.leftCategoriesOrThreshold"), 0).alias("threshold"))
-    depth = nodes.where(F.col("node") == 0).select("node", F.lit(0).alias("depth"))
-    level = depth
-    tree = tree_model.trees[0] if hasattr(tree_model, "trees") else tree_model
-    for d in range(1, tree.depth + 1):
-        level = (level.join(nodes, "node").select(F.explode(F.array("leftChild", "rightChild")).alias("node"))
-                      .where(F.col("node") >= 0).select("node", F.lit(d).alias("depth")))
-        depth = depth.unionByName(level)
-    names_df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "feature_index int, feature string")
-    out = nodes.join(depth, "node").join(names_df, "feature_index", "left")
-    leaf = F.col("leftChild") < 0
-    return out.select("node", "depth", F.when(~leaf, F.col("feature")).alias("feature"),
-                      F.when(~leaf, F.col("threshold")).alias("threshold"),
-                      F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
-                      "prediction", leaf.alias("leaf"))
+    inner = F.broadcast(rules.where(~F.col("leaf")).select("node", "feature", "threshold", "left", "right"))
+    at = rows.select(key, F.lit(0).alias("node"))
+    for _ in range(max_depth):
+        asked = at.join(inner, "node", "left")
+        at = asked.join(features.select(key, "feature", "value"), [key, "feature"], "left").select(
+            key, F.when(F.col("left").isNull(), F.col("node")).when(
+                F.coalesce(F.col("value").cast("double"), F.lit(0.0)) <= F.col("threshold"), F.col("left"))
+            .otherwise(F.col("right")).alias("node"))
+    return at.join(F.broadcast(rules.select("node", "prediction", "score")), "node").select(key, "node", "prediction", "score")

@@ -42,6 +42,39 @@ def chi2_scores(features: DataFrame, labels: DataFrame, key: str = "visit_occurr
     return per.select("feature", score.alias("score"))
 
 
+def chi2_scores_by_target(features: DataFrame, targets: DataFrame, columns: Sequence[str],
+                          key: str = "visit_occurrence_id") -> DataFrame:
+    """Chi-square scores of every feature against every 0/1 target column, in one pass over the features.
+
+    One join brings a row's targets to its features and one aggregate sums
+    each feature over all rows and over the positive rows of each target; the
+    class shares are one aggregate of the targets, used as a scalar subquery.
+    -> (target, feature, score).
+    """
+    shares = targets.agg(F.struct(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(c)).alias(f"p{i}") for i, c in enumerate(columns)])).scalar()
+    labels = targets.select(key, *[F.col(c).alias(f"_l{i}") for i, c in enumerate(columns)])
+    sums = features.join(labels, key).groupBy("feature").agg(
+        F.sum("value").cast("double").alias("_t"),
+        *[F.sum(F.when(F.col(f"_l{i}") == 1, F.col("value")).otherwise(0)).cast("double").alias(f"_o{i}") for i in range(len(columns))])
+    sums = sums.withColumn("_s", shares)
+
+    def score(i: int):
+        one = F.try_divide(F.col(f"_s.p{i}").cast("double"), F.col("_s.n"))
+        terms = [F.try_divide(F.pow(o - share * F.col("_t"), 2), share * F.col("_t"))
+                 for o, share in ((F.col("_t") - F.col(f"_o{i}"), 1 - one), (F.col(f"_o{i}"), one))]
+        return terms[0] + terms[1]
+
+    return sums.select("feature", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("target"), score(i).alias("score")) for i, c in enumerate(columns)]))).select("target", "feature", "score")
+
+
+def top_k_by_target(scores: DataFrame, k: int) -> DataFrame:
+    """The k best features of each target (nulls last, ties by name) -> (target, feature, score, rank)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("target").orderBy(F.col("score").desc_nulls_last(), F.col("feature").asc())
+    return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def top_k(scores: DataFrame, k: int, score: str = "score", feature: str = "feature") -> DataFrame:
     """The k best features by score (nulls last), ties by name; -> (feature, rank)."""
     from pyspark.sql import Window
@@ -98,12 +131,7 @@ def vote_table(selected: Mapping[str, DataFrame], n: int | None = None, feature:
     return rank_features(votes, n)
 
 
-def per_target(features: DataFrame, targets: DataFrame, selector, key: str = "visit_occurrence_id",
-               skip: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Run ``selector(features, labels)`` for each target column (except ``skip``)."""
-    out = {}
-    for t in targets.columns:
-        if t == key or t in skip:
-            continue
-        out[t] = selector(features, targets.select(key, F.col(t).alias("label")))
-    return out
+def votes_by_target(selections: Mapping[str, Mapping[str, DataFrame]], n: int | None = None) -> DataFrame:
+    """L7 for every target: ``selections[target][selector]`` are frames of feature names -> vote tables with a target column."""
+    tables = [vote_table(by, n).select(F.lit(t).alias("target"), "*") for t, by in selections.items()]
+    return reduce(lambda a, b: a.unionByName(b), tables)

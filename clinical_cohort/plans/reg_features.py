@@ -338,13 +338,13 @@ def q_phenotype_table(spark, sf):
 @register("rank_features_by_support", _FM_CTE + _ALL_FAMILIES_SQL + """
 SELECT feature AS Feature, CAST(sum(value) AS BIGINT) AS Total,
        CAST(row_number() OVER (ORDER BY sum(value) DESC, feature DESC) AS INTEGER) AS Rank
-FROM fm GROUP BY 1 QUALIFY Rank <= 20""")
+FROM fm GROUP BY 1 QUALIFY Rank <= 150""")
 def q_rank_features_by_support(spark, sf):
     from ..operators.sampling import rank_features
     r = Roles(spark, sf)
     fm = FE.feature_matrix(families(r), base=r.targets)
     votes = fm.groupBy(F.col("feature").alias("Feature")).agg(F.sum("value").cast("bigint").alias("Total"))
-    return rank_features(votes, 20)
+    return rank_features(votes, 150)
 
 
 @register("join_rollups_two_keys", cte("procedure_occurrence", "drug_exposure", "visit_occurrence", "concept") + f"""

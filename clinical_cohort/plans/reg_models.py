@@ -9,57 +9,82 @@ from ..operators import features as FE
 from ..operators import models as ML
 from ..operators import selection as SEL
 from ..operators.sampling import best_features, rank_features, stratified_split
+from ..sources.files import load_targets
 from .phenotype import families
 from .registry import register
 from .roles import Roles, cte
-from .reg_features import _ICD_SQL
+from .reg_io import q_feature_labels
+from .reg_features import _ALL_FAMILIES_SQL, _FM_CTE, _TARGETS_SQL
+from .study import Sizes, Study
 
 K_FEATURES = 150  # features kept per target, as in the reference
 SPLIT_SEED = 42
 # Registered model sizes. Trees, boosting rounds and folds are the reference's 300,
 # 500 and 5; its tree grid has 2 020 points (depth 2-5, 50-150 features a split,
-# leaves of 11-15), over ten thousand fits. The registered keys fit the points
-# below, on every row and every feature (README).
+# leaves of 11-15). The registered keys search the points below, on every row and
+# every feature; the depths of a point are read off one fit (README).
 FOREST_TREES = 300
 GBT_ROUNDS = 500
-TREE_GRID = ((2, 3, 4, 5), (50, 150), (11, 15))
+TREE_GRID = ((2, 3, 4, 5), (50, 75, 100, 125, 150), (11, 12, 13, 14, 15))
 CV_FOLDS = 5
+_STUDY_SIZES = Sizes(n_features=K_FEATURES, forest_trees=FOREST_TREES, boosting_rounds=GBT_ROUNDS, depths=TREE_GRID[0],
+                     max_features=TREE_GRID[1], min_leaf=TREE_GRID[2], folds=CV_FOLDS, seed=SPLIT_SEED)
+_MADE: dict = {}
 
 
-def _features(r):
-    """Binarised diagnosis features (long) and the visit label status = 'F'."""
-    feats = FE.binarize(FE.code_level_counts(r.diagnosis_extract))
-    labels = r.visit_occurrence.select("visit_occurrence_id",
-                                       (F.col("discharge_to_source_value") == "F").cast("int").alias("label"))
-    return feats, labels
+def _once(what: str, spark, sf, make):
+    """``make()`` once per session and folder: keys that read the same fitted model share it."""
+    at = (what, spark.sparkContext.applicationId, sf)
+    if at not in _MADE:
+        _MADE[at] = make()
+    return _MADE[at]
 
 
-_LAB_SQL = """
-, b AS (SELECT visit_occurrence_id, feature, CAST(value >= 1 AS INT) AS value FROM icd)
-, lab AS (SELECT visit_occurrence_id, CASE WHEN discharge_to_source_value = 'F' THEN 1 ELSE 0 END AS label
-          FROM visit_occurrence)
-"""
-_CHI2_SQL = _ICD_SQL + _LAB_SQL + """
-, sh AS (SELECT CAST(count_if(label = 0) AS DOUBLE) / count(*) AS s0, CAST(count_if(label = 1) AS DOUBLE) / count(*) AS s1 FROM lab)
-, per AS (SELECT feature, CAST(sum(value) AS DOUBLE) AS t,
+def _study(spark, sf) -> Study:
+    return _once("study", spark, sf, lambda: Study(Roles(spark, sf), sizes=_STUDY_SIZES))
+
+
+_CHI2_SQL = _ALL_FAMILIES_SQL + _TARGETS_SQL.replace("\n, t AS", ", t AS") + """
+, tl AS (SELECT visit_occurrence_id, 'fulfilled' AS target, fulfilled AS label FROM t
+         UNION ALL SELECT visit_occurrence_id, 'urgent', urgent FROM t)
+, sh AS (SELECT target, CAST(count_if(label = 0) AS DOUBLE) / count(*) AS s0,
+                CAST(count_if(label = 1) AS DOUBLE) / count(*) AS s1 FROM tl GROUP BY 1)
+, per AS (SELECT target, feature, CAST(sum(value) AS DOUBLE) AS t,
                  CAST(sum(CASE WHEN label = 0 THEN value ELSE 0 END) AS DOUBLE) AS o0,
                  CAST(sum(CASE WHEN label = 1 THEN value ELSE 0 END) AS DOUBLE) AS o1
-          FROM b JOIN lab USING (visit_occurrence_id) GROUP BY 1)
-, sc AS (SELECT feature, (o0 - s0 * t) * (o0 - s0 * t) / (s0 * t) + (o1 - s1 * t) * (o1 - s1 * t) / (s1 * t) AS score
-         FROM per, sh)
+          FROM fm JOIN tl USING (visit_occurrence_id) GROUP BY 1, 2)
+, sc AS (SELECT per.target, feature,
+           (o0 - s0 * t) * (o0 - s0 * t) / (s0 * t) + (o1 - s1 * t) * (o1 - s1 * t) / (s1 * t) AS score
+         FROM per JOIN sh ON per.target = sh.target)
+, rk AS (SELECT target, feature, score, CAST(row_number() OVER (PARTITION BY target ORDER BY round(score, 6) DESC NULLS LAST, feature ASC) AS INTEGER) AS rank FROM sc)
 """
 
 
-@register("fs_chi2", cte("diagnosis_extract", "visit_occurrence") + _CHI2_SQL + f"""
-SELECT feature, round(score, 6) AS score, rank FROM (
-  SELECT feature, score, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, feature ASC) AS INTEGER) AS rank FROM sc)
-WHERE rank <= {K_FEATURES}""", digits=6)
+def _target_scores(spark, sf):
+    """Chi-square scores (six families, every target), to the 6 places that the keys give, so that ties are ties."""
+    r = Roles(spark, sf)
+    feats = FE.feature_matrix(families(r), base=r.targets)
+    targets = load_targets(r.targets, "visit_occurrence_id", "recorded_at")
+    scores = SEL.chi2_scores_by_target(feats, targets, ["fulfilled", "urgent"])
+    return scores.withColumn("score", F.round("score", 6))
+
+
+@register("fs_chi2", _FM_CTE + _CHI2_SQL + f"""
+SELECT feature, round(score, 6) AS score, rank FROM rk WHERE target = 'fulfilled' AND rank <= {K_FEATURES}""")
 def q_fs_chi2(spark, sf):
-    feats, labels = _features(Roles(spark, sf))
-    scores = SEL.chi2_scores(feats, labels)
+    r = Roles(spark, sf)
+    labels = load_targets(r.targets, "visit_occurrence_id", "recorded_at").select("visit_occurrence_id", F.col("fulfilled").alias("label"))
+    scores = SEL.chi2_scores(FE.feature_matrix(families(r), base=r.targets), labels).withColumn("score", F.round("score", 6))
     return SEL.top_k(scores, K_FEATURES).join(scores, "feature").select("feature", "score", "rank")
 
 
+@register("fs_chi2_per_target", _FM_CTE + _CHI2_SQL + f"""
+SELECT target, feature, round(score, 6) AS score, rank FROM rk WHERE rank <= {K_FEATURES}""")
+def q_fs_chi2_per_target(spark, sf):
+    """The chi-square selection for every target column, one pass over the features of all six families."""
+    return SEL.top_k_by_target(_target_scores(spark, sf), K_FEATURES)
+
+
 @register("fs_minmax", cte("measurement", "visit_occurrence") + """
 , w AS (SELECT visit_occurrence_id, 'METBL_' || measurement_source_value AS feature, max(value_as_number) AS value
         FROM measurement GROUP BY 1, 2)
@@ -94,48 +119,53 @@ def q_fs_minmax_scaled(spark, sf):
     return SEL.minmax_scale(w, SEL.minmax_features(w, keys=r.visit_occurrence))
 
 
-@register("fs_vote", cte("diagnosis_extract", "visit_occurrence") + _CHI2_SQL + f"""
-, c AS (SELECT feature FROM (SELECT feature, row_number() OVER (ORDER BY score DESC NULLS LAST, feature ASC) AS rk FROM sc) WHERE rk <= {K_FEATURES})
-, s AS (SELECT feature FROM (SELECT feature, row_number() OVER (ORDER BY cnt DESC, feature ASC) AS rk
-        FROM (SELECT feature, count(*) AS cnt FROM b GROUP BY 1)) WHERE rk <= {K_FEATURES})
-, u AS (SELECT feature, 'chi2' AS sel FROM c UNION ALL SELECT feature, 'support' FROM s)
-, v AS (SELECT feature AS Feature, CAST(max(CASE WHEN sel = 'chi2' THEN 1 ELSE 0 END) AS INT) AS chi2,
-               CAST(max(CASE WHEN sel = 'support' THEN 1 ELSE 0 END) AS INT) AS support FROM u GROUP BY 1)
-SELECT * FROM (SELECT Feature, chi2, support, CAST(chi2 + support AS INT) AS Total,
-  CAST(row_number() OVER (ORDER BY chi2 + support DESC, Feature DESC) AS INTEGER) AS Rank FROM v) WHERE Rank <= {K_FEATURES}""")
-def q_fs_vote(spark, sf):
-    feats, labels = _features(Roles(spark, sf))
-    chi = SEL.top_k(SEL.chi2_scores(feats, labels), K_FEATURES)
-    sup = SEL.top_k(SEL.support_scores(feats), K_FEATURES)
-    return SEL.vote_table({"chi2": chi, "support": sup}, n=K_FEATURES)
+# Selections that SQL can make too: by chi-square for either target, and by support.
+_GIVEN_SQL = _FM_CTE + _CHI2_SQL + f"""
+, u AS (SELECT feature, 'xChi-2' AS sel FROM rk WHERE target = 'fulfilled' AND rank <= {K_FEATURES}
+        UNION ALL SELECT feature, 'xChi-2 urgent' FROM rk WHERE target = 'urgent' AND rank <= {K_FEATURES}
+        UNION ALL SELECT feature, 'Support' FROM (SELECT feature, row_number() OVER (ORDER BY count(*) DESC, feature ASC) AS n FROM fm GROUP BY 1)
+                  WHERE n <= {K_FEATURES})
+, v AS (SELECT feature AS "Feature", CAST(max(CASE WHEN sel = 'xChi-2' THEN 1 ELSE 0 END) AS INT) AS "xChi-2",
+               CAST(max(CASE WHEN sel = 'xChi-2 urgent' THEN 1 ELSE 0 END) AS INT) AS "xChi-2 urgent",
+               CAST(max(CASE WHEN sel = 'Support' THEN 1 ELSE 0 END) AS INT) AS "Support", CAST(count(*) AS INT) AS "Total"
+        FROM u GROUP BY 1)
+"""
+
+
+def _given_votes(spark, sf, n=None):
+    r = Roles(spark, sf)
+    chi = SEL.top_k_by_target(_target_scores(spark, sf), K_FEATURES)
+    support = SEL.top_k(SEL.support_scores(FE.feature_matrix(families(r), base=r.targets)), K_FEATURES)
+    by = {"xChi-2": chi.where("target = 'fulfilled'"), "xChi-2 urgent": chi.where("target = 'urgent'"), "Support": support}
+    return SEL.vote_table(by, n)
 
 
-@register("rank_features", cte("diagnosis_extract") + _ICD_SQL + """
-SELECT feature AS Feature, CAST(count(*) AS BIGINT) AS Total,
-       CAST(row_number() OVER (ORDER BY count(*) DESC, feature DESC) AS INTEGER) AS Rank
-FROM icd GROUP BY 1 QUALIFY Rank <= 25""")
+@register("fs_vote_table", _GIVEN_SQL + f"""
+SELECT *, CAST(row_number() OVER (ORDER BY "Total" DESC, "Feature" DESC) AS INTEGER) AS "Rank" FROM v QUALIFY "Rank" <= {K_FEATURES}""")
+def q_fs_vote_table(spark, sf):
+    """L7 over given selector outputs."""
+    return _given_votes(spark, sf, K_FEATURES)
+
+
+@register("rank_features", _GIVEN_SQL + f"""
+SELECT "Feature", "Total", CAST(row_number() OVER (ORDER BY "Total" DESC, "Feature" DESC) AS INTEGER) AS "Rank" FROM v
+QUALIFY "Rank" <= {K_FEATURES}""")
 def q_rank_features(spark, sf):
-    c = FE.code_level_counts(Roles(spark, sf).diagnosis_extract)
-    votes = c.groupBy(F.col("feature").alias("Feature")).agg(F.count(F.lit(1)).cast("bigint").alias("Total"))
-    return rank_features(votes, 25)
-
-
-@register("best_features_per_target", cte("diagnosis_extract", "targets") + _ICD_SQL + """
-, t AS (SELECT visit_occurrence_id, 'fulfilled' AS target, fulfilled AS v FROM targets
-        UNION ALL SELECT visit_occurrence_id, 'urgent', urgent FROM targets)
-, sc AS (SELECT t.target, i.feature, CAST(sum(i.value) AS DOUBLE) AS score FROM icd i JOIN t USING (visit_occurrence_id)
-         WHERE t.v = 'yes' GROUP BY 1, 2)
-SELECT target, feature, score, CAST(row_number() OVER (PARTITION BY target ORDER BY score DESC NULLS LAST, feature DESC) AS INTEGER) AS rank
-FROM sc QUALIFY rank <= 20""")
+    return rank_features(_given_votes(spark, sf).select("Feature", "Total"), K_FEATURES)
+
+
+@register("best_features_per_target", _GIVEN_SQL + f"""
+, bt AS (SELECT tt.target, "Feature" AS feature, CAST(CASE WHEN tt.target = 'fulfilled' THEN "xChi-2" ELSE "xChi-2 urgent" END + "Support" AS INT) AS score
+        FROM v, (SELECT 'fulfilled' AS target UNION ALL SELECT 'urgent') tt)
+SELECT target, feature, score, CAST(row_number() OVER (PARTITION BY target ORDER BY score DESC, feature DESC) AS INTEGER) AS rank
+FROM bt WHERE score > 0 AND NOT contains(feature, 'person_id') QUALIFY rank <= {K_FEATURES}""")
 def q_best_features_per_target(spark, sf):
-    r = Roles(spark, sf)
-    icd = FE.code_level_counts(r.diagnosis_extract)
-    t = r.targets.select("visit_occurrence_id", F.inline(F.array(
-        F.struct(F.lit("fulfilled").alias("target"), F.col("fulfilled").alias("v")),
-        F.struct(F.lit("urgent").alias("target"), F.col("urgent").alias("v")))))
-    sc = (icd.join(t.where(F.col("v") == "yes"), "visit_occurrence_id")
-             .groupBy("target", "feature").agg(F.sum("value").cast("double").alias("score")))
-    return best_features(sc, 20)
+    """The best features of each target by the votes it gets."""
+    votes = _given_votes(spark, sf)
+    by_target = [F.struct(F.lit(t).alias("target"), (F.col(c) + F.col("Support")).cast("int").alias("score"))
+                 for t, c in (("fulfilled", "xChi-2"), ("urgent", "xChi-2 urgent"))]
+    scores = votes.select(F.col("Feature").alias("feature"), F.inline(F.array(*by_target))).where("score > 0")
+    return best_features(scores, K_FEATURES).select("target", "feature", "score", "rank")
 
 
 @register("stratified_split", cte("visit_occurrence") + """
@@ -240,6 +270,15 @@ def q_eval_class_report(spark, sf):
 # ------------------------------------------------------------- model fitting (rows-only checks)
 
 def _ml_inputs(spark, sf):
+    return _once("inputs", spark, sf, lambda: _make_inputs(spark, sf))
+
+
+def _tuned_tree(spark, sf):
+    X, _ = _ml_inputs(spark, sf)
+    return _once("tree", spark, sf, lambda: ML.tree_cv(_split(X, "train"), *TREE_GRID, folds=CV_FOLDS))
+
+
+def _make_inputs(spark, sf):
     """All six families (rare names dropped) and age as one vector per visit, split 80/10/10 by class.
 
     The vectors are read by every iteration of a fit, so they are written once.
@@ -288,57 +327,57 @@ def q_fs_gbt(spark, sf):
 
 @register("ml_tree_cv")
 def q_ml_tree_cv(spark, sf):
-    X, names = _ml_inputs(spark, sf)
-    cv = ML.tree_cv(_split(X, "train"), *TREE_GRID, folds=CV_FOLDS)
-    preds = ML.predict(cv.bestModel, _split(X, "test"))
-    return EV.classification_report(preds)
+    X, _ = _ml_inputs(spark, sf)
+    return EV.classification_report(ML.predict(_tuned_tree(spark, sf), _split(X, "test")))
 
 
 @register("ml_calibrate")
 def q_ml_calibrate(spark, sf):
-    X, names = _ml_inputs(spark, sf)
-    cv = ML.tree_cv(_split(X, "train"), *TREE_GRID, folds=CV_FOLDS)
-    valid = ML.predict(cv.bestModel, _split(X, "validation"))
-    test = ML.predict(cv.bestModel, _split(X, "test"))
-    return ML.calibrate(valid, test)
+    X, _ = _ml_inputs(spark, sf)
+    tree = _tuned_tree(spark, sf)
+    return ML.calibrate(ML.predict(tree, _split(X, "validation")), ML.predict(tree, _split(X, "test")))
 
 
 @register("ml_tree_rules")
 def q_ml_tree_rules(spark, sf):
-    X, names = _ml_inputs(spark, sf)
-    cv = ML.tree_cv(_split(X, "train"), *TREE_GRID, folds=CV_FOLDS)
-    return ML.tree_rules(spark, cv.bestModel, names)
+    _, names = _ml_inputs(spark, sf)
+    return ML.readable_rules(ML.tree_rules(spark, _tuned_tree(spark, sf), names), F.broadcast(q_feature_labels(spark, sf)))
 
 
-_TGT_SQL = """
-, tl AS (SELECT visit_occurrence_id, 'fulfilled' AS target, CASE WHEN fulfilled = 'yes' THEN 1 ELSE 0 END AS label FROM targets
-         UNION ALL SELECT visit_occurrence_id, 'urgent', CASE WHEN urgent = 'yes' THEN 1 ELSE 0 END FROM targets)
-, sh AS (SELECT target, CAST(count_if(label = 0) AS DOUBLE) / count(*) AS s0,
-                CAST(count_if(label = 1) AS DOUBLE) / count(*) AS s1 FROM tl GROUP BY 1)
-, b AS (SELECT visit_occurrence_id, feature, CAST(value >= 1 AS INT) AS value FROM icd)
-, per AS (SELECT target, feature, CAST(sum(value) AS DOUBLE) AS t,
-                 CAST(sum(CASE WHEN label = 0 THEN value ELSE 0 END) AS DOUBLE) AS o0,
-                 CAST(sum(CASE WHEN label = 1 THEN value ELSE 0 END) AS DOUBLE) AS o1
-          FROM b JOIN tl USING (visit_occurrence_id) GROUP BY 1, 2)
-, sc AS (SELECT per.target, feature,
-           (o0 - s0 * t) * (o0 - s0 * t) / (s0 * t) + (o1 - s1 * t) * (o1 - s1 * t) / (s1 * t) AS score
-         FROM per JOIN sh ON per.target = sh.target)
-"""
+# ------------------------------------------------------------- the job for every target
 
+@register("fs_vote")
+def q_fs_vote(spark, sf):
+    """The vote of the five selectors for every target."""
+    return _study(spark, sf).votes
 
-@register("fs_chi2_per_target", cte("diagnosis_extract", "targets") + _ICD_SQL + _TGT_SQL + """
-SELECT target, feature, rank FROM (
-  SELECT target, feature, CAST(row_number() OVER (PARTITION BY target ORDER BY score DESC NULLS LAST, feature ASC) AS INTEGER) AS rank FROM sc)
-WHERE rank <= {K_FEATURES}""".replace("{K_FEATURES}", str(K_FEATURES)))
-def q_fs_chi2_per_target(spark, sf):
-    """The chi-square selection run for every target column."""
-    r = Roles(spark, sf)
-    feats = FE.binarize(FE.code_level_counts(r.diagnosis_extract))
-    targets = r.targets.select("visit_occurrence_id",
-                               *[F.when(F.col(c) == "yes", 1).otherwise(0).alias(c) for c in ("fulfilled", "urgent")])
-    out = SEL.per_target(feats, targets, lambda f, l: SEL.top_k(SEL.chi2_scores(f, l), K_FEATURES))
-    frames = [df.select(F.lit(t).alias("target"), "feature", "rank") for t, df in out.items()]
-    return frames[0].unionByName(frames[1])
+
+@register("ml_predictions")
+def q_ml_predictions(spark, sf):
+    """Test rows of every target with the prediction and score of its tuned tree."""
+    return _study(spark, sf).predictions
+
+
+@register("study_report")
+def q_study_report(spark, sf):
+    return _study(spark, sf).report()
+
+
+@register("study_rules")
+def q_study_rules(spark, sf):
+    """The trees of all targets as rows, with readable names."""
+    return _study(spark, sf).rules(q_feature_labels(spark, sf))
+
+
+@register("study_explained")
+def q_study_explained(spark, sf):
+    """The predictions again, by walking the rules over the long feature table."""
+    return _study(spark, sf).explained()
+
+
+@register("study_calibrated")
+def q_study_calibrated(spark, sf):
+    return _study(spark, sf).calibrated()
 
 
 @register("ml_baseline_logistic")

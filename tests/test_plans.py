@@ -11,7 +11,8 @@ from plan_text import plan_text
 registry.load_all()
 
 SF = "/root/testdata/sf0.001"
-MODEL_KEYS = {"fs_l1", "fs_rfe", "fs_forest", "fs_gbt", "ml_tree_cv", "ml_calibrate", "ml_tree_rules", "ml_baseline_logistic"}
+MODEL_KEYS = {"fs_l1", "fs_rfe", "fs_forest", "fs_gbt", "ml_tree_cv", "ml_calibrate", "ml_tree_rules", "ml_baseline_logistic",
+              "fs_vote", "ml_predictions", "study_report", "study_rules", "study_explained", "study_calibrated"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 
