@@ -186,18 +186,45 @@ def prior_visits(visits: DataFrame, index: DataFrame, key: str = "person_id",
 def active_at_visit(conditions: DataFrame, visits: DataFrame, visit_id: str = "visit_occurrence_id",
                     start_col: str = "condition_start_datetime", end_col: str = "condition_end_datetime",
                     visit_start: str = "visit_start_datetime", open_ended: bool = False,
-                    visit_cols: Sequence[str] = ("person_id",)) -> DataFrame:
-    """Conditions that started before their visit's start and end after it.
-
-    Equi join on the visit id with a range residual. A null end drops the row
-    unless ``open_ended`` (then it counts as still active).
+                    visit_cols: Sequence[str] = ("person_id",), scope: str = "visit", person: str = "person_id",
+                    bin_days: int = DEFAULT_BIN_DAYS) -> DataFrame:
+    """Conditions that started before a visit's start and end after it.
+
+    ``scope='visit'``: conditions recorded at the visit itself, an equi join on
+    the visit id with a range residual. ``scope='person'`` (D25): conditions of
+    the person, whichever visit they were recorded at (``recorded_visit_id``),
+    against every visit of that person. A null end drops the row unless
+    ``open_ended`` (then the condition counts as still active).
+
+    A person's conditions and visits never meet as pairs: time is cut into
+    bins, a condition is repeated once for each bin that it touches, clipped
+    to the bins in which there are visits (so an open end costs no more than a
+    long one), and a visit start meets the conditions of its own bin.
     """
-    v = visits.select(visit_id, visit_start, *[c for c in visit_cols if c not in conditions.columns])
+    if scope not in ("visit", "person"):
+        raise ValueError(f"scope must be 'visit' or 'person', got {scope!r}")
     ends_after = F.col(end_col) > F.col(visit_start)
     if open_ended:
         ends_after = ends_after | F.col(end_col).isNull()
-    return (conditions.join(v, on=visit_id, how="inner")
-                      .where((F.col(start_col) < F.col(visit_start)) & ends_after))
+    if scope == "visit":
+        v = visits.select(visit_id, visit_start, *[c for c in visit_cols if c not in conditions.columns])
+        return (conditions.join(v, on=visit_id, how="inner")
+                          .where((F.col(start_col) < F.col(visit_start)) & ends_after))
+    starts = visits.select(person, visit_id, visit_start, _day_bin(F.col(visit_start), bin_days).alias("_bin")).where(
+        F.col("_bin").isNotNull())
+    rng = starts.agg(F.struct(F.min("_bin").alias("lo"), F.max("_bin").alias("hi"))).scalar()
+    last = _day_bin(F.col(end_col), bin_days)
+    if open_ended:
+        last = F.when(F.col(end_col).isNull(), F.col("_rng.hi")).otherwise(last)
+    spans = conditions.withColumnRenamed(visit_id, "recorded_visit_id").withColumn("_rng", rng).withColumns({
+        "_lo": F.greatest(_day_bin(F.col(start_col), bin_days), F.col("_rng.lo")), "_hi": F.least(last, F.col("_rng.hi"))})
+    # Null bounds (no visit, no start, or an end that drops the row) leave no bin.
+    spans = spans.where((F.col("_lo") <= F.col("_hi")) & F.col(start_col).isNotNull())
+    if not open_ended:
+        spans = spans.where(F.col(end_col).isNotNull())
+    binned = spans.withColumn("_bin", F.explode(F.sequence("_lo", "_hi"))).drop("_rng", "_lo", "_hi")
+    met = binned.join(starts, [person, "_bin"], "inner")
+    return met.where((F.col(start_col) < F.col(visit_start)) & ends_after).drop("_bin")
 
 
 def full_outer_join_many(frames: Sequence[DataFrame], on: str | Sequence[str]) -> DataFrame:

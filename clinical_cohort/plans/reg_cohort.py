@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..operators import joins as J
@@ -9,7 +11,7 @@ from ..operators import measures as M
 from ..operators.filters import CohortFilter
 from ..operators.sampling import comparison_sample
 from .cohort import CohortTables, cohort_combined, demographic_pull
-from .registry import register
+from .registry import ORACLES, register
 from .roles import Roles, cte
 
 VISIT_KEYS = ["visit_occurrence_id", "measurement_source_value"]
@@ -231,6 +233,17 @@ def q_join_active_conditions(spark, sf):
     return J.active_at_visit(r.condition_occurrence, r.visit_occurrence)
 
 
+@register("join_active_conditions_person", cte("condition_occurrence", "visit_occurrence") + """
+SELECT c.* EXCLUDE (visit_occurrence_id), c.visit_occurrence_id AS recorded_visit_id, v.visit_occurrence_id, v.visit_start_datetime
+FROM condition_occurrence c JOIN visit_occurrence v ON c.person_id = v.person_id
+WHERE c.condition_start_datetime < v.visit_start_datetime
+  AND (c.condition_end_datetime > v.visit_start_datetime OR c.condition_end_datetime IS NULL)""")
+def q_join_active_conditions_person(spark, sf):
+    """J9 against every visit of the person; conditions without an end are still active."""
+    r = Roles(spark, sf)
+    return J.active_at_visit(r.condition_occurrence, r.visit_occurrence, scope="person", open_ended=True)
+
+
 @register("join_birth_year", cte("visit_occurrence", "person") + """
 SELECT v.visit_occurrence_id, v.visit_end_datetime, CAST(year(p.birth_datetime) AS INTEGER) AS BirthYear
 FROM visit_occurrence v JOIN person p ON v.person_id = p.person_id""")
@@ -368,3 +381,80 @@ def q_cohort_combined(spark, sf):
                               concept_filter=F.col("vocabulary_id") == VITALS_VOCAB,
                               filters=CohortFilter(age=COHORT_AGE))
     return main
+
+
+_VITALS_SQL = f"""
+, vit AS (SELECT m.visit_occurrence_id, m.measurement_source_value, {_MEASURE_AGGS}
+          FROM measurement m JOIN concept c ON m.measurement_concept_id = c.concept_id
+          WHERE c.vocabulary_id = '{VITALS_VOCAB}' GROUP BY 1, 2)
+"""
+
+
+@register("cohort_combined_sample", cte("person", "visit_occurrence", "payer_plan_period", "care_site", "location",
+                                        "measurement", "concept") + _DEMO_VISIT_SQL + _VITALS_SQL + f"""
+, ds AS (SELECT {_DEMO_COLS} FROM demo {_bottom_k('visit_occurrence_id', _DEMO_COLS, 1000)})
+, vs AS (SELECT * FROM vit ORDER BY md5(concat_ws('|', coalesce(CAST(visit_occurrence_id AS VARCHAR), ''),
+           coalesce(measurement_source_value, ''), '42')), visit_occurrence_id NULLS FIRST, measurement_source_value NULLS FIRST LIMIT 1000)
+SELECT * FROM ds LEFT JOIN vs USING (visit_occurrence_id)""", digits=6)
+def q_cohort_combined_sample(spark, sf):
+    """The comparison frame of C4: samples of the unfiltered cohort and of its measurements, joined."""
+    r = Roles(spark, sf)
+    return cohort_combined(_tables(r), r.measurement, r.concept, codes=None, concept_filter=F.col("vocabulary_id") == VITALS_VOCAB,
+                           filters=CohortFilter(age=COHORT_AGE), rand_sample_size=1000)[1]
+
+
+_DEMO_PERSON_SQL = ORACLES["demographics_person"]
+
+
+@register("demographics_person_sample", f"SELECT * FROM ({_DEMO_PERSON_SQL}) {_bottom_k('person_id', _DEMO_COLS)}")
+def q_demographics_person_sample(spark, sf):
+    """The comparison frame of C2."""
+    return demographic_pull(_tables(Roles(spark, sf)), "person_id", CohortFilter(age=COHORT_AGE), rand_sample_size=100,
+                            as_of="2024-01-01")[1]
+
+
+@register("demographics_person_one_row", cte("person", "visit_occurrence", "payer_plan_period", "care_site", "location") + """
+, v AS (SELECT person_id, count(*) AS n_visits, min(visit_start_datetime) AS first_visit_start, max(visit_start_datetime) AS last_visit_start,
+               CAST(sum(datediff('second', visit_start_datetime, visit_end_datetime)) AS BIGINT) AS total_visit_length
+        FROM visit_occurrence GROUP BY 1)
+, ins AS (SELECT person_id, min(ROW(payer_source_value, plan_source_value)) AS p FROM payer_plan_period
+          JOIN (SELECT person_id, max(payer_plan_period_start_date) AS d FROM payer_plan_period GROUP BY 1) USING (person_id)
+          WHERE payer_plan_period_start_date = d GROUP BY 1)
+SELECT person_id, birth_datetime, death_datetime, gender_source_value, race_source_value, ethnicity_source_value,
+       CAST(floor(datediff('day', birth_datetime, coalesce(death_datetime, DATE '2024-01-01')) / 365.25) AS BIGINT) AS age,
+       coalesce(n_visits, 0) AS n_visits, first_visit_start, last_visit_start, total_visit_length,
+       p[1] AS payer_source_value, p[2] AS plan_source_value, care_site_id, pe.location_id, care_site_name,
+       place_of_service_source_value, state
+FROM (SELECT * FROM person) pe FULL JOIN v USING (person_id) FULL JOIN ins USING (person_id)
+LEFT JOIN (SELECT care_site_id, care_site_name, place_of_service_source_value FROM care_site) USING (care_site_id)
+LEFT JOIN location l ON pe.location_id = l.location_id""")
+def q_demographics_person_one_row(spark, sf):
+    """C2 with one row per person and without sites and locations that nobody names."""
+    return demographic_pull(_tables(Roles(spark, sf)), "person_id", as_of="2024-01-01", how="left", one_row_per_person=True)[0]
+
+
+def _site_sql(how: str) -> str:
+    return (cte("person", "visit_with_site", "payer_plan_period", "care_site", "location")
+            + _DEMO_VISIT_SQL[:_DEMO_VISIT_SQL.index(", pv AS")].replace("FROM visit_occurrence", "FROM visit_with_site")
+            .replace("AS visit_length", "AS visit_length, care_site_id") + f"""
+, pv AS (SELECT *, CAST(floor(datediff('day', birth_datetime, visit_start_datetime) / 365.25) AS BIGINT) AS age
+         FROM v FULL JOIN (SELECT person_id, birth_datetime, death_datetime, gender_source_value, race_source_value,
+                                  ethnicity_source_value FROM person) pe USING (person_id))
+, m1 AS (SELECT * FROM pv FULL JOIN ins USING (visit_occurrence_id))
+, m2 AS (SELECT * FROM m1 {how} JOIN care_site USING (care_site_id))
+SELECT {_DEMO_COLS} FROM m2 {how} JOIN location USING (location_id)""")
+
+
+def _tables_with_site(r: Roles) -> CohortTables:
+    return replace(_tables(r), visit_occurrence=r.visit_with_site)
+
+
+@register("demographics_visit_site", _site_sql("FULL"))
+def q_demographics_visit_site(spark, sf):
+    """C1 with the visit's care site and that site's location."""
+    return demographic_pull(_tables_with_site(Roles(spark, sf)), "visit_occurrence_id", site_from="visit")[0]
+
+
+@register("demographics_visit_site_left", _site_sql("LEFT"))
+def q_demographics_visit_site_left(spark, sf):
+    return demographic_pull(_tables_with_site(Roles(spark, sf)), "visit_occurrence_id", site_from="visit", how="left")[0]

@@ -59,6 +59,17 @@ ROLES: dict[str, RoleSpec] = {
         ),
         where="o_custkey % 9 <> 0",  # these people have events and insurance but no visit
     ),
+    "visit_with_site": RoleSpec(
+        "orders",
+        (
+            "o_orderkey AS visit_occurrence_id",
+            "o_custkey AS person_id",
+            "o_orderdate AS visit_start_datetime",
+            "CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate + INTERVAL '1' HOUR * CAST(o_orderkey % 100 AS INT) END AS visit_end_datetime",
+            "CASE WHEN o_orderkey % 17 <> 0 THEN CAST(o_orderkey % 22 AS BIGINT) END AS care_site_id",
+        ),
+        where="o_custkey % 9 <> 0",
+    ),
     "payer_plan_period": RoleSpec(
         "orders",
         (

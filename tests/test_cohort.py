@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from clinical_cohort.operators.filters import CohortFilter
 from clinical_cohort.plans.cohort import CohortTables, demographic_pull
@@ -91,3 +92,62 @@ def test_first_target_of_tied_rows_does_not_depend_on_order(spark):
     for r in (rows, rows[::-1]):
         df = spark.createDataFrame(r, "k long, at date, y string").coalesce(1)
         assert [tuple(x) for x in load_targets(df, "k", "at").collect()] == [(1, 0)]
+
+
+def _frames(spark, visits, people=(), payers=(), sites=(), locations=()):
+    return CohortTables(
+        spark.createDataFrame(list(people), "person_id long, birth_datetime timestamp_ntz, death_datetime timestamp_ntz, gender_source_value string, "
+                              "race_source_value string, ethnicity_source_value string, care_site_id long, location_id long"),
+        spark.createDataFrame(list(visits), "person_id long, visit_occurrence_id long, visit_start_datetime timestamp_ntz, "
+                              "visit_end_datetime timestamp_ntz, care_site_id long"),
+        spark.createDataFrame(list(payers), "person_id long, payer_plan_period_start_date date, payer_plan_period_end_date date, "
+                              "payer_source_value string, plan_source_value string"),
+        spark.createDataFrame(list(sites), "care_site_id long, care_site_name string, location_id long"),
+        spark.createDataFrame(list(locations), "location_id long, state string"))
+
+
+def test_one_row_per_person_and_sites_of_the_visit(spark):
+    t0 = dt.datetime(2020, 1, 1)
+    person = lambda i, site, loc: (i, dt.datetime(1980, 1, 1), None, "F", "r", "e", site, loc)
+    day = dt.date(2020, 1, 1)
+    tables = _frames(
+        spark, [(1, 10, t0, t0 + dt.timedelta(hours=2), 7), (1, 11, t0 + dt.timedelta(days=3), t0 + dt.timedelta(days=3, hours=1), None),
+                (2, 20, t0, None, 8), (9, 90, t0, t0, 99)],
+        [person(1, 8, 4), person(2, None, 5), person(3, 7, None)],
+        [(1, day, dt.date(2020, 12, 31), "b", "x"), (1, day, dt.date(2020, 6, 30), "a", "y"), (3, day, day, "c", None)],
+        [(7, "seven", 4), (8, "eight", 5), (6, "six", 3)], [(3, "S3"), (4, "S4"), (5, "S5"), (2, "S2")])
+    one = {r.person_id: r for r in demographic_pull(tables, "person_id", how="left", one_row_per_person=True)[0].collect()}
+    assert set(one) == {1, 2, 3, 9}
+    assert (one[1].n_visits, one[1].total_visit_length, one[1].payer_source_value, one[1].care_site_name, one[1].state) == (2, 10_800, "a", "eight", "S4")
+    assert one[1].first_visit_start == t0 and one[1].last_visit_start == t0 + dt.timedelta(days=3)
+    assert (one[2].n_visits, one[2].total_visit_length) == (1, None) and (one[3].n_visits, one[3].payer_source_value) == (0, "c")
+    full = demographic_pull(tables, "person_id", one_row_per_person=True)[0].collect()
+    assert sorted(r.care_site_name for r in full if r.person_id is None and r.care_site_name) == ["six"]
+
+    of_visit = {r.visit_occurrence_id: r for r in demographic_pull(tables, site_from="visit", how="left")[0].collect()}
+    assert (of_visit[10].care_site_name, of_visit[10].state) == ("seven", "S4") and of_visit[20].state == "S5"
+    assert of_visit[11].care_site_name is None and of_visit[90].care_site_id == 99 and of_visit[90].care_site_name is None
+    orphans = [(r.care_site_name, r.state) for r in demographic_pull(tables, site_from="visit")[0].collect()
+               if r.person_id is None]
+    assert sorted(orphans, key=str) == [("six", "S3"), (None, "S2")]
+    with pytest.raises(ValueError):
+        demographic_pull(tables, one_row_per_person=True)
+
+
+def test_combined_keeps_people_without_a_visit_out_of_the_join(spark):
+    from clinical_cohort.plans.cohort import _left_by_visit
+    left = spark.createDataFrame([(None, 1), (None, 2), (5, 3), (6, 4)], "visit_occurrence_id long, p long")
+    right = spark.createDataFrame([(None, "x"), (5, "y"), (5, "z")], "visit_occurrence_id long, m string")
+    assert sorted((tuple(r) for r in _left_by_visit(left, right).collect()), key=str) == [
+        (5, 3, "y"), (5, 3, "z"), (6, 4, None), (None, 1, None), (None, 2, None)]
+
+
+def test_optional_folder_is_an_empty_typed_table(spark, tmp_path):
+    tables = _frames(spark, [], [(1, None, None, "F", "r", "e", None, None)])
+    for name in ("person", "visit_occurrence", "care_site", "location"):
+        getattr(tables, name).write.parquet(str(tmp_path / name))
+    with pytest.raises(AnalysisException):
+        CohortTables.from_folder(spark, str(tmp_path))
+    read = CohortTables.from_folder(spark, str(tmp_path), optional=["payer_plan_period"])
+    rows = demographic_pull(read)[0].collect()
+    assert [(r.person_id, r.payer_source_value) for r in rows] == [(1, None)]

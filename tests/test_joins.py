@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from clinical_cohort.operators import joins as J
@@ -154,3 +155,26 @@ def test_interval_join_without_valid_events_makes_no_bins(spark):
     periods = spark.sql("SELECT 1L AS person_id, DATE'0001-01-01' AS payer_plan_period_start_date, "
                         "DATE'9999-12-31' AS payer_plan_period_end_date")
     assert J.interval_join(events, periods).collect() == []
+
+
+@pytest.mark.parametrize("open_ended", [False, True])
+@pytest.mark.parametrize("bin_days", [1, 30, 5000])
+def test_conditions_of_the_person_match_brute_force(spark, open_ended, bin_days):
+    import random
+    random.seed(3)
+    day = lambda lo, hi: dt.datetime(2020, 1, 1) + dt.timedelta(days=random.randint(lo, hi), hours=random.choice([0, 0, 5]))
+    visits = [(v, random.choice([1, 1, 1, 2, 3, None]), random.choice([day(0, 400), None, day(0, 400)])) for v in range(60)]
+    conditions = []
+    for c in range(120):
+        start = random.choice([day(-300, 500), day(-300, 500), None])
+        end = random.choice([None, dt.datetime(2999, 1, 1), (start or day(0, 1)) + dt.timedelta(days=random.randint(-3, 90))])
+        conditions.append((random.randint(0, 70), random.choice([1, 1, 2, 4, None]), c, start, end))
+    vf = spark.createDataFrame(visits, "visit_occurrence_id long, person_id long, visit_start_datetime timestamp_ntz")
+    cf = spark.createDataFrame(conditions, "visit_occurrence_id long, person_id long, code int, condition_start_datetime timestamp_ntz, "
+                                           "condition_end_datetime timestamp_ntz")
+    got = J.active_at_visit(cf, vf, scope="person", open_ended=open_ended, bin_days=bin_days)
+    want = sorted((c[2], c[0], v[0]) for c in conditions for v in visits
+                  if c[1] is not None and c[1] == v[1] and c[3] and v[2] and c[3] < v[2] and (c[4] > v[2] if c[4] else open_ended))
+    assert sorted((r.code, r.recorded_visit_id, r.visit_occurrence_id) for r in got.collect()) == want and want
+    plan = plan_text(got)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "_bin" in plan
