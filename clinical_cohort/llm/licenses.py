@@ -4,11 +4,14 @@ A text is cut into sentences twice, with its line breaks as spaces (wrapped
 licence texts) and as boundaries (one-line notices). Normalised sentences that
 are known get an identifier; a licence is found where its identifiers follow
 each other in order, with at most ``MAX_GAP`` other sentences, known or not, in
-between; sentences further apart are taken to be of different texts.
+between; sentences further apart are taken to be of different texts. The longest
+rule wins: what it matched is taken out before a rule that is its beginning is
+tried. A reservation of all rights counts only without a licence beside it. Names in
+SPDX-License-Identifier lines are read one by one, however they are combined.
 
 Everything is one projection over built-in functions: no shuffle. Null and empty
-texts have no sentence. Repeated rows get equal results. Other columns are not
-read.
+texts have no sentence; an empty table gives an empty result. Very long texts are read
+whole. Repeated rows get equal results. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -53,6 +56,9 @@ SENTENCES = {
                     "including all implied warranties of merchantability and fitness",
     "bsd_grant": "redistribution and use in source and binary forms with or without modification are permitted provided "
                  "that the following conditions are met 1",
+    "bsd_joint": "redistribution and use in source and binary forms with or without modification are permitted provided that "
+                 "the following conditions are met redistributions of source code must retain the above copyright notice "
+                 "this list of conditions and the following disclaimer",
     "bsd_source": "redistributions of source code must retain the above copyright notice this list of conditions and the "
                   "following disclaimer",
     "bsd_binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and "
@@ -61,6 +67,34 @@ SENTENCES = {
                  "promote products derived from this software without specific prior written permission",
     "gpl3_work": "this work is licensed under the gnu general public license version 3",
     "gpl3_under": "licensed under the gnu general public license version 3",
+    "gpl2_program": "this program is free software",
+    "gpl2_terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by "
+                  "the free software foundation",
+    "gpl2_version": "either version 2 of the license or at your option any later version",
+    "lgpl_library": "this library is free software",
+    "lgpl_terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+                  "published by the free software foundation",
+    "lgpl21_version": "either version 2 1 of the license or at your option any later version",
+    "gpl3_version": "either version 3 of the license or at your option any later version",
+    "agpl_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero "
+                 "general public license as published by the free software foundation either version 3 of the license or at "
+                 "your option any later version",
+    "epl2_terms": "this program and the accompanying materials are made available under the terms of the eclipse public "
+                  "license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "epl2_terms_plain": "this program and the accompanying materials are made available under the terms of the eclipse public "
+                        "license 2 0 which is available at http www eclipse org legal epl 2 0",
+    "gpl_title": "gnu general public license",
+    "lgpl_title": "gnu lesser general public license",
+    "agpl_title": "gnu affero general public license",
+    "gpl2_date": "version 2 june 1991",
+    "gpl3_date": "version 3 29 june 2007",
+    "lgpl21_date": "version 2 1 february 1999",
+    "agpl3_date": "version 3 19 november 2007",
+    "apache_title": "apache license",
+    "apache_date": "version 2 0 january 2004",
+    "mpl_title": "mozilla public license version 2 0",
+    "epl_title": "eclipse public license v 2 0",
+    "cc0_title": "cc0 1 0 universal",
     "gpl_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu "
                 "general public license as published by the free software foundation either version 3 of the license or "
                 "at your option any later version",
@@ -76,11 +110,6 @@ SENTENCES = {
     "unlicense_free": "this is free and unencumbered software released into the public domain",
     "unlicense_anyone": "anyone is free to copy modify publish use compile sell or distribute this software either in "
                         "source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
-    "spdx_mit": "spdx license identifier mit",
-    "spdx_apache": "spdx license identifier apache 2 0",
-    "spdx_bsd3": "spdx license identifier bsd 3 clause",
-    "spdx_gpl3": "spdx license identifier gpl 3 0 only",
-    "spdx_mpl": "spdx license identifier mpl 2 0",
 }
 
 
@@ -96,22 +125,34 @@ class Rule:
 RULES = (
     Rule("Apache-2.0", ("apache_short",)),
     Rule("Apache-2.0", ("apache_header", "apache_comply")),
-    Rule("Apache-2.0", ("spdx_apache",)),
     Rule("MIT", ("mit_short",)),
     Rule("MIT", ("mit_under",)),
     Rule("MIT", ("mit_this",)),
     Rule("MIT", ("mit_grant", "mit_warranty")),
-    Rule("MIT", ("spdx_mit",)),
     Rule("ISC", ("isc_grant", "isc_warranty")),
     Rule("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary")),
     Rule("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_names")),
-    Rule("BSD-3-Clause", ("spdx_bsd3",)),
+    Rule("BSD-2-Clause", ("bsd_joint", "bsd_binary")),
+    Rule("BSD-3-Clause", ("bsd_joint", "bsd_binary", "bsd_names")),
+    Rule("GPL-2.0", ("gpl2_program", "gpl2_terms", "gpl2_version")),
+    Rule("GPL-2.0", ("gpl_title", "gpl2_date")),
+    Rule("LGPL-2.1", ("lgpl_library", "lgpl_terms", "lgpl21_version")),
+    Rule("LGPL-2.1", ("lgpl_title", "lgpl21_date")),
+    Rule("LGPL-3.0", ("lgpl_library", "lgpl_terms", "gpl3_version")),
+    Rule("LGPL-3.0", ("lgpl_title", "gpl3_date")),
+    Rule("AGPL-3.0", ("agpl_free",)),
+    Rule("AGPL-3.0", ("agpl_title", "agpl3_date")),
+    Rule("EPL-2.0", ("epl2_terms",)),
+    Rule("EPL-2.0", ("epl2_terms_plain",)),
+    Rule("EPL-2.0", ("epl_title",)),
+    Rule("Apache-2.0", ("apache_title", "apache_date")),
+    Rule("MPL-2.0", ("mpl_title",)),
+    Rule("CC0-1.0", ("cc0_title",)),
+    Rule("GPL-3.0", ("gpl_title", "gpl3_date")),
     Rule("GPL-3.0", ("gpl3_work",)),
     Rule("GPL-3.0", ("gpl3_under",)),
     Rule("GPL-3.0", ("gpl_free", "gpl_hope", "gpl_without", "gpl_see")),
-    Rule("GPL-3.0", ("spdx_gpl3",)),
     Rule("MPL-2.0", ("mpl_terms", "mpl_copy")),
-    Rule("MPL-2.0", ("spdx_mpl",)),
     Rule("CC-BY-4.0", ("cc_by",)),
     Rule("CC-BY-SA-4.0", ("cc_by_sa",)),
     Rule("CC-BY-NC-4.0", ("cc_by_nc",)),
@@ -120,6 +161,36 @@ RULES = (
     Rule("Proprietary", ("reserved",)),
 )
 
+#: Licences that count only where no other is found.
+ALONE = ("Proprietary",)
+
+#: Identifiers of the SPDX licence list, and the licence that each means here.
+SPDX = {
+    "apache-2.0": "Apache-2.0", "mit": "MIT", "isc": "ISC", "bsd-2-clause": "BSD-2-Clause", "bsd-3-clause": "BSD-3-Clause",
+    "gpl-2.0": "GPL-2.0", "gpl-2.0-only": "GPL-2.0", "gpl-2.0-or-later": "GPL-2.0", "gpl-2.0+": "GPL-2.0",
+    "gpl-3.0": "GPL-3.0", "gpl-3.0-only": "GPL-3.0", "gpl-3.0-or-later": "GPL-3.0", "gpl-3.0+": "GPL-3.0",
+    "lgpl-2.1": "LGPL-2.1", "lgpl-2.1-only": "LGPL-2.1", "lgpl-2.1-or-later": "LGPL-2.1", "lgpl-2.1+": "LGPL-2.1",
+    "lgpl-3.0": "LGPL-3.0", "lgpl-3.0-only": "LGPL-3.0", "lgpl-3.0-or-later": "LGPL-3.0", "lgpl-3.0+": "LGPL-3.0",
+    "agpl-3.0": "AGPL-3.0", "agpl-3.0-only": "AGPL-3.0", "agpl-3.0-or-later": "AGPL-3.0", "agpl-3.0+": "AGPL-3.0",
+    "mpl-2.0": "MPL-2.0", "epl-2.0": "EPL-2.0", "cc-by-4.0": "CC-BY-4.0", "cc-by-sa-4.0": "CC-BY-SA-4.0",
+    "cc-by-nc-4.0": "CC-BY-NC-4.0", "cc0-1.0": "CC0-1.0", "unlicense": "Unlicense",
+}
+#: The rest of a line after the tag, in Java's and RE2's syntax; its names are runs of `SPDX_NAME`.
+SPDX_LINE = r"SPDX-License-Identifier:([^\n\r]*)"
+SPDX_BETWEEN = r"[^a-z0-9.+-]+"
+
+
+def longer(rules: tuple[Rule, ...] = RULES) -> dict[tuple[str, ...], list[Rule]]:
+    """For each rule's sentences the rules that go on after them."""
+    return {r.sentences: [x for x in rules if len(x.sentences) > len(r.sentences) and x.sentences[:len(r.sentences)] == r.sentences]
+            for r in rules}
+
+
+def beaten_by(rules: tuple[Rule, ...] = RULES) -> list[tuple[str, str]]:
+    """(licence, licence of a rule that goes on after one of its rules)."""
+    found = longer(rules)
+    return sorted({(r.license, x.license) for r in rules for x in found[r.sentences] if x.license != r.license})
+
 
 def sequence_pattern(rule: Rule) -> str:
     """Regex of the rule over a sequence such as ``,mit_grant,-,mit_warranty,``."""
@@ -140,22 +211,40 @@ def identifiers(text: Column, wrapped: bool, known: dict[str, str] = SENTENCES)
                        lambda s: F.coalesce(F.try_element_at(names, s), F.lit("-")))
 
 
+def spdx(text: Column) -> Column:
+    """Known names in the text's SPDX lines, as licences."""
+    names = F.create_map(*[F.lit(x) for k, v in SPDX.items() for x in (k, v)])
+    lines = F.regexp_extract_all(text, F.lit(SPDX_LINE), F.lit(1))
+    words = F.flatten(F.transform(lines, lambda x: F.split(F.translate(x, UPPER, LOWER), SPDX_BETWEEN)))
+    return F.filter(F.transform(words, lambda w: F.try_element_at(names, w)), lambda x: x.isNotNull())
+
+
 def recognise(docs: DataFrame, rules: tuple[Rule, ...] = RULES, known: dict[str, str] = SENTENCES, text: str = "text",
               key: str = "doc_id") -> DataFrame:
     """One row per document: key, ``n_known`` (known sentences, the larger of both cuts) and ``licenses`` (sorted)."""
     t = F.coalesce(F.col(text), F.lit(""))
-    pattern: dict[str, str] = {}
-    for r in rules:
-        pattern[r.license] = "|".join(filter(None, [pattern.get(r.license), sequence_pattern(r)]))
+    after = longer(rules)
+
+    def matches(sequence: Column, rule: Rule) -> Column:
+        for x in after[rule.sentences]:
+            sequence = F.regexp_replace(sequence, sequence_pattern(x), ",")
+        return sequence.rlike(sequence_pattern(rule))
 
     def judge(ids: Column) -> Column:
         sequence = F.concat(F.lit(","), F.array_join(ids, ","), F.lit(","))
-        found = let(sequence, lambda s: F.filter(
-            F.array(*[F.when(s.rlike(p), F.lit(name)) for name, p in sorted(pattern.items())]), lambda x: x.isNotNull()))
+        found = let(sequence, lambda s: F.array_distinct(F.filter(
+            F.array(*[F.when(matches(s, r), F.lit(r.license)) for r in rules]), lambda x: x.isNotNull())))
         n = F.size(F.filter(ids, lambda x: x != "-"))
         none = F.array().cast("array<string>")
         return F.struct(n.cast("long").alias("n"), F.when(n > 0, found).otherwise(none).alias("found"))
 
-    views = docs.select(F.col(key), *[let(identifiers(t, w, known), judge).alias(v) for v, w in (("a", True), ("b", False))])
-    return views.select(key, F.greatest("a.n", "b.n").alias("n_known"),
-                        F.array_sort(F.array_union("a.found", "b.found")).alias("licenses"))
+    views = docs.select(F.col(key), *[let(identifiers(t, w, known), judge).alias(v) for v, w in (("a", True), ("b", False))],
+                        spdx(t).alias("named"))
+    # A cut that shows the longer licence and not the shorter one tells that the other cut's shorter one is its beginning.
+    whole = F.array_union("a.found", "b.found")
+    for short, long in beaten_by(rules):
+        only_long = [F.array_contains(v, long) & ~F.array_contains(v, short) for v in ("a.found", "b.found")]
+        whole = F.when(only_long[0] | only_long[1], F.array_remove(whole, short)).otherwise(whole)
+    every = views.select(F.col(key), F.greatest("a.n", "b.n").alias("n_known"), F.array_union(whole, F.col("named")).alias("all"))
+    others = F.filter("all", lambda x: ~x.isin(*ALONE))
+    return every.select(key, "n_known", F.array_sort(F.when(F.size(others) > 0, others).otherwise(F.col("all"))).alias("licenses"))

@@ -120,7 +120,7 @@ FROM f
 
 
 def _license_view(name: str, wrapped: bool) -> str:
-    t = r"regexp_replace(t, '[\\x20\\x09-\\x0D]*\\n[\\x20\\x09-\\x0D]*', ' ', 'g')" if wrapped else "t"
+    t = r"regexp_replace(t, '[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*', ' ', 'g')" if wrapped else "t"
     known = ", ".join(f"'{v}': '{k}'" for k, v in licenses.SENTENCES.items())
     lower = f"translate(x, '{licenses.UPPER}', '{licenses.LOWER}')"
     return rf"""
@@ -133,20 +133,38 @@ def _license_view(name: str, wrapped: bool) -> str:
 
 
 def _license_found() -> str:
-    pattern: dict[str, list[str]] = {}
+    after, tests = licenses.longer(), []
     for r in licenses.RULES:
-        pattern.setdefault(r.license, []).append(licenses.sequence_pattern(r))
-    tests = ", ".join(f"CASE WHEN regexp_matches(s, '{'|'.join(p)}') THEN '{name}' END" for name, p in sorted(pattern.items()))
-    return f"list_filter([{tests}], lambda x: x IS NOT NULL)"
+        sequence = "s"
+        for x in after[r.sentences]:
+            sequence = f"regexp_replace({sequence}, '{licenses.sequence_pattern(x)}', ',', 'g')"
+        tests.append(f"CASE WHEN regexp_matches({sequence}, '{licenses.sequence_pattern(r)}') THEN '{r.license}' END")
+    return f"list_distinct(list_filter([{', '.join(tests)}], lambda x: x IS NOT NULL))"
 
 
+def _license_shorter() -> str:
+    """Whether licence x is the beginning of a longer one that a cut shows without it."""
+    return " OR ".join(f"(x = '{short}' AND ((list_contains(fa, '{long}') AND NOT list_contains(fa, x)) "
+                       f"OR (list_contains(fb, '{long}') AND NOT list_contains(fb, x))))" for short, long in licenses.beaten_by())
+
+
+_SPDX_MAP = ", ".join(f"'{k}': '{v}'" for k, v in licenses.SPDX.items())
+_ALONE = ", ".join(f"'{x}'" for x in licenses.ALONE)
+
 LICENSES = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 {_license_view("a", True)}, {_license_view("b", False)},
-v AS (
-  SELECT doc_id, max(len(list_filter(ids, lambda x: x <> '-'))) AS n_known,
-         flatten(list({_license_found()})) AS found
-  FROM (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS s FROM (FROM a UNION ALL FROM b)) GROUP BY doc_id
-)
-SELECT doc_id, n_known, array_to_string(list_sort(list_distinct(found)), ',') AS licenses FROM v
+va AS (SELECT doc_id, len(list_filter(ids, lambda x: x <> '-')) AS na, {_license_found()} AS fa
+       FROM (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS s FROM a)),
+vb AS (SELECT doc_id, len(list_filter(ids, lambda x: x <> '-')) AS nb, {_license_found()} AS fb
+       FROM (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS s FROM b)),
+n AS (SELECT doc_id, list_filter(list_transform(
+        flatten(list_transform(regexp_extract_all(t, '{licenses.SPDX_LINE}', 1),
+                               lambda x: string_split_regex(translate(x, '{licenses.UPPER}', '{licenses.LOWER}'), '{licenses.SPDX_BETWEEN}'))),
+        lambda x: (MAP {{{_SPDX_MAP}}})[x]), lambda x: x IS NOT NULL) AS named FROM d),
+v AS (SELECT doc_id, greatest(na, nb) AS n_known,
+             list_distinct(list_concat(list_filter(list_concat(fa, fb), lambda x: NOT ({_license_shorter()})), named)) AS found
+      FROM va JOIN vb USING (doc_id) JOIN n USING (doc_id))
+SELECT doc_id, n_known, array_to_string(list_sort(CASE WHEN len(list_filter(found, lambda x: x NOT IN ({_ALONE}))) > 0
+         THEN list_filter(found, lambda x: x NOT IN ({_ALONE})) ELSE found END), ',') AS licenses FROM v
 """
