@@ -45,14 +45,15 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
-#: A PEM or PGP key reaches from its BEGIN line to the next END line, whatever is between (key headers, escaped
-#: line breaks, marks of quoting or diffs). Without an END line it reaches over the base64 text that follows, after
-#: key headers and their blank line if there are any; a line that neither follows is a span by itself. Only single
-#: characters are repeated without bound: Java recurses for repeated groups.
+#: A PEM or PGP key reaches from its BEGIN line over key headers and key text to its END line; key text is base64
+#: with line breaks (also escaped ones) and the marks of quoting or diffs, so prose in between, with its full stops
+#: and commas, is no key. Without an END line it reaches over the base64 text that follows; a BEGIN line that
+#: neither follows is a span by itself. Only single characters are repeated without bound: Java recurses for
+#: repeated groups.
 _KEY_BEGIN = r"-{4,5}\x20?BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?\x20?-{4,5}"
-_KEY_WHOLE = r"[\s\S]*?" + _KEY_BEGIN.replace("BEGIN", "END")
-_KEY_CUT = (r"(?:[\x20\x09-\x0D]*[A-Z][A-Za-z-]*:[\s\S]*?\n[\x20\x09\x0D]*\n)?"
-            r"""[\x20\x09-\x0D\\">+nr-]*[A-Za-z0-9+/=]{20,}[A-Za-z0-9+/=\x20\x09-\x0D\\">-]*""")
+_KEY_HEADS = r"""(?:[\x20\x09-\x0D\\">+nr-]*[A-Z][A-Za-z-]*:[^\n]*?(?:\n|\\n)){0,6}"""
+_KEY_WHOLE = _KEY_HEADS + r"""[A-Za-z0-9+/=\x20\x09-\x0D\\">#|-]*?""" + _KEY_BEGIN.replace("BEGIN", "END")
+_KEY_CUT = _KEY_HEADS + r"""[\x20\x09-\x0D\\">+nr-]*[A-Za-z0-9+/=]{20,}[A-Za-z0-9+/=\x20\x09-\x0D\\">-]*"""
 #: Added kinds: published prefixes of service keys, key files, tokens and addresses with a password.
 ADDED = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),

@@ -44,7 +44,12 @@ def test_whole_private_keys_are_redacted(spark):
     assert _redacted(spark, cut) == ["x [secret]"] * len(cut)
     other = ["The line -----BEGIN PRIVATE KEY----- opens a key file.", "-----BEGIN PUBLIC KEY-----\nMIIB\n-----END PUBLIC KEY-----"]
     assert _redacted(spark, other) == ["The line [secret] opens a key file.", other[1]]
-    _sql_agrees(spark, texts + cut + other)
+    prose = " ".join(f"This is sentence {i}, and it stays." for i in range(50))
+    far = [f"A key file opens with -----BEGIN PRIVATE KEY-----. {prose}\nIt ends with -----END PRIVATE KEY-----.",
+           f"-----BEGIN RSA PRIVATE KEY-----\n\n{prose}\n\n{keys[0]}\nafter it."]
+    assert _redacted(spark, far) == [f"A key file opens with [secret]. {prose}\nIt ends with -----END PRIVATE KEY-----.",
+                                     f"[secret]\n\n{prose}\n\n[secret]\nafter it."]
+    _sql_agrees(spark, texts + cut + other + far)
 
 
 def test_long_tokens_and_passwords_are_redacted(spark):
