@@ -45,7 +45,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{scratch_path(df.sparkSession, name)}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of `saved` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._saved_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def utf8(column) -> list[bytes | None]:

@@ -1,7 +1,7 @@
 """Connected components over an edge table, by alternating star contractions.
 
 Every round is two joins and groupings over the edges; the edges are written to
-the shared checkpoint folder between rounds, so lineage stays short and an
+the shared checkpoint folder between rounds (a round's are removed after the next), so lineage stays short and an
 executor's loss costs one round's tasks. Only two counts reach the driver.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import discard, saved
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
     current = saved(edges.where("a != b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
-        current = saved(_small_star(_large_star(current)), "edges")
+        before, current = current, saved(_small_star(_large_star(current)), "edges")
+        discard(before)
         # A forest of stars: one edge per node, and no root is itself a node.
         n = current.agg(F.count("a").alias("n"), F.count_distinct("a").alias("d")).first()
         if n["n"] == n["d"] and current.join(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices, utf8
+from .common import discard, saved, slices, utf8
 
 #: Fewest code points and occurrences of a word, and how much more frequent its form has to be.
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
@@ -136,11 +136,12 @@ def roots(formed: DataFrame) -> DataFrame:
     steps = saved(formed.where(F.col("form").isNotNull()).select("word", F.col("form").alias("root")), "forms")
     while True:
         onward = steps.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = saved(steps.join(onward, "root", "left").select(
+        moved = saved(steps.select("word", "root").join(onward, "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "forms")
-        steps = moved.select("word", "root")
-        if not moved.where("moved").limit(1).count():
-            return steps
+        discard(steps)
+        steps, done = moved, not moved.where("moved").limit(1).count()
+        if done:
+            return steps.select("word", "root")
 
 
 def group(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT, ratio: int = RATIO, damaged: int = DAMAGED,
@@ -150,5 +151,6 @@ def group(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_CO
         raise ValueError("words of four letters or more are cut into chunks, and a form has to be more frequent")
     words = saved(count(docs, min_length, damaged, text, key).where(F.col("n") >= min_count), "words")
     formed = saved(forms(words, min_length, ratio), "forms")
+    discard(words)
     return formed.join(roots(formed), "word", "left").select(
         "word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, saved, slices
+from .common import discard, map_rows, saved, slices
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -323,7 +323,9 @@ def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, shared: int =
     own_fold = fold(F.col("k")).cast("int")
     # Merge joins at every size: labels grow with the documents and are never broadcast.
     train = rows.join(marks.hint("merge"), "k").select("t", "toxic", own_fold.alias("fold"))
-    table = saved(model(saved(count(train, order), "grams"), order), "differences")
+    counted = saved(count(train, order), "grams")
+    table = saved(model(counted, order), "differences")
+    discard(counted)
 
     marked = rows.select("k").join(marks.hint("merge"), "k")
     sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -333,6 +335,7 @@ def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, shared: int =
     sample = saved(rows.join(F.broadcast(picked), "k").select("k", "t", "toxic", own_fold.alias("without")), "sample")
     known = differences(sample, table, folds=FOLDS, order=order)
     got = known.orderBy(F.xxhash64("k"), "k", *FEATURES).limit(fit_rows).toPandas()
+    discard(picked, sample)
     seen = got.groupby("toxic").size().to_dict()
     got["weight"] = [sizes[c] / seen[c] for c in got["toxic"]]
     *slopes, offset = fit(got, sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5)
