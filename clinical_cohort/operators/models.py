@@ -15,10 +15,11 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .calibration import isotonic_apply, isotonic_fit
+
 KEY = "visit_occurrence_id"
 
 
@@ -263,11 +264,9 @@ def calibrate(valid_scores: DataFrame, test_scores: DataFrame, label: str = "lab
     -> (key columns of test, score, isotonic, sigmoid).
     """
     va = VectorAssembler(inputCols=["score"], outputCol="_s")
-    v, t = va.transform(valid_scores), va.transform(test_scores)
-    iso = IsotonicRegression(labelCol=label, featuresCol="score", predictionCol="isotonic").fit(valid_scores)
     sig = LogisticRegression(labelCol=label, featuresCol="_s", probabilityCol="_p", rawPredictionCol="_r",
-                             predictionCol="_pred").fit(v)
-    out = sig.transform(iso.transform(t))
+                             predictionCol="_pred").fit(va.transform(valid_scores))
+    out = sig.transform(va.transform(isotonic_apply(test_scores, isotonic_fit(valid_scores, "score", label))))
     return out.withColumn("sigmoid", vector_to_array("_p")[1]).drop("_s", "_p", "_r", "_pred")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import calibration as CAL
 from ..operators import evaluation as EV
 from ..operators import features as FE
 from ..operators import models as ML
@@ -246,6 +247,19 @@ def q_eval_minmax_score(spark, sf):
     return EV.minmax_score(Roles(spark, sf).scores)
 
 
+@register("ml_isotonic", cte("scores") + """
+, d AS (SELECT score, CAST(sum(label) AS DOUBLE) AS pos, CAST(count(*) AS DOUBLE) AS n FROM scores GROUP BY 1)
+, c AS (SELECT score, pos, n, row_number() OVER (ORDER BY score) AS i, sum(pos) OVER (ORDER BY score) AS cp, sum(n) OVER (ORDER BY score) AS cn FROM d)
+, least_to AS (SELECT a.i AS a, b.i AS b, min((b.cp - a.cp + a.pos) / (b.cn - a.cn + a.n)) OVER (PARTITION BY a.i ORDER BY b.i DESC) AS m
+               FROM c a JOIN c b ON b.i >= a.i)
+, f AS (SELECT c.score, max(m) AS isotonic FROM c JOIN least_to l ON l.b = c.i GROUP BY 1)
+SELECT s.doc_id, s.label, s.score, round(f.isotonic, 6) AS isotonic FROM scores s JOIN f ON s.score = f.score""", digits=6)
+def q_ml_isotonic(spark, sf):
+    """Exact isotonic calibration of the scores, by the largest least mean (SQL) and by pooling (Spark)."""
+    s = Roles(spark, sf).scores.select("doc_id", "label", "score")
+    return CAL.isotonic_apply(s, CAL.isotonic_fit(s))
+
+
 @register("eval_class_report", cte("scores") + """
 , p AS (SELECT CAST(label AS VARCHAR) AS y, CAST(CAST(score >= 0.5 AS INT) AS VARCHAR) AS p FROM scores)
 , cls AS (SELECT y AS class FROM p UNION SELECT p FROM p)
