@@ -15,8 +15,9 @@ segments of least loss, and A* searches those.
 White space is kept: a leading space is added, spaces become U+2581. Characters
 outside the vocabulary become byte pieces, each scored below every other piece.
 Null and empty texts have no ids. Equal scores keep the search's order, which
-depends on the text alone. Repeated rows get equal results. Other columns are
-not read.
+depends on the text alone. Very long texts are encoded whole, segment by segment.
+Repeated rows get equal results. An empty table gives an empty result. Other columns
+are not read.
 """
 
 from __future__ import annotations

@@ -2,7 +2,9 @@
 
 Every metric is a built-in expression over one text, so a verdict needs no
 shuffle and no user function. Null and blank texts have no words: all metrics
-are 0, the word-count rule rejects them. Repeated rows get equal verdicts.
+are 0, the word-count rule rejects them. Very long texts are measured whole. Repeated
+rows get equal verdicts. An empty table gives an empty result. Other columns are
+not read by `judge` and are kept by `keep`, whatever their names.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ any number of documents share has one row per batch where hashes meet. A copy of
 a window inside one document needs no shuffle and is found on the spot.
 
 Null and blank texts have no words; texts of fewer words than a window stay
-whole. Rows that share a key are judged alike against other keys and apart from
+whole, and very long ones are judged whole. Rows that share a key are judged alike against other keys and apart from
 each other. Rows without key come before all others, in the order of a hash of
 the text. Other columns are not read. An empty table gives an empty result.
 """

@@ -11,9 +11,11 @@ Spans are code points, end exclusive, leftmost and non-overlapping per rule.
 Spark has no function for match positions; they are the running sum of the
 lengths of the pieces between matches and of the matches.
 
-Null text is read as empty: no span. Repeated rows, also of one key, each get
-their own spans (the index only widens the candidates). A null key is a key of
-its own. Other input columns are not read by `scan` and are kept by `redact`.
+Null text is read as empty: no span. Very long texts are scanned whole. Repeated
+rows, also of one key, each get their own spans (the index only widens the
+candidates). Spans of equal start are in the rules' order. A null key is a key of
+its own. An empty table gives an empty result. Other input columns are not read by
+`scan` and are kept by `redact`, whatever their names.
 """
 
 from __future__ import annotations

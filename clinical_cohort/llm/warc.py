@@ -9,8 +9,9 @@ are descended, and only below nodes that differ, down to the records.
 An archive here is a table with the columns file, offset, length, page_id, url,
 copies, bytes (the record). Identical pages are archived once; ``copies`` counts
 their rows, so no file grows with repetition. A null url or html is archived as
-empty, a null page_id stays null. An empty table gives an empty archive and an
-empty audit; roots that one replica lacks count as different.
+empty, a null page_id stays null; very long pages are one record. Records of equal
+digest are in the order of their page_id. Other columns are not read. An empty table
+gives an empty archive and an empty audit; roots that one replica lacks count as different.
 """
 
 from __future__ import annotations

@@ -100,6 +100,8 @@ def test_warc_edges(spark, tmp_path):
         made.limit(1).selectExpr("file", "9000000L as offset", "length", "page_id", "url", "copies", "bytes"))
     status = Counter(r.status for r in warc.fixity(made, theirs).collect())
     assert status == {"ok": 5, "missing": 1, "extra": 1}
+    clashing = pages.selectExpr("*", "1 as file", "2 as offset", "'x' as digest", "3 as copies", "4 as bytes", "5 as status")
+    assert sorted(map(str, warc.archive(clashing).collect())) == sorted(map(str, rows))
     none = warc.archive(pages.limit(0))
     assert warc.fixity(none, none).collect() == []
     assert Counter(r.status for r in warc.fixity(made, none).collect()) == {"missing": 6}
