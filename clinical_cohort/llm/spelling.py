@@ -48,12 +48,13 @@ def runs_of(text: bytes, key: object, min_length: int = MIN_LENGTH, damaged: int
     if key is None or not damaged:
         return found
     prefix = zlib.crc32(f"{key}:".encode())
-    hit = [(r, h) for r in found if not (h := zlib.crc32(r.encode(), prefix)) % damaged]
-    for r, h in hit:
-        n, at = found.pop(r), h % len(r)
+    hit = [(found[r], r, h) for r in found if not (h := zlib.crc32(r.encode(), prefix)) % damaged]
+    found.subtract({r: n for n, r, _ in hit})
+    for n, r, h in hit:
+        at = h % len(r)
         if len(r) > min_length:
             found[r[:at] + r[at + 1:]] += n
-    return found
+    return +found  # without zeros
 
 
 def count(docs: DataFrame, min_length: int = MIN_LENGTH, damaged: int = DAMAGED, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -208,6 +208,13 @@ def test_damaged_runs():
     assert found["gardens"] > 3900 and found["straßen"] > 1950
     assert 0 < sum(n for w, n in found.items() if len(w) == 6) < 60  # a deleted letter each
     assert not [w for w in found if len(w) < 6]
+    both = spelling.runs_of(b"gardens ardens gardens rdens", 1, 5, damaged=1)  # a run that becomes another damaged one
+    assert sum(both.values()) == 3 and both == Counter(damaged("gardens", 1)) + Counter(damaged("gardens", 1)) + Counter(damaged("ardens", 1))
+
+
+def damaged(run, key):
+    at = zlib.crc32(f"{key}:{run}".encode()) % len(run)
+    return [run[:at] + run[at + 1:]]
 
 
 # --- token counts ---
