@@ -38,13 +38,17 @@ def words(text: Column) -> Column:
                .otherwise(F.split(t, SPACE_CLASS)))
 
 
+#: Bytes that a writer of `saved` holds before it flushes them.
+ROW_GROUP = 32 << 20
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     The rows then survive the loss of an executor and the lineage is cut.
     """
     path = f"{scratch_path(df.sparkSession, name)}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._saved_at = path
     return out
