@@ -68,6 +68,19 @@ def utf8(column) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def release() -> None:
+    """Give memory that a worker no longer uses back to the system: workers wait idle beside the next stage's tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library alone
+    if trim is not None:
+        trim(0)
+
+
 #: Rows that a worker is sent and works on at a time.
 MAP_ROWS = 1_000
 _BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -102,5 +115,6 @@ def map_rows(df: DataFrame, fn: Callable[[object], list], names_and_types: str,
             new = [a if isinstance(a, (pa.Array, pa.ChunkedArray)) else pa.array(a, f.type)
                    for a, f in zip(fn(batch), target, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + new, names=schema.names)
+        release()
 
     return df.mapInArrow(run, schema)

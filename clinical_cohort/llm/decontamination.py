@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, utf8
+from .common import map_rows, release, utf8
 
 WINDOW = 10
 #: Words of a block of items, and bytes of texts that pass through all blocks together.
@@ -213,6 +213,7 @@ def _streamed(docs: DataFrame, items: DataFrame, window: int, max_block_words: i
                 yield from judged(held)
                 held, size = [], 0
         yield from judged(held)
+        release()
 
     return docs.select("row", "text").mapInArrow(run, StructType([docs.schema["row"], docs.schema["text"], *added.fields]))
 

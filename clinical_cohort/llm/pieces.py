@@ -37,7 +37,7 @@ from .common import map_rows, utf8
 SPACE = "▁"
 N_BEST = 4
 INF = float("inf")
-CACHED_SEGMENTS = 200_000
+CACHED_SEGMENTS = 50_000
 #: Longest segments that are scored many at a time.
 MOST_TOGETHER = 40
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -270,8 +270,6 @@ class Encoder:
         """Places of each text's segments, for an Arrow string array."""
         import pyarrow as pa
         import pyarrow.compute as pc
-        if len(self.place) > CACHED_SEGMENTS:
-            self._clear()
         texts = pc.fill_null(texts, "")
         unsafe = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
         cut = pc.split_pattern(pc.if_else(pa.array(unsafe), "", texts), " ")
@@ -284,6 +282,11 @@ class Encoder:
             out[i] = places[:0]
         return out
 
+    def trim(self) -> None:
+        """Forget the segments once they are too many; their places are no longer valid."""
+        if len(self.place) > CACHED_SEGMENTS:
+            self._clear()
+
     def _alternatives(self, place: int) -> list[tuple[float, list[int]]]:
         """(loss, ids) of the n best of one segment."""
         if place not in self.searched:
@@ -343,6 +346,7 @@ def encode(docs: DataFrame, model: str, n: int = 1, text: str = "text", key: str
         found = [enc.n_best(p) for p in enc.segments(batch.column("t"))]
         others = pa.ListArray.from_arrays(np.cumsum([0, *(len(f) - 1 for f in found)], dtype=np.int32),
                                           _lists([i for f in found for _, i in f[1:]]))
+        enc.trim()
         return [_lists([f[0][1] for f in found]), [[s for s, _ in f] for f in found], others]
 
     rows = docs.select(F.col(key), F.col(text).alias("t"))
@@ -372,6 +376,7 @@ def digest(docs: DataFrame, model: str, n: int = N_BEST, text: str = "text", key
             scores.append([s for s, _ in found])
             crcs.append([zlib.crc32(i.astype("<u4")) for _, i in found])
             same.append(enc.vocabulary.decode(found[0][1].tolist()) == (raw or b""))
+        enc.trim()
         return [tokens, scores, crcs, same]
 
     rows = docs.select(F.col(key), F.col(text).alias("t"))
