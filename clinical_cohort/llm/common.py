@@ -115,6 +115,7 @@ def map_rows(df: DataFrame, fn: Callable[[object], list], names_and_types: str,
             new = [a if isinstance(a, (pa.Array, pa.ChunkedArray)) else pa.array(a, f.type)
                    for a, f in zip(fn(batch), target, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + new, names=schema.names)
-        release()
+            del batch, new
+            release()
 
     return df.mapInArrow(run, schema)
