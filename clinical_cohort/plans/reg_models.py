@@ -315,28 +315,14 @@ def _split(X, name):
     return X.where(F.col("split") == name)
 
 
-@register("fs_l1")
-def q_fs_l1(spark, sf):
-    X, names = _ml_inputs(spark, sf)
-    return ML.l1_select(_split(X, "train"), names, K_FEATURES)
-
-
-@register("fs_rfe")
-def q_fs_rfe(spark, sf):
-    X, names = _ml_inputs(spark, sf)
-    return ML.rfe_select(_split(X, "train"), names, K_FEATURES)
+def _register_selector(key: str, selector: str) -> None:
+    @register(key)
+    def q(spark, sf):
+        return _study(spark, sf).selected(selector)
 
 
-@register("fs_forest")
-def q_fs_forest(spark, sf):
-    X, names = _ml_inputs(spark, sf)
-    return ML.forest_select(_split(X, "train"), names, K_FEATURES, n_trees=FOREST_TREES)
-
-
-@register("fs_gbt")
-def q_fs_gbt(spark, sf):
-    X, names = _ml_inputs(spark, sf)
-    return ML.gbt_select(_split(X, "train"), names, K_FEATURES, max_iter=GBT_ROUNDS)
+for _key, _selector in (("fs_l1", "Logistics"), ("fs_rfe", "RFE"), ("fs_forest", "Random Forest"), ("fs_gbt", "GradientBoosting")):
+    _register_selector(_key, _selector)
 
 
 @register("ml_tree_cv")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame
@@ -45,6 +46,7 @@ class Sizes:
     min_leaf: Sequence[int] = (11, 13, 15)
     folds: int = 5
     seed: int = 42
+    parallelism: int = 6
 
 
 @dataclass
@@ -54,6 +56,7 @@ class Study:
     r: object
     targets: Sequence[str] = ("fulfilled", "urgent")
     sizes: Sizes = field(default_factory=Sizes)
+    _fitted: dict = field(default_factory=dict, repr=False)
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -91,21 +94,41 @@ class Study:
         """(target, feature, score, rank): the best by chi-square, all targets in one pass."""
         return SEL.top_k_by_target(SEL.chi2_scores_by_target(self.features, self.labels, self.targets), self.sizes.n_features)
 
-    def selections(self, target: str) -> dict[str, DataFrame]:
-        """The features that each selector picks for a target."""
+    def _fit(self, selector: str, target: str) -> DataFrame:
         s, x = self.sizes, self.matrix
         k = min(s.n_features, len(self.names))
-        return dict(zip(SELECTORS, (
-            self.chi2.where(F.col("target") == target).select("feature"),
-            ML.rfe_select(x, self.names, k, label=target, n_rows=self.n_rows),
-            ML.l1_select(x, self.names, k, label=target, n_rows=self.n_rows),
-            ML.forest_select(x, self.names, k, n_trees=s.forest_trees, seed=s.seed, label=target),
-            ML.gbt_select(x, self.names, k, max_iter=s.boosting_rounds, seed=s.seed, label=target)), strict=True))
+        if selector == "xChi-2":
+            return self.chi2.where(F.col("target") == target).select("feature", F.col("score").alias("weight"))
+        if selector == "RFE":
+            return ML.rfe_select(x, self.names, k, label=target, n_rows=self.n_rows)
+        if selector == "Logistics":
+            return ML.l1_select(x, self.names, k, label=target, n_rows=self.n_rows)
+        if selector == "Random Forest":
+            return ML.forest_select(x, self.names, k, n_trees=s.forest_trees, seed=s.seed, label=target)
+        return ML.gbt_select(x, self.names, k, max_iter=s.boosting_rounds, seed=s.seed, label=target)
+
+    def selections(self, *selectors: str) -> dict[str, dict[str, DataFrame]]:
+        """By target and selector the picked features (feature, weight). Fits do not depend on each other: those
+        not made yet run side by side, so that the small jobs of one fill the gaps of another."""
+        todo = [(s, t) for s in selectors for t in self.targets if (s, t) not in self._fitted]
+        if todo:
+            _ = self.matrix, self.n_rows, self.chi2  # made once, before the threads
+            with ThreadPool(min(len(todo), self.sizes.parallelism)) as pool:
+                for at, found in zip(todo, pool.map(lambda job: self._fit(*job), todo, chunksize=1), strict=True):
+                    self._fitted[at] = found
+        return {t: {s: self._fitted[s, t] for s in selectors} for t in self.targets}
+
+    def selected(self, selector: str) -> DataFrame:
+        """(target, feature, weight) of one selector."""
+        frames = [by[selector].select(F.lit(t).alias("target"), "feature", "weight") for t, by in self.selections(selector).items()]
+        return reduce(lambda a, b: a.unionByName(b), frames)
 
     @cached_property
     def votes(self) -> DataFrame:
         """(target, Feature, a flag for each selector, Total, Rank), the ``n_features`` best of each target."""
-        return materialize(SEL.votes_by_target({t: self.selections(t) for t in self.targets}, self.sizes.n_features))
+        # The longest fits first.
+        made = self.selections(*reversed(SELECTORS))
+        return materialize(SEL.votes_by_target({t: {s: by[s] for s in SELECTORS} for t, by in made.items()}, self.sizes.n_features))
 
     @cached_property
     def best(self) -> dict[str, list[str]]:
