@@ -47,7 +47,7 @@ _UNSAFE = rf"^ | $|  |{SPACE}"
 
 def _step(h: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Hashes of texts one character longer."""
-    h = (h ^ codes.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (codes.astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)  # a NUL in front counts too
     return h ^ (h >> np.uint64(29))
 
 

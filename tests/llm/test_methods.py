@@ -13,7 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -264,6 +264,8 @@ def test_n_best_against_all_paths(encoder):
 
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=40))
+@example("a\x00b")
+@example("\x00\x00the")
 def test_pieces_round_trip(text):
     encoder = test_pieces_round_trip.__dict__.setdefault("e", pieces.Encoder(PIECES, 1))
     ids = encoder.n_best(encoder.segments(pa.array([text]))[0])[0][1]
