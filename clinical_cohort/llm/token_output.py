@@ -51,6 +51,9 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = "|".join(map(re.escape, self.specials)) or r"(?!)"
+        # A space, then no other: visible characters at both ends, and no added token.
+        self.joins = re.compile(rf" (?!.*(?:{special}))\S(?:[^ ]*\S)?", re.DOTALL).fullmatch
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids whose token starts with a space
         for token, i in vocab.items():
@@ -78,19 +81,22 @@ class Encoder:
 
     def learn(self, chunks: list[str]) -> np.ndarray:
         """Cache the chunks; their places. Chunks that start with their only space are encoded together."""
-        new = [c for c in dict.fromkeys(chunks) if c not in self.place]
-        joined = [c for c in new if c[:1] == " " and c.count(" ") == 1 and not c[-1].isspace() and not c[1].isspace()
-                  and not any(s in c for s in self.specials)]
+        places = list(map(self.place.get, chunks))
+        new = dict.fromkeys([c for c, at in zip(chunks, places, strict=True) if at is None])
+        joined = list(filter(self.joins, new))
         for at in range(0, len(joined), 5000):
             part = joined[at:at + 5000]
-            ids = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, np.uint32)
+            # The fast batch call keeps no offsets; its ids are those of encode.
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             opens = np.flatnonzero(self.opens[ids])
             self._add(part, ids, np.diff(opens, append=len(ids)))
         single = [c for c in new if c not in self.place]
         if single:
-            ids = [e.ids for e in self.tokenizer.encode_batch(single, add_special_tokens=False)]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(single, add_special_tokens=False)]
             self._add(single, np.array([i for x in ids for i in x], np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
-        return np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+        if new:
+            places = [self.place[c] if at is None else at for c, at in zip(chunks, places, strict=True)]
+        return np.array(places, np.int64)
 
     def _gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.lengths[places]
@@ -115,7 +121,8 @@ class Encoder:
         cut = pc.split_pattern(marked, _MARK)
         pieces = cut.flatten().dictionary_encode()
         first = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
-        places = self.learn(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()]
+        # By way of NumPy: to_pylist makes an Arrow scalar of each string.
+        places = self.learn(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())[pieces.indices.to_numpy()]
         bounds = np.append(first, len(places))
         odd = np.flatnonzero(unsafe).tolist()
         if odd:
