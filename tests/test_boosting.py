@@ -78,3 +78,20 @@ def test_elimination_equals_refits_of_spark(rows, monkeypatch):
 def test_labels_other_than_0_and_1_fail(rows):
     with pytest.raises(Exception, match="labels are 0 or 1"):
         boosting.boosted_importances(rows.withColumn("a", F.lit(2)), ["a"], P, 1, 1)
+
+
+def test_margins_alone_are_kept_between_rounds(spark, rows, monkeypatch):
+    """What a round keeps is the rows' margins, not their blocks; a level is counted by the entries of the smaller children's rows."""
+    kept = []
+    was = boosting._zippable
+    monkeypatch.setattr(boosting, "_zippable", lambda rdd: kept.append(rdd.first()) or was(rdd))
+    want = boosting.boosted_importances(rows, ["a", "b"], P, 3, 3)
+    assert [len(k) for k in kept] == [5, 2, 2, 2]  # a block, and (margins, sums) of three rounds
+    assert kept[2][0].shape == kept[0][2].shape
+    block = boosting.by_row(boosting.binned(boosting.sparse_blocks(rows, ["a", "b"], N).first(), boosting.Bins([np.array([0.5])] * 10 + [np.array([-9.0, 9.0]), np.array([])])), 12)
+    row, start, _, column, first = block
+    by_row = sorted(zip(np.repeat(np.arange(len(first) - 1), np.diff(first)).tolist(), column.tolist(), strict=True))
+    assert by_row == sorted(zip(row.tolist(), np.repeat(np.arange(12), np.diff(start)).tolist(), strict=True))
+    for t in ("a", "b"):
+        model = GBTClassifier(labelCol=t, maxIter=3, maxDepth=3, seed=42).fit(rows)
+        assert want[t] == pytest.approx(model.featureImportances.toArray(), abs=1e-9)
