@@ -1,11 +1,12 @@
 """Plan checks over every registered query: no nested-loop or Cartesian joins."""
 
 import os
+import re
 
 import pytest
 
 import __spark_entry__ as entry
-from clinical_cohort.plans import registry
+from clinical_cohort.plans import reg_models, registry
 from plan_text import plan_text
 
 registry.load_all()
@@ -41,3 +42,15 @@ def test_no_join_on_feature_names_of_events(spark):
     top = plan[:plan.index("Join ")]
     assert "Aggregate [visit_occurrence_id" in top  # joined by code first, summed by feature after
     assert "condition_source_value" in plan[plan.index("Join "):].splitlines()[0]
+
+
+def test_votes_read_the_features_once(spark, monkeypatch):
+    """Chi-square and support of the vote keys come from one feature table, with the same columns of it."""
+    made = []
+    was = reg_models.FE.feature_matrix
+    monkeypatch.setattr(reg_models.FE, "feature_matrix", lambda *a, **b: made.append(was(*a, **b)) or made[-1])
+    df = entry.queries()["rank_features"](spark, SF)
+    assert len(made) == 1
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet \[(l_orderkey#[^]]*)\]", re.sub(r"#\d+L?", "#", plan))
+    assert len(scans) % 2 == 0 and len(set(scans)) == 3  # both read the same three sets of columns, so the shuffles are alike
