@@ -95,3 +95,17 @@ def test_margins_alone_are_kept_between_rounds(spark, rows, monkeypatch):
     for t in ("a", "b"):
         model = GBTClassifier(labelCol=t, maxIter=3, maxDepth=3, seed=42).fit(rows)
         assert want[t] == pytest.approx(model.featureImportances.toArray(), abs=1e-9)
+
+
+def test_blocks_hold_entries_in_few_bytes(spark):
+    """0/1 features take 3 bytes an entry and their row number 2; other values stay as they are."""
+    whole = spark.createDataFrame([(Vectors.sparse(5, [(1, 1.0), (4, 200.0)]), 1)], ["features", "a"])
+    row, feature, value, _ = boosting.sparse_blocks(whole, ["a"], 1).first()
+    assert (row.dtype, feature.dtype, value.dtype) == (np.uint16, np.uint16, np.uint8)
+    assert feature.tolist() == [1, 4] and value.tolist() == [1, 200]
+    for v in (0.5, -1.0, 300.0):
+        _, _, value, _ = boosting.sparse_blocks(whole.select(F.lit(1).alias("a")).crossJoin(
+            spark.createDataFrame([(Vectors.dense([v, 2.0]),)], ["features"])), ["a"], 1).first()
+        assert value.dtype == np.float64 and value.tolist() == [v, 2.0]
+    v, n = dict(boosting.value_counts(np.array([3, 3], np.uint16), np.array([200, 100], np.uint8)))[3]
+    assert boosting.thresholds(v, n, 2, 32).tolist() == [150.0]

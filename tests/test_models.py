@@ -108,3 +108,21 @@ def test_study_of_every_target(spark):
     assert all(r.readable == (r.feature.lower() if r.feature else None) for r in rules)
     calibrated = study.calibrated().collect()
     assert len(calibrated) == len(made) and all(0 <= r.isotonic <= 1 and 0 <= r.sigmoid <= 1 for r in calibrated)
+
+
+def test_matrix_of_gathered_features_shuffles_no_names(spark, planted):
+    """One array a visit gives the same vectors as the long table; labels without features get an empty one."""
+    features, targets, names, _ = planted
+    more = targets.unionByName(spark.createDataFrame([(9_999, 1, 0), (3, 1, 1)], targets.schema))
+    present = features.groupBy(KEY).agg(F.collect_list("feature").alias("_present"))
+    got = ML.gathered_matrix(present, more, names)
+    want = ML.design_matrix(features, more, names)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 602
+    assert got.where(f"{KEY} = 9999").first().features.numNonzeros() == 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ML.gathered_matrix(present, more, names)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.index("Join LeftOuter") < plan.rindex("UDF(_present")  # vectors are made below the join
